@@ -458,3 +458,165 @@ def flagship(spark, d):
     res = km.sweep(scaled, 2, 4, max_iter=10, init_mode="first")
     centers = res.centers_frame(spark).where(F.col("k") == res.chosen)
     return rp.center_report(centers, header)
+
+
+# ---------------------------------------------------------------------------
+# recodes (R1-R10)
+# ---------------------------------------------------------------------------
+
+from cellar.operators import recode as rc  # noqa: E402
+from cellar.operators import recode_tables as rt  # noqa: E402
+
+CM = sg.case_map
+MS = sg.missing_sql
+
+
+def orders_codes(spark, d):
+    o = table(spark, d, "orders")
+    return o.select((F.col("o_orderkey") + 1).alias("row_num"), "o_orderkey",
+                    F.substring("o_orderpriority", 1, 1).alias("prio"),
+                    F.year("o_orderdate").cast("string").alias("year"))
+
+
+@query("recode_category", "R3", f"""
+SELECT o_orderkey, substr(o_orderpriority, 1, 1) AS code,
+       {CM('substr(o_orderpriority, 1, 1)', rt.get_table('HQH6a'))} AS value
+FROM orders
+""")
+def q_recode_category(spark, d):
+    t = orders_codes(spark, d).withColumn("code", F.col("prio"))
+    out = rc.recode(t, [rc.Category("prio", "HQH6a")])
+    return out.select("o_orderkey", "code", F.col("prio").alias("value"))
+
+
+@query("recode_year", "R2", f"""
+SELECT o_orderkey, CAST(year(o_orderdate) AS VARCHAR) AS code,
+       {CM('CAST(year(o_orderdate) AS VARCHAR)', rt.get_table('years'))} AS value
+FROM orders
+""")
+def q_recode_year(spark, d):
+    t = orders_codes(spark, d).withColumn("code", F.col("year"))
+    out = rc.recode(t, [rc.Year("year")])
+    return out.select("o_orderkey", "code", F.col("year").alias("value"))
+
+
+@query("recode_audit", "R8", f"""
+SELECT 'prio' AS "column", substr(o_orderpriority, 1, 1) AS code, count(*) AS n
+FROM orders
+WHERE substr(o_orderpriority, 1, 1) NOT IN
+      ({', '.join(repr(c) for c in rt.get_table('HQ4b1'))})
+GROUP BY 2
+UNION ALL
+SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), count(*) FROM orders
+WHERE CAST(year(o_orderdate) AS VARCHAR) NOT IN
+      ({', '.join(repr(c) for c in rt.get_table('years'))})
+GROUP BY 2
+""")
+def q_recode_audit(spark, d):
+    t = orders_codes(spark, d)
+    return rc.recode_audit(t, [rc.Category("prio", "HQ4b1"), rc.Year("year")])
+
+
+def lineitem_texts(spark, d):
+    """Lineitem as a survey-like string table (cells rendered as a sheet
+    renders them, so zeros read "0", i.e. missing)."""
+    li = table(spark, d, "lineitem")
+    return li.select(
+        F.lit(1).cast("long").alias("row_num"), "l_orderkey", "l_linenumber",
+        fc.pretty_number("l_discount").alias("disc"),
+        fc.pretty_number("l_tax").alias("tax"),
+        fc.pretty_number("l_quantity").alias("qty"),
+        F.col("l_linenumber").cast("string").alias("lnum"),
+        F.when(F.col("l_returnflag") == "R", F.lit("3")).otherwise(F.lit("1")).alias("sign"),
+        F.year("l_shipdate").cast("string").alias("ship_year"))
+
+
+_LT = {"disc": P("l_discount"), "tax": P("l_tax"), "qty": P("l_quantity"),
+       "lnum": "CAST(l_linenumber AS VARCHAR)",
+       "sign": "(CASE WHEN l_returnflag = 'R' THEN '3' ELSE '1' END)",
+       "ship_year": "CAST(year(l_shipdate) AS VARCHAR)"}
+
+
+@query("impute_raw", "R4 R7 R10", f"""
+SELECT l_orderkey, l_linenumber,
+       CASE WHEN {MS(_LT['disc'])} THEN {CM(_LT['lnum'], rt.get_table('HQH5c2'))}
+            ELSE {_LT['disc']} END AS disc,
+       '0' AS lnum,
+       {CM(_LT['lnum'], rt.get_table('HQH5c2'))} AS lnum_only
+FROM lineitem
+""")
+def q_impute_raw(spark, d):
+    t = lineitem_texts(spark, d).withColumn("lnum_only", F.col("lnum"))
+    out = rc.recode(t, [rc.RawFromCategory("disc", "lnum", "HQH5c2"),
+                        rc.RawFromCategory("no_such_raw", "lnum_only", "HQH5c2")])
+    return out.select("l_orderkey", "l_linenumber", "disc", "lnum", "lnum_only")
+
+
+@query("sign_merge", "R5", f"""
+SELECT l_orderkey, l_linenumber, '0' AS sign,
+       CASE WHEN l_returnflag = 'R' THEN '-' || regexp_replace({_LT['qty']}, '^-', '')
+            ELSE {_LT['qty']} END AS qty
+FROM lineitem
+""")
+def q_sign_merge(spark, d):
+    out = rc.recode(lineitem_texts(spark, d), [rc.SignMerge("sign", "qty")])
+    return out.select("l_orderkey", "l_linenumber", "sign", "qty")
+
+
+_HQ1B = rt.get_table("HQ1b")
+
+
+@query("fallback_chain", "R6", f"""
+SELECT l_orderkey, l_linenumber,
+  CASE WHEN {MS(_LT['disc'])} THEN {_LT['tax']} ELSE {_LT['disc']} END AS p_all,
+  CASE WHEN {MS(_LT['disc'])} THEN
+       CASE WHEN {MS(_LT['tax'])} THEN {CM(_LT['lnum'], _HQ1B)} ELSE {_LT['tax']} END
+       ELSE {_LT['disc']} END AS p_full,
+  CASE WHEN {MS(_LT['disc'])} THEN {CM(_LT['lnum'], _HQ1B)} ELSE {_LT['disc']} END AS p_nohidden,
+  CASE WHEN {MS(_LT['tax'])} THEN {CM(_LT['lnum'], _HQ1B)} ELSE {_LT['tax']} END AS h_noprimary,
+  {CM(_LT['lnum'], _HQ1B)} AS c_only,
+  '0' AS h_all, '0' AS c_all
+FROM lineitem
+""")
+def q_fallback_chain(spark, d):
+    t = lineitem_texts(spark, d).select(
+        "row_num", "l_orderkey", "l_linenumber",
+        F.col("disc").alias("p_all"), F.col("tax").alias("h_all"), F.col("lnum").alias("c_all"),
+        F.col("disc").alias("p_full"), F.col("tax").alias("h_full"), F.col("lnum").alias("c_full"),
+        F.col("disc").alias("p_nohidden"), F.col("lnum").alias("c_nohidden"),
+        F.col("tax").alias("h_noprimary"), F.col("lnum").alias("c_noprimary"),
+        F.col("lnum").alias("c_only"))
+    out = rc.recode(t, [rc.Fallback("p_all", "h_all", "c_all"),
+                        rc.Fallback("p_full", "h_full", "c_full", full_chain=True),
+                        rc.Fallback("p_nohidden", "absent_h1", "c_nohidden"),
+                        rc.Fallback("absent_p2", "h_noprimary", "c_noprimary"),
+                        rc.Fallback("absent_p3", "absent_h3", "c_only")])
+    return out.select("l_orderkey", "l_linenumber", "p_all", "p_full", "p_nohidden",
+                      "h_noprimary", "c_only", "h_all", "c_all")
+
+
+_ALL_SPECS = [rc.Category("lnum", "HQR1b"), rc.Year("ship_year"),
+              rc.RawFromCategory("disc", "lnum2", "HQH5c2"), rc.SignMerge("sign", "qty"),
+              rc.Fallback("tax", "absent_hidden", "lnum3")]
+
+
+@query("recode_all", "R1", f"""
+SELECT l_orderkey, l_linenumber,
+  {CM(_LT['lnum'], rt.get_table('HQR1b'))} AS lnum,
+  {CM(_LT['ship_year'], rt.get_table('years'))} AS ship_year,
+  CASE WHEN {MS(_LT['disc'])} THEN {CM(_LT['lnum'], rt.get_table('HQH5c2'))}
+       ELSE {_LT['disc']} END AS disc,
+  '0' AS lnum2, '0' AS sign,
+  CASE WHEN l_returnflag = 'R' THEN '-' || regexp_replace({_LT['qty']}, '^-', '')
+       ELSE {_LT['qty']} END AS qty,
+  CASE WHEN {MS(_LT['tax'])} THEN {CM(_LT['lnum'], _HQ1B)} ELSE {_LT['tax']} END AS tax,
+  '0' AS lnum3,
+  coalesce(TRY_CAST(CASE WHEN {MS(_LT['tax'])} THEN {CM(_LT['lnum'], _HQ1B)}
+                         ELSE {_LT['tax']} END AS DOUBLE), 0) AS tax_value
+FROM lineitem
+""")
+def q_recode_all(spark, d):
+    t = lineitem_texts(spark, d).withColumns({"lnum2": F.col("lnum"), "lnum3": F.col("lnum")})
+    out = rc.recode(t, _ALL_SPECS)
+    return out.select("l_orderkey", "l_linenumber", "lnum", "ship_year", "disc", "lnum2", "sign",
+                      "qty", "tax", "lnum3", fc.lenient_double("tax").alias("tax_value"))

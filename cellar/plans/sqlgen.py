@@ -69,3 +69,16 @@ def lloyd_sql(points: str, key: str, ks: list[int], iterations: int, d: int) ->
         FROM pts p CROSS JOIN {last} c GROUP BY c.k, p.key)""")
     ctes.append("final_cost AS (SELECT k, sum(d2) AS wssse, count(*) AS n FROM final_assign GROUP BY k)")
     return "WITH " + ",\n".join(ctes)
+
+
+def case_map(expr: str, table: dict[str, float], on_unmapped: str = "null") -> str:
+    """SQL CASE twin of a code-table lookup (value texts as the library
+    writes them)."""
+    from cellar.operators.recode_tables import value_text
+    whens = " ".join(f"WHEN '{code}' THEN '{value_text(v)}'" for code, v in table.items())
+    other = {"null": "NULL", "keep": expr}.get(on_unmapped, "NULL")
+    return f"(CASE {expr} {whens} ELSE {other} END)"
+
+
+def missing_sql(expr: str) -> str:
+    return f"({expr} IS NULL OR {expr} IN ('', '0', '0.0'))"
