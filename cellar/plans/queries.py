@@ -620,3 +620,227 @@ def q_recode_all(spark, d):
     out = rc.recode(t, _ALL_SPECS)
     return out.select("l_orderkey", "l_linenumber", "lnum", "ship_year", "disc", "lnum2", "sign",
                       "qty", "tax", "lnum3", fc.lenient_double("tax").alias("tax_value"))
+
+
+# ---------------------------------------------------------------------------
+# lookups, codebook, report
+# ---------------------------------------------------------------------------
+
+from cellar.operators import compare as cmp  # noqa: E402
+from cellar.plans import flow as fl  # noqa: E402
+from cellar.session import shared_path  # noqa: E402
+from cellar.sinks import files as sk  # noqa: E402
+
+CODEBOOK_COLS = ["p_partkey", "p_type", "p_name"]
+
+
+def part_codebook_cells(spark, d):
+    """Part as a dictionary sheet: column 1 holds names (p_type), column 2
+    descriptions (p_name); names repeat, so the last row must win."""
+    return src.melt(table(spark, d, "part"), "p_partkey", CODEBOOK_COLS, sheet="Codebook",
+                    workbook="tpch", header=False)
+
+
+@query("codebook_lastwins", "S4 A7", """
+SELECT p_type AS name, arg_max(p_name, p_partkey) AS description
+FROM part WHERE p_type LIKE 'S%' AND length(p_type) > 0
+GROUP BY p_type
+""")
+def q_codebook_lastwins(spark, d):
+    return lk.codebook_from_cells(part_codebook_cells(spark, d), "Codebook", prefix="S")
+
+
+@query("codebook_join", "J3", """
+WITH book AS (SELECT p_type AS name, arg_max(p_name, p_partkey) AS description
+              FROM part WHERE p_type LIKE 'S%' GROUP BY p_type)
+SELECT p.p_partkey, p.p_type, coalesce(b.description, '') AS description
+FROM part p LEFT JOIN book b ON p.p_type = b.name
+""")
+def q_codebook_join(spark, d):
+    book = lk.codebook_from_cells(part_codebook_cells(spark, d), "Codebook", prefix="S")
+    p = table(spark, d, "part").select("p_partkey", "p_type")
+    return lk.with_description(p, book, "p_type").select("p_partkey", "p_type", "description")
+
+
+@query("header_lookup", "J1", "\nUNION ALL\n".join(
+    f"SELECT p_partkey + 1 AS row_num, {i} AS col_num, '{c}' AS name FROM part"
+    for i, c in enumerate(PART_COLS)) + """
+UNION ALL SELECT p_partkey + 1, 5, '' FROM part""")
+def q_header_lookup(spark, d):
+    cells = g.render(part_cells(spark, d))
+    _, header = g.extract_header(g.densify(cells.where(F.col("row_num") == 0)))
+    data = cells.where(F.col("row_num") != 0).select("row_num", "col_num")
+    # one position past the last column, to show the out-of-range answer ""
+    beyond = table(spark, d, "part").select((F.col("p_partkey") + 1).alias("row_num"),
+                                            F.lit(len(PART_COLS)).alias("col_num"))
+    return lk.with_header_name(data.unionByName(beyond), header, "col_num") \
+        .select("row_num", "col_num", "name")
+
+
+@query("header_positions", "J2", f"""
+WITH h AS (SELECT * FROM {sg.header_values(PART_COLS)} t(pos, name)),
+names AS (SELECT name FROM h UNION SELECT DISTINCT p_type FROM part)
+SELECT n.name, CAST(coalesce(min(h.pos), -1) AS INTEGER) AS pos
+FROM names n LEFT JOIN h ON n.name = h.name GROUP BY n.name
+""")
+def q_header_positions(spark, d):
+    cells = g.render(part_cells(spark, d))
+    _, header = g.extract_header(g.densify(cells.where(F.col("row_num") == 0)))
+    names = header.select("name").unionByName(
+        table(spark, d, "part").select(F.col("p_type").alias("name"))).distinct()
+    pos = lk.header_positions(header)
+    return names.join(F.broadcast(pos), "name", "left") \
+        .select("name", F.coalesce(F.col("pos"), F.lit(-1)).alias("pos"))
+
+
+REPORT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag"]
+# column dictionary of the lineitem sheet (descriptions of the TPC-H columns)
+REPORT_BOOK = [("l_quantity", "Quantity of the part ordered"),
+               ("l_extendedprice", "Quantity times the part's retail price"),
+               ("l_discount", "Discount rate")]
+
+
+def report_centers(spark, d):
+    """Scaled lineitem features; centers = mean per line status (cluster
+    ids by status order).  Returns (centers frame, header frame)."""
+    grid = src.grid_from_table(table(spark, d, "lineitem"), None, REPORT_COLS,
+                               sheet="lineitem", pretty_numbers=False, keep=["l_linestatus"])
+    data, header = g.extract_header(grid)
+    f = feat.to_features(data, keep=("row_num", "l_linestatus"))
+    scaled = feat.Scaler.fit(f, len(REPORT_COLS)).transform(f)
+    means = km.sum_vectors(scaled, ["l_linestatus"], "features", len(REPORT_COLS),
+                           extra=[F.count(F.lit(1)).alias("n")])
+    w = Window.orderBy("l_linestatus")
+    centers = means.select(
+        F.lit(2).alias("k"), (F.row_number().over(w) - 1).cast("int").alias("cluster"),
+        F.transform("features", lambda v: v / F.col("n")).alias("center"))
+    return centers, header
+
+
+from pyspark.sql import Window  # noqa: E402
+
+_SCALED = "\n".join([
+    "WITH s AS (SELECT " + ", ".join(f"stddev_samp({c}) AS s{i}" for i, c in
+                                      enumerate(REPORT_COLS[:4])) + " FROM lineitem),",
+    "x AS (SELECT l_linestatus, " + ", ".join(
+        f"CASE WHEN s{i} = 0 THEN 0 ELSE {c} / s{i} END AS x{i}"
+        for i, c in enumerate(REPORT_COLS[:4])) + ", 0.0 AS x4 FROM lineitem, s),",
+    "c AS (SELECT CAST(row_number() OVER (ORDER BY l_linestatus) - 1 AS INTEGER) AS cluster, "
+    + ", ".join(f"avg(x{i}) AS v{i}" for i in range(5)) + " FROM x GROUP BY l_linestatus),",
+    "long AS (" + " UNION ALL ".join(
+        f"SELECT cluster, {i} AS pos, '{c}' AS name, v{i} AS value FROM c"
+        for i, c in enumerate(REPORT_COLS)) + "),",
+    "book AS (SELECT * FROM (VALUES " + ", ".join(
+        "('{}', '{}')".format(n, t.replace("'", "''")) for n, t in REPORT_BOOK)
+    + ") b(name, description))"])
+
+
+@query("center_report", "M8 J1 J3", _SCALED + """
+SELECT CAST(2 AS INTEGER) AS k, l.cluster, l.pos, l.name, round(l.value, 4) AS value,
+       coalesce(b.description, '') AS description
+FROM long l LEFT JOIN book b ON l.name = b.name
+WHERE l.value <> 0
+""")
+def q_center_report(spark, d):
+    centers, header = report_centers(spark, d)
+    book = spark.createDataFrame(REPORT_BOOK, "name string, description string")
+    rep = rp.center_report(centers, header.select("pos", "name"), book)
+    return rep.withColumn("value", F.round("value", 4))
+
+
+@query("center_nonzero", "A5", _SCALED + """
+SELECT CAST(2 AS INTEGER) AS k, cluster, count(*) FILTER (WHERE value <> 0) AS nonzero
+FROM long GROUP BY cluster
+""")
+def q_center_nonzero(spark, d):
+    centers, _ = report_centers(spark, d)
+    return rp.nonzero_counts(centers).withColumn("nonzero", F.col("nonzero").cast("long"))
+
+
+@query("report_lines", "K7", None)
+def q_report_lines(spark, d):
+    centers, header = report_centers(spark, d)
+    return rp.report_lines(rp.center_report(centers, header.select("pos", "name")))
+
+
+# ---------------------------------------------------------------------------
+# dataset comparison, models, sinks, full flow
+# ---------------------------------------------------------------------------
+
+@query("dataset_diff", "T1", """
+SELECT 'left_only' AS side, * FROM (
+  SELECT o_orderkey, o_orderstatus FROM orders
+  EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P')
+UNION ALL
+SELECT 'right_only', * FROM (
+  SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'
+  EXCEPT ALL SELECT o_orderkey, o_orderstatus FROM orders)
+""")
+def q_dataset_diff(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return cmp.dataset_diff(o, o.where(F.col("o_orderstatus") != "P"))
+
+
+@query("mllib_kmeans", "M4 (k-means||)", None)
+def q_mllib_kmeans(spark, d):
+    f = embedding_features(spark, d)
+    model = km.ml_kmeans(f, km.DEFAULT_TRAIN_K, km.DEFAULT_TRAIN_ITERATIONS)
+    sizes = model.summary.clusterSizes
+    rows = [(i, int(n), float(model.summary.trainingCost)) for i, n in enumerate(sizes)]
+    return spark.createDataFrame(rows, "cluster int, size long, wssse double")
+
+
+def _fresh(spark, name):
+    import uuid
+    return shared_path(spark, "cellar-out", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+@query("model_roundtrip", "K4 K5 K6 S6", None)
+def q_model_roundtrip(spark, d):
+    f = embedding_features(spark, d)
+    model = km.ml_kmeans(f, 3, 10)
+    base = _fresh(spark, "model")
+    sk.save_model(model, base + "/native")
+    sk.export_pmml(model, base + "/pmml")
+    back = sk.load_kmeans_model(base + "/native")
+    same = [bool(np.allclose(a, b)) for a, b in zip(model.clusterCenters(),
+                                                    back.clusterCenters())]
+    pmml = spark.read.text(base + "/pmml").where(F.col("value").contains("ClusterCenters")
+                                                 | F.col("value").contains("<Cluster "))
+    n_pmml = pmml.count()
+    return spark.createDataFrame([(i, s, n_pmml) for i, s in enumerate(same)],
+                                 "cluster int, same_center boolean, pmml_cluster_lines long")
+
+
+@query("vector_roundtrip", "K2 S3", """
+SELECT round(l_quantity, 4) AS x0, round(l_extendedprice, 4) AS x1,
+       round(l_discount, 4) AS x2, round(l_tax, 4) AS x3 FROM lineitem
+""")
+def q_vector_roundtrip(spark, d):
+    path = _fresh(spark, "vectors")
+    sk.write_vector_text(lineitem_features(spark, d), path)
+    back = src.read_feature_text(spark, path)
+    return back.select(*[F.round(F.col("features")[i], 4).alias(f"x{i}") for i in range(4)])
+
+
+@query("csv_roundtrip", "K1", f"""
+SELECT CAST(0 AS BIGINT) AS row_num, '{",".join(PART_COLS)}' AS line
+UNION ALL
+SELECT p_partkey + 1, concat_ws(',', p_name, p_brand, p_type, {P('p_size')}, {P('p_retailprice')})
+FROM part
+""")
+def q_csv_roundtrip(spark, d):
+    grid = src.grid_from_table(table(spark, d, "part"), "p_partkey", PART_COLS, sheet="part")
+    path = _fresh(spark, "csv")
+    sk.write_grid_csv(grid, path, len(PART_COLS))
+    back = sk.read_grid_csv(spark, path, len(PART_COLS))
+    return back.select("row_num", fc.assemble("cells").alias("line"))
+
+
+@query("flow_report", "M11 S5 M3 M5 M6 M8", None)
+def q_flow_report(spark, d):
+    cells = src.melt(table(spark, d, "customer"), "c_custkey", CUST_COLS, sheet="Data",
+                     workbook="tpch")
+    sf = fl.sheet_to_features(cells, "Data", rows="extract", drop=[0], specs=None)
+    flow = fl.cluster_flow(sf, k_min=2, k_max=8, max_iter=20)
+    return flow.report

@@ -90,12 +90,13 @@ def melt(df: DataFrame, key=None, columns: Sequence[str] | None = None, *,
 def grid_from_table(df: DataFrame, key=None, columns: Sequence[str] | None = None, *,
                     sheet: str = "data", header: bool = True, row_offset: int = 1,
                     drop_zero: bool = False, pretty_numbers: bool = True,
-                    filler: str = FILLER) -> DataFrame:
+                    filler: str = FILLER, keep: Sequence[str] = ()) -> DataFrame:
     """Wide table -> ``grid`` rows without a shuffle.
 
     Equivalent to ``densify(render(melt(df, ...)))``: every cell is rendered
     like a typed sheet cell and missing cells get ``filler``.  The cells of a
-    table row already sit together, so no grouping is needed.
+    table row already sit together, so no grouping is needed.  ``keep``
+    columns ride along outside the cells (NULL on the header row).
     """
     columns = list(columns or [c for c in df.columns if c != key])
     types = {f.name: cell_type_of(f.dataType) for f in df.schema.fields}
@@ -107,10 +108,12 @@ def grid_from_table(df: DataFrame, key=None, columns: Sequence[str] | None = Non
                            pretty_numbers=pretty_numbers)
         rendered.append(F.coalesce(text, F.lit(filler)))
     grid = df.select(F.lit(sheet).alias("sheet"), row_num.alias("row_num"),
-                     F.array(*rendered).alias("cells"))
+                     F.array(*rendered).alias("cells"), *keep)
     if header:
         head = df.sparkSession.createDataFrame(
             [(sheet, 0, list(columns))], "sheet string, row_num bigint, cells array<string>")
+        for k in keep:
+            head = head.withColumn(k, F.lit(None).cast(df.schema[k].dataType))
         grid = head.unionByName(grid)
     return grid
 
