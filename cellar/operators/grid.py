@@ -74,7 +74,7 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
 
     Every row is padded to ``width`` (the max column index, scanned when not
     given).  Missing leading, inner and trailing cells get ``filler``.
-    Dropped positions are removed before the shuffle.  ``col_filter(pos,
+    Dropped cells are blanked before the shuffle (their row stays).  ``col_filter(pos,
     value)`` may rewrite a cell or return NULL to drop it; it also sees the
     filler of gap cells, so a position-based filter drops whole columns.
     ``extra_rows`` ``(sheet, row_num)`` are rows that exist without any cell;
@@ -85,7 +85,12 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
     if width + 1 > MAX_WIDTH:
         raise ValueError(f"sheet width {width + 1} exceeds {MAX_WIDTH}")
     positions = kept_positions(width, drop)
-    body = drop_columns(cells, drop).select("sheet", "row_num", "col_num", "value")
+    body = cells.select("sheet", "row_num", "col_num", "value")
+    if drop:
+        # a dropped cell keeps its row present but carries no data into the shuffle
+        kept = ~F.col("col_num").isin(sorted({int(p) for p in drop}))
+        body = body.select("sheet", "row_num", F.when(kept, F.col("col_num")).alias("col_num"),
+                           F.when(kept, F.col("value")).alias("value"))
     if extra_rows is not None:
         body = body.unionByName(extra_rows.select(
             "sheet", "row_num", F.lit(None).cast("int").alias("col_num"),
