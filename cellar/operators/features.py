@@ -6,8 +6,9 @@
 * ``scale_fit``       per-position mean and sample std in one pass (A3/M1)
 * ``scale_transform`` divide by std, zero-variance positions -> 0.0 (M2)
 
-``scale_fit`` is a single aggregate with one partial state per position, so
-the shuffle carries ``partitions x width`` numbers whatever the row count.
+``scale_fit`` is one vector aggregate (``pyspark.ml.stat.Summarizer``) with a
+map-side partial step, so the shuffle carries ``partitions x width`` numbers
+whatever the row count.
 """
 
 from __future__ import annotations
@@ -20,11 +21,6 @@ from pyspark.sql import functions as F
 
 from cellar.functions.cells import parse_cells
 
-# positions above this are aggregated in long form (posexplode) instead of one
-# aggregate expression per position
-WIDE_AGG_LIMIT = 1024
-
-
 def to_features(grid: DataFrame, default: float = 0.0, keep=("row_num",)) -> DataFrame:
     """Cell texts -> doubles; anything unparsable is ``default``."""
     return grid.select(*keep, parse_cells("cells", default).alias("features"))
@@ -72,24 +68,20 @@ def check_dims(features: DataFrame, col: str = "features") -> int:
     return int(row["min_size"])
 
 
-def scale_fit(features: DataFrame, width: int, col: str = "features") -> DataFrame:
-    """Long ``(pos, n, mean, std)`` with the sample standard deviation; one
-    row, or a zero-variance column, gives std 0.0."""
-    if width <= WIDE_AGG_LIMIT:
-        x = F.col(col)
-        aggs = []
-        for i in range(width):
-            aggs += [F.avg(x[i]).alias(f"m{i}"), F.stddev_samp(x[i]).alias(f"s{i}")]
-        wide = features.agg(F.count(F.lit(1)).alias("n"), *aggs)
-        stack = F.array(*[F.struct(F.lit(i).alias("pos"), F.col(f"m{i}").alias("mean"),
-                                   F.col(f"s{i}").alias("std")) for i in range(width)])
-        long = wide.select("n", F.inline(stack))
-    else:
-        long = (features.select(F.posexplode(col).alias("pos", "v"))
-                .groupBy("pos").agg(F.count(F.lit(1)).alias("n"), F.avg("v").alias("mean"),
-                                    F.stddev_samp("v").alias("std")))
-    return long.select("pos", "n", "mean",
-                       F.coalesce(F.col("std"), F.lit(0.0)).alias("std"))
+def scale_fit(features: DataFrame, width: int | None = None, col: str = "features") -> DataFrame:
+    """Long ``(pos, n, mean, std)`` with the sample standard deviation, from
+    one vector aggregate (``Summarizer``); one row, or a zero-variance
+    column, gives std 0.0."""
+    from pyspark.ml.stat import Summarizer
+
+    stats = features.select(Summarizer.metrics("count", "mean", "std")
+                            .summary(array_to_vector(col)).alias("s"))
+    zipped = F.arrays_zip(vector_to_array("s.mean").alias("mean"),
+                          vector_to_array("s.std").alias("std"))
+    std = F.col("m.std")
+    return (stats.select(F.col("s.count").alias("n"), F.posexplode(zipped).alias("pos", "m"))
+            .select("pos", "n", F.col("m.mean").alias("mean"),
+                    F.when(std.isNull() | F.isnan(std), F.lit(0.0)).otherwise(std).alias("std")))
 
 
 @dataclass(frozen=True)

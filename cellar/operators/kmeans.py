@@ -20,6 +20,7 @@ it), ties go to the lowest cluster id, an empty cluster keeps its center.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -85,12 +86,14 @@ def _nearest(x: np.ndarray, x2: np.ndarray, c: np.ndarray) -> tuple[np.ndarray,
 STATS_SCHEMA = "k int, cluster int, n long, cost double, s array<double>"
 
 
-def partial_stats(features: DataFrame, centers: Centers, col: str = "features") -> DataFrame:
+def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
+                  bc=None) -> DataFrame:
     """Per-partition ``(k, cluster, n, cost, s)``: members, summed squared
-    distance and summed vectors of each center's members."""
+    distance and summed vectors of each center's members.  ``bc`` may carry
+    the centers already broadcast (the caller then owns its lifetime)."""
     spark = features.sparkSession
     d = next(iter(centers.values())).shape[1]
-    bc = _broadcast(spark, centers)
+    bc = bc or _broadcast(spark, centers)
 
     def kernel(batches: Iterable[pa.RecordBatch]):
         cents = bc.value
@@ -120,30 +123,26 @@ def partial_stats(features: DataFrame, centers: Centers, col: str = "features")
     return features.select(col).mapInArrow(kernel, STATS_SCHEMA)
 
 
-def cluster_stats(features: DataFrame, centers: Centers, col: str = "features") -> DataFrame:
+def cluster_stats(features: DataFrame, centers: Centers, col: str = "features",
+                  bc=None) -> DataFrame:
     """``(k, cluster, n, cost, s)`` merged over all partitions: one hash
     aggregate on ``(k, cluster)`` with a partial step on the map side."""
     d = next(iter(centers.values())).shape[1]
-    parts = partial_stats(features, centers, col)
-    return sum_vectors(parts, ["k", "cluster"], "s", d,
+    parts = partial_stats(features, centers, col, bc)
+    return sum_vectors(parts, ["k", "cluster"], "s",
                        extra=[F.sum("n").alias("n"), F.sum("cost").alias("cost")])
 
 
-def sum_vectors(df: DataFrame, keys: Sequence[str], col: str, d: int, extra=()) -> DataFrame:
-    """Element-wise sum of a fixed-size array column per key."""
-    if d <= 1024:
-        sums = [F.sum(F.col(col)[i]).alias(f"_s{i}") for i in range(d)]
-        out = df.groupBy(*keys).agg(*extra, *sums)
-        others = [c for c in out.columns if c not in keys and not c.startswith("_s")]
-        return out.select(*keys, *others,
-                          F.array(*[F.col(f"_s{i}") for i in range(d)]).alias(col))
-    # very wide vectors: long form, each group is one position (bounded by d)
-    long = df.select(*keys, F.posexplode(col).alias("_pos", "_v"))
-    vec = (long.groupBy(*keys, "_pos").agg(F.sum("_v").alias("_v"))
-           .groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("_pos", "_v"))).alias("_e"))
-           .select(*keys, F.transform("_e", lambda e: e["_v"]).alias(col)))
-    rest = df.groupBy(*keys).agg(*extra)
-    return rest.join(vec, list(keys))
+def sum_vectors(df: DataFrame, keys: Sequence[str], col: str, d: int | None = None,
+                extra=()) -> DataFrame:
+    """Element-wise sum of an array<double> column per key: one vector
+    aggregate (``pyspark.ml.stat.Summarizer``) with a map-side partial step,
+    whatever the width."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+
+    return df.groupBy(*keys).agg(
+        *extra, vector_to_array(Summarizer.sum(array_to_vector(col))).alias(col))
 
 
 ASSIGN_FIELDS = [T.StructField("k", T.IntegerType()), T.StructField("cluster", T.IntegerType()),
@@ -244,6 +243,16 @@ def centers_from_frame(df: DataFrame) -> Centers:
     return {k: np.array([v[i] for i in sorted(v)], dtype=np.float64) for k, v in by_k.items()}
 
 
+def collect_stats(features: DataFrame, centers: Centers, col: str = "features") -> list:
+    """Run one pass and bring the merged stats (model-sized) to the driver;
+    the broadcast of the centers is released right after."""
+    bc = _broadcast(features.sparkSession, centers)
+    try:
+        return cluster_stats(features, centers, col, bc).collect()
+    finally:
+        bc.destroy()
+
+
 def _batches(ks: list[int], d: int) -> list[list[int]]:
     """Split k values so that each pass ships at most MAX_CENTER_BYTES."""
     out, cur, size = [], [], 0
@@ -275,7 +284,7 @@ def lloyd(features: DataFrame, init: Centers, *, max_iter: int, tol: float = DEF
         if not active:
             break
         for group in _batches(active, d):
-            stats = cluster_stats(features, {k: centers[k] for k in group}, col).collect()
+            stats = collect_stats(features, {k: centers[k] for k in group}, col)
             moved = {k: 0.0 for k in group}
             for r in stats:
                 k, i = int(r["k"]), int(r["cluster"])
@@ -288,7 +297,7 @@ def lloyd(features: DataFrame, init: Centers, *, max_iter: int, tol: float = DEF
     cost: dict[int, float] = {k: 0.0 for k in centers}
     sizes = {k: np.zeros(k, np.int64) for k in centers}
     for group in _batches(sorted(centers), d):
-        for r in cluster_stats(features, {k: centers[k] for k in group}, col).collect():
+        for r in collect_stats(features, {k: centers[k] for k in group}, col):
             cost[int(r["k"])] += float(r["cost"])
             sizes[int(r["k"])][int(r["cluster"])] = int(r["n"])
     return SweepResult(centers, cost, sizes, iters, done)
@@ -332,6 +341,38 @@ def choose_k_frame(scores: DataFrame, threshold: float = SWITCH_THRESHOLD) -> Da
                                                  F.col("best.wssse").alias("wssse"))
 
 
+# A cached partition of feature rows aims at this many bytes; small inputs
+# use no more partitions than there are cores (fewer, fuller tasks per pass).
+TARGET_PARTITION_BYTES = 128 << 20
+MIN_ROWS_PER_TASK = 20_000
+
+
+def target_partitions(n_rows: int, d: int, parallelism: int) -> int:
+    """Partitions for ``n_rows`` vectors of size ``d`` scanned many times."""
+    by_bytes = math.ceil(n_rows * (8 * d + 64) / TARGET_PARTITION_BYTES)
+    by_rows = min(parallelism, math.ceil(n_rows / MIN_ROWS_PER_TASK))
+    return max(1, by_bytes, by_rows)
+
+
+def cache_for_passes(features: DataFrame, col: str = "features") -> DataFrame:
+    """Cache feature rows for iterative passes with a partition count sized
+    from the row count: large inputs keep ~128 MB partitions, small inputs
+    are coalesced (no shuffle) so each pass runs few, full tasks.  Cached
+    blocks are recomputed from lineage if an executor is lost."""
+    cached = features.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.count()
+    first = cached.select(F.size(col).alias("d")).limit(1).collect()
+    d = int(first[0]["d"]) if first else 1
+    want = target_partitions(n, d, features.sparkSession.sparkContext.defaultParallelism)
+    have = cached.rdd.getNumPartitions()
+    if have > 2 * want:
+        fitted = cached.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
+        fitted.count()
+        cached.unpersist()
+        return fitted
+    return cached
+
+
 def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEFAULT_K_RANGE[1],
           *, max_iter: int = DEFAULT_SWEEP_ITERATIONS, tol: float = DEFAULT_TOL,
           init_mode: str = "hash", key: str = "row_num", seed: int = DEFAULT_SEED,
@@ -343,7 +384,7 @@ def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEF
     ks = list(range(int(k_min), int(k_max) + 1))
     if not ks:
         return SweepResult({}, {}, {}, {}, {}, None)
-    cached = features.select(key, col).persist(StorageLevel.MEMORY_AND_DISK)
+    cached = cache_for_passes(features.select(key, col), col)
     try:
         if method == "lloyd":
             result = lloyd(cached, init_centers(cached, ks, mode=init_mode, key=key, seed=seed,
