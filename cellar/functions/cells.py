@@ -84,9 +84,20 @@ def lenient_double(x, default: float = 0.0) -> Column:
     return F.coalesce(_col(x).try_cast("double"), F.lit(float(default)))
 
 
-def parse_cells(cells, default: float = 0.0) -> Column:
-    """array<string> -> array<double> with ``lenient_double`` per element."""
-    return F.transform(_col(cells), lambda v: lenient_double(v, default))
+# Arrays up to this width are processed with one expression per position,
+# which whole-stage code generation compiles; wider ones use a lambda
+# (``transform``), which Spark evaluates without code generation.
+UNROLL_LIMIT = 1024
+
+
+def parse_cells(cells, default: float = 0.0, width: int | None = None) -> Column:
+    """array<string> -> array<double> with ``lenient_double`` per element.
+    Pass ``width`` (the known array size) to keep the work code-generated."""
+    cells = _col(cells)
+    if width is not None and width <= UNROLL_LIMIT:
+        return F.array(*[lenient_double(cells[i], default) for i in range(width)]) if width \
+            else F.array().cast("array<double>")
+    return F.transform(cells, lambda v: lenient_double(v, default))
 
 
 def positional_complement(arr, positions: Iterable[int]) -> Column:

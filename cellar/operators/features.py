@@ -19,11 +19,13 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cellar.functions.cells import parse_cells
+from cellar.functions.cells import UNROLL_LIMIT, parse_cells
 
-def to_features(grid: DataFrame, default: float = 0.0, keep=("row_num",)) -> DataFrame:
-    """Cell texts -> doubles; anything unparsable is ``default``."""
-    return grid.select(*keep, parse_cells("cells", default).alias("features"))
+def to_features(grid: DataFrame, default: float = 0.0, keep=("row_num",),
+                width: int | None = None) -> DataFrame:
+    """Cell texts -> doubles; anything unparsable is ``default``.  ``width``
+    (the known row width) keeps the parse code-generated."""
+    return grid.select(*keep, parse_cells("cells", default, width).alias("features"))
 
 
 def as_vectors(features: DataFrame, col: str = "features", out: str = "vec") -> DataFrame:
@@ -104,6 +106,11 @@ class Scaler:
 
 def scale_transform(x, std) -> "F.Column":
     """``x / std`` per position (std 0 -> 0.0), like a standard scaler with
-    ``withMean=False, withStd=True``."""
-    stds = F.array(*[F.lit(float(s)) for s in std])
+    ``withMean=False, withStd=True``.  The std values are constants, so each
+    position is one code-generated expression."""
+    x = F.col(x) if isinstance(x, str) else x
+    std = [float(s) for s in std]
+    if len(std) <= UNROLL_LIMIT:
+        return F.array(*[F.lit(0.0) if s == 0 else x[i] / F.lit(s) for i, s in enumerate(std)])
+    stds = F.array(*[F.lit(s) for s in std])
     return F.zip_with(x, stds, lambda v, s: F.when(s == 0, F.lit(0.0)).otherwise(v / s))

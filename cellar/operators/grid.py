@@ -23,7 +23,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellar.functions.cells import FILLER, render_cell
+from cellar.functions.cells import FILLER, UNROLL_LIMIT, render_cell
 
 # Upper bound on a sheet's width accepted when header names are brought to the
 # driver to build projections (an XLSX sheet has at most 16,384 columns).
@@ -100,7 +100,9 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
         F.map_from_entries(F.collect_list(entry)).alias("_m"))
     pos = F.array(*[F.lit(p) for p in positions]) if positions else F.array().cast("array<int>")
     m = F.col("_m")
-    if col_filter is None:
+    if col_filter is None and 0 < len(positions) <= UNROLL_LIMIT:
+        row = F.array(*[F.coalesce(m[p], F.lit(filler)) for p in positions])
+    elif col_filter is None:
         row = F.transform(pos, lambda i: F.coalesce(m[i], F.lit(filler)))
     else:
         row = F.filter(

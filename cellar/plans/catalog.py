@@ -8,5 +8,20 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
           "embeddings pages benchmark labels conversations").split()
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core.
+
+    A small file of one Parquet row group is a single split, so every
+    narrow stage after it would run on one core.  Only then the rows are
+    dealt round-robin over the cores (a shuffle of a small input).  A large
+    input already has more splits than cores and is returned unchanged: no
+    shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))

@@ -65,7 +65,7 @@ def sheet_to_features(cells: DataFrame, sheet: str, *, rows: str = "extract",
         table = rc.recode(g.grid_to_table(data, names), specs, on_unmapped=on_unmapped)
         data = g.table_to_grid(table, names)
         n = len(names)
-    features = feat.to_features(data, default)
+    features = feat.to_features(data, default, width=n)
     if n is None:
         n = feat.check_dims(features)
     return SheetFeatures(features, header, n)

@@ -168,7 +168,7 @@ SELECT CAST(0 AS BIGINT) AS row_num, '[0.0,0.0,0.0,0.0]' AS vec
 UNION ALL SELECT c_custkey + 1, {_CUST_VEC} FROM customer
 """)
 def q_header_keep(spark, d):
-    f = feat.to_features(customer_grid(spark, d))
+    f = feat.to_features(customer_grid(spark, d), width=len(CUST_COLS))
     return f.select("row_num", fc.vector_text("features").alias("vec"))
 
 
@@ -176,7 +176,7 @@ def q_header_keep(spark, d):
 SELECT c_custkey + 1 AS row_num, {_CUST_VEC} AS vec FROM customer
 """)
 def q_header_discard(spark, d):
-    f = feat.to_features(g.discard_header(customer_grid(spark, d)))
+    f = feat.to_features(g.discard_header(customer_grid(spark, d)), width=len(CUST_COLS))
     return f.select("row_num", fc.vector_text("features").alias("vec"))
 
 
@@ -310,7 +310,7 @@ LINE_FEAT_COLS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 def lineitem_features(spark, d, cols=LINE_FEAT_COLS):
     grid = src.grid_from_table(table(spark, d, "lineitem"), None, cols, header=False,
                                pretty_numbers=False)
-    return feat.to_features(grid)
+    return feat.to_features(grid, width=len(cols))
 
 
 # The column mean is reported as its total (mean x n): the data have two
@@ -359,7 +359,7 @@ EMB_D = 64
 def embedding_features(spark, d):
     e = table(spark, d, "embeddings")
     return e.select(F.col("vec_id").alias("row_num"), "label",
-                    F.transform("embedding", lambda x: x.cast("double")).alias("features"))
+                    F.col("embedding").cast("array<double>").alias("features"))
 
 
 def label_centers(f: DataFrame) -> dict[int, np.ndarray]:
@@ -457,8 +457,8 @@ def flagship(spark, d):
     cells = part_cells(spark, d)
     grid = g.densify(g.render(cells))
     data, header = g.extract_header(grid)
-    f = feat.to_features(data)
     width = len(PART_COLS)
+    f = feat.to_features(data, width=width)
     scaled = feat.Scaler.fit(f, width).transform(f)
     res = km.sweep(scaled, 2, 4, max_iter=10, init_mode="first")
     centers = res.centers_frame(spark).where(F.col("k") == res.chosen)
@@ -711,7 +711,7 @@ def report_centers(spark, d):
     grid = src.grid_from_table(table(spark, d, "lineitem"), None, REPORT_COLS,
                                sheet="lineitem", pretty_numbers=False, keep=["l_linestatus"])
     data, header = g.extract_header(grid)
-    f = feat.to_features(data, keep=("row_num", "l_linestatus"))
+    f = feat.to_features(data, keep=("row_num", "l_linestatus"), width=len(REPORT_COLS))
     scaled = feat.Scaler.fit(f, len(REPORT_COLS)).transform(f)
     means = km.sum_vectors(scaled, ["l_linestatus"], "features", len(REPORT_COLS),
                            extra=[F.count(F.lit(1)).alias("n")])
