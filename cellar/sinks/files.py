@@ -28,10 +28,13 @@ def write_grid_csv(grid: DataFrame, path: str, width: int, *, mode: str = "overw
 
 
 def read_grid_csv(spark: SparkSession, path: str, width: int,
-                  keep: Sequence[str] = ("row_num",)) -> DataFrame:
-    """CSV written by ``write_grid_csv`` -> grid rows."""
+                  keep: Sequence[str] = ("row_num",), multi_line: bool = True) -> DataFrame:
+    """CSV written by ``write_grid_csv`` -> grid rows.  ``multi_line`` reads
+    quoted line breaks inside cells (each part file is then one task, which
+    is how Spark wrote it)."""
     schema = ", ".join([f"{k} bigint" for k in keep] + [f"c{i} string" for i in range(width)])
-    df = spark.read.schema(schema).option("escape", '"').csv(path)
+    df = spark.read.schema(schema).option("escape", '"').option("multiLine", multi_line) \
+        .csv(path)
     return df.select(*keep, F.array(*[F.coalesce(F.col(f"c{i}"), F.lit(""))
                                       for i in range(width)]).alias("cells"))
 
