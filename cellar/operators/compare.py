@@ -6,17 +6,35 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``(*columns, left_n, right_n)`` for every distinct row whose count
+    differs between the frames (NULLs compare equal, as in ``EXCEPT ALL``).
+
+    One aggregate over both inputs; identical rows are counted map-side
+    first, so a row value held by a third of all rows is one partial count
+    per partition in the shuffle.
+    """
+    cols = left.columns
+    tagged = (left.select(*cols, F.lit(1).alias("_l"), F.lit(0).alias("_r"))
+              .unionByName(right.select(*cols, F.lit(0).alias("_l"), F.lit(1).alias("_r"))))
+    counts = tagged.groupBy(*cols).agg(F.sum("_l").alias("left_n"), F.sum("_r").alias("right_n"))
+    return counts.where(F.col("left_n") != F.col("right_n"))
+
+
 def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(side, *columns)``: rows of ``left`` missing from ``right`` (side
-    "left_only") and the reverse ("right_only"), duplicates counted.  Each
-    ``exceptAll`` is one aggregate over all columns; identical rows are
-    counted map-side first, so a hot row value is never gathered whole."""
+    "left_only") and the reverse ("right_only"), duplicates counted — the
+    two ``EXCEPT ALL`` directions from a single aggregate."""
     cols = left.columns
-    right = right.select(*cols)
-    return (left.exceptAll(right).select(F.lit("left_only").alias("side"), *cols)
-            .unionByName(right.exceptAll(left).select(F.lit("right_only").alias("side"), *cols)))
+    d = diff_counts(left, right)
+    extra = F.col("left_n") - F.col("right_n")
+    return (d.select(F.when(extra > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+                     .alias("side"), *cols,
+                     F.explode(F.array_repeat(F.lit(True), F.abs(extra).cast("int")))
+                     .alias("_copy"))
+            .drop("_copy"))
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:
     """True when both frames hold the same multiset of rows."""
-    return dataset_diff(left, right).limit(1).count() == 0
+    return diff_counts(left, right).limit(1).count() == 0

@@ -137,3 +137,16 @@ def test_dims(spark):
         feat.check_dims(f)
     with pytest.raises(ValueError, match="no feature rows"):
         feat.check_dims(f.where("false"))
+
+
+def test_dataset_diff_multiset(spark):
+    from cellar.operators.compare import dataset_diff, diff_counts, same_rows
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (3, "z")],
+                              "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (4, "w"), (4, "w")], "k int, v string")
+    got = sorted((r["side"], r["k"], r["v"]) for r in dataset_diff(a, b).collect())
+    want = sorted([("left_only", r["k"], r["v"]) for r in a.exceptAll(b).collect()]
+                  + [("right_only", r["k"], r["v"]) for r in b.exceptAll(a).collect()])
+    assert got == want == [("left_only", 1, "x"), ("left_only", 1, "x"), ("left_only", 3, "z"),
+                           ("right_only", 4, "w"), ("right_only", 4, "w")]
+    assert diff_counts(a, a).count() == 0 and same_rows(a, a) and not same_rows(a, b)
