@@ -125,10 +125,16 @@ def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
 
 def cluster_stats(features: DataFrame, centers: Centers, col: str = "features",
                   bc=None) -> DataFrame:
-    """``(k, cluster, n, cost, s)`` merged over all partitions: one hash
-    aggregate on ``(k, cluster)`` with a partial step on the map side."""
-    d = next(iter(centers.values())).shape[1]
+    """``(k, cluster, n, cost, s)`` merged over all partitions: one
+    aggregate keyed by ``(k, cluster)``; the shuffle carries one row per
+    group and partition."""
     parts = partial_stats(features, centers, col, bc)
+    # The kernel already emits one partial row per (k, cluster) and partition,
+    # so the merge is hash-partitioned by its key into at most one partition
+    # per group (or per core), whatever spark.sql.shuffle.partitions says.
+    groups = sum(centers)
+    width = max(1, min(groups, features.sparkSession.sparkContext.defaultParallelism))
+    parts = parts.repartition(width, "k", "cluster")
     return sum_vectors(parts, ["k", "cluster"], "s",
                        extra=[F.sum("n").alias("n"), F.sum("cost").alias("cost")])
 
