@@ -249,12 +249,31 @@ def centers_from_frame(df: DataFrame) -> Centers:
     return {k: np.array([v[i] for i in sorted(v)], dtype=np.float64) for k, v in by_k.items()}
 
 
-def collect_stats(features: DataFrame, centers: Centers, col: str = "features") -> list:
-    """Run one pass and bring the merged stats (model-sized) to the driver;
-    the broadcast of the centers is released right after."""
+# Per-pass partial rows (one per partition and center) are merged on the
+# driver only when their total size, known before the pass, stays below this;
+# otherwise Spark merges them (``cluster_stats``).
+DRIVER_MERGE_BYTES = 64 << 20
+
+
+def collect_stats(features: DataFrame, centers: Centers, col: str = "features") -> list[dict]:
+    """Run one pass and return the merged stats (model-sized) as dicts with
+    ``k, cluster, n, cost, s``.  The broadcast of the centers is released
+    right after."""
     bc = _broadcast(features.sparkSession, centers)
+    d = next(iter(centers.values())).shape[1]
+    partial_bytes = features.rdd.getNumPartitions() * sum(centers) * (8 * d + 48)
     try:
-        return cluster_stats(features, centers, col, bc).collect()
+        if partial_bytes <= DRIVER_MERGE_BYTES:
+            merged: dict[tuple[int, int], dict] = {}
+            for r in partial_stats(features, centers, col, bc).collect():
+                key = (int(r["k"]), int(r["cluster"]))
+                m = merged.setdefault(key, {"k": key[0], "cluster": key[1], "n": 0,
+                                            "cost": 0.0, "s": np.zeros(d)})
+                m["n"] += int(r["n"])
+                m["cost"] += float(r["cost"])
+                m["s"] += np.asarray(r["s"], dtype=np.float64)
+            return list(merged.values())
+        return [r.asDict() for r in cluster_stats(features, centers, col, bc).collect()]
     finally:
         bc.destroy()
 

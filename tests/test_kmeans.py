@@ -100,3 +100,15 @@ def test_sweep_and_ml(emb):
     assert km.sweep(emb, 5, 4).chosen is None
     model = km.ml_kmeans(emb, 3, 5)
     assert len(model.clusterCenters()) == 3
+
+
+def test_driver_and_spark_merge_agree(emb, monkeypatch):
+    init = km.init_centers(emb, [2, 5], mode="hash", seed=11)
+    small = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
+    monkeypatch.setattr(km, "DRIVER_MERGE_BYTES", 0)
+    big = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
+    assert small.keys() == big.keys()
+    for key in small:
+        assert small[key]["n"] == big[key]["n"]
+        assert small[key]["cost"] == pytest.approx(big[key]["cost"])
+        assert np.allclose(small[key]["s"], big[key]["s"])
