@@ -445,7 +445,7 @@ def _ml_sweep(features: DataFrame, ks: list[int], *, max_iter: int, tol: float,
     centers, cost, sizes, iters, conv = {}, {}, {}, {}, {}
     for k in ks:
         model = ml_kmeans(features, k, max_iter, seed=seed, tol=tol, col=col)
-        centers[k] = np.array([c.toArray() for c in model.clusterCenters()])
+        centers[k] = np.array([np.asarray(c, dtype=np.float64) for c in model.clusterCenters()])
         cost[k] = float(model.summary.trainingCost)
         sizes[k] = np.array(model.summary.clusterSizes, dtype=np.int64)
         iters[k] = int(model.summary.numIter)

@@ -100,6 +100,9 @@ def test_sweep_and_ml(emb):
     assert km.sweep(emb, 5, 4).chosen is None
     model = km.ml_kmeans(emb, 3, 5)
     assert len(model.clusterCenters()) == 3
+    ml = km.sweep(emb, 2, 3, max_iter=5, method="ml")
+    assert sorted(ml.wssse) == [2, 3] and ml.chosen in (2, 3)
+    assert ml.centers[3].shape == (3, 64) and ml.sizes[3].sum() == emb.count()
 
 
 def test_driver_and_spark_merge_agree(emb, monkeypatch):
