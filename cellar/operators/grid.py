@@ -176,3 +176,25 @@ def table_to_grid(table: DataFrame, names: Sequence[str], keep=("sheet", "row_nu
     cols = unique_names(names)
     return table.select(*keep, F.array(*[F.col(f"`{c}`").cast("string") for c in cols])
                         .alias("cells"))
+
+
+# --- custom row transform (P17 / U3 escape hatch) ---------------------------------
+
+RowFn = Callable[[int, list], list]
+
+
+def map_rows(grid: DataFrame, fn: RowFn, *, skip_header: bool = True) -> DataFrame:
+    """Apply a Python ``fn(row_num, cells) -> cells`` to every grid row, in
+    Arrow batches (``mapInPandas``).  Prefer Column expressions (recode specs,
+    ``DataFrame.transform``); this is the hatch for logic they cannot say.
+    Row 0 passes through untouched when ``skip_header``."""
+    import pandas as pd
+
+    def run(batches):
+        for pdf in batches:
+            out = [cells if (skip_header and rn == 0) else list(fn(int(rn), list(cells)))
+                   for rn, cells in zip(pdf["row_num"], pdf["cells"])]
+            yield pdf.assign(cells=pd.Series(out, index=pdf.index, dtype=object))
+
+    return grid.select("sheet", "row_num", "cells").mapInPandas(run, grid.select(
+        "sheet", "row_num", "cells").schema)

@@ -150,6 +150,27 @@ def q_column_rewrite(spark, d):
     return grid.select("row_num", fc.assemble("cells").alias("line"))
 
 
+def _swap_and_shout(row_num, cells):
+    """Example row transform: swap the first two cells, upper-case the third."""
+    out = list(cells)
+    out[0], out[1] = out[1], out[0]
+    out[2] = out[2].upper()
+    return out
+
+
+@query("row_map", "P17 U3", f"""
+SELECT CAST(0 AS BIGINT) AS row_num, '{",".join(PART_COLS)}' AS line
+UNION ALL
+SELECT p_partkey + 1, concat_ws(',', p_brand, p_name, upper(p_type), {P('p_size')},
+                                {P('p_retailprice')})
+FROM part
+""")
+def q_row_map(spark, d):
+    grid = src.grid_from_table(table(spark, d, "part"), "p_partkey", PART_COLS, sheet="part")
+    return g.map_rows(grid, _swap_and_shout).select("row_num",
+                                                    fc.assemble("cells").alias("line"))
+
+
 CUST_COLS = ["c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
