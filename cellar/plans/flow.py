@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,9 +44,14 @@ def sheet_to_features(cells: DataFrame, sheet: str, *, rows: str = "extract",
     columns.  ``specs`` recode named columns (needs the header; the default
     ``()`` recodes nothing, ``None`` applies the survey's 28 recodes).
     """
-    picked = select_sheet(cells, sheet)
     if width is None:
+        # one scan gives the width and tells whether the sheet exists at all
+        picked = cells.where(F.col("sheet") == sheet)
         width = g.max_column(picked)
+        if width < 0:
+            raise ValueError(f"sheet {sheet!r} not found")
+    else:
+        picked = select_sheet(cells, sheet)
     grid = g.densify(g.render(picked, pretty_numbers=pretty_numbers), width=width, drop=drop,
                      col_filter=col_filter)
     header = None
@@ -84,18 +90,24 @@ class ClusterFlow:
 def cluster_flow(sf: SheetFeatures, *, codebook: DataFrame | None = None, k_min: int = 2,
                  k_max: int = 100, max_iter: int = km.DEFAULT_SWEEP_ITERATIONS,
                  method: str = "lloyd", init_mode: str = "hash", seed: int = km.DEFAULT_SEED,
-                 chooser: str = "wssse", check: bool = True) -> ClusterFlow:
+                 chooser: str = "wssse", tol: float = km.DEFAULT_TOL,
+                 check: bool = True) -> ClusterFlow:
     """Scale, sweep k, choose, report.  Vector sizes are checked before any
     scaling or training."""
-    features = sf.features
-    if check:
-        size = feat.check_dims(features)
-        if size != sf.width:
-            raise ValueError(f"vector size {size} differs from width {sf.width}")
-    scaler = feat.Scaler.fit(features, sf.width)
-    scaled = scaler.transform(features)   # the sweep caches what it scans
-    result = km.sweep(scaled, k_min, k_max, max_iter=max_iter, method=method,
-                      init_mode=init_mode, seed=seed, chooser=chooser)
+    # The feature rows come out of a shuffle (the gap fill); keep them so the
+    # size check, the scaler fit and the sweep's own cache read them once.
+    features = sf.features.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if check:
+            size = feat.check_dims(features)
+            if size != sf.width:
+                raise ValueError(f"vector size {size} differs from width {sf.width}")
+        scaler = feat.Scaler.fit(features, sf.width)
+        scaled = scaler.transform(features)   # the sweep caches what it scans
+        result = km.sweep(scaled, k_min, k_max, max_iter=max_iter, method=method,
+                          init_mode=init_mode, seed=seed, chooser=chooser, tol=tol)
+    finally:
+        features.unpersist()
     spark = features.sparkSession
     if result.chosen is None:
         empty = spark.createDataFrame([], "k int, cluster int, center array<double>")

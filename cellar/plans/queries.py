@@ -863,10 +863,38 @@ def q_csv_roundtrip(spark, d):
     return back.select("row_num", fc.assemble("cells").alias("line"))
 
 
-@query("flow_report", "M11 S5 M3 M5 M6 M8", None)
+_FLOW_KS = list(range(2, 9))
+_FLOW_ITERS = 12
+# customer as the flow sees it: c_name dropped, c_mktsegment parses to 0
+_FLOW_POINTS = """(SELECT c_custkey + 1 AS key,
+    [CASE WHEN s.sa = 0 THEN 0 ELSE CAST(c_nationkey AS DOUBLE) / s.sa END,
+     CASE WHEN s.sb = 0 THEN 0 ELSE c_acctbal / s.sb END, 0.0] AS x
+  FROM customer, (SELECT stddev_samp(CAST(c_nationkey AS DOUBLE)) AS sa,
+                         stddev_samp(c_acctbal) AS sb FROM customer) s)"""
+_FLOW_NAMES = CUST_COLS[1:]
+
+
+@query("flow_report", "M11 S5 M3 M5 M6 M8", sg.lloyd_sql(_FLOW_POINTS, "key", _FLOW_KS,
+                                                          _FLOW_ITERS, 3) + f"""
+, ordered AS (SELECT list(struct_pack(k := CAST(k AS INTEGER), w := wssse) ORDER BY k) AS l
+              FROM final_cost),
+chosen AS (SELECT list_reduce(l, lambda acc, x: CASE WHEN acc.w - x.w > {km.SWITCH_THRESHOLD}
+                                                THEN x ELSE acc END).k AS k FROM ordered),
+names AS (SELECT * FROM {sg.header_values(_FLOW_NAMES)} t(pos, name))
+SELECT CAST(c.k AS INTEGER) AS k, CAST(c.cluster AS INTEGER) AS cluster,
+       CAST(u.pos - 1 AS INTEGER) AS pos, n.name, round(u.v, 4) AS value, '' AS description
+FROM final_centers c JOIN chosen ON c.k = chosen.k,
+     unnest(c.c) WITH ORDINALITY AS u(v, pos)
+     JOIN names n ON n.pos = u.pos - 1
+WHERE u.v <> 0
+""")
 def q_flow_report(spark, d):
+    """The whole flow on the customer sheet: cells -> header extracted, first
+    column dropped, survey recodes (none apply) -> features -> scaled -> Lloyd
+    sweep k = 2..8 from the first rows -> chosen model -> center report."""
     cells = src.melt(table(spark, d, "customer"), "c_custkey", CUST_COLS, sheet="Data",
                      workbook="tpch")
     sf = fl.sheet_to_features(cells, "Data", rows="extract", drop=[0], specs=None)
-    flow = fl.cluster_flow(sf, k_min=2, k_max=8, max_iter=20)
-    return flow.report
+    flow = fl.cluster_flow(sf, k_min=_FLOW_KS[0], k_max=_FLOW_KS[-1], max_iter=_FLOW_ITERS,
+                           init_mode="first", tol=-1.0)
+    return flow.report.withColumn("value", F.round("value", 4))
