@@ -783,10 +783,15 @@ def q_center_nonzero(spark, d):
     return rp.nonzero_counts(centers).withColumn("nonzero", F.col("nonzero").cast("long"))
 
 
-@query("report_lines", "K7", None)
+@query("report_lines", "K7", _SCALED + f"""
+SELECT CAST(2 AS INTEGER) AS k, l.cluster, l.pos,
+       printf('{rp.REPORT_LINE_FORMAT}', l.pos, l.name, l.value, '') AS line
+FROM long l WHERE l.value <> 0
+""")
 def q_report_lines(spark, d):
     centers, header = report_centers(spark, d)
-    return rp.report_lines(rp.center_report(centers, header.select("pos", "name")))
+    lines = rp.report_lines(rp.center_report(centers, header.select("pos", "name")))
+    return lines.select("k", "cluster", "pos", "line")
 
 
 # ---------------------------------------------------------------------------
