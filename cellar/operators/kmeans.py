@@ -379,11 +379,18 @@ def target_partitions(n_rows: int, d: int, parallelism: int) -> int:
     return max(1, by_bytes, by_rows)
 
 
-def cache_for_passes(features: DataFrame, col: str = "features") -> DataFrame:
+def cache_for_passes(features: DataFrame, col: str = "features",
+                     durable: bool = False) -> DataFrame:
     """Cache feature rows for iterative passes with a partition count sized
     from the row count: large inputs keep ~128 MB partitions, small inputs
     are coalesced (no shuffle) so each pass runs few, full tasks.  Cached
-    blocks are recomputed from lineage if an executor is lost."""
+    blocks are recomputed from lineage if an executor is lost; ``durable``
+    first writes the rows to the session's shared checkpoint folder, so a
+    lost block is re-read from there instead of recomputed."""
+    if durable:
+        from cellar.session import ensure_checkpoint_dir
+        ensure_checkpoint_dir(features.sparkSession)
+        features = features.checkpoint(eager=True)
     cached = features.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.count()
     first = cached.select(F.size(col).alias("d")).limit(1).collect()
@@ -402,14 +409,14 @@ def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEF
           *, max_iter: int = DEFAULT_SWEEP_ITERATIONS, tol: float = DEFAULT_TOL,
           init_mode: str = "hash", key: str = "row_num", seed: int = DEFAULT_SEED,
           chooser: str | Chooser = "wssse", threshold: float = SWITCH_THRESHOLD,
-          col: str = "features", method: str = "lloyd") -> SweepResult:
+          col: str = "features", method: str = "lloyd", durable: bool = False) -> SweepResult:
     """Train k = k_min..k_max and pick one model.  ``method="lloyd"`` shares
     every scan among all k; ``method="ml"`` runs ``pyspark.ml`` K-Means
     (k-means|| start) once per k.  Empty range -> ``chosen is None``."""
     ks = list(range(int(k_min), int(k_max) + 1))
     if not ks:
         return SweepResult({}, {}, {}, {}, {}, None)
-    cached = cache_for_passes(features.select(key, col), col)
+    cached = cache_for_passes(features.select(key, col), col, durable)
     try:
         if method == "lloyd":
             result = lloyd(cached, init_centers(cached, ks, mode=init_mode, key=key, seed=seed,

@@ -115,3 +115,10 @@ def test_driver_and_spark_merge_agree(emb, monkeypatch):
         assert small[key]["n"] == big[key]["n"]
         assert small[key]["cost"] == pytest.approx(big[key]["cost"])
         assert np.allclose(small[key]["s"], big[key]["s"])
+
+
+def test_durable_sweep_equals_cached(emb):
+    a = km.sweep(emb, 2, 3, max_iter=3, init_mode="first")
+    b = km.sweep(emb, 2, 3, max_iter=3, init_mode="first", durable=True)
+    assert a.chosen == b.chosen
+    assert a.wssse == pytest.approx(b.wssse)
