@@ -214,6 +214,111 @@ def init_centers(features: DataFrame, ks: Iterable[int], *, mode: str = "first",
     return {k: pts[:k].copy() for k in ks}
 
 
+# --- k-means|| start shared by many k -------------------------------------------
+
+def _uniform(key: str, salt: int):
+    """A uniform number in [0, 1) from a seeded hash of the row key: the same
+    row draws the same number on every run and after a retry."""
+    h = F.xxhash64(F.col(key), F.lit(int(salt)))
+    return (h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)
+
+
+def _sample_far_rows(features: DataFrame, cands: np.ndarray, rate: float, salt: int,
+                     key: str, col: str) -> np.ndarray:
+    """Rows kept with probability ``min(1, rate * d2)``, ``d2`` the squared
+    distance to the nearest candidate (one pass; only kept rows travel)."""
+    spark = features.sparkSession
+    d = cands.shape[1]
+    bc = _broadcast(spark, {len(cands): cands})
+
+    def kernel(batches: Iterable[pa.RecordBatch]):
+        c = next(iter(bc.value.values()))
+        for batch in batches:
+            if batch.num_rows == 0:
+                continue
+            x = _matrix(batch, col, d)
+            _, d2 = _nearest(x, np.einsum("ij,ij->i", x, x), c)
+            u = batch.column("_u").to_numpy(zero_copy_only=False)
+            keep = np.nonzero(u < rate * d2)[0]
+            if len(keep):
+                yield batch.select([col]).take(pa.array(keep))
+
+    src = features.select(col, _uniform(key, salt).alias("_u"))
+    try:
+        rows = src.mapInArrow(kernel, f"{col} array<double>").collect()
+    finally:
+        bc.destroy()
+    return np.array([r[col] for r in rows], dtype=np.float64).reshape(-1, d)
+
+
+def _local_kmeans(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator,
+                  iterations: int = 30) -> np.ndarray:
+    """Weighted k-means++ start plus weighted Lloyd steps on the (small)
+    candidate set, on the driver."""
+    n = len(points)
+    if n <= k:
+        reps = np.resize(np.arange(n), k)
+        return points[reps].copy()
+    w = np.maximum(weights.astype(np.float64), 0)
+    first = rng.choice(n, p=w / w.sum()) if w.sum() > 0 else rng.integers(n)
+    centers = [points[first]]
+    d2 = ((points - centers[0]) ** 2).sum(1)
+    for _ in range(1, k):
+        p = w * d2
+        idx = rng.choice(n, p=p / p.sum()) if p.sum() > 0 else rng.integers(n)
+        centers.append(points[idx])
+        d2 = np.minimum(d2, ((points - points[idx]) ** 2).sum(1))
+    c = np.array(centers)
+    for _ in range(iterations):
+        x2 = np.einsum("ij,ij->i", points, points)
+        idx, _ = _nearest(points, x2, c)
+        moved = False
+        for j in range(k):
+            m = idx == j
+            if m.any() and w[m].sum() > 0:
+                new = (points[m] * w[m, None]).sum(0) / w[m].sum()
+                moved |= not np.allclose(new, c[j])
+                c[j] = new
+        if not moved:
+            break
+    return c
+
+
+def init_kmeans_parallel(features: DataFrame, ks: Iterable[int], *, key: str = "row_num",
+                         seed: int = DEFAULT_SEED, steps: int = DEFAULT_INIT_STEPS,
+                         col: str = "features") -> Centers:
+    """k-means|| start for every k from one candidate set.
+
+    The first candidate is the row with the smallest seeded hash; each of
+    ``steps`` rounds costs two passes (total cost, then a seeded draw that
+    keeps a row with probability ``l * d2 / cost``, ``l = 2 * max(k)``), and
+    a last pass weighs every candidate by the rows nearest to it.  Each k is
+    then picked from the weighted candidates on the driver (k-means++ plus
+    Lloyd steps), as Spark's own trainer does.  The candidate set has about
+    ``steps * l`` rows, whatever the data size.
+    """
+    ks = sorted(set(int(k) for k in ks))
+    kmax = ks[-1]
+    first = (features.select(col, F.xxhash64(F.col(key), F.lit(seed)).alias("_h"), key)
+             .orderBy("_h", key).limit(1).collect())
+    if not first:
+        raise ValueError("no rows to start from")
+    cands = np.array([first[0][col]], dtype=np.float64)
+    oversample = 2.0 * kmax
+    for step in range(steps):
+        cost = sum(r["cost"] for r in collect_stats(features, {len(cands): cands}, col))
+        if cost <= 0:
+            break
+        picked = _sample_far_rows(features, cands, oversample / cost, seed + 1 + step, key, col)
+        if len(picked):
+            cands = np.unique(np.vstack([cands, picked]), axis=0)
+    weights = np.zeros(len(cands))
+    for r in collect_stats(features, {len(cands): cands}, col):
+        weights[int(r["cluster"])] = r["n"]
+    rng = np.random.default_rng(seed)
+    return {k: _local_kmeans(cands, weights, k, rng) for k in ks}
+
+
 # --- Lloyd iterations for many k at once ------------------------------------------
 
 @dataclass
@@ -407,11 +512,12 @@ def cache_for_passes(features: DataFrame, col: str = "features",
 
 def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEFAULT_K_RANGE[1],
           *, max_iter: int = DEFAULT_SWEEP_ITERATIONS, tol: float = DEFAULT_TOL,
-          init_mode: str = "hash", key: str = "row_num", seed: int = DEFAULT_SEED,
+          init_mode: str = "k-means||", key: str = "row_num", seed: int = DEFAULT_SEED,
           chooser: str | Chooser = "wssse", threshold: float = SWITCH_THRESHOLD,
           col: str = "features", method: str = "lloyd", durable: bool = False) -> SweepResult:
     """Train k = k_min..k_max and pick one model.  ``method="lloyd"`` shares
-    every scan among all k; ``method="ml"`` runs ``pyspark.ml`` K-Means
+    every scan among all k (start: ``init_mode`` "k-means||", "first" rows by
+    key, or seeded "hash" order); ``method="ml"`` runs ``pyspark.ml`` K-Means
     (k-means|| start) once per k.  Empty range -> ``chosen is None``."""
     ks = list(range(int(k_min), int(k_max) + 1))
     if not ks:
@@ -419,8 +525,11 @@ def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEF
     cached = cache_for_passes(features.select(key, col), col, durable)
     try:
         if method == "lloyd":
-            result = lloyd(cached, init_centers(cached, ks, mode=init_mode, key=key, seed=seed,
-                                                col=col), max_iter=max_iter, tol=tol, col=col)
+            if init_mode == "k-means||":
+                init = init_kmeans_parallel(cached, ks, key=key, seed=seed, col=col)
+            else:
+                init = init_centers(cached, ks, mode=init_mode, key=key, seed=seed, col=col)
+            result = lloyd(cached, init, max_iter=max_iter, tol=tol, col=col)
         elif method == "ml":
             result = _ml_sweep(cached, ks, max_iter=max_iter, tol=tol, seed=seed, col=col)
         else:

@@ -89,7 +89,8 @@ class ClusterFlow:
 
 def cluster_flow(sf: SheetFeatures, *, codebook: DataFrame | None = None, k_min: int = 2,
                  k_max: int = 100, max_iter: int = km.DEFAULT_SWEEP_ITERATIONS,
-                 method: str = "lloyd", init_mode: str = "hash", seed: int = km.DEFAULT_SEED,
+                 method: str = "lloyd", init_mode: str = "k-means||",
+                 seed: int = km.DEFAULT_SEED,
                  chooser: str = "wssse", tol: float = km.DEFAULT_TOL,
                  check: bool = True) -> ClusterFlow:
     """Scale, sweep k, choose, report.  Vector sizes are checked before any

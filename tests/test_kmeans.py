@@ -122,3 +122,17 @@ def test_durable_sweep_equals_cached(emb):
     b = km.sweep(emb, 2, 3, max_iter=3, init_mode="first", durable=True)
     assert a.chosen == b.chosen
     assert a.wssse == pytest.approx(b.wssse)
+
+
+def test_kmeans_parallel_start(emb, points):
+    x, _ = points
+    a = km.init_kmeans_parallel(emb, [2, 4, 6], seed=5, steps=2)
+    b = km.init_kmeans_parallel(emb, [2, 4, 6], seed=5, steps=2)
+    assert sorted(a) == [2, 4, 6]
+    for k in a:
+        assert a[k].shape == (k, 64) and np.array_equal(a[k], b[k])
+        # finite, distinct, and inside the data's range (means of candidate rows)
+        assert np.isfinite(a[k]).all() and len(np.unique(a[k], axis=0)) == k
+        assert (a[k] >= x.min(0) - 1e-9).all() and (a[k] <= x.max(0) + 1e-9).all()
+    res = km.sweep(emb, 2, 4, max_iter=5)          # default start: k-means||
+    assert sorted(res.wssse) == [2, 3, 4]
