@@ -102,8 +102,8 @@ def parse_cells(cells, default: float = 0.0, width: int | None = None) -> Column
 
 def positional_complement(arr, positions: Iterable[int]) -> Column:
     """Elements whose 0-based index is not listed, order kept."""
-    idx = F.array(*[F.lit(int(p)) for p in sorted(set(positions))]) if positions else \
-        F.array().cast("array<int>")
+    positions = sorted({int(p) for p in positions})
+    idx = F.array(*[F.lit(p) for p in positions]) if positions else F.array().cast("array<int>")
     return F.filter(_col(arr), lambda x, i: ~F.array_contains(idx, i))
 
 
@@ -120,7 +120,3 @@ def vector_text(features) -> Column:
                     F.array_join(F.transform(_col(features), lambda v: v.cast("string")), ","),
                     F.lit("]"))
 
-
-def element_sums(arr_col: str, width: int, agg=F.sum) -> list[Column]:
-    """One aggregate per array position (for fixed, bounded widths)."""
-    return [agg(F.col(arr_col)[i]) for i in range(width)]

@@ -150,3 +150,13 @@ def test_dataset_diff_multiset(spark):
     assert got == want == [("left_only", 1, "x"), ("left_only", 1, "x"), ("left_only", 3, "z"),
                            ("right_only", 4, "w"), ("right_only", 4, "w")]
     assert diff_counts(a, a).count() == 0 and same_rows(a, a) and not same_rows(a, b)
+
+
+def test_drop_columns_and_positions(spark):
+    from cellar.operators.lookup import find_position, header_positions
+    kept = g.drop_columns(sparse_cells(spark), [0, 4])
+    assert sorted(r["col_num"] for r in kept.collect()) == [1, 2]
+    header = spark.createDataFrame([("s", 0, "a"), ("s", 1, "b"), ("s", 2, "a")],
+                                   "sheet string, pos int, name string")
+    assert find_position(header, "a") == 0 and find_position(header, "zz") == -1
+    assert {r["name"]: r["pos"] for r in header_positions(header).collect()} == {"a": 0, "b": 1}
