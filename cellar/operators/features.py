@@ -16,11 +16,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.cells import UNROLL_LIMIT, parse_cells
 
+
 def to_features(grid: DataFrame, default: float = 0.0, keep=("row_num",),
                 width: int | None = None) -> DataFrame:
     """Cell texts -> doubles; anything unparsable is ``default``.  ``width``
@@ -49,15 +50,23 @@ def size_histogram(features: DataFrame, col: str = "features") -> DataFrame:
     return features.groupBy(F.size(col).alias("size")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def mode_size(features: DataFrame, col: str = "features") -> int | None:
+    """The most common vector size (ties -> the smaller); None when empty.
+    A partial aggregate per size, then one number to the driver."""
+    top = (size_histogram(features, col).orderBy(F.desc("n"), F.asc("size"))
+           .limit(1).collect())
+    return int(top[0]["size"]) if top else None
+
+
 def dim_violations(features: DataFrame, col: str = "features") -> DataFrame:
     """Rows whose size differs from the most common size (ties -> the
-    smaller size).  The histogram has one row per distinct size, so it is
-    bounded by the widest row; it is ranked in one small task and joined back
-    on ``size`` by broadcast hash join."""
-    hist = size_histogram(features, col)
-    rank = F.row_number().over(Window.orderBy(F.desc("n"), F.asc("size")))
-    odd = hist.withColumn("_rank", rank).where(F.col("_rank") > 1).select("size")
-    return features.withColumn("size", F.size(col)).join(F.broadcast(odd), "size", "left_semi")
+    smaller size), with their ``size``.  The mode is one number, so the
+    check is a plain filter: no join, nothing broadcast."""
+    mode = mode_size(features, col)
+    sized = features.withColumn("size", F.size(col))
+    if mode is None:
+        return sized
+    return sized.where(F.col("size") != F.lit(mode))
 
 
 def check_dims(features: DataFrame, col: str = "features") -> int:
