@@ -70,7 +70,7 @@ def kept_positions(width: int, drop: Sequence[int] = ()) -> list[int]:
 def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] = (),
             col_filter: ColumnFilter | None = None, filler: str = FILLER,
             extra_rows: DataFrame | None = None) -> DataFrame:
-    """Long cells -> ``grid(sheet, row_num, cells array<string>)``.
+    """Long cells -> ``grid([workbook,] sheet, row_num, cells array<string>)``.
 
     Every row is padded to ``width`` (the max column index, scanned when not
     given).  Missing leading, inner and trailing cells get ``filler``.
@@ -85,19 +85,24 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
     if width + 1 > MAX_WIDTH:
         raise ValueError(f"sheet width {width + 1} exceeds {MAX_WIDTH}")
     positions = kept_positions(width, drop)
-    body = cells.select("sheet", "row_num", "col_num", "value")
+    # a row is identified by its sheet and number, and by its workbook when
+    # the cells come from several workbooks
+    keys = [c for c in ("workbook", "sheet", "row_num") if c in cells.columns]
+    body = cells.select(*keys, "col_num", "value")
     if drop:
         # a dropped cell keeps its row present but carries no data into the shuffle
         kept = ~F.col("col_num").isin(sorted({int(p) for p in drop}))
-        body = body.select("sheet", "row_num", F.when(kept, F.col("col_num")).alias("col_num"),
+        body = body.select(*keys, F.when(kept, F.col("col_num")).alias("col_num"),
                            F.when(kept, F.col("value")).alias("value"))
     if extra_rows is not None:
+        missing = [k for k in keys if k not in extra_rows.columns]
+        if missing:
+            raise ValueError(f"extra_rows lacks {missing}")
         body = body.unionByName(extra_rows.select(
-            "sheet", "row_num", F.lit(None).cast("int").alias("col_num"),
+            *keys, F.lit(None).cast("int").alias("col_num"),
             F.lit(None).cast("string").alias("value")))
     entry = F.when(F.col("col_num").isNotNull(), F.struct("col_num", "value"))
-    grouped = body.groupBy("sheet", "row_num").agg(
-        F.map_from_entries(F.collect_list(entry)).alias("_m"))
+    grouped = body.groupBy(*keys).agg(F.map_from_entries(F.collect_list(entry)).alias("_m"))
     pos = F.array(*[F.lit(p) for p in positions]) if positions else F.array().cast("array<int>")
     m = F.col("_m")
     if col_filter is None and 0 < len(positions) <= UNROLL_LIMIT:
@@ -109,7 +114,7 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
             F.transform(pos, lambda i: F.when(m[i].isNull(), col_filter(i, F.lit(filler)))
                         .otherwise(col_filter(i, m[i]))),
             lambda v: v.isNotNull())
-    return grouped.select("sheet", "row_num", row.alias("cells"))
+    return grouped.select(*keys, row.alias("cells"))
 
 
 # --- row routing (P5-P8) ------------------------------------------------------

@@ -91,3 +91,12 @@ def test_sheet_filter(spark, tmp_path):
     write_xlsx(os.path.join(tmp_path, "a.xlsx"), {"x": {0: {0: 1}}, "y": {0: {0: 2}}})
     cells = read_workbooks(spark, str(tmp_path), sheets=["y"])
     assert [(r["sheet"], r["value"]) for r in cells.collect()] == [("y", "2")]
+
+
+def test_several_workbooks_same_sheet(spark, tmp_path):
+    write_xlsx(os.path.join(tmp_path, "a.xlsx"), {"Data": {0: {0: "h"}, 1: {0: 1, 1: 2}}})
+    write_xlsx(os.path.join(tmp_path, "b.xlsx"), {"Data": {0: {0: "h"}, 1: {0: 3}}})
+    cells = read_workbooks(spark, str(tmp_path))
+    sf = sheet_to_features(cells, "Data", rows="extract")
+    got = sorted(tuple(r["features"]) for r in sf.features.collect())
+    assert got == [(1.0, 2.0), (3.0, 0.0)]
