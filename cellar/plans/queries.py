@@ -14,17 +14,23 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellar.functions import cells as fc
+from cellar.operators import compare as cmp
 from cellar.operators import features as feat
 from cellar.operators import grid as g
 from cellar.operators import kmeans as km
 from cellar.operators import lookup as lk
+from cellar.operators import recode as rc
+from cellar.operators import recode_tables as rt
 from cellar.operators import report as rp
+from cellar.plans import flow as fl
 from cellar.plans import sqlgen as sg
 from cellar.plans.catalog import table
+from cellar.session import shared_path
+from cellar.sinks import files as sk
 from cellar.sources import tables as src
 
 
@@ -490,8 +496,6 @@ def flagship(spark, d):
 # recodes (R1-R10)
 # ---------------------------------------------------------------------------
 
-from cellar.operators import recode as rc  # noqa: E402
-from cellar.operators import recode_tables as rt  # noqa: E402
 
 CM = sg.case_map
 MS = sg.missing_sql
@@ -652,10 +656,6 @@ def q_recode_all(spark, d):
 # lookups, codebook, report
 # ---------------------------------------------------------------------------
 
-from cellar.operators import compare as cmp  # noqa: E402
-from cellar.plans import flow as fl  # noqa: E402
-from cellar.session import shared_path  # noqa: E402
-from cellar.sinks import files as sk  # noqa: E402
 
 CODEBOOK_COLS = ["p_partkey", "p_type", "p_name"]
 
@@ -743,8 +743,6 @@ def report_centers(spark, d):
     return centers, header
 
 
-from pyspark.sql import Window  # noqa: E402
-
 _SCALED = "\n".join([
     "WITH s AS (SELECT " + ", ".join(f"stddev_samp({c}) AS s{i}" for i, c in
                                       enumerate(REPORT_COLS[:4])) + " FROM lineitem),",
