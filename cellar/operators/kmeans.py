@@ -32,9 +32,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Upper bound on the centers shipped to executors in one pass.  A sweep whose
-# centers exceed it is split into batches of k.
-MAX_CENTER_BYTES = 256 << 20
+# Upper bound on the centers shipped to executors in one pass (a task holds
+# them plus partial sums of the same size).  A sweep whose centers exceed it
+# is split into batches of k.
+MAX_CENTER_BYTES = 64 << 20
 
 # --- fixed values -------------------------------------------------------------
 SWITCH_THRESHOLD = 0.001   # a model replaces the best one when it gains more
@@ -110,14 +111,24 @@ def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
                 cost += np.bincount(idx, weights=d2, minlength=k)
                 for j in range(d):
                     sums[:, j] += np.bincount(idx, weights=x[:, j], minlength=k)
+        # one row per non-empty (k, cluster), built from NumPy buffers
         ks, cl, ns, costs, vecs = [], [], [], [], []
         for k, (sums, counts, cost) in acc.items():
-            for i in np.nonzero(counts)[0]:
-                ks.append(k); cl.append(int(i)); ns.append(int(counts[i]))
-                costs.append(float(cost[i])); vecs.append(sums[i].tolist())
+            live = np.nonzero(counts)[0]
+            ks.append(np.full(len(live), k, np.int32))
+            cl.append(live.astype(np.int32))
+            ns.append(counts[live])
+            costs.append(cost[live])
+            vecs.append(sums[live].ravel())
+        rows = int(sum(len(c) for c in cl))
+        flat = pa.array(np.concatenate(vecs) if vecs else np.zeros(0), pa.float64())
+        offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * d, pa.int32())
         yield pa.RecordBatch.from_arrays(
-            [pa.array(ks, pa.int32()), pa.array(cl, pa.int32()), pa.array(ns, pa.int64()),
-             pa.array(costs, pa.float64()), pa.array(vecs, pa.list_(pa.float64()))],
+            [pa.array(np.concatenate(ks) if ks else np.zeros(0, np.int32), pa.int32()),
+             pa.array(np.concatenate(cl) if cl else np.zeros(0, np.int32), pa.int32()),
+             pa.array(np.concatenate(ns) if ns else np.zeros(0, np.int64), pa.int64()),
+             pa.array(np.concatenate(costs) if costs else np.zeros(0), pa.float64()),
+             pa.ListArray.from_arrays(offsets, flat)],
             names=["k", "cluster", "n", "cost", "s"])
 
     return features.select(col).mapInArrow(kernel, STATS_SCHEMA)
