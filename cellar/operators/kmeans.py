@@ -87,6 +87,22 @@ def _nearest(x: np.ndarray, x2: np.ndarray, c: np.ndarray) -> tuple[np.ndarray,
 STATS_SCHEMA = "k int, cluster int, n long, cost double, s array<double>"
 
 
+def _add_member_sums(sums: np.ndarray, x: np.ndarray, idx: np.ndarray,
+                     member: np.ndarray) -> None:
+    """``sums[j] += x[idx == j].sum(0)`` for every center j.  Narrow rows:
+    one weighted bincount per position; wide rows: one sort and one
+    segmented sum over the whole batch."""
+    d = x.shape[1]
+    if d <= 32:
+        for j in range(d):
+            sums[:, j] += np.bincount(idx, weights=x[:, j], minlength=len(sums))
+        return
+    order = np.argsort(idx, kind="stable")
+    live = np.nonzero(member)[0]
+    starts = np.concatenate(([0], np.cumsum(member[live])[:-1]))
+    sums[live] += np.add.reduceat(x[order], starts, axis=0)
+
+
 def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
                   bc=None) -> DataFrame:
     """Per-partition ``(k, cluster, n, cost, s)``: members, summed squared
@@ -107,10 +123,10 @@ def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
             for k, c in cents.items():
                 idx, d2 = _nearest(x, x2, c)
                 sums, counts, cost = acc[k]
-                counts += np.bincount(idx, minlength=k)
+                member = np.bincount(idx, minlength=k)
+                counts += member
                 cost += np.bincount(idx, weights=d2, minlength=k)
-                for j in range(d):
-                    sums[:, j] += np.bincount(idx, weights=x[:, j], minlength=k)
+                _add_member_sums(sums, x, idx, member)
         # one row per non-empty (k, cluster), built from NumPy buffers
         ks, cl, ns, costs, vecs = [], [], [], [], []
         for k, (sums, counts, cost) in acc.items():
