@@ -296,18 +296,19 @@ def _local_kmeans(points: np.ndarray, weights: np.ndarray, k: int, rng: np.rando
         centers.append(points[idx])
         d2 = np.minimum(d2, ((points - points[idx]) ** 2).sum(1))
     c = np.array(centers)
+    x2 = np.einsum("ij,ij->i", points, points)
+    weighted = points * w[:, None]
     for _ in range(iterations):
-        x2 = np.einsum("ij,ij->i", points, points)
         idx, _ = _nearest(points, x2, c)
-        moved = False
-        for j in range(k):
-            m = idx == j
-            if m.any() and w[m].sum() > 0:
-                new = (points[m] * w[m, None]).sum(0) / w[m].sum()
-                moved |= not np.allclose(new, c[j])
-                c[j] = new
-        if not moved:
+        wsum = np.bincount(idx, weights=w, minlength=k)
+        sums = np.zeros_like(c)
+        _add_member_sums(sums, weighted, idx, np.bincount(idx, minlength=k))
+        live = wsum > 0
+        new = c.copy()
+        new[live] = sums[live] / wsum[live, None]
+        if np.allclose(new, c):
             break
+        c = new
     return c
 
 
