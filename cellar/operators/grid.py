@@ -38,7 +38,14 @@ def render(cells: DataFrame, *, pretty_numbers: bool = True,
     gap fill treats them as missing."""
     text = render_cell("cell_type", "value", "row_num", "col_num",
                        pretty_numbers=pretty_numbers, bool_as_number=bool_as_number)
-    return cells.withColumn("value", text).where(F.col("value").isNotNull())
+    # The text is NULL exactly for blank cells and for typed cells without a
+    # value; testing that on the raw columns keeps the (costly) rendering out
+    # of the filter, so it runs once per cell.
+    ctype = F.col("cell_type")
+    present = (F.when(ctype == "blank", F.lit(False))
+               .when(ctype.isin("string", "numeric", "boolean"), F.col("value").isNotNull())
+               .otherwise(F.lit(True)))
+    return cells.where(present).withColumn("value", text)
 
 
 def sheet_width(cells: DataFrame) -> DataFrame:
