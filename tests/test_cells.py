@@ -160,3 +160,12 @@ def test_drop_columns_and_positions(spark):
                                    "sheet string, pos int, name string")
     assert find_position(header, "a") == 0 and find_position(header, "zz") == -1
     assert {r["name"]: r["pos"] for r in header_positions(header).collect()} == {"a": 0, "b": 1}
+
+
+def test_spread_small_only_when_fewer_splits_than_cores(spark):
+    from cellar.plans.catalog import spread_small
+    cores = spark.sparkContext.defaultParallelism
+    one = spark.range(100).coalesce(1)
+    assert spread_small(one).rdd.getNumPartitions() == cores
+    many = spark.range(100).repartition(cores * 2)
+    assert spread_small(many) is many
