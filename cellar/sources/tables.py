@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cellar.functions.cells import FILLER, parse_cells, render_cell, tokenize
+from cellar.functions.cells import (FILLER, parse_cells, pretty_number, render_cell,
+                                   tokenize)
 
 CELLS_SCHEMA = T.StructType([
     T.StructField("workbook", T.StringType()),
@@ -102,10 +103,18 @@ def grid_from_table(df: DataFrame, key=None, columns: Sequence[str] | None = Non
     types = {f.name: cell_type_of(f.dataType) for f in df.schema.fields}
     row_num = _row_number(key) + F.lit(row_offset)
     rendered = []
+    exact = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DoubleType)
+    dtypes = {f.name: f.dataType for f in df.schema.fields}
     for i, c in enumerate(columns):
-        value = F.when(_present(F.col(c), types[c], drop_zero), F.col(c).cast("string"))
-        text = render_cell(F.lit(types[c]), value, row_num, F.lit(i),
-                           pretty_numbers=pretty_numbers)
+        present = _present(F.col(c), types[c], drop_zero)
+        if pretty_numbers and isinstance(dtypes[c], exact):
+            # integers and doubles print straight from the number (their text
+            # form would parse back to the same double)
+            text = F.when(present, pretty_number(F.col(c)))
+        else:
+            value = F.when(present, F.col(c).cast("string"))
+            text = render_cell(F.lit(types[c]), value, row_num, F.lit(i),
+                               pretty_numbers=pretty_numbers)
         rendered.append(F.coalesce(text, F.lit(filler)))
     grid = df.select(F.lit(sheet).alias("sheet"), row_num.alias("row_num"),
                      F.array(*rendered).alias("cells"), *keep)

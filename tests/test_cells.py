@@ -169,3 +169,19 @@ def test_spread_small_only_when_fewer_splits_than_cores(spark):
     assert spread_small(one).rdd.getNumPartitions() == cores
     many = spark.range(100).repartition(cores * 2)
     assert spread_small(many) is many
+
+
+def test_direct_number_text_equals_round_trip(spark):
+    """Typed doubles print the same whether formatted directly (table fast
+    path) or after their text form (cells path)."""
+    import random
+    rnd = random.Random(7)
+    vals = [rnd.uniform(-1, 1) * 10 ** rnd.randint(-9, 12) for _ in range(3000)]
+    vals += [(rnd.randint(-10**7, 10**7) + 0.5) / 1e6 for _ in range(1000)]   # ties at 1e-7
+    vals += [0.0, -0.0, 1e-7, 5e-7, 123456789.123456789]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "k bigint, x double")
+    fast = {r["row_num"]: r["cells"][0] for r in src.grid_from_table(df, "k", header=False)
+            .collect()}
+    slow = {r["row_num"]: r["cells"][0]
+            for r in g.densify(g.render(src.melt(df, "k", header=False)), width=0).collect()}
+    assert fast == slow
