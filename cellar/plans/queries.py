@@ -564,7 +564,8 @@ def q_recode_audit(spark, d):
 
 def lineitem_texts(spark, d):
     """Lineitem as a survey-like string table (cells rendered as a sheet
-    renders them, so zeros read "0", i.e. missing)."""
+    renders them, so zeros read "0", i.e. missing).  Every row is a data row
+    (``row_num`` 1; lineitem has no single-column key and no header row)."""
     li = table(spark, d, "lineitem")
     return li.select(
         F.lit(1).cast("long").alias("row_num"), "l_orderkey", "l_linenumber",
