@@ -16,3 +16,18 @@ reaches the driver, and each such pull states its bound.
 """
 
 __version__ = "0.1.0"
+
+
+def _ship_by_value() -> None:
+    """Functions of this package that run inside tasks (the Arrow kernels of
+    ``mapInArrow`` / ``mapInPandas``) are pickled by value, so executors need
+    no installed copy of the package; only NumPy, pandas and PyArrow."""
+    import sys
+    try:
+        from pyspark import cloudpickle
+        cloudpickle.register_pickle_by_value(sys.modules[__name__])
+    except Exception:  # noqa: BLE001 - an older cloudpickle: ship with --py-files
+        pass
+
+
+_ship_by_value()
