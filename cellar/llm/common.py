@@ -84,6 +84,8 @@ _RNG = np.random.default_rng(20240601)
 #: A random number for each byte; A-Z share those of a-z, so hashes ignore ASCII case.
 BYTE_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 BYTE_CODE[65:91] = BYTE_CODE[97:123]
+#: The same with case told apart.
+EXACT_CODE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -109,12 +111,14 @@ def powers(n: int, base: int = _BASE) -> np.ndarray:
     return out
 
 
-def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of the bytes of each span [start, end), ASCII case ignored."""
+def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
+              code: np.ndarray = BYTE_CODE) -> np.ndarray:
+    """64-bit hash of the bytes of each span [start, end); ASCII case is ignored
+    with ``BYTE_CODE`` and counts with ``EXACT_CODE``."""
     if not len(starts):
         return np.zeros(0, np.uint64)
     total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(BYTE_CODE[data] * powers(len(data)), out=total[1:])
+    np.cumsum(code[data] * powers(len(data)), out=total[1:])
     back = powers(len(data) + 1, pow(_BASE, -1, _MOD))
     return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 

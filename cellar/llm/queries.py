@@ -3,6 +3,11 @@
 from __future__ import annotations
 
 from cellar.llm import (  # noqa: F401
+    decontaminate,
+    license_scan,
     line_dedup,
+    packing,
+    quality,
+    resharding,
 )
 from cellar.llm.registry import REGISTRY  # noqa: F401
