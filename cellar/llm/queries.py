@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from cellar.llm import (  # noqa: F401
     decontaminate,
+    jaccard_join,
+    language,
     license_scan,
     line_dedup,
     packing,
