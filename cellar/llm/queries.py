@@ -8,6 +8,7 @@ from cellar.llm import (  # noqa: F401
     language,
     license_scan,
     line_dedup,
+    maxent,
     packing,
     quality,
     resharding,
