@@ -20,16 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellar.llm import bloom
 from cellar.llm import common as c
 from cellar.llm.registry import query
 
 #: 2**27 cells: 16 MB a filter, 8 cells a line up to 8 million distinct lines.
 FILTER_BITS = 27
-#: Cells of one shard of a filter, merged by one task.
-SHARD_BITS = 20
-#: A task passes its cells on when it holds this many.
-FLUSH_CELLS = 1 << 21
-ROWS = pa.schema([("shard", pa.int32()), ("cells", pa.binary()), ("twice", pa.binary())])
 
 
 def line_keys(data, offsets):
@@ -58,84 +54,17 @@ def _distinct(data, offsets):
     return h, d, at, new, ks, ke
 
 
-def _cells(h, bits):
-    """The two cells of each hash."""
-    return (h >> np.uint64(64 - bits)).astype(np.uint32), ((h << np.uint64(bits)) >> np.uint64(64 - bits)).astype(np.uint32)
-
-
-def _fill(bits, shard_bits):
-    def run(batches):
-        held: list[np.ndarray] = []
-
-        def flush():
-            cells, count = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            shards = cells >> np.uint32(shard_bits)
-            cuts = np.flatnonzero(np.diff(shards)) + 1
-            firsts = np.concatenate([[0], cuts])
-            return pa.RecordBatch.from_pydict({
-                "shard": shards[firsts].astype(np.int32),
-                "cells": [x.tobytes() for x in np.split(cells, cuts)],
-                "twice": [np.packbits(x > 1).tobytes() for x in np.split(count, cuts)]}, schema=ROWS)
-
-        n = 0
-        for batch in c.chunks(batches):
-            h, _, _, new, _, _ = _distinct(*c.text_bytes(batch.column("text")))
-            a, b = _cells(h[new], bits)
-            held.extend([a, b[a != b]])
-            n += len(a) + len(b)
-            if n > FLUSH_CELLS:
-                yield flush()
-                n = 0
-        if n:
-            yield flush()
-    return run
-
-
-def _merge(shard_bits):
-    """Rows sorted by shard -> one row for each shard: its twice-seen cells."""
-    def run(batches):
-        shard, once, twice = None, None, None
-        out = lambda: pa.RecordBatch.from_pydict(
-            {"shard": [shard], "cells": [np.packbits(twice).tobytes()], "twice": [b""]}, schema=ROWS)
-        for batch in batches:
-            for s, cells, more in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if s != shard:
-                    if shard is not None:
-                        yield out()
-                    shard, once, twice = s, np.zeros(1 << shard_bits, bool), np.zeros(1 << shard_bits, bool)
-                at = np.frombuffer(cells, np.uint32) & np.uint32((1 << shard_bits) - 1)
-                again = np.unpackbits(np.frombuffer(more, np.uint8), count=len(at)).astype(bool)
-                twice[at[again | once[at]]] = True
-                once[at] = True
-        if shard is not None:
-            yield out()
-    return run
-
-
-def twice_filter(docs: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
-    """The packed filter of line keys seen in two documents or more: 2**bits
-    bits whatever the corpus holds."""
-    shard_bits = min(SHARD_BITS, bits)
-    ddl = "shard int, cells binary, twice binary"
-    filled = docs.select("text").mapInArrow(_fill(bits, shard_bits), ddl)
-    merged = filled.repartition("shard").sortWithinPartitions("shard").mapInArrow(_merge(shard_bits), ddl)
-    packed = np.zeros(1 << max(0, bits - 3), np.uint8)
-    step = max(1, (1 << shard_bits) >> 3)
-    for row in merged.select("shard", "cells").collect():
-        packed[row.shard * step:row.shard * step + len(row.cells)] = np.frombuffer(row.cells, np.uint8)
-    return packed
+def _key_hashes(data, offsets):
+    h, _, _, new, _, _ = _distinct(data, offsets)
+    return h[new]
 
 
 def _suspects(seen, bits):
     def run(batches):
-        packed = seen.value
-        hit = lambda x: (packed[x >> np.uint32(3)] >> (np.uint8(7) - (x & np.uint32(7)).astype(np.uint8))) & 1
         for batch in c.chunks(batches):
             data, offsets = c.text_bytes(batch.column("text"))
             h, d, at, new, ks, ke = _distinct(data, offsets)
-            a, b = _cells(h, bits)
-            keep = (hit(a) & hit(b)).astype(bool)
+            keep = bloom.seen_twice(seen.value, h, bits)
             d, at, new = d[keep], at[keep], new[keep]
             raw = data.tobytes()
             line0 = np.searchsorted(c.lines_of(data, offsets)[2], np.arange(len(offsets)))
@@ -160,7 +89,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     spark = docs.sparkSession
     rows = docs.select("doc_id", "text").withColumn(
         "row_key", F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))))
-    packed = spark.sparkContext.broadcast(twice_filter(rows, filter_bits))
+    packed = spark.sparkContext.broadcast(bloom.twice_filter(rows, _key_hashes, filter_bits))
     found = rows.select("row_key", "doc_id", "text").mapInArrow(
         _suspects(packed, filter_bits), "row_key long, doc_id long, line long, new boolean, key string")
     suspects = c.written(found.where(F.length("key") >= min_chars), "suspect-lines")

@@ -12,5 +12,6 @@ from cellar.llm import (  # noqa: F401
     packing,
     quality,
     resharding,
+    suffix_dedup,
 )
 from cellar.llm.registry import REGISTRY  # noqa: F401
