@@ -204,15 +204,32 @@ def _fits(a, b, percent):
     return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
 
 
-def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85,
+def row_id():
+    """A document's node: its doc_id, or for a null one a number of its text's."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63))))
+
+
+def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
+    """``docs`` with one document of each component, that of the smallest doc_id,
+    and one row of rows that share a doc_id."""
+    found = c.written(jaccard_components(docs, **options), "components")
+    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rid").alias("_rid")).distinct()
+    again = found.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("rid").alias("_rid"))
+    rid = row_id()
+    left = docs.join(gone, rid == F.col("_rid"), "left_anti")
+    once = left.join(again, rid == F.col("_rid"), "left_anti")
+    more = left.join(again, rid == F.col("_rid"), "left_semi").withColumn("_key", rid).dropDuplicates(["_key"]).drop("_key")
+    return once.union(more)
+
+
+def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
                        sketch_bits: int = SKETCH_BITS) -> DataFrame:
     """One row for each document: doc_id, rid, n_shingles, component_id.  Two
     documents link when their sets' Jaccard similarity is ``percent``/100 or
     more."""
     spark = docs.sparkSession
     bits = max(sketch_bits, CHUNK_BITS)
-    rid = F.coalesce(F.col("doc_id"), F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63))))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", rid)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", row_id())
     sketch = spark.sparkContext.broadcast(token_sketch(rows, shingle, bits))
     signed = c.written(rows.select("rid", "doc_id", "text").mapInArrow(
         _signatures(shingle, percent, sketch, bits), SIGNATURE), "signatures")
@@ -264,4 +281,4 @@ def jaccard_components(docs: DataFrame, shingle: int = 4, percent: int = 85,
 
 @query("op8_jaccard_token_groups")
 def op8(spark, sf_dir):
-    return jaccard_components(c.documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
+    return jaccard_components(c.documents(spark, sf_dir), shingle=4, percent=85).select("doc_id", "n_shingles", "component_id")

@@ -205,6 +205,16 @@ def document_rows(docs: DataFrame) -> DataFrame:
                        F.lit(None).cast("string").alias("suffix"), F.col("source").cast("string").alias("host"))
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """``docs`` whose language is identified, with that language in ``lang``; the
+    rejected ones go."""
+    key = F.xxhash64("doc_id", "text")
+    rows = document_rows(docs.withColumn("doc_id", key))
+    found = identify(rows).where("kept").select(F.col("id").alias("_key"), F.col("language").alias("_language")).distinct()
+    out = docs.join(found, key == F.col("_key"))
+    return out.withColumn("lang", F.col("_language")).select(*docs.columns)
+
+
 def page_rows(pages: DataFrame) -> DataFrame:
     """Evidence of raw web pages: text outside tags, the html element's lang
     attribute, the address's host and its last label."""

@@ -10,7 +10,7 @@ through to the exact count, so results are the same at every size.
 Defined cases: a null text is one empty line; a line of white space only has an
 empty key, which is shorter than ``min_chars`` and stays; repeated rows of one
 (doc_id, text) count as separate documents and share one verdict; a null doc_id
-is kept and sorts first; other columns of the input are not read.
+is kept and sorts first; other columns of the input are carried, not read.
 """
 
 from __future__ import annotations
@@ -80,14 +80,16 @@ def _suspects(seen, bits):
 
 def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_first: bool = False,
                 filter_bits: int = FILTER_BITS) -> DataFrame:
-    """(doc_id, text, n_lines, n_dropped, kept_text): every line whose key has at
+    """(doc_id, text, n_lines, n_dropped, kept_text, rest): every line whose key has at
     least ``min_chars`` code points and stands in at least ``min_docs``
     documents goes, from all documents or, with ``keep_first``, from all places
-    but the first (smallest doc_id, then line)."""
+    but the first (smallest doc_id, then line).  ``rest`` is a struct of the
+    table's other columns, whatever their names."""
     if min_docs < 2:
         raise ValueError("min_docs counts repeats: 2 or more")
     spark = docs.sparkSession
-    rows = docs.select("doc_id", "text").withColumn(
+    rest = [docs[x] for x in docs.columns if x not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(*rest or [F.lit(None).alias("none")]).alias("rest")).withColumn(
         "row_key", F.xxhash64(F.col("doc_id"), F.coalesce("text", F.lit(""))))
     packed = spark.sparkContext.broadcast(bloom.twice_filter(rows, _key_hashes, filter_bits))
     found = rows.select("row_key", "doc_id", "text").mapInArrow(
@@ -102,7 +104,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
         drops = drops.where(~((F.col("row_key") == F.col("first.row_key")) & (F.col("line") == F.col("first.line"))))
     drops = drops.groupBy("row_key").agg(F.collect_set("line").alias("drops"))
     return rows.join(drops, "row_key", "left").select(
-        "doc_id", "text", *_cut(F.coalesce("text", F.lit("")), F.col("drops")))
+        "doc_id", "text", *_cut(F.coalesce("text", F.lit("")), F.col("drops")), "rest")
 
 
 def _cut(text, drops):
