@@ -84,20 +84,31 @@ def lenient_double(x, default: float = 0.0) -> Column:
     return F.coalesce(_col(x).try_cast("double"), F.lit(float(default)))
 
 
-# Arrays up to this width are processed with one expression per position,
-# which whole-stage code generation compiles; wider ones use a lambda
-# (``transform``), which Spark evaluates without code generation.
+# Arrays of a known width up to this are processed with one expression per
+# position, which whole-stage code generation compiles; wider ones use a lambda
+# (``transform``).  The results are the same.
 UNROLL_LIMIT = 1024
 
 
+def of_size(arr, width: int) -> Column:
+    """The array, or a failed job when its size is not ``width``."""
+    arr = _col(arr)
+    message = F.format_string(f"row of %d values where {width} are expected", F.size(arr))
+    return F.when(F.size(arr) != width, F.raise_error(message)).otherwise(arr)
+
+
 def parse_cells(cells, default: float = 0.0, width: int | None = None) -> Column:
     """array<string> -> array<double> with ``lenient_double`` per element.
-    Pass ``width`` (the known array size) to keep the work code-generated."""
+    ``width`` (the known array size) keeps the work code-generated; a row of
+    another size fails."""
     cells = _col(cells)
-    if width is not None and width <= UNROLL_LIMIT:
-        return F.array(*[lenient_double(cells[i], default) for i in range(width)]) if width \
-            else F.array().cast("array<double>")
-    return F.transform(cells, lambda v: lenient_double(v, default))
+    if width is None:
+        return F.transform(cells, lambda v: lenient_double(v, default))
+    if 0 < width <= UNROLL_LIMIT:
+        message = F.format_string(f"row of %d values where {width} are expected", F.size(cells))
+        return F.when(F.size(cells) == width, F.array(*[lenient_double(F.get(cells, F.lit(i)), default) for i in range(width)])) \
+            .when(cells.isNotNull(), F.raise_error(message))
+    return F.transform(of_size(cells, width), lambda v: lenient_double(v, default))
 
 
 def positional_complement(arr, positions: Iterable[int]) -> Column:
@@ -115,8 +126,8 @@ def is_missing(x) -> Column:
 
 def vector_text(features) -> Column:
     """array<double> -> "[a,b,c]" (Java double printing, as a dense vector
-    prints itself)."""
+    prints itself).  A NULL element prints as NaN and keeps its place."""
     return F.concat(F.lit("["),
-                    F.array_join(F.transform(_col(features), lambda v: v.cast("string")), ","),
+                    F.array_join(F.transform(_col(features), lambda v: v.cast("string")), ",", "NaN"),
                     F.lit("]"))
 

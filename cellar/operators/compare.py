@@ -23,16 +23,11 @@ def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(side, *columns)``: rows of ``left`` missing from ``right`` (side
-    "left_only") and the reverse ("right_only"), duplicates counted — the
-    two ``EXCEPT ALL`` directions from a single aggregate."""
+    "left_only") and the reverse ("right_only"), duplicates counted."""
     cols = left.columns
-    d = diff_counts(left, right)
-    extra = F.col("left_n") - F.col("right_n")
-    return (d.select(F.when(extra > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
-                     .alias("side"), *cols,
-                     F.explode(F.array_repeat(F.lit(True), F.abs(extra).cast("int")))
-                     .alias("_copy"))
-            .drop("_copy"))
+    right = right.select(*cols)
+    return (left.exceptAll(right).select(F.lit("left_only").alias("side"), *cols)
+            .unionAll(right.exceptAll(left).select(F.lit("right_only").alias("side"), *cols)))
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:

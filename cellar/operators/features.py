@@ -19,23 +19,27 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellar.functions.cells import UNROLL_LIMIT, parse_cells
+from cellar.functions.cells import UNROLL_LIMIT, of_size, parse_cells
 
 
-def to_features(grid: DataFrame, default: float = 0.0, keep=("row_num",),
+def to_features(grid: DataFrame, default: float = 0.0, keep=None,
                 width: int | None = None) -> DataFrame:
     """Cell texts -> doubles; anything unparsable is ``default``.  ``width``
-    (the known row width) keeps the parse code-generated."""
+    (the known row width) keeps the parse code-generated; a row of another
+    size fails.  ``keep``: columns that ride along, by default ``workbook``
+    (when there is one) and ``row_num``."""
+    if keep is None:
+        keep = [x for x in ("workbook", "row_num") if x in grid.columns]
     return grid.select(*keep, parse_cells("cells", default, width).alias("features"))
 
 
-def as_vectors(features: DataFrame, col: str = "features", out: str = "vec") -> DataFrame:
-    """array<double> -> ml ``VectorUDT`` column (for ``pyspark.ml``)."""
-    return features.withColumn(out, array_to_vector(col))
-
-
-def as_arrays(df: DataFrame, col: str = "vec", out: str = "features") -> DataFrame:
-    return df.withColumn(out, vector_to_array(col))
+def numeric_features(df: DataFrame, columns, keep=(), default: float = 0.0) -> DataFrame:
+    """Table columns -> ``(*keep, row_num, features)`` by direct casts; text that
+    is no number and NULL give ``default``."""
+    types = dict(df.dtypes)
+    one = [(F.col(c).try_cast("double") if types[c] == "string" else F.col(c).cast("double")) for c in columns]
+    return df.select(*keep, (F.monotonically_increasing_id() + 1).alias("row_num"),
+                     F.array(*[F.coalesce(x, F.lit(float(default))) for x in one]).alias("features"))
 
 
 def vector_sizes(features: DataFrame, col: str = "features") -> DataFrame:
@@ -50,23 +54,15 @@ def size_histogram(features: DataFrame, col: str = "features") -> DataFrame:
     return features.groupBy(F.size(col).alias("size")).agg(F.count(F.lit(1)).alias("n"))
 
 
-def mode_size(features: DataFrame, col: str = "features") -> int | None:
-    """The most common vector size (ties -> the smaller); None when empty.
-    A partial aggregate per size, then one number to the driver."""
-    top = (size_histogram(features, col).orderBy(F.desc("n"), F.asc("size"))
-           .limit(1).collect())
-    return int(top[0]["size"]) if top else None
-
-
 def dim_violations(features: DataFrame, col: str = "features") -> DataFrame:
     """Rows whose size differs from the most common size (ties -> the
-    smaller size), with their ``size``.  The mode is one number, so the
-    check is a plain filter: no join, nothing broadcast."""
-    mode = mode_size(features, col)
-    sized = features.withColumn("size", F.size(col))
-    if mode is None:
-        return sized
-    return sized.where(F.col("size") != F.lit(mode))
+    smaller size), with their ``size``.  One plan: the mode is a one-row
+    aggregate of the size histogram, compared as a scalar."""
+    # count first, then the smaller size: the largest (n, -size)
+    best = size_histogram(features, col).agg(
+        F.max(F.struct(F.col("n"), (-F.col("size")).alias("neg"))).alias("top")).select(
+        (-F.col("top.neg")).alias("_mode"))
+    return features.withColumn("size", F.size(col)).where(F.col("size") != best.scalar())
 
 
 def check_dims(features: DataFrame, col: str = "features") -> int:
@@ -115,11 +111,13 @@ class Scaler:
 
 def scale_transform(x, std) -> "F.Column":
     """``x / std`` per position (std 0 -> 0.0), like a standard scaler with
-    ``withMean=False, withStd=True``.  The std values are constants, so each
+    ``withMean=False, withStd=True``.  A row of another size fails.  The std values are constants, so each
     position is one code-generated expression."""
     x = F.col(x) if isinstance(x, str) else x
     std = [float(s) for s in std]
-    if len(std) <= UNROLL_LIMIT:
-        return F.array(*[F.lit(0.0) if s == 0 else x[i] / F.lit(s) for i, s in enumerate(std)])
+    if 0 < len(std) <= UNROLL_LIMIT:
+        message = F.format_string(f"row of %d values where {len(std)} are expected", F.size(x))
+        scaled = F.array(*[F.lit(0.0) if s == 0 else F.get(x, F.lit(i)) / F.lit(s) for i, s in enumerate(std)])
+        return F.when(F.size(x) == len(std), scaled).when(x.isNotNull(), F.raise_error(message))
     stds = F.array(*[F.lit(s) for s in std])
-    return F.zip_with(x, stds, lambda v, s: F.when(s == 0, F.lit(0.0)).otherwise(v / s))
+    return F.zip_with(of_size(x, len(std)), stds, lambda v, s: F.when(s == 0, F.lit(0.0)).otherwise(v / s))

@@ -2,7 +2,7 @@
 
 Operators (DataFrame in, DataFrame out):
 
-* ``render``        typed cells -> cell text (P10; blanks dropped = missing)
+* ``render``        typed cells -> cell text (P10; a blank marks its row only)
 * ``sheet_width``   max column index per sheet (P1/A1)
 * ``drop_columns``  drop cells by 0-based position (P3)
 * ``densify``       cells -> one array per row, gaps filled (P9, P4 hook)
@@ -11,8 +11,7 @@ Operators (DataFrame in, DataFrame out):
 
 Scale notes.  ``densify`` is one shuffle keyed by ``(sheet, row_num)``; every
 group is one sheet row, so its size is bounded by the sheet width no matter
-how skewed the data is, and ``collect_list`` runs a partial (map-side)
-aggregate first.  When the source is a table, ``sources.tables.grid_from_table``
+how skewed the data is.  Every cell goes through the shuffle.  When the source is a table, ``sources.tables.grid_from_table``
 builds the same grid without any shuffle.
 """
 
@@ -24,33 +23,30 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellar.functions.cells import FILLER, UNROLL_LIMIT, render_cell
-
-# Upper bound on a sheet's width accepted when header names are brought to the
-# driver to build projections (an XLSX sheet has at most 16,384 columns).
-MAX_WIDTH = 1 << 16
+from cellar.operators.lookup import one_name_per_position
 
 ColumnFilter = Callable[[Column, Column], Column]
 
 
 def render(cells: DataFrame, *, pretty_numbers: bool = True,
            bool_as_number: bool = False) -> DataFrame:
-    """Replace ``value`` with its cell text; blank cells are dropped so the
-    gap fill treats them as missing."""
+    """Replace ``value`` with its cell text.  A blank cell becomes a marker of
+    its row (``col_num`` NULL): the gap fill treats it as missing, and a row of
+    blank cells stays a row."""
     text = render_cell("cell_type", "value", "row_num", "col_num",
                        pretty_numbers=pretty_numbers, bool_as_number=bool_as_number)
-    # The text is NULL exactly for blank cells and for typed cells without a
-    # value; testing that on the raw columns keeps the (costly) rendering out
-    # of the filter, so it runs once per cell.
     ctype = F.col("cell_type")
     present = (F.when(ctype == "blank", F.lit(False))
                .when(ctype.isin("string", "numeric", "boolean"), F.col("value").isNotNull())
                .otherwise(F.lit(True)))
-    return cells.where(present).withColumn("value", text)
+    return cells.withColumns({"col_num": F.when(present, F.col("col_num")),
+                              "value": F.when(present & F.col("col_num").isNotNull(), text)})
 
 
 def sheet_width(cells: DataFrame) -> DataFrame:
-    """``(sheet, max_col)``: the largest 0-based column index per sheet."""
-    return cells.groupBy("sheet").agg(F.max("col_num").alias("max_col"))
+    """``(sheet, max_col)``: the largest 0-based column index per sheet (-1 for
+    a sheet without cells)."""
+    return cells.groupBy("sheet").agg(F.coalesce(F.max("col_num"), F.lit(-1)).alias("max_col"))
 
 
 def max_column(cells: DataFrame) -> int:
@@ -65,7 +61,7 @@ def drop_columns(cells: DataFrame, positions: Sequence[int]) -> DataFrame:
     positions = sorted({int(p) for p in positions})
     if not positions:
         return cells
-    return cells.where(~F.col("col_num").isin(positions))
+    return cells.where(F.col("col_num").isNull() | ~F.col("col_num").isin(positions))
 
 
 def kept_positions(width: int, drop: Sequence[int] = ()) -> list[int]:
@@ -89,8 +85,6 @@ def densify(cells: DataFrame, *, width: int | None = None, drop: Sequence[int] =
     """
     if width is None:
         width = max_column(cells)
-    if width + 1 > MAX_WIDTH:
-        raise ValueError(f"sheet width {width + 1} exceeds {MAX_WIDTH}")
     positions = kept_positions(width, drop)
     # a row is identified by its sheet and number, and by its workbook when
     # the cells come from several workbooks
@@ -138,29 +132,69 @@ def route_rows(grid: DataFrame, save: Column, extract: Column) -> tuple[DataFram
         grid.where(F.coalesce(extract, F.lit(False)))
 
 
+def route_labels(grid: DataFrame, routes: dict[str, Column]) -> DataFrame:
+    """Custom router in one scan: every row once per route whose condition holds
+    (none, one or several), with the route's name in ``route``."""
+    taken = F.array_compact(F.array(*[F.when(F.coalesce(cond, F.lit(False)), F.lit(name))
+                                      for name, cond in routes.items()]))
+    return grid.withColumn("route", F.explode(taken))
+
+
 def header_frame(rows: DataFrame) -> DataFrame:
-    """Header rows -> ``(sheet, pos, name)`` (``posexplode`` of the cells)."""
-    return rows.select("sheet", F.posexplode("cells").alias("pos", "name"))
+    """Header rows -> ``([workbook,] sheet, pos, name)`` (``posexplode`` of the
+    cells)."""
+    keys = [c for c in ("workbook", "sheet") if c in rows.columns]
+    return rows.select(*keys, F.posexplode("cells").alias("pos", "name"))
 
 
 def extract_header(grid: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Row 0 -> header ``(sheet, pos, name)``; the other rows -> data."""
+    """Row 0 -> header ``([workbook,] sheet, pos, name)``; the other rows -> data."""
     data, head = route_rows(grid, F.col("row_num") != 0, F.col("row_num") == 0)
     return data, header_frame(head)
 
 
 def header_names(header: DataFrame, sheet: str | None = None) -> list[str]:
-    """Header names by position.  Brings at most ``MAX_WIDTH`` short strings
-    to the driver: the bound is the sheet width, not the data size."""
+    """Header names by position, one short string per column of the sheet.  Fails
+    when workbooks name a position differently."""
     if sheet is not None:
         header = header.where(F.col("sheet") == sheet)
-    rows = header.select("pos", "name").limit(MAX_WIDTH + 1).collect()
-    if len(rows) > MAX_WIDTH:
-        raise ValueError(f"header wider than {MAX_WIDTH}")
-    names: dict[int, str] = {}
-    for r in rows:
-        names.setdefault(int(r["pos"]), r["name"])
-    return [names.get(i, "") for i in range(max(names, default=-1) + 1)]
+    names = {int(r["pos"]): r["name"] for r in one_name_per_position(header).collect()}
+    return [names.get(i) or "" for i in range(max(names, default=-1) + 1)]
+
+
+def _occurrences(names: Column) -> Column:
+    """Header names with the number of equal names before each, so that they
+    are unique."""
+    return F.transform(names, lambda x, i: F.concat(
+        F.coalesce(x, F.lit("")), F.lit("\n"),
+        F.size(F.filter(F.slice(names, 1, i), lambda y: y.eqNullSafe(x))).cast("string")))
+
+
+def align_workbooks(data: DataFrame, header: DataFrame, filler: str = FILLER) -> tuple[DataFrame, DataFrame]:
+    """Data rows of several workbooks whose headers may differ -> rows of one
+    column order, and that order as a header ``(sheet, pos, name)``.
+
+    A column is its header name (the n-th of equal names).  Columns stand in the
+    order of the first workbook, those that only later ones have behind them;
+    a workbook without a column has ``filler`` there.  When all headers agree the
+    rows are returned as they are.
+    """
+    if "workbook" not in header.columns:
+        return data, header
+    books = header.groupBy("workbook", "sheet").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("pos", "name"))), lambda x: x["name"]).alias("_names"))
+    books = books.select("workbook", "sheet", _occurrences(F.col("_names")).alias("_names"))
+    if books.select("sheet", "_names").distinct().groupBy("sheet").count().where("count > 1").isEmpty():
+        return data, header.drop("workbook").distinct()
+    order = (books.select("workbook", F.posexplode("_names").alias("pos", "name")).groupBy("name")
+             .agg(F.min(F.struct("workbook", "pos")).alias("first")).orderBy("first", "name").collect())
+    wanted = [r["name"] for r in order]   # one short string per column
+    place = [F.array_position("_names", F.lit(n)) for n in wanted]
+    cells = F.array(*[F.when(p > 0, F.get("cells", (p - 1).cast("int"))).otherwise(F.lit(filler)) for p in place])
+    aligned = (data.join(books, ["workbook", "sheet"], "left").withColumn("cells", cells).select(*data.columns))
+    sheet = header.select("sheet").distinct()
+    names = data.sparkSession.createDataFrame([(i, n.rsplit("\n", 1)[0]) for i, n in enumerate(wanted)], "pos int, name string")
+    return aligned, sheet.join(F.broadcast(names))  # one row per column
 
 
 def unique_names(names: Sequence[str]) -> list[str]:
@@ -177,36 +211,56 @@ def unique_names(names: Sequence[str]) -> list[str]:
     return out
 
 
-def grid_to_table(grid: DataFrame, names: Sequence[str], keep=("sheet", "row_num")) -> DataFrame:
-    """Positional rows -> one string column per header name (a projection)."""
+def _keys(df: DataFrame) -> list[str]:
+    return [c for c in ("workbook", "sheet", "row_num") if c in df.columns]
+
+
+def grid_to_table(grid: DataFrame, names: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
+    """Positional rows -> one string column per header name (a projection).
+    Names that differ only by case, or equal a key column, need
+    ``positional_table``."""
     cols = unique_names(names)
-    return grid.select(*keep, *[F.col("cells")[i].alias(c) for i, c in enumerate(cols)])
+    return grid.select(*(_keys(grid) if keep is None else keep),
+                       *[F.col("cells")[i].alias(c) for i, c in enumerate(cols)])
 
 
-def table_to_grid(table: DataFrame, names: Sequence[str], keep=("sheet", "row_num")) -> DataFrame:
+def table_to_grid(table: DataFrame, names: Sequence[str], keep: Sequence[str] | None = None) -> DataFrame:
     """Named string columns -> positional ``cells`` array (a projection)."""
     cols = unique_names(names)
-    return table.select(*keep, F.array(*[F.col(f"`{c}`").cast("string") for c in cols])
-                        .alias("cells"))
+    return table.select(*(_keys(table) if keep is None else keep),
+                        F.array(*[F.col(f"`{c}`").cast("string") for c in cols]).alias("cells"))
+
+
+def position_name(pos: int) -> str:
+    return f"_p{pos}"
+
+
+def positional_table(grid: DataFrame, width: int) -> DataFrame:
+    """Positional rows -> one string column per position (``_p0``, ``_p1``, ...),
+    whatever the header says."""
+    return grid.select(*_keys(grid), *[F.col("cells")[i].alias(position_name(i)) for i in range(width)])
+
+
+def positional_grid(table: DataFrame, width: int) -> DataFrame:
+    return table.select(*_keys(table), F.array(*[F.col(position_name(i)) for i in range(width)]).alias("cells"))
 
 
 # --- custom row transform (P17 / U3 escape hatch) ---------------------------------
 
-RowFn = Callable[[int, list], list]
+BatchFn = Callable[["pandas.DataFrame"], "pandas.DataFrame"]  # noqa: F821
 
 
-def map_rows(grid: DataFrame, fn: RowFn, *, skip_header: bool = True) -> DataFrame:
-    """Apply a Python ``fn(row_num, cells) -> cells`` to every grid row, in
-    Arrow batches (``mapInPandas``).  Prefer Column expressions (recode specs,
+def map_rows(grid: DataFrame, fn: BatchFn, *, skip_header: bool = True) -> DataFrame:
+    """Apply a Python function to whole Arrow batches of grid rows
+    (``mapInPandas``): it gets a pandas frame with all columns of the grid and
+    returns one of the same columns.  Prefer Column expressions (recode specs,
     ``DataFrame.transform``); this is the hatch for logic they cannot say.
     Row 0 passes through untouched when ``skip_header``."""
-    import pandas as pd
-
     def run(batches):
         for pdf in batches:
-            out = [cells if (skip_header and rn == 0) else list(fn(int(rn), list(cells)))
-                   for rn, cells in zip(pdf["row_num"], pdf["cells"])]
-            yield pdf.assign(cells=pd.Series(out, index=pdf.index, dtype=object))
+            yield fn(pdf)
 
-    return grid.select("sheet", "row_num", "cells").mapInPandas(run, grid.select(
-        "sheet", "row_num", "cells").schema)
+    if not skip_header:
+        return grid.mapInPandas(run, grid.schema)
+    return grid.where(F.col("row_num") != 0).mapInPandas(run, grid.schema).union(
+        grid.where(F.col("row_num") == 0))

@@ -5,7 +5,7 @@ Execution model
 ---------------
 Centers are model-sized (``sum(k) x d`` doubles) and are the only state kept
 on the driver between passes.  Each pass ships them once per executor as a
-broadcast variable (size checked against ``MAX_CENTER_BYTES``) and runs a
+broadcast variable (at most ``MAX_CENTER_BYTES`` at a time) and runs a
 NumPy kernel over Arrow batches (``mapInArrow``): one matrix product per k
 finds the nearest center of every row, and the kernel emits *partial* sums
 ``(k, cluster, n, cost, sum-vector)`` once per partition.  Spark then merges
@@ -20,7 +20,6 @@ it), ties go to the lowest cluster id, an empty cluster keeps its center.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -34,7 +33,8 @@ from pyspark.sql import types as T
 
 # Upper bound on the centers shipped to executors in one pass (a task holds
 # them plus partial sums of the same size).  A sweep whose centers exceed it
-# is split into batches of k.
+# is split into batches of k; the centers of a single k that exceed it go out
+# in several passes over the rows (``_wide_assign``).
 MAX_CENTER_BYTES = 64 << 20
 
 # --- fixed values -------------------------------------------------------------
@@ -43,7 +43,7 @@ DEFAULT_K_RANGE = (2, 100)  # sweep bounds, inclusive
 DEFAULT_SWEEP_ITERATIONS = 80
 DEFAULT_TRAIN_K = 5
 DEFAULT_TRAIN_ITERATIONS = 30
-DEFAULT_INIT_STEPS = 5      # k-means|| rounds of the original trainer
+DEFAULT_INIT_STEPS = 5      # k-means|| rounds of the trainer
 DEFAULT_TOL = 1e-4
 DEFAULT_SEED = 42
 # -----------------------------------------------------------------------------
@@ -89,14 +89,8 @@ STATS_SCHEMA = "k int, cluster int, n long, cost double, s array<double>"
 
 def _add_member_sums(sums: np.ndarray, x: np.ndarray, idx: np.ndarray,
                      member: np.ndarray) -> None:
-    """``sums[j] += x[idx == j].sum(0)`` for every center j.  Narrow rows:
-    one weighted bincount per position; wide rows: one sort and one
+    """``sums[j] += x[idx == j].sum(0)`` for every center j: one sort and one
     segmented sum over the whole batch."""
-    d = x.shape[1]
-    if d <= 32:
-        for j in range(d):
-            sums[:, j] += np.bincount(idx, weights=x[:, j], minlength=len(sums))
-        return
     order = np.argsort(idx, kind="stable")
     live = np.nonzero(member)[0]
     starts = np.concatenate(([0], np.cumsum(member[live])[:-1]))
@@ -156,12 +150,6 @@ def cluster_stats(features: DataFrame, centers: Centers, col: str = "features",
     aggregate keyed by ``(k, cluster)``; the shuffle carries one row per
     group and partition."""
     parts = partial_stats(features, centers, col, bc)
-    # The kernel already emits one partial row per (k, cluster) and partition,
-    # so the merge is hash-partitioned by its key into at most one partition
-    # per group (or per core), whatever spark.sql.shuffle.partitions says.
-    groups = sum(centers)
-    width = max(1, min(groups, features.sparkSession.sparkContext.defaultParallelism))
-    parts = parts.repartition(width, "k", "cluster")
     return sum_vectors(parts, ["k", "cluster"], "s",
                        extra=[F.sum("n").alias("n"), F.sum("cost").alias("cost")])
 
@@ -184,8 +172,10 @@ ASSIGN_FIELDS = [T.StructField("k", T.IntegerType()), T.StructField("cluster", T
 
 def assign(features: DataFrame, centers: Centers, col: str = "features",
            keep: Sequence[str] = ("row_num",)) -> DataFrame:
-    """Nearest center per row and k: ``(*keep, k, cluster, d2)``.  A row
-    appears once per k in ``centers``."""
+    """Nearest center per row and k: ``(*keep, k, cluster, d2)``.  A row comes out
+    once per k in ``centers``: pass the chosen model's k alone, as the flow and
+    the queries do.  The broadcast centers (model-sized) live as long as the
+    returned frame."""
     spark = features.sparkSession
     d = next(iter(centers.values())).shape[1]
     bc = _broadcast(spark, centers)
@@ -220,131 +210,24 @@ def wssse(features: DataFrame, centers: Centers, col: str = "features") -> DataF
 # --- initial centers ------------------------------------------------------------
 
 def init_centers(features: DataFrame, ks: Iterable[int], *, mode: str = "first",
-                 key: str = "row_num", seed: int = DEFAULT_SEED,
+                 key: str | Sequence[str] = "row_num", seed: int = DEFAULT_SEED,
                  col: str = "features") -> Centers:
     """Start centers for every k: the first k rows in a fixed order.
 
     ``first``: ascending ``key``; ``hash``: ascending ``xxhash64(key, seed)``
     (a seeded pseudo-random sample that does not depend on partitioning).
-    Only ``max(k)`` rows are taken (per-partition top-k, then a merge).
+    Only ``max(k)`` rows are taken (per-partition top-k, then a merge).  A k
+    above the number of rows has no start and is left out.
     """
     ks = sorted(set(int(k) for k in ks))
     kmax = ks[-1]
-    order = F.col(key) if mode == "first" else F.xxhash64(F.col(key), F.lit(seed))
+    keys = [key] if isinstance(key, str) else list(key)
     if mode not in ("first", "hash"):
         raise ValueError(f"unknown init mode {mode!r}")
-    rows = (features.select(order.alias("_o"), F.col(key).alias("_k"), col)
-            .orderBy("_o", "_k").limit(kmax).collect())
-    if len(rows) < kmax:
-        raise ValueError(f"{len(rows)} rows, fewer than k={kmax}")
+    order = [*keys] if mode == "first" else [F.xxhash64(*keys, F.lit(seed)), *keys]
+    rows = features.select(*keys, col).orderBy(*order).limit(kmax).collect()
     pts = np.array([r[col] for r in rows], dtype=np.float64)
-    return {k: pts[:k].copy() for k in ks}
-
-
-# --- k-means|| start shared by many k -------------------------------------------
-
-def _uniform(key: str, salt: int):
-    """A uniform number in [0, 1) from a seeded hash of the row key: the same
-    row draws the same number on every run and after a retry."""
-    h = F.xxhash64(F.col(key), F.lit(int(salt)))
-    return (h.bitwiseAND(F.lit((1 << 53) - 1))).cast("double") / float(1 << 53)
-
-
-def _sample_far_rows(features: DataFrame, cands: np.ndarray, rate: float, salt: int,
-                     key: str, col: str) -> np.ndarray:
-    """Rows kept with probability ``min(1, rate * d2)``, ``d2`` the squared
-    distance to the nearest candidate (one pass; only kept rows travel)."""
-    spark = features.sparkSession
-    d = cands.shape[1]
-    bc = _broadcast(spark, {len(cands): cands})
-
-    def kernel(batches: Iterable[pa.RecordBatch]):
-        c = next(iter(bc.value.values()))
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            x = _matrix(batch, col, d)
-            _, d2 = _nearest(x, np.einsum("ij,ij->i", x, x), c)
-            u = batch.column("_u").to_numpy(zero_copy_only=False)
-            keep = np.nonzero(u < rate * d2)[0]
-            if len(keep):
-                yield batch.select([col]).take(pa.array(keep))
-
-    src = features.select(col, _uniform(key, salt).alias("_u"))
-    try:
-        rows = src.mapInArrow(kernel, f"{col} array<double>").collect()
-    finally:
-        bc.destroy()
-    return np.array([r[col] for r in rows], dtype=np.float64).reshape(-1, d)
-
-
-def _local_kmeans(points: np.ndarray, weights: np.ndarray, k: int, rng: np.random.Generator,
-                  iterations: int = 30) -> np.ndarray:
-    """Weighted k-means++ start plus weighted Lloyd steps on the (small)
-    candidate set, on the driver."""
-    n = len(points)
-    if n <= k:
-        reps = np.resize(np.arange(n), k)
-        return points[reps].copy()
-    w = np.maximum(weights.astype(np.float64), 0)
-    first = rng.choice(n, p=w / w.sum()) if w.sum() > 0 else rng.integers(n)
-    centers = [points[first]]
-    d2 = ((points - centers[0]) ** 2).sum(1)
-    for _ in range(1, k):
-        p = w * d2
-        idx = rng.choice(n, p=p / p.sum()) if p.sum() > 0 else rng.integers(n)
-        centers.append(points[idx])
-        d2 = np.minimum(d2, ((points - points[idx]) ** 2).sum(1))
-    c = np.array(centers)
-    x2 = np.einsum("ij,ij->i", points, points)
-    weighted = points * w[:, None]
-    for _ in range(iterations):
-        idx, _ = _nearest(points, x2, c)
-        wsum = np.bincount(idx, weights=w, minlength=k)
-        sums = np.zeros_like(c)
-        _add_member_sums(sums, weighted, idx, np.bincount(idx, minlength=k))
-        live = wsum > 0
-        new = c.copy()
-        new[live] = sums[live] / wsum[live, None]
-        if np.allclose(new, c):
-            break
-        c = new
-    return c
-
-
-def init_kmeans_parallel(features: DataFrame, ks: Iterable[int], *, key: str = "row_num",
-                         seed: int = DEFAULT_SEED, steps: int = DEFAULT_INIT_STEPS,
-                         col: str = "features") -> Centers:
-    """k-means|| start for every k from one candidate set.
-
-    The first candidate is the row with the smallest seeded hash; each of
-    ``steps`` rounds costs two passes (total cost, then a seeded draw that
-    keeps a row with probability ``l * d2 / cost``, ``l = 2 * max(k)``), and
-    a last pass weighs every candidate by the rows nearest to it.  Each k is
-    then picked from the weighted candidates on the driver (k-means++ plus
-    Lloyd steps), as Spark's own trainer does.  The candidate set has about
-    ``steps * l`` rows, whatever the data size.
-    """
-    ks = sorted(set(int(k) for k in ks))
-    kmax = ks[-1]
-    first = (features.select(col, F.xxhash64(F.col(key), F.lit(seed)).alias("_h"), key)
-             .orderBy("_h", key).limit(1).collect())
-    if not first:
-        raise ValueError("no rows to start from")
-    cands = np.array([first[0][col]], dtype=np.float64)
-    oversample = 2.0 * kmax
-    for step in range(steps):
-        cost = sum(r["cost"] for r in collect_stats(features, {len(cands): cands}, col))
-        if cost <= 0:
-            break
-        picked = _sample_far_rows(features, cands, oversample / cost, seed + 1 + step, key, col)
-        if len(picked):
-            cands = np.unique(np.vstack([cands, picked]), axis=0)
-    weights = np.zeros(len(cands))
-    for r in collect_stats(features, {len(cands): cands}, col):
-        weights[int(r["cluster"])] = r["n"]
-    rng = np.random.default_rng(seed)
-    return {k: _local_kmeans(cands, weights, k, rng) for k in ks}
+    return {k: pts[:k].copy() for k in ks if k <= len(rows)}
 
 
 # --- Lloyd iterations for many k at once ------------------------------------------
@@ -357,7 +240,7 @@ class SweepResult:
     iterations: dict[int, int]
     converged: dict[int, bool]
     chosen: int | None = None
-    extra: dict = field(default_factory=dict)
+    skipped: list[int] = field(default_factory=list)   # k above the number of rows
 
     def frame(self, spark: SparkSession) -> DataFrame:
         rows = [(k, self.iterations[k], self.wssse[k], self.converged[k]) for k in sorted(self.wssse)]
@@ -382,35 +265,68 @@ def centers_from_frame(df: DataFrame) -> Centers:
     return {k: np.array([v[i] for i in sorted(v)], dtype=np.float64) for k, v in by_k.items()}
 
 
-# Per-pass partial rows (one per partition and center) are merged on the
-# driver only when their total size, known before the pass, stays below this;
-# otherwise Spark merges them (``cluster_stats``).
-DRIVER_MERGE_BYTES = 64 << 20
-
-
 def collect_stats(features: DataFrame, centers: Centers, col: str = "features") -> list[dict]:
-    """Run one pass and return the merged stats (model-sized) as dicts with
-    ``k, cluster, n, cost, s``.  The broadcast of the centers is released
-    right after."""
-    bc = _broadcast(features.sparkSession, centers)
-    d = next(iter(centers.values())).shape[1]
-    partial_bytes = features.rdd.getNumPartitions() * sum(centers) * (8 * d + 48)
+    """Run one pass and return the merged stats (model-sized: one row per
+    center) as dicts with ``k, cluster, n, cost, s``.  The broadcast of the
+    centers is released right after."""
+    wide = {k: c for k, c in centers.items() if c.size * 8 > MAX_CENTER_BYTES}
+    rows = [r for k, c in wide.items() for r in _wide_stats(features, k, c, col)]
+    rest = {k: c for k, c in centers.items() if k not in wide}
+    if not rest:
+        return rows
+    bc = _broadcast(features.sparkSession, rest)
     try:
-        if partial_bytes <= DRIVER_MERGE_BYTES:
-            merged: dict[tuple[int, int], dict] = {}
-            for r in partial_stats(features, centers, col, bc).collect():
-                key = (int(r["k"]), int(r["cluster"]))
-                m = merged.setdefault(key, {"k": key[0], "cluster": key[1], "n": 0,
-                                            "cost": 0.0, "s": np.zeros(d)})
-                m["n"] += int(r["n"])
-                m["cost"] += float(r["cost"])
-                m["s"] += np.asarray(r["s"], dtype=np.float64)
-            return list(merged.values())
-        return [r.asDict() for r in cluster_stats(features, centers, col, bc).collect()]
+        return rows + _dicts(cluster_stats(features, rest, col, bc))
     finally:
         bc.destroy()
 
 
+def _dicts(stats: DataFrame) -> list[dict]:
+    """Merged stats to the driver as Arrow, vectors as NumPy arrays; ordered, so
+    that whatever is summed over them does not depend on the shuffle."""
+    t = stats.select("k", "cluster", "n", "cost", "s").toArrow()
+    rows = [{"k": k, "cluster": i, "n": n, "cost": cost, "s": np.asarray(s.values)}
+            for k, i, n, cost, s in zip(*(t[x].to_pylist() for x in ("k", "cluster", "n", "cost")), t["s"])]
+    return sorted(rows, key=lambda r: (r["k"], r["cluster"]))
+
+
+def _wide_stats(features: DataFrame, k: int, c: np.ndarray, col: str) -> list[dict]:
+    """Stats of one k whose centers exceed ``MAX_CENTER_BYTES``: the nearest
+    center so far rides along with every row while the centers go by in parts,
+    lowest cluster first, so that ties still go to the lowest id."""
+    d = c.shape[1]
+    per = max(1, MAX_CENTER_BYTES // (8 * d))
+    src = features.select(col, F.lit(-1).alias("cluster"), F.lit(float("inf")).alias("d2"))
+    used = []
+
+    def part(bc, first):
+        def kernel(batches: Iterable[pa.RecordBatch]):
+            cc = next(iter(bc.value.values()))
+            for batch in batches:
+                if batch.num_rows == 0:
+                    continue
+                x = _matrix(batch, col, d)
+                idx, d2 = _nearest(x, np.einsum("ij,ij->i", x, x), cc)
+                best, old = batch.column("d2").to_numpy(), batch.column("cluster").to_numpy()
+                closer = d2 < best
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(col), pa.array(np.where(closer, idx + first, old).astype(np.int32)),
+                     pa.array(np.where(closer, d2, best))], names=[col, "cluster", "d2"])
+        return kernel
+
+    for first in range(0, len(c), per):
+        bc = _broadcast(features.sparkSession, {k: c[first:first + per]})
+        used.append(bc)
+        src = src.mapInArrow(part(bc, first), f"{col} array<double>, cluster int, d2 double")
+    try:
+        return _dicts(sum_vectors(src.withColumn("k", F.lit(k)), ["k", "cluster"], col,
+                                  extra=[F.count(F.lit(1)).alias("n"), F.sum("d2").alias("cost")])
+                      .withColumnRenamed(col, "s"))
+    finally:
+        for bc in used:
+            bc.destroy()
+
+
 def _batches(ks: list[int], d: int) -> list[list[int]]:
     """Split k values so that each pass ships at most MAX_CENTER_BYTES."""
     out, cur, size = [], [], 0
@@ -465,7 +381,8 @@ def lloyd(features: DataFrame, init: Centers, *, max_iter: int, tol: float = DEF
 
 Chooser = Callable[[tuple[int, float], tuple[int, float]], float]
 
-# (k, wssse) of the best model so far, then of the candidate -> gain of the candidate
+# --- fixed values: (k, wssse) of the best model so far, then of the candidate ->
+# gain of the candidate
 CHOOSERS: dict[str, Chooser] = {
     "wssse": lambda best, cur: best[1] - cur[1],
     "wssse_k_weighted": lambda best, cur: best[1] / cur[0] - cur[1] / best[0],
@@ -499,71 +416,48 @@ def choose_k_frame(scores: DataFrame, threshold: float = SWITCH_THRESHOLD) -> Da
                                                  F.col("best.wssse").alias("wssse"))
 
 
-# A cached partition of feature rows aims at this many bytes; small inputs
-# use no more partitions than there are cores (fewer, fuller tasks per pass).
-TARGET_PARTITION_BYTES = 128 << 20
-MIN_ROWS_PER_TASK = 20_000
-
-
-def target_partitions(n_rows: int, d: int, parallelism: int) -> int:
-    """Partitions for ``n_rows`` vectors of size ``d`` scanned many times."""
-    by_bytes = math.ceil(n_rows * (8 * d + 64) / TARGET_PARTITION_BYTES)
-    by_rows = min(parallelism, math.ceil(n_rows / MIN_ROWS_PER_TASK))
-    return max(1, by_bytes, by_rows)
-
-
 def cache_for_passes(features: DataFrame, col: str = "features",
                      durable: bool = False) -> DataFrame:
-    """Cache feature rows for iterative passes with a partition count sized
-    from the row count: large inputs keep ~128 MB partitions, small inputs
-    are coalesced (no shuffle) so each pass runs few, full tasks.  Cached
-    blocks are recomputed from lineage if an executor is lost; ``durable``
+    """Cache feature rows for iterative passes, in the partitions they come in.
+    Cached blocks are recomputed from lineage if an executor is lost; ``durable``
     first writes the rows to the session's shared checkpoint folder, so a
     lost block is re-read from there instead of recomputed."""
     if durable:
-        from cellar.session import ensure_checkpoint_dir
-        ensure_checkpoint_dir(features.sparkSession)
+        from cellar.session import checkpoint_dir
+        checkpoint_dir(features.sparkSession)
         features = features.checkpoint(eager=True)
-    cached = features.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.count()
-    first = cached.select(F.size(col).alias("d")).limit(1).collect()
-    d = int(first[0]["d"]) if first else 1
-    want = target_partitions(n, d, features.sparkSession.sparkContext.defaultParallelism)
-    have = cached.rdd.getNumPartitions()
-    if have > 2 * want:
-        fitted = cached.coalesce(want).persist(StorageLevel.MEMORY_AND_DISK)
-        fitted.count()
-        cached.unpersist()
-        return fitted
-    return cached
+    return features.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEFAULT_K_RANGE[1],
           *, max_iter: int = DEFAULT_SWEEP_ITERATIONS, tol: float = DEFAULT_TOL,
-          init_mode: str = "k-means||", key: str = "row_num", seed: int = DEFAULT_SEED,
+          init_mode: str = "hash", key: str | Sequence[str] = "row_num", seed: int = DEFAULT_SEED,
           chooser: str | Chooser = "wssse", threshold: float = SWITCH_THRESHOLD,
           col: str = "features", method: str = "lloyd", durable: bool = False) -> SweepResult:
     """Train k = k_min..k_max and pick one model.  ``method="lloyd"`` shares
-    every scan among all k (start: ``init_mode`` "k-means||", "first" rows by
-    key, or seeded "hash" order); ``method="ml"`` runs ``pyspark.ml`` K-Means
-    (k-means|| start) once per k.  Empty range -> ``chosen is None``."""
+    every scan among all k (start: ``init_mode`` seeded "hash" order or "first"
+    rows by key); ``method="ml"`` runs ``pyspark.ml`` K-Means (k-means|| start)
+    once per k.  Every k above the number of rows is skipped and listed in
+    ``skipped``.  No k left -> ``chosen is None``."""
     ks = list(range(int(k_min), int(k_max) + 1))
     if not ks:
         return SweepResult({}, {}, {}, {}, {}, None)
-    cached = cache_for_passes(features.select(key, col), col, durable)
+    keys = [key] if isinstance(key, str) else list(key)
+    cached = cache_for_passes(features.select(*keys, col), col, durable)
     try:
         if method == "lloyd":
-            if init_mode == "k-means||":
-                init = init_kmeans_parallel(cached, ks, key=key, seed=seed, col=col)
-            else:
-                init = init_centers(cached, ks, mode=init_mode, key=key, seed=seed, col=col)
-            result = lloyd(cached, init, max_iter=max_iter, tol=tol, col=col)
+            init = init_centers(cached, ks, mode=init_mode, key=key, seed=seed, col=col)
+            result = lloyd(cached, init, max_iter=max_iter, tol=tol, col=col) if init \
+                else SweepResult({}, {}, {}, {}, {})
         elif method == "ml":
-            result = _ml_sweep(cached, ks, max_iter=max_iter, tol=tol, seed=seed, col=col)
+            n = cached.select(col).limit(ks[-1]).count()
+            result = _ml_sweep(cached, [k for k in ks if k <= n], max_iter=max_iter, tol=tol, seed=seed,
+                               col=col)
         else:
             raise ValueError(f"unknown method {method!r}")
     finally:
         cached.unpersist()
+    result.skipped = [k for k in ks if k not in result.centers]
     result.chosen = choose_k(list(result.wssse.items()), chooser, threshold)
     return result
 

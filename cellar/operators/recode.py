@@ -4,7 +4,7 @@ category, sign merge, a three-tier fallback, and an audit of unknown codes.
 A recode is a list of specs applied to a *named string table* (one column
 per header name, see ``grid.grid_to_table``).  Which branch a spec takes
 depends only on which columns exist, so it is decided when the plan is built;
-the per-row work is one projection of ``when``/map-lookup expressions that
+the per-row work is one projection of range tests and array lookups that
 Catalyst fuses into a single code-generated stage.  No shuffle.
 
 Unknown codes (``on_unmapped``):
@@ -16,12 +16,12 @@ Unknown codes (``on_unmapped``):
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, fields, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cellar.functions.cells import FILLER, is_missing
+from cellar.functions.cells import FILLER, is_missing, pretty_number
 from cellar.operators import recode_tables as rt
 
 
@@ -58,8 +58,9 @@ class RawFromCategory:
 
 @dataclass(frozen=True)
 class SignMerge:
-    """When ``sign`` holds ``negative_code`` the magnitude becomes negative;
-    the sign column is cleared.  Needs both columns."""
+    """When ``sign`` holds ``negative_code`` the magnitude, as a number, becomes
+    negative (zero and text that is no number stay); the sign column is
+    cleared.  Needs both columns."""
     sign: str
     magnitude: str
     negative_code: str = rt.SIGN_NEGATIVE_CODE
@@ -94,68 +95,96 @@ def survey_specs() -> list[Spec]:
     return specs
 
 
-def _map(table: str) -> Column:
-    items = []
-    for code, value in rt.get_table(table).items():
-        items += [F.lit(code), F.lit(rt.value_text(value))]
-    return F.create_map(*items)
-
-
-def lookup(column: str, table: str, on_unmapped: str = "error") -> Column:
-    """Mapped text of ``column`` in ``table``."""
+def _listed(v: Column, values: list[float]) -> Column:
+    """Codes "0", "1", ... -> values by position."""
+    at = v.try_cast("int")
+    texts = F.array(*[F.lit(rt.value_text(x)) for x in values])
+    return F.when(at.cast("string") == v, F.get(texts, at))
+
+
+def _year(v: Column) -> Column:
+    plain = (F.length(v) == 4) & v.between(str(rt.YEAR_FIRST), str(rt.YEAR_LAST)) & v.rlike("^[0-9]{4}$")
+    return (F.when(v == rt.YEAR_MISSING_CODE, F.lit(str(rt.YEAR_MISSING_VALUE)))
+            .when(v == rt.YEAR_BEFORE_CODE, F.lit(str(rt.YEAR_BEFORE_VALUE))).when(plain, v))
+
+
+def mapped(v: Column, table: str) -> Column:
+    """Mapped text of a code, NULL when the table lacks it: a range test for
+    years, the position for tables of codes 0, 1, 2, ..., else a map."""
+    values = rt.get_table(table)
+    if table == rt.YEARS:
+        return _year(v)
+    if list(values) == [str(i) for i in range(len(values))]:
+        return _listed(v, list(values.values()))
+    extra = {k: x for k, x in values.items() if k not in rt.get_table(rt.YEARS)}
+    years = {k: x for k, x in values.items() if k not in extra}
+    if years == rt.get_table(rt.YEARS):
+        out = F.when(F.lit(False), v)
+        for code, value in extra.items():
+            out = out.when(v == code, F.lit(rt.value_text(value)))
+        return out.otherwise(_year(v))
+    items = [x for code, value in values.items() for x in (F.lit(code), F.lit(rt.value_text(value)))]
+    return F.create_map(*items)[v]
+
+
+def lookup(column: str, table: str, on_unmapped: str = "error", label: str | None = None) -> Column:
+    """Mapped text of ``column`` in ``table``; ``label`` names the column in the
+    message of a failed lookup."""
     v = F.col(column)
-    hit = _map(table)[v]
+    hit = mapped(v, table)
     if on_unmapped == "null":
         return hit
     if on_unmapped == "keep":
         return F.coalesce(hit, v)
     if on_unmapped != "error":
         raise ValueError(f"unknown on_unmapped {on_unmapped!r}")
-    msg = F.format_string("unmapped code '%s' in column '%s' (table %s)", v, F.lit(column),
+    msg = F.format_string("unmapped code '%s' in column '%s' (table %s)", v, F.lit(label or column),
                           F.lit(table))
-    return F.when(hit.isNull() & v.isNotNull(), F.raise_error(msg)).otherwise(hit)
+    return F.coalesce(hit, F.when(v.isNotNull(), F.raise_error(msg)))
 
 
-def _check_only(column: str, table: str, on_unmapped: str, filler: str) -> Column:
+def _check_only(column: str, table: str, on_unmapped: str, filler: str, label: str | None) -> Column:
     """``filler``, but still fails on an unknown code in "error" mode."""
     if on_unmapped != "error":
         return F.lit(filler)
     # the lookup raises on an unknown code; mapped or NULL codes give filler
-    return F.when(lookup(column, table, on_unmapped).isNotNull() | F.col(column).isNull(),
+    return F.when(lookup(column, table, on_unmapped, label).isNotNull() | F.col(column).isNull(),
                   F.lit(filler))
 
 
 def spec_updates(spec: Spec, columns: set[str], on_unmapped: str = "error",
-                 filler: str = FILLER) -> dict[str, Column]:
+                 filler: str = FILLER, labels: dict[str, str] | None = None) -> dict[str, Column]:
     """New expressions for the columns a spec writes (empty when the columns
-    it needs are absent)."""
+    it needs are absent).  ``labels`` are the columns' names in messages."""
     has = columns.__contains__
+    label = (labels or {}).get
     if isinstance(spec, Year):
-        return {spec.column: lookup(spec.column, rt.YEARS, on_unmapped)} if has(spec.column) \
+        return {spec.column: lookup(spec.column, rt.YEARS, on_unmapped, label(spec.column))} if has(spec.column) \
             else {}
     if isinstance(spec, Category):
-        return {spec.column: lookup(spec.column, spec.table or spec.column, on_unmapped)} \
+        return {spec.column: lookup(spec.column, spec.table or spec.column, on_unmapped, label(spec.column))} \
             if has(spec.column) else {}
     if isinstance(spec, RawFromCategory):
         table = spec.table or spec.category
         if not has(spec.category):
             return {}
-        mid = lookup(spec.category, table, on_unmapped)
+        mid = lookup(spec.category, table, on_unmapped, label(spec.category))
         if not has(spec.raw):
             return {spec.category: mid}
         return {spec.raw: F.when(is_missing(F.col(spec.raw)), mid).otherwise(F.col(spec.raw)),
-                spec.category: _check_only(spec.category, table, on_unmapped, filler)}
+                spec.category: _check_only(spec.category, table, on_unmapped, filler, label(spec.category))}
     if isinstance(spec, SignMerge):
         if not (has(spec.sign) and has(spec.magnitude)):
             return {}
         mag = F.col(spec.magnitude)
-        negative = F.concat(F.lit("-"), F.regexp_replace(mag, "^-", ""))
-        return {spec.magnitude: F.when(F.col(spec.sign) == spec.negative_code, negative)
+        number = F.trim(mag).try_cast("double")
+        negative = pretty_number(-F.abs(number))
+        return {spec.magnitude: F.when((F.col(spec.sign) == spec.negative_code) & (number != 0), negative)
                 .otherwise(mag),
                 spec.sign: F.lit(filler)}
     if isinstance(spec, Fallback):
         p, h, c = spec.primary, spec.hidden, spec.category
-        mid = lookup(c, spec.table, on_unmapped) if has(c) else None
+        mid = lookup(c, spec.table, on_unmapped, label(c)) if has(c) else None
         out: dict[str, Column] = {}
         if has(p):
             if has(h):
@@ -179,14 +208,33 @@ def spec_updates(spec: Spec, columns: set[str], on_unmapped: str = "error",
     raise TypeError(f"unknown spec {spec!r}")
 
 
+def at_positions(specs: Sequence[Spec], names: Sequence[str], column) -> tuple[list[Spec], dict[str, str]]:
+    """Specs over header names -> specs over the columns ``column(position)``
+    of their first positions (a name the header lacks stays absent), and the
+    names of those columns for messages."""
+    first: dict[str, str] = {}
+    for pos, name in enumerate(names):
+        first.setdefault(name, column(pos))
+    out = []
+    for spec in specs:
+        own = {f.name: getattr(spec, f.name) for f in fields(spec)}
+        held = [f for f in ("column", "raw", "category", "sign", "magnitude", "primary", "hidden") if f in own]
+        moved = {f: first.get(own[f], f"absent {own[f]}") for f in held}
+        if "table" in own and own["table"] is None:
+            moved["table"] = own.get("column") or own.get("category")
+        out.append(replace(spec, **moved))
+    return out, {column: name for name, column in first.items()}
+
+
 def recode(table: DataFrame, specs: Sequence[Spec] | None = None, *, on_unmapped: str = "error",
-           filler: str = FILLER, row_col: str | None = "row_num") -> DataFrame:
+           filler: str = FILLER, row_col: str | None = "row_num",
+           labels: dict[str, str] | None = None) -> DataFrame:
     """Apply ``specs`` (default: the survey's 28) in order.  Sheet row 0 (the
     header position) is left untouched when ``row_col`` is present."""
     specs = survey_specs() if specs is None else list(specs)
     out = table
     for spec in specs:
-        updates = spec_updates(spec, set(out.columns), on_unmapped, filler)
+        updates = spec_updates(spec, set(out.columns), on_unmapped, filler, labels)
         if not updates:
             continue
         if row_col and row_col in out.columns:

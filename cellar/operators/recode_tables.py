@@ -7,6 +7,7 @@ built from its rule.
 
 from __future__ import annotations
 
+import math
 from functools import lru_cache
 
 # --- fixed values (must equal the survey's code book for equal results) ------
@@ -55,9 +56,6 @@ RAW_CATEGORY_PAIRS = [("HQH11b_1", "HQH11b2"), ("HQH5m2_1", "HQH5m3"), ("HQH5b",
 SIGN_PAIR = ("HQH6a3", "HQH6a3part2_1")      # sign code column, magnitude column
 SIGN_NEGATIVE_CODE = "3"
 FALLBACK_COLUMNS = ("HQ1_1", "HQ1hidden_1", "HQ1b")   # primary, hidden, category
-# Nominal columns left as they are (no distance between codes).
-NOMINAL_COLUMNS = ["HQ6c3", "HQH6d2", "HQH6c2", "HQH5o", "HQH6", "HQH5m", "HQH5", "HQH4a3",
-                   "HQ4b2", "HQ4b"]
 # -----------------------------------------------------------------------------
 
 YEARS = "years"
@@ -81,16 +79,30 @@ def _tables() -> dict[str, dict[str, float]]:
     return out
 
 
-def table_names() -> list[str]:
-    return sorted(_tables())
+_OWN: dict[str, dict[str, float]] = {}
+
+
+def register_table(name: str, values: dict[str, float]) -> None:
+    """A caller's code table.  Codes must be texts and values finite numbers; a
+    shipped table's name is refused."""
+    if name in _tables():
+        raise ValueError(f"code table {name!r} is shipped")
+    if not values:
+        raise ValueError(f"code table {name!r} is empty")
+    for code, value in values.items():
+        if not isinstance(code, str):
+            raise ValueError(f"code {code!r} of table {name!r} is not text")
+        if isinstance(value, bool) or not isinstance(value, (int, float)) or not math.isfinite(value):
+            raise ValueError(f"value {value!r} of code {code!r} in table {name!r} is not a finite number")
+    _OWN[name] = {code: float(v) for code, v in values.items()}
 
 
 def get_table(name: str) -> dict[str, float]:
     """Code -> value.  Unknown table names raise (a spec needs its table)."""
-    tables = _tables()
-    if name not in tables:
+    found = _tables().get(name) or _OWN.get(name)
+    if found is None:
         raise ValueError(f"no code table named {name!r}")
-    return dict(tables[name])
+    return dict(found)
 
 
 def value_text(v: float) -> str:
@@ -100,5 +112,5 @@ def value_text(v: float) -> str:
 
 def recode_rows() -> list[tuple[str, str, float]]:
     """All tables in long form ``(table, code, value)``."""
-    return [(name, code, value) for name, t in sorted(_tables().items())
+    return [(name, code, value) for name, t in sorted((_tables() | _OWN).items())
             for code, value in t.items()]

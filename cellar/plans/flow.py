@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,12 +20,13 @@ from cellar.operators import kmeans as km
 from cellar.operators import lookup as lk
 from cellar.operators import recode as rc
 from cellar.operators import report as rp
+from cellar.sinks.files import load_centers, save_chosen, write_vector_text
 from cellar.sources.tables import select_sheet
 
 
 @dataclass
 class SheetFeatures:
-    features: DataFrame          # (row_num, features array<double>)
+    features: DataFrame          # ([workbook,] row_num, features array<double>)
     header: DataFrame | None     # (sheet, pos, name) or None
     width: int                   # vector size
 
@@ -35,43 +35,42 @@ def sheet_to_features(cells: DataFrame, sheet: str, *, rows: str = "extract",
                       drop: Sequence[int] = (), col_filter: g.ColumnFilter | None = None,
                       specs: Sequence[rc.Spec] | None = (), on_unmapped: str = "error",
                       width: int | None = None, pretty_numbers: bool = True,
+                      bool_as_number: bool = False, extra_rows: DataFrame | None = None,
                       default: float = 0.0) -> SheetFeatures:
-    """Cells of one sheet -> feature rows.
+    """Cells of one sheet, of one workbook or several, -> feature rows.
 
     ``rows``: "keep" (row 0 stays as data), "discard" (row 0 dropped) or
     "extract" (row 0 becomes the header).  ``drop`` removes original column
     positions before the header is read, so header positions match the kept
     columns.  ``specs`` recode named columns (needs the header; the default
     ``()`` recodes nothing, ``None`` applies the survey's 28 recodes).
+    Workbooks whose headers differ are brought to one column order by name.
     """
+    picked = select_sheet(cells, sheet)
     if width is None:
-        # one scan gives the width and tells whether the sheet exists at all
-        picked = cells.where(F.col("sheet") == sheet)
         width = g.max_column(picked)
-        if width < 0:
-            raise ValueError(f"sheet {sheet!r} not found")
-    else:
-        picked = select_sheet(cells, sheet)
-    grid = g.densify(g.render(picked, pretty_numbers=pretty_numbers), width=width, drop=drop,
-                     col_filter=col_filter)
+    grid = g.densify(g.render(picked, pretty_numbers=pretty_numbers, bool_as_number=bool_as_number),
+                     width=width, drop=drop, col_filter=col_filter, extra_rows=extra_rows)
     header = None
+    n = len(g.kept_positions(width, drop)) if col_filter is None else None
     if rows == "extract":
         data, header = g.extract_header(grid)
+        data, header = g.align_workbooks(data, header)
+        names = g.header_names(header)
+        n = len(names) or n
     elif rows == "discard":
         data = g.discard_header(grid)
     elif rows == "keep":
         data = grid
     else:
         raise ValueError(f"unknown rows mode {rows!r}")
-    n = len(g.kept_positions(width, drop)) if col_filter is None else None
     if specs is None or len(specs):
         if header is None:
             raise ValueError("recodes need the header row (rows='extract')")
-        names = g.header_names(header)
-        table = rc.recode(g.grid_to_table(data, names), specs, on_unmapped=on_unmapped)
-        data = g.table_to_grid(table, names)
-        n = len(names)
-    features = feat.to_features(data, default, width=n)
+        placed, labels = rc.at_positions(rc.survey_specs() if specs is None else specs, names, g.position_name)
+        table = rc.recode(g.positional_table(data, n), placed, on_unmapped=on_unmapped, labels=labels)
+        data = g.positional_grid(table, n)
+    features = feat.to_features(data, default)
     if n is None:
         n = feat.check_dims(features)
     return SheetFeatures(features, header, n)
@@ -85,39 +84,43 @@ class ClusterFlow:
     centers: DataFrame       # chosen model: (k, cluster, center)
     report: DataFrame        # (k, cluster, pos, name, value, description)
     nonzero: DataFrame       # (k, cluster, nonzero)
+    lines: DataFrame         # (line_no, line) of the printed report
 
 
 def cluster_flow(sf: SheetFeatures, *, codebook: DataFrame | None = None, k_min: int = 2,
                  k_max: int = 100, max_iter: int = km.DEFAULT_SWEEP_ITERATIONS,
-                 method: str = "lloyd", init_mode: str = "k-means||",
+                 method: str = "lloyd", init_mode: str = "hash",
                  seed: int = km.DEFAULT_SEED,
-                 chooser: str = "wssse", tol: float = km.DEFAULT_TOL,
-                 check: bool = True) -> ClusterFlow:
+                 chooser: str | km.Chooser = "wssse", tol: float = km.DEFAULT_TOL,
+                 check: bool = True, save_to: str | None = None) -> ClusterFlow:
     """Scale, sweep k, choose, report.  Vector sizes are checked before any
-    scaling or training."""
-    # The feature rows come out of a shuffle (the gap fill); keep them so the
-    # size check, the scaler fit and the sweep's own cache read them once.
-    features = sf.features.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        if check:
-            size = feat.check_dims(features)
-            if size != sf.width:
-                raise ValueError(f"vector size {size} differs from width {sf.width}")
-        scaler = feat.Scaler.fit(features, sf.width)
-        scaled = scaler.transform(features)   # the sweep caches what it scans
-        result = km.sweep(scaled, k_min, k_max, max_iter=max_iter, method=method,
-                          init_mode=init_mode, seed=seed, chooser=chooser, tol=tol)
-    finally:
-        features.unpersist()
+    scaling or training.  With ``save_to`` the scaled vectors are written as text
+    (``vectors``) and the chosen model as centers and PMML (``model``), and the
+    model of the report is the one read back."""
+    features = sf.features
+    if check:
+        size = feat.check_dims(features)
+        if size != sf.width:
+            raise ValueError(f"vector size {size} differs from width {sf.width}")
+    scaler = feat.Scaler.fit(features, sf.width)
+    scaled = scaler.transform(features)   # the sweep caches what it scans
+    if save_to:
+        write_vector_text(scaled, f"{save_to}/vectors")
+    key = [x for x in ("row_num", "workbook") if x in scaled.columns]  # numbers repeat among workbooks
+    result = km.sweep(scaled, k_min, k_max, max_iter=max_iter, method=method, key=key,
+                      init_mode=init_mode, seed=seed, chooser=chooser, tol=tol)
     spark = features.sparkSession
-    if result.chosen is None:
-        empty = spark.createDataFrame([], "k int, cluster int, center array<double>")
-        centers = empty
-    else:
-        centers = km.centers_frame(spark, {result.chosen: result.centers[result.chosen]})
+    chosen = {} if result.chosen is None else {result.chosen: result.centers[result.chosen]}
+    if chosen and save_to:
+        save_chosen(km.centers_frame(spark, chosen), f"{save_to}/model")
+        chosen = km.centers_from_frame(load_centers(spark, f"{save_to}/model/centers"))
+    centers = km.centers_frame(spark, chosen) if chosen else \
+        spark.createDataFrame([], "k int, cluster int, center array<double>")
     header = sf.header.select("pos", "name") if sf.header is not None else None
     report = rp.center_report(centers, header, codebook)
-    return ClusterFlow(scaled, scaler, result, centers, report, rp.nonzero_counts(centers))
+    scores = spark.createDataFrame([(k, result.wssse[k]) for k in chosen], "k int, wssse double")
+    return ClusterFlow(scaled, scaler, result, centers, report, rp.nonzero_counts(centers),
+                       rp.full_report(report, centers, scores))
 
 
 def codebook_for(cells: DataFrame, sheet: str = lk.CODEBOOK_SHEET,

@@ -9,6 +9,7 @@ of the cluster has set those values.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -22,7 +23,7 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.execution.arrow.maxRecordsPerBatch": "10000",
-    "spark.driver.memory": "16g",
+    "spark.driver.memory": "8g",
 }
 
 
@@ -38,27 +39,28 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder the session names in ``spark.checkpoint.dir``.
 
-    On a cluster ``spark.checkpoint.dir`` points at shared storage and is left
-    alone.  Only when it is unset (local tests) a fresh scratch folder is made.
+    A session in one local JVM that names none (tests, a trial run) gets a scratch
+    folder, which its driver and tasks share.  On any cluster a missing setting
+    raises: executors do not see each other's local folders.
     """
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    path = conf_dir or tempfile.mkdtemp(prefix="cellar-ckpt-")
-    spark.sparkContext.setCheckpointDir(path)
-    return spark.sparkContext.getCheckpointDir() or path
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not path:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("no shared folder: set spark.checkpoint.dir")
+        path = tempfile.mkdtemp(prefix="cellar-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(path)
+    return path if spark.conf.get("spark.checkpoint.dir", None) else spark.sparkContext.getCheckpointDir()
 
 
 def shared_path(spark: SparkSession, *parts: str) -> str:
     """A path under the session's shared checkpoint folder (for model files,
     round-trip sinks and other artefacts that must outlive one executor)."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return "/".join([base, *parts])
+    return "/".join([checkpoint_dir(spark).rstrip("/"), *parts])

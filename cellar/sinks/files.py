@@ -17,26 +17,38 @@ from pyspark.sql import functions as F
 from cellar.functions.cells import vector_text
 
 
+def _grid_keys(grid: DataFrame) -> list[str]:
+    return [c for c in ("workbook", "sheet", "row_num") if c in grid.columns]
+
+
 def write_grid_csv(grid: DataFrame, path: str, width: int, *, mode: str = "overwrite",
-                   keep: Sequence[str] = ("row_num",)) -> str:
-    """Grid rows -> CSV, one column per cell.  Cells holding the separator,
-    quotes or line breaks are quoted, so text never shifts columns."""
-    cols = [F.col("cells")[i].alias(f"c{i}") for i in range(width)]
+                   keep: Sequence[str] | None = None) -> str:
+    """Grid rows -> CSV: the row's keys (workbook, sheet, row_num, as far as the
+    grid has them), then one column per cell.  Cells holding the separator or
+    quotes are quoted; backslashes and line breaks are written as ``\\\\`` and
+    ``\\n`` / ``\\r``, so that every row is one line and the files can be split."""
+    keep = _grid_keys(grid) if keep is None else list(keep)
+    cells = F.transform("cells", lambda x: F.replace(F.replace(F.replace(
+        x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")))
+    cols = [cells[i].alias(f"c{i}") for i in range(width)]
     grid.select(*keep, *cols).write.mode(mode).option("header", False) \
         .option("escape", '"').csv(path)
     return path
 
 
 def read_grid_csv(spark: SparkSession, path: str, width: int,
-                  keep: Sequence[str] = ("row_num",), multi_line: bool = True) -> DataFrame:
-    """CSV written by ``write_grid_csv`` -> grid rows.  ``multi_line`` reads
-    quoted line breaks inside cells (each part file is then one task, which
-    is how Spark wrote it)."""
-    schema = ", ".join([f"{k} bigint" for k in keep] + [f"c{i} string" for i in range(width)])
-    df = spark.read.schema(schema).option("escape", '"').option("multiLine", multi_line) \
-        .csv(path)
-    return df.select(*keep, F.array(*[F.coalesce(F.col(f"c{i}"), F.lit(""))
-                                      for i in range(width)]).alias("cells"))
+                  keep: Sequence[str] = ("sheet", "row_num")) -> DataFrame:
+    """CSV written by ``write_grid_csv`` -> grid rows.  Files are split among
+    tasks."""
+    schema = ", ".join([f"{k} {'bigint' if k == 'row_num' else 'string'}" for k in keep]
+                       + [f"c{i} string" for i in range(width)])
+    df = spark.read.schema(schema).option("escape", '"').csv(path)
+
+    def plain(c):
+        c = F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("\\\\"), F.lit("\x00"))
+        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+        return F.replace(c, F.lit("\x00"), F.lit("\\"))
+    return df.select(*keep, F.array(*[plain(f"c{i}") for i in range(width)]).alias("cells"))
 
 
 def write_vector_text(features: DataFrame, path: str, *, mode: str = "overwrite",
@@ -50,9 +62,10 @@ def write_ordered_text(df: DataFrame, path: str, order_by: Sequence[str], text_c
                        *, parts: int | None = None, mode: str = "overwrite") -> str:
     """Text lines in a global order spread over range-partitioned part files:
     reading the parts in name order gives the lines in order.  This replaces
-    a single-file write, which would push every row through one task."""
-    n = parts or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *order_by).sortWithinPartitions(*order_by)
+    a single-file write, which would push every row through one task.  Without
+    ``parts`` the number of files follows the data (adaptive execution)."""
+    ranged = df.repartitionByRange(parts, *order_by) if parts else df.repartitionByRange(*order_by)
+    (ranged.sortWithinPartitions(*order_by)
      .select(F.col(text_col).alias("value")).write.mode(mode).text(path))
     return path
 
@@ -82,3 +95,53 @@ def save_centers(centers: DataFrame, path: str, *, mode: str = "overwrite") -> s
 
 def load_centers(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
+
+
+# --- a chosen model ---------------------------------------------------------------
+
+_PMML_CLUSTER = '<Cluster name="cluster_%d"><Array n="%d" type="real">%s</Array></Cluster>'
+
+
+def pmml_lines(centers: DataFrame) -> DataFrame:
+    """``(line_no, line)`` of the PMML document of one model's centers
+    ``(k, cluster, center)``; model-sized."""
+    one = centers.agg(F.array_sort(F.collect_list(F.struct("cluster", "center"))).alias("c"))
+    width = F.size(F.col("c")[0]["center"])
+    fields = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.format_string(
+        '<DataField name="field_%d" optype="continuous" dataType="double"/>', i))
+    mining = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.format_string(
+        '<MiningField name="field_%d" usageType="active"/>', i))
+    compared = F.transform(F.sequence(F.lit(0), width - 1), lambda i: F.format_string(
+        '<ClusteringField field="field_%d" compareFunction="absDiff"/>', i))
+    clusters = F.transform("c", lambda x: F.format_string(
+        _PMML_CLUSTER, x["cluster"], F.size(x["center"]),
+        F.array_join(F.transform(x["center"], lambda v: v.cast("string")), " ")))
+    head = F.array(F.lit('<?xml version="1.0" encoding="UTF-8"?>'),
+                   F.lit('<PMML version="4.2" xmlns="http://www.dmg.org/PMML-4_2">'),
+                   F.lit('<Header description="k-means clustering"/>'),
+                   F.format_string('<DataDictionary numberOfFields="%d">', width))
+    model = F.array(F.lit("</DataDictionary>"), F.format_string(
+        '<ClusteringModel modelName="k-means" functionName="clustering" modelClass="centerBased" '
+        'numberOfClusters="%d">', F.size("c")), F.lit("<MiningSchema>"))
+    measure = F.array(F.lit("</MiningSchema>"), F.lit('<ComparisonMeasure kind="distance"><squaredEuclidean/></ComparisonMeasure>'))
+    end = F.array(F.lit("</ClusteringModel>"), F.lit("</PMML>"))
+    lines = F.concat(head, fields, model, mining, measure, compared, clusters, end)
+    return one.select(F.posexplode(lines).alias("line_no", "line"))
+
+
+def save_chosen(centers: DataFrame, path: str) -> str:
+    """A chosen model's centers ``(k, cluster, center)`` -> ``path/centers`` (Parquet)
+    and ``path/pmml`` (one document); both targets are replaced."""
+    save_centers(centers, f"{path}/centers")
+    (pmml_lines(centers).coalesce(1).sortWithinPartitions("line_no").select(F.col("line").alias("value"))
+     .write.mode("overwrite").text(f"{path}/pmml"))
+    return path
+
+
+def load_pmml_centers(spark: SparkSession, path: str) -> DataFrame:
+    """``(cluster, center)`` from a PMML document of ``save_chosen``."""
+    found = spark.read.text(path).select(
+        F.regexp_extract("value", r'<Cluster name="cluster_(\d+)"', 1).alias("cluster"),
+        F.regexp_extract("value", r'type="real">([^<]*)</Array>', 1).alias("text"))
+    return found.where(F.col("cluster") != "").select(
+        F.col("cluster").cast("int").alias("cluster"), F.split("text", " ").cast("array<double>").alias("center"))

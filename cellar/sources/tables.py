@@ -66,19 +66,26 @@ def melt(df: DataFrame, key=None, columns: Sequence[str] | None = None, *,
     row_offset`` so that row 0 is free for the header (written when
     ``header=True``).  NULL values give no cell (a blank in a sheet);
     ``drop_zero`` also leaves numeric zeros out, the usual sparse encoding —
-    the gap fill writes them back as the filler "0".
+    the gap fill writes them back as the filler "0".  A row without any cell
+    left gives one marker (``col_num`` NULL), so that the row stays.
     """
     columns = list(columns or [c for c in df.columns if c != key])
     types = {f.name: cell_type_of(f.dataType) for f in df.schema.fields}
     spark = df.sparkSession
+    nothing = F.lit(True)
+    for c in columns:
+        nothing = nothing & ~_present(F.col(c), types[c], drop_zero)
+    marker = F.when(nothing, F.struct(F.lit(None).cast("int").alias("col_num"), F.lit("blank").alias("cell_type"),
+                                      F.lit(None).cast("string").alias("value")))
     packed = df.select(
         (_row_number(key) + F.lit(row_offset)).alias("row_num"),
         *[F.struct(F.lit(i).alias("col_num"), F.lit(types[c]).alias("cell_type"),
                    F.when(_present(F.col(c), types[c], drop_zero), F.col(c).cast("string"))
-                   .alias("value")).alias(f"_c{i}")
-          for i, c in enumerate(columns)])
-    long = (packed.unpivot("row_num", [f"_c{i}" for i in range(len(columns))], "_name", "_cell")
-            .where(F.col("_cell.value").isNotNull())
+                   .alias("value")).cast("struct<col_num:int,cell_type:string,value:string>").alias(f"_c{i}")
+          for i, c in enumerate(columns)],
+        marker.cast("struct<col_num:int,cell_type:string,value:string>").alias("_row"))
+    long = (packed.unpivot("row_num", [*(f"_c{i}" for i in range(len(columns))), "_row"], "_name", "_cell")
+            .where(F.col("_cell.value").isNotNull() | ((F.col("_name") == "_row") & F.col("_cell").isNotNull()))
             .select(F.lit(workbook).alias("workbook"), F.lit(sheet).alias("sheet"),
                     "row_num", "_cell.col_num", "_cell.cell_type", "_cell.value"))
     if header:
@@ -127,6 +134,13 @@ def grid_from_table(df: DataFrame, key=None, columns: Sequence[str] | None = Non
     return grid
 
 
+def table_header(df: DataFrame, columns: Sequence[str], sheet: str = "data") -> DataFrame:
+    """The header ``(sheet, pos, name)`` of a table's sheet, as its own frame:
+    nothing of the table is read."""
+    return df.sparkSession.createDataFrame([(sheet, i, c) for i, c in enumerate(columns)],
+                                           "sheet string, pos int, name string")
+
+
 def select_sheet(cells: DataFrame, sheet: str, check: bool = True) -> DataFrame:
     """Cells of one sheet.  With ``check`` an absent sheet raises ValueError
     (a ``limit(1)`` probe, which stops at the first match)."""
@@ -141,12 +155,12 @@ def read_feature_text(spark: SparkSession, path: str, sep: str = ",",
     """Delimited text -> ``(row_num, features)``.  Lines may carry the
     ``[a,b]`` brackets the vector text sink writes.  Tokens that do not parse
     become ``default``; trailing empty tokens are dropped as a plain split
-    does."""
+    does.  ``row_num`` starts at 1 (0 is the header's number)."""
     reader = spark.read
     if line_sep:
         reader = reader.option("lineSep", line_sep)
     lines = reader.text(path)
     body = F.regexp_replace(F.col("value"), r"^\[|\]$", "")
-    return lines.select(F.monotonically_increasing_id().alias("row_num"),
+    return lines.select((F.monotonically_increasing_id() + 1).alias("row_num"),
                         parse_cells(tokenize(body, sep, drop_trailing_empty=True), default)
                         .alias("features"))

@@ -16,8 +16,10 @@ from __future__ import annotations
 import io
 import posixpath
 import zipfile
+import zlib
 from collections.abc import Iterator, Sequence
-from xml.etree.ElementTree import iterparse
+from urllib.parse import unquote
+from xml.etree.ElementTree import ParseError, iterparse
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -95,9 +97,21 @@ def sheet_paths(zf: zipfile.ZipFile) -> list[tuple[str, str]]:
 
 
 def iter_cells(content: bytes, sheets: Sequence[str] | None = None
-               ) -> Iterator[tuple[str, int, int, str, str | None]]:
+               ) -> Iterator[tuple[str, int, int | None, str, str | None]]:
     """``(sheet, row_num, col_num, cell_type, value)`` for every cell, with
-    0-based row and column numbers."""
+    0-based row and column numbers.  A row element without cells gives one
+    marker with ``col_num`` None.  Whatever is broken in the file raises
+    ``WorkbookError``."""
+    try:
+        yield from _cells_of(content, sheets)
+    except (zipfile.BadZipFile, zlib.error, ParseError, KeyError, IndexError, ValueError, EOFError,
+            NotImplementedError) as exc:
+        if isinstance(exc, WorkbookError):
+            raise
+        raise WorkbookError(f"broken workbook: {exc!r}") from exc
+
+
+def _cells_of(content: bytes, sheets: Sequence[str] | None):
     try:
         zf = zipfile.ZipFile(io.BytesIO(content))
     except zipfile.BadZipFile as exc:
@@ -108,19 +122,22 @@ def iter_cells(content: bytes, sheets: Sequence[str] | None = None
             if sheets is not None and sheet not in sheets:
                 continue
             with zf.open(path) as fh:
-                row, col = 0, -1
+                row, col, cells = -1, -1, 0
                 for event, el in iterparse(fh, events=("start", "end")):
                     tag = el.tag
                     if event == "start":
                         if tag == _MAIN + "row":
                             r = el.get("r")
                             row = int(r) - 1 if r else row + 1
-                            col = -1
+                            col, cells = -1, 0
                         continue
                     if tag != _MAIN + "c":
                         if tag == _MAIN + "row":
+                            if not cells:
+                                yield sheet, row, None, "blank", None
                             el.clear()
                         continue
+                    cells += 1
                     ref = el.get("r")
                     col = column_index(ref) if ref else col + 1
                     if ref and _row_of(ref) is not None:
@@ -149,31 +166,74 @@ def iter_cells(content: bytes, sheets: Sequence[str] | None = None
 def read_workbooks(spark: SparkSession, path: str, *, sheets: Sequence[str] | None = None,
                    glob: str = "*.xlsx", recursive: bool = False,
                    on_error: str = "fail") -> DataFrame:
-    """Every workbook under ``path`` -> ``cells``.  ``sheets`` limits the
-    sheets parsed; ``on_error="skip"`` ignores files that are not workbooks
-    (the default fails the job naming the file)."""
-    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-             .option("recursiveFileLookup", str(recursive).lower()).load(path)
-             .select("path", "content"))
+    """Every workbook under ``path`` -> ``cells``.  ``sheets`` limits the sheets
+    parsed.  A file that is empty or broken fails the job, which names it; with
+    ``on_error="skip"`` the whole file is left out (``workbook_errors`` lists
+    such files)."""
+    if on_error not in ("fail", "skip"):
+        raise ValueError(f"unknown on_error {on_error!r}")
+    files, empty = _files(spark, path, glob, recursive)
+    if empty and on_error == "fail":
+        raise WorkbookError(f"empty files: {', '.join(empty)}")
     wanted = None if sheets is None else list(sheets)
     cols = [f.name for f in CELLS_SCHEMA.fields]
 
+    def frame(buf):
+        return pd.DataFrame(buf, columns=cols).astype({"col_num": "Int32"})
+
     def parse(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for file_path, content in zip(pdf["path"], pdf["content"]):
+                content = bytes(content)
+                if on_error == "skip" and error_of(content, wanted):
+                    continue  # found out before the first cell is passed on
                 buf = []
                 try:
-                    for sheet, row, col, ctype, value in iter_cells(bytes(content), wanted):
+                    for sheet, row, col, ctype, value in iter_cells(content, wanted):
                         buf.append((file_path, sheet, row, col, ctype, value))
                         if len(buf) >= CHUNK:
-                            yield pd.DataFrame(buf, columns=cols)
+                            yield frame(buf)
                             buf = []
                 except WorkbookError as exc:
-                    if on_error == "skip":
-                        continue
                     raise WorkbookError(f"{file_path}: {exc}") from exc
                 if buf:
-                    yield pd.DataFrame(buf, columns=cols)
+                    yield frame(buf)
 
     return files.mapInPandas(parse, CELLS_SCHEMA)
 
+
+def _files(spark, path, glob, recursive):
+    """The files, and the paths of the empty ones, which a file scan passes over.
+    Only the listing is read here."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+             .option("recursiveFileLookup", str(recursive).lower()).load(path)
+             .select("path", "content"))
+    plain = lambda p: unquote(p).replace("file:///", "file:/")
+    found = {plain(r.path) for r in files.select("path").collect()}  # one path per workbook
+    return files, sorted({plain(p) for p in files.inputFiles()} - found)
+
+
+def error_of(content: bytes, sheets: Sequence[str] | None = None) -> str | None:
+    """Why the file is no whole workbook, or None."""
+    try:
+        for _ in iter_cells(content, sheets):
+            pass
+    except WorkbookError as exc:
+        return str(exc)
+    return None
+
+
+def workbook_errors(spark: SparkSession, path: str, *, sheets: Sequence[str] | None = None,
+                    glob: str = "*.xlsx", recursive: bool = False) -> DataFrame:
+    """``(workbook, error)`` of the files that ``on_error="skip"`` leaves out."""
+    files, empty = _files(spark, path, glob, recursive)
+    wanted = None if sheets is None else list(sheets)
+
+    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [(p, error_of(bytes(x), wanted)) for p, x in zip(pdf["path"], pdf["content"])]
+            yield pd.DataFrame([r for r in rows if r[1]], columns=["workbook", "error"])
+
+    schema = "workbook string, error string"
+    return files.mapInPandas(check, schema).union(
+        spark.createDataFrame([(p, "empty file") for p in empty], schema))

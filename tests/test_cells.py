@@ -57,8 +57,9 @@ def test_render_types(spark):
     cells = spark.createDataFrame(rows, "row_num bigint, col_num int, cell_type string, "
                                         "value string")
     got = {r["col_num"]: r["value"] for r in g.render(cells).collect()}
+    # the blank cell is left as a marker of its row
     assert got == {0: "x", 1: "5.35", 2: "true", 3: "Unknown value at Row: 1 Column: 4",
-                   5: "oops"}
+                   5: "oops", None: None}
     raw = {r["col_num"]: r["value"] for r in g.render(cells, pretty_numbers=False,
                                                       bool_as_number=True).collect()}
     assert raw[1] == "5.350000" and raw[2] == "1"
@@ -162,13 +163,65 @@ def test_drop_columns_and_positions(spark):
     assert {r["name"]: r["pos"] for r in header_positions(header).collect()} == {"a": 0, "b": 1}
 
 
-def test_spread_small_only_when_fewer_splits_than_cores(spark):
-    from cellar.plans.catalog import spread_small
-    cores = spark.sparkContext.defaultParallelism
-    one = spark.range(100).coalesce(1)
-    assert spread_small(one).rdd.getNumPartitions() == cores
-    many = spark.range(100).repartition(cores * 2)
-    assert spread_small(many) is many
+def test_sizes_are_checked_at_every_width(spark):
+    """Unrolled (narrow) and lambda (wide) paths: a row of another size fails."""
+    from cellar.functions import cells as fc
+    from cellar.operators.features import scale_transform
+    for width in (2, 3, fc.UNROLL_LIMIT + 1):
+        good = spark.createDataFrame([(["1"] * width,)], "cells array<string>")
+        assert good.select(fc.parse_cells("cells", width=width).alias("x")).first().x == [1.0] * width
+        for n in (width - 1, width + 1):
+            bad = spark.createDataFrame([(["1"] * n,)], "cells array<string>")
+            with pytest.raises(Exception, match=f"row of {n} values where {width}"):
+                bad.select(fc.parse_cells("cells", width=width)).collect()
+            nums = spark.createDataFrame([([1.0] * n,)], "x array<double>")
+            with pytest.raises(Exception, match=f"row of {n} values where {width}"):
+                nums.select(scale_transform("x", [2.0] * width)).collect()
+
+
+def test_rows_without_cells_stay(spark):
+    """NULL rows of a table, and sheet rows of blank cells only."""
+    df = spark.createDataFrame([(0, 1.0, 2.0), (1, None, None), (2, 0.0, 0.0), (3, None, 4.0)], "k bigint, a double, b double")
+    for drop_zero in (False, True):
+        cells = src.melt(df, "k", header=False, drop_zero=drop_zero)
+        slow = {r["row_num"]: r["cells"] for r in g.densify(g.render(cells), width=1).collect()}
+        fast = {r["row_num"]: r["cells"] for r in src.grid_from_table(df, "k", header=False, drop_zero=drop_zero).collect()}
+        assert slow == fast and sorted(slow) == [1, 2, 3, 4]
+    blank = spark.createDataFrame([("w", "s", 1, 0, "string", "x"), ("w", "s", 2, 0, "blank", None), ("w", "s", 3, 1, "string", "y")],
+                                  src.CELLS_SCHEMA)
+    rows = {r["row_num"]: r["cells"] for r in g.densify(g.render(blank)).collect()}
+    assert rows == {1: ["x", "0"], 2: ["0", "0"], 3: ["0", "y"]}
+
+
+def test_vector_text_keeps_places(spark):
+    from cellar.functions.cells import vector_text
+    df = spark.createDataFrame([([1.0, None, 2.0],)], "v array<double>")
+    assert df.select(vector_text("v").alias("t")).first().t == "[1.0,NaN,2.0]"
+
+
+def test_routes_in_one_scan(spark):
+    grid = spark.createDataFrame([("s", i, [str(i)]) for i in range(6)], "sheet string, row_num bigint, cells array<string>")
+    got = g.route_labels(grid, {"even": F.col("row_num") % 2 == 0, "big": F.col("row_num") > 3})
+    assert sorted((r["row_num"], r["route"]) for r in got.collect()) == [
+        (0, "even"), (2, "even"), (4, "big"), (4, "even"), (5, "big")]
+    assert got._jdf.queryExecution().executedPlan().toString().count("Scan") == 1
+
+
+def test_headers_that_clash(spark):
+    """Several workbooks: names by workbook, one order by name, or an error."""
+    header = spark.createDataFrame([("a", "s", 0, "x"), ("a", "s", 1, "y"), ("b", "s", 0, "y"), ("b", "s", 1, "x")],
+                                   "workbook string, sheet string, pos int, name string")
+    from cellar.operators.lookup import with_header_name
+    rows = spark.createDataFrame([("a", 0), ("b", 0), ("b", 7)], "workbook string, pos int")
+    assert sorted((r["workbook"], r["pos"], r["name"]) for r in with_header_name(rows, header).collect()) == [
+        ("a", 0, "x"), ("b", 0, "y"), ("b", 7, "")]
+    with pytest.raises(Exception, match="several header names"):
+        g.header_names(header)
+    data = spark.createDataFrame([("a", "s", 1, ["1", "2"]), ("b", "s", 1, ["3", "4"])],
+                                 "workbook string, sheet string, row_num bigint, cells array<string>")
+    aligned, one = g.align_workbooks(data, header)
+    assert g.header_names(one) == ["x", "y"]
+    assert {r["workbook"]: r["cells"] for r in aligned.collect()} == {"a": ["1", "2"], "b": ["4", "3"]}
 
 
 def test_direct_number_text_equals_round_trip(spark):

@@ -54,7 +54,7 @@ def test_codebook(cells):
                     "HQH2_1": "Purchase price", "HQ1_1": "Home value"}
 
 
-def test_full_flow(cells):
+def test_full_flow(spark, cells, tmp_path):
     sf = fl.sheet_to_features(cells, "Data", rows="extract", drop=[0], specs=None)
     assert sf.width == len(NAMES) - 1
     rows = {r["row_num"]: r["features"] for r in sf.features.collect()}
@@ -70,7 +70,7 @@ def test_full_flow(cells):
     assert r5[5] == -26.0 and r5[4] == 0.0
     assert r5[6] == 300000.0          # primary from the hidden copy
     flow = fl.cluster_flow(sf, codebook=fl.codebook_for(cells), k_min=2, k_max=4,
-                           max_iter=10, init_mode="first")
+                           max_iter=10, init_mode="first", save_to=str(tmp_path / "out"))
     k = flow.sweep.chosen
     assert k in (2, 3, 4)
     report = flow.report.collect()
@@ -86,3 +86,12 @@ def test_full_flow(cells):
     assert counts == per_cluster and len(counts) == k
     assert all(r["k"] == k for r in report)
     assert flow.scaled.where(F.size("features") != sf.width).count() == 0
+    lines = [r["line"] for r in flow.lines.orderBy("line_no").collect()]
+    assert lines[0] == "Reporting center of KMeans cluster 0"
+    assert lines[-1] == f"Cardinality of the K-Means clustering found: {k}"
+    assert lines[-2].startswith("Within Set Sum of Squared Errors = ")
+    assert sum(x.startswith("Number for non-zero columns") for x in lines) == k
+    assert spark.read.text(str(tmp_path / "out/vectors")).count() == 60
+    assert spark.read.parquet(str(tmp_path / "out/model/centers")).count() == k
+    none = fl.cluster_flow(sf, k_min=5, k_max=4)
+    assert [r["line"] for r in none.lines.collect()][0].startswith("No K-Means clustering model")

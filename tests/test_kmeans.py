@@ -90,8 +90,12 @@ def test_choose_k_threshold(spark):
     assert km.choose_k(scores) == 4
     frame = spark.createDataFrame(scores, "k int, wssse double")
     assert km.choose_k_frame(frame).collect()[0]["k"] == 4
-    # the weighted rules are available by name
-    assert km.choose_k(scores, "wssse_per_k") in (2, 3, 4, 5)
+    # 10/2 - 9.9995/3 and 9.0/4 - 8.9999/5 are gains per k at every step
+    assert km.choose_k(scores, "wssse_per_k") == 5
+    # 10/3 - 9.9995/2 < 0, 10/4 - 9/2 < 0, 10/5 - 8.9999/2 < 0: the first stays
+    assert km.choose_k(scores, "wssse_k_weighted") == 2
+    assert km.choose_k([(2, 10.0), (3, 6.0)], "wssse_k_weighted") == 3      # 10/3 - 6/2
+    assert km.choose_k(scores, lambda best, cur: 1.0) == 5
 
 
 def test_sweep_and_ml(emb):
@@ -105,16 +109,26 @@ def test_sweep_and_ml(emb):
     assert ml.centers[3].shape == (3, 64) and ml.sizes[3].sum() == emb.count()
 
 
-def test_driver_and_spark_merge_agree(emb, monkeypatch):
-    init = km.init_centers(emb, [2, 5], mode="hash", seed=11)
-    small = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
-    monkeypatch.setattr(km, "DRIVER_MERGE_BYTES", 0)
-    big = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
-    assert small.keys() == big.keys()
-    for key in small:
-        assert small[key]["n"] == big[key]["n"]
-        assert small[key]["cost"] == pytest.approx(big[key]["cost"])
-        assert np.allclose(small[key]["s"], big[key]["s"])
+def test_centers_of_one_k_in_several_passes(emb, monkeypatch):
+    init = km.init_centers(emb, [2, 7], mode="hash", seed=11)
+    one = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
+    monkeypatch.setattr(km, "MAX_CENTER_BYTES", 64 * 8 * 3)      # three centers a pass
+    parts = {(r["k"], r["cluster"]): r for r in km.collect_stats(emb, init)}
+    assert one.keys() == parts.keys()
+    for key in one:
+        assert one[key]["n"] == parts[key]["n"]
+        assert one[key]["cost"] == pytest.approx(parts[key]["cost"])
+        assert np.allclose(one[key]["s"], parts[key]["s"])
+
+
+def test_fewer_rows_than_k(spark):
+    few = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(3)], "row_num bigint, features array<double>")
+    res = km.sweep(few, 2, 6, max_iter=3)
+    assert sorted(res.wssse) == [2, 3] and res.skipped == [4, 5, 6]
+    ml = km.sweep(few, 2, 6, max_iter=3, method="ml")
+    assert sorted(ml.wssse) == [2, 3] and ml.skipped == [4, 5, 6]
+    none = km.sweep(few.limit(0), 2, 4)
+    assert none.chosen is None and none.skipped == [2, 3, 4]
 
 
 def test_durable_sweep_equals_cached(emb):
@@ -122,17 +136,3 @@ def test_durable_sweep_equals_cached(emb):
     b = km.sweep(emb, 2, 3, max_iter=3, init_mode="first", durable=True)
     assert a.chosen == b.chosen
     assert a.wssse == pytest.approx(b.wssse)
-
-
-def test_kmeans_parallel_start(emb, points):
-    x, _ = points
-    a = km.init_kmeans_parallel(emb, [2, 4, 6], seed=5, steps=2)
-    b = km.init_kmeans_parallel(emb, [2, 4, 6], seed=5, steps=2)
-    assert sorted(a) == [2, 4, 6]
-    for k in a:
-        assert a[k].shape == (k, 64) and np.array_equal(a[k], b[k])
-        # finite, distinct, and inside the data's range (means of candidate rows)
-        assert np.isfinite(a[k]).all() and len(np.unique(a[k], axis=0)) == k
-        assert (a[k] >= x.min(0) - 1e-9).all() and (a[k] <= x.max(0) + 1e-9).all()
-    res = km.sweep(emb, 2, 4, max_iter=5)          # default start: k-means||
-    assert sorted(res.wssse) == [2, 3, 4]

@@ -117,4 +117,31 @@ def test_one_projection(spark):
     df = frame(spark, [(1, *["0"] * 10)])
     plan = rc.recode(df)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-    assert F is not None
+
+
+def test_own_tables_are_checked(spark):
+    for bad in ({}, {"1": "x"}, {"1": None}, {"1": float("nan")}, {"1": True}, {1: 2.0}):
+        with pytest.raises(ValueError):
+            rt.register_table("own", bad)
+    with pytest.raises(ValueError, match="shipped"):
+        rt.register_table("HQ17", {"1": 1})
+    rt.register_table("own", {"a": 1, "b": 2.5})
+    df = frame(spark, [(1, "b"), (2, "a")], ["row_num", "X"])
+    assert {r["X"] for r in rc.recode(df, [rc.Category("X", "own")]).collect()} == {"2.5", "1"}
+
+
+def test_sign_merge_is_numeric(spark):
+    rows = [(i, "3", m) for i, m in enumerate(["+5", " -5", "5", "-5", "0", "x", "", None, "1e3"], 1)]
+    res = out(rc.recode(frame(spark, rows, ["row_num", "S", "M"]), [rc.SignMerge("S", "M")]))
+    assert [res[i]["M"] for i in range(1, 10)] == ["-5", "-5", "-5", "-5", "0", "x", "", None, "-1000"]
+
+
+def test_mapped_equals_the_table(spark):
+    """Range test and array lookup agree with the code tables, also on codes
+    that only look alike."""
+    for name in ("HQ17", "HQH1", "years", "HQ5b2"):
+        table = rt.get_table(name)
+        codes = [*table, "", "01", "1.0", " 1", "-1", "99", "2015", "1958", "196O", None]
+        df = frame(spark, list(enumerate(codes, 1)), ["row_num", "X"])
+        got = {r["row_num"]: r["v"] for r in df.select("row_num", rc.mapped(F.col("X"), name).alias("v")).collect()}
+        assert [got[i] for i, _ in enumerate(codes, 1)] == [rt.value_text(table[x]) if x in table else None for x in codes]

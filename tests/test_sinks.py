@@ -13,13 +13,14 @@ from cellar.sources.tables import read_feature_text
 
 
 def test_csv_quotes_separators(spark, tmp_path):
-    grid = spark.createDataFrame([(1, ["a,b", 'say "hi"', "x\ny"]), (2, ["1", "", "3"])],
-                                 "row_num bigint, cells array<string>")
+    grid = spark.createDataFrame([("s", 1, ["a,b", 'say "hi"', "x\ny"]), ("s", 2, ["1", "", "3"]), ("t", 1, ["\\n", "a\\\\b", "\r\n"])],
+                                 "sheet string, row_num bigint, cells array<string>")
     path = str(tmp_path / "csv")
     sk.write_grid_csv(grid, path, 3)
-    back = {r["row_num"]: r["cells"] for r in sk.read_grid_csv(spark, path, 3).collect()}
-    assert back[1] == ["a,b", 'say "hi"', "x\ny"]
-    assert back[2] == ["1", "", "3"]
+    back = {(r["sheet"], r["row_num"]): r["cells"] for r in sk.read_grid_csv(spark, path, 3).collect()}
+    assert back == {(r["sheet"], r["row_num"]): r["cells"] for r in grid.collect()}
+    # one line a row: the files can be split
+    assert spark.read.text(path).count() == 3
 
 
 def test_ordered_text(spark, tmp_path):
@@ -58,3 +59,28 @@ def test_centers_and_model_roundtrip(spark, tmp_path):
     assert np.allclose(model.clusterCenters(), back.clusterCenters())
     text = "".join(r["value"] for r in spark.read.text(str(tmp_path / "pmml")).collect())
     assert "ClusteringModel" in text
+
+
+def test_chosen_model_replaces_the_earlier(spark, tmp_path):
+    path = str(tmp_path / "chosen")
+    for centers in (np.array([[0.5, 1.0], [2.0, 3.0], [9.0, 9.0]]), np.array([[0.25, -1.0], [1e-7, 3.0]])):
+        sk.save_chosen(km.centers_frame(spark, {len(centers): centers}), path)
+    assert km.centers_from_frame(sk.load_centers(spark, path + "/centers"))[2].tolist() == [[0.25, -1.0], [1e-7, 3.0]]
+    pmml = {r["cluster"]: r["center"] for r in sk.load_pmml_centers(spark, path + "/pmml").collect()}
+    assert pmml == {0: [0.25, -1.0], 1: [1e-7, 3.0]}
+    import xml.etree.ElementTree as ET
+    doc = ET.fromstring("\n".join(r["value"] for r in spark.read.text(path + "/pmml").collect()))
+    assert doc.tag.endswith("PMML")
+
+
+def test_shared_folder_must_be_named():
+    """On a cluster a session without a shared folder is refused."""
+    from types import SimpleNamespace
+    import pytest
+    from cellar.session import checkpoint_dir
+    sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=sc)
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        sc.master = master
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            checkpoint_dir(session)
