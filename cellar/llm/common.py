@@ -7,6 +7,7 @@ never a recomputation of the whole lineage.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -26,11 +27,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The shared folder of the session.  Only a local session without one (as
-    in tests) gets a scratch folder; a cluster session must name its own."""
+    """The shared folder of the session.  Only a session in one local JVM without
+    one (as in tests) gets a scratch folder; a cluster session must name its own."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="cellar-llm-"))
         found = spark.sparkContext.getCheckpointDir()
