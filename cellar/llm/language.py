@@ -192,7 +192,7 @@ def identify(rows: DataFrame) -> DataFrame:
         "language": F.get(labels, F.array_position("total", top_total).cast("int") - 1),
         "posterior": 1.0 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - top_total)),
         # nats a trigram above chance: a text in none of the languages has none
-        "gain": F.array_max("likelihood") / F.col("n_trigrams") + float(np.log(BUCKETS))})
+        "gain": F.try_divide(F.array_max("likelihood"), F.col("n_trigrams")) + float(np.log(BUCKETS))})
     kept = (F.col("n_trigrams") > 0) & (F.col("posterior") >= MIN_POSTERIOR) & (F.col("gain") > 0)
     return out.select("id", "language", "posterior", F.get(labels, F.col("best") - 1).alias("text_language"), "declared",
                       "n_trigrams", F.coalesce(kept, F.lit(False)).alias("kept"))

@@ -15,8 +15,8 @@ def tokens(spark, text):
 
 def test_template_tokens(spark):
     t = tokens(spark, "The car of Maria drove 12.5 km, and paid $3 (50%) there.")
-    assert t == ["the", "car", "of", "\u0002maria", "drove", "\u000312.5", "\u0004unit", "and", "paid", "\u0004money", "\u00033",
-                 "\u000350", "\u0004unit", "there"] or t[:7] == ["the", "car", "of", "\u0002maria", "drove", "\u000312.5", "\u0004unit"]
+    assert t == ["the", "car", "of", "\u0002maria", "drove", "\u000312.5", "\u0004unitkm", "and", "paid", "\u0004money",
+                 "\u00033", "\u000350", "\u0004unit", "there"]
 
 
 @pytest.fixture(scope="module")
@@ -40,7 +40,8 @@ def test_copies_and_new_parameters(spark, docs_of, items):
         (18, "w " * 30_000 + ITEM), (19, ITEM), (19, ITEM), (None, ITEM)]), items)
     assert {d for d, _ in got} == {10, 11, 17, 18, 19, None} | ({12} & {d for d, _ in got})
     assert got[10, 1].n_changed == 0 and got[10, 1].n_windows == got[10, 1].item_windows
-    assert got[11, 1].n_changed > 0 and got[11, 1].n_windows == got[11, 1].item_windows
+    # the first word of a sentence is no name, so the window with the other "Anna" differs
+    assert got[11, 1].n_changed > 0 and got[11, 1].n_windows == got[11, 1].item_windows - 1
     assert (12, 1) not in got or got[12, 1].n_windows < got[12, 1].item_windows
     assert got[17, 5].n_changed == 0
     kept = dc.decontaminate(docs_of([(10, ITEM), (13, fill), (14, None), (None, ITEM), (None, "x")]), items)
