@@ -23,6 +23,7 @@ import bisect
 import sys
 import unicodedata
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -36,53 +37,63 @@ from cellar.llm.registry import query
 
 CAPACITY = 4096
 END_ID = 1
-#: A worker keeps the ids of this many words and word parts.
-CACHED_WORDS = 250_000
-CACHED_PARTS = 400_000
+#: A worker keeps the ids of up to twice as many words and word parts.
+CACHED = 250_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
-class WordIds(dict):
+class Recent(dict):
+    """A cache in two generations: a full one becomes the old one, from which
+    entries in use come back, and the one before is forgotten."""
+
+    def __init__(self, make):
+        super().__init__()
+        self.make, self.old = make, {}
+
+    def __missing__(self, key):
+        value = self.old.get(key)
+        if value is None:
+            value = self.make(key)
+        if len(self) >= CACHED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = value
+        return value
+
+
+class WordIds:
     """Word (no ASCII white space in it) -> its token ids, as the bytes of
     unsigned 32-bit numbers.  The tokenizer drops white space and never joins
     across it, so a text's ids are those of its words, one after the other."""
 
     def __init__(self, path: str):
-        super().__init__()
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
-        self.parts: dict[str, bytes] = {}
         # fixed values: how the tokenizer file splits, and its letters for bytes
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         other = [b for b in range(256) if b not in plain]
         self.letters = dict(zip(plain, plain)) | {b: 256 + i for i, b in enumerate(other)}
+        self.words, self.parts = Recent(self.word), Recent(self.part)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def word(self, word: bytes) -> bytes:
+        if word.isalpha():
+            return self.parts[word.lower().decode()]
+        if word[-1] in b".,;:|!?" and word[:-1].isalpha():
+            return self.parts[word[:-1].lower().decode()] + self.parts[chr(word[-1])]
         text = word.decode()
         if max(text) < "ɐ" and "İ" not in text and min(text) > " " and "\x7f" not in text:
             if not text.isascii():
                 text = unicodedata.normalize("NFC", text)
-            ids = b"".join(map(self.part, self.split(text.lower())))
-        else:
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        self[word] = ids
-        return ids
+            return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     def part(self, text: str) -> bytes:
-        ids = self.parts.get(text)
-        if ids is None:
-            spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
-            ids = np.array([t.id for t in self.model.tokenize(spelled)], np.uint32).tobytes()
-            if len(self.parts) >= CACHED_PARTS:
-                self.parts.clear()
-            self.parts[text] = ids
-        return ids
+        spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
+        return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
 
 
 def word_ids(path: str) -> WordIds:
@@ -95,7 +106,7 @@ def word_ids(path: str) -> WordIds:
 
 def _pieces(tokenizer: str, capacity: int, with_ids: bool):
     def run(batches):
-        ids_of = word_ids(tokenizer).__getitem__
+        ids_of = word_ids(tokenizer).words.__getitem__
         end = np.array([END_ID], np.uint32).tobytes()
         for batch in c.chunks(batches):
             out: list[list] = [[], [], [], [], [], []]
@@ -197,12 +208,13 @@ def _place(plan):
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Every piece with its place: ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
+    pieces = c.written(pieces, "pieces")  # the range sort reads its input twice
     columns = pieces.columns
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema)
     tie = [x for x in ("doc_id", "piece", "start", "ids_crc32") if x in columns]
     ranked = c.written(
         pieces.repartitionByRange("length", *tie).sortWithinPartitions("length", *tie)
-        .mapInArrow(_local_ranks, f"{ddl}, part int, local_rank long"), "pieces")
+        .mapInArrow(_local_ranks, f"{ddl}, part int, local_rank long"), "ranked-pieces")
     # at most one row for each task and each length a task holds: a task holds a
     # range of lengths, so tasks + capacity rows
     held = ranked.groupBy("length", "part").agg(F.count(F.lit(1)).alias("n")).orderBy("length", "part").collect()
