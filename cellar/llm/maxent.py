@@ -43,7 +43,11 @@ TASK_BYTES = 32 << 20
 DELTA = 0.5
 #: Expected counts behind which a feature row is not believed.
 KAPPA = 4.0
+#: Bound of a weight; three of them stay within the range of exp.
+WEIGHT = 20.0
 CHUNK_ROWS = 1 << 11
+#: Text bytes at a time where every token has a row of class numbers.
+SMALL = 1 << 19
 END = np.uint64(0x5EEDE4D0C0FFEE11)
 START = np.uint64(0x57A27000DECAF001)
 
@@ -79,19 +83,20 @@ def classes(tok):
 
 
 def rows_of(feats, c1):
-    first = [(f >> np.uint64(64 - ROWS_1)).astype(np.int64) for f in feats]
-    second = [(c.mix(f + (c1 + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)) >> np.uint64(64 - ROWS_2)).astype(np.int64)
-              for f in feats]
+    """Feature rows of both softmaxes; 16 bits each, which sort by radix."""
+    first = [(f >> np.uint64(64 - ROWS_1)).astype(np.uint16) for f in feats]
+    of_class = (c1 + 1).astype(np.uint64) * np.uint64(0xD1342543DE82EF95)
+    second = [(c.mix(f + of_class) >> np.uint64(64 - ROWS_2)).astype(np.uint16) for f in feats]
     return first, second
 
 
 def softmax(bias, weights, rows):
-    z = bias.copy()
-    for r in rows:
+    z = weights[rows[0]]
+    for r in rows[1:]:
         z += weights[r]
-    z -= z.max(1, keepdims=True)
-    np.exp(z, out=z)
-    z /= z.sum(1, keepdims=True)
+    z += bias
+    np.exp(z, out=z)  # weights are clipped, so this cannot overflow
+    z *= 1 / (z @ np.ones(CLASSES, np.float32))[:, None]
     return z
 
 
@@ -99,8 +104,8 @@ def forward(model, tok, doc):
     """Class and sub-class distributions, with their rows and the true classes."""
     c1, c2 = classes(tok)
     first, second = rows_of(features(tok, doc), c1)
-    p1 = softmax(np.broadcast_to(model["b1"], (len(tok), CLASSES)).astype(np.float32), model["w1"], first)
-    p2 = softmax(model["b2"][c1].astype(np.float32), model["w2"], second)
+    p1 = softmax(model["b1"], model["w1"], first)
+    p2 = softmax(model["b2"][c1], model["w2"], second)
     return p1, p2, first, second, c1, c2
 
 
@@ -135,9 +140,9 @@ def _observe(batches):
         first, second = rows_of(features(tok, doc), c1)
         cells += np.bincount(c1 * CLASSES + c2, minlength=CLASSES ** 2).reshape(CLASSES, CLASSES)
         for r in first:
-            o1 += np.bincount(r * CLASSES + c1, minlength=o1.size).reshape(o1.shape)
+            o1 += np.bincount(r * np.int64(CLASSES) + c1, minlength=o1.size).reshape(o1.shape)
         for r in second:
-            o2 += np.bincount(r * CLASSES + c2, minlength=o2.size).reshape(o2.shape)
+            o2 += np.bincount(r * np.int64(CLASSES) + c2, minlength=o2.size).reshape(o2.shape)
     yield from _emit([o1, o2, cells])
 
 
@@ -146,7 +151,7 @@ def _expect(shared):
     def run(batches):
         model = shared.value
         e1, e2 = np.zeros((1 << ROWS_1, CLASSES)), np.zeros((1 << ROWS_2, CLASSES))
-        for batch in c.chunks(batches):
+        for batch in c.chunks(batches, SMALL):
             tok, doc = tokens(*c.text_bytes(batch.column("text")))
             p1, p2, first, second, _, _ = forward(model, tok, doc)
             for r in first:
@@ -193,17 +198,17 @@ def train_model(train: DataFrame, updates: int = UPDATES) -> dict[str, np.ndarra
     # from zero weights: three features share the log ratio of observed and expected
     expected = o1.sum(1, keepdims=True) * share
     model["w1"] = (np.log((o1 + KAPPA * share) / (expected + KAPPA * share)) / 3).astype(np.float32)
-    n2 = o2.sum(1, keepdims=True)
+    n2 = o2.sum(1, keepdims=True)  # log ratios of counts: far below WEIGHT
     usual = inner.mean(0)
     model["w2"] = (np.log((o2 + KAPPA * usual) / ((n2 + KAPPA) * usual)) / 3).astype(np.float32)
     for _ in range(updates):
         shared = sc.broadcast(model)
         e1, e2 = _gather(train, _expect(shared), shapes[:2])
-        shared.unpersist()
+        shared.destroy()
         model = dict(model)
         for w, o, e in (("w1", o1, e1), ("w2", o2, e2)):
             step = np.clip((o - e) / (e + KAPPA), -1, 1) / 2
-            model[w] = (model[w] + step).astype(np.float32)
+            model[w] = np.clip(model[w] + step, -WEIGHT, WEIGHT).astype(np.float32)
     return model
 
 
@@ -244,7 +249,7 @@ def _score(shared):
     def run(batches):
         model = shared.value
         head, count, n_all, v_all, cell_n, cell_v = (model[k] for k in ("head", "count", "N", "V", "cell_n", "cell_v"))
-        for batch in c.chunks(batches):
+        for batch in c.chunks(batches, SMALL):
             rows = batch.num_rows
             tok, doc = tokens(*c.text_bytes(batch.column("text")))
             p1, p2, _, _, c1, c2 = forward(model, tok, doc)
@@ -304,6 +309,7 @@ def score_documents(docs: DataFrame, held_out, updates: int = UPDATES, head_word
     shared = spark.sparkContext.broadcast(model)
     scored = c.written(rows.select("doc_id", "held_out", "text").mapInArrow(_score(shared), SCORED)
                        .withColumn("uid", F.monotonically_increasing_id()), "scores")
+    shared.destroy()
     tail = scored.select("uid", F.explode(F.arrays_zip("tail", "tail_n")).alias("t")).select(
         "uid", F.col("t.tail").alias("h"), F.col("t.tail_n").alias("n"))
     table = spark.createDataFrame([(i, float(a), float(b)) for i, (a, b) in enumerate(zip(model["cell_n"], model["cell_v"]))],
