@@ -218,7 +218,8 @@ def judge(stats: DataFrame, min_group: int = 50, cutoff: float = CUTOFF, min_wor
 
 def quality(docs: DataFrame, **options) -> DataFrame:
     """One row for each document: its counts, base_failed, distance and kept."""
-    return judge(measure(docs), **options).drop("v", "centre", "inverse", "grp")
+    # read several times: the texts are measured once
+    return judge(c.written(measure(docs), "statistics"), **options).drop("v", "centre", "inverse", "grp")
 
 
 @query("op6_robust_outliers")
