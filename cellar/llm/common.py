@@ -8,6 +8,7 @@ never a recomputation of the whole lineage.
 from __future__ import annotations
 
 import re
+import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -46,7 +47,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table written to the shared folder and read again."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -105,11 +106,16 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def powers(n: int, base: int = _BASE) -> np.ndarray:
-    out = np.full(n, base, np.uint64)
-    if n:
+    """base**0, base**1, ... modulo 2**64; a worker keeps them between calls."""
+    kept = vars(sys).setdefault("_cellar_powers", {})
+    if base not in kept or len(kept[base]) < n:
+        out = np.full(max(n, 64), base, np.uint64)
         out[0] = 1
         np.multiply.accumulate(out, out=out)
-    return out
+        if n > 2 * CHUNK_BYTES:
+            return out[:n]  # one very long text
+        kept[base] = out
+    return kept[base][:n]
 
 
 def span_hash(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
