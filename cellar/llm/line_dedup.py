@@ -95,6 +95,7 @@ def dedup_lines(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, keep_fi
     found = rows.select("row_key", "doc_id", "text").mapInArrow(
         _suspects(packed, filter_bits), "row_key long, doc_id long, line long, new boolean, key string")
     suspects = c.written(found.where(F.length("key") >= min_chars), "suspect-lines")
+    packed.destroy()
     counts = [F.count(F.when(F.col("new"), 1)).alias("n_docs")]
     if keep_first:
         counts.append(F.min(F.struct(F.col("doc_id").isNotNull(), "doc_id", "row_key", "line")).alias("first"))

@@ -87,6 +87,17 @@ def _batch(rows, schema=pa.schema(PIECE)):
     return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(cols, schema)], schema=schema)
 
 
+def _joined(marked: list[tuple]) -> list[tuple]:
+    """Marked runs ((did, rk, a), n) -> the fewest runs (did, rk, a, n)."""
+    out: list[list] = []
+    for (did, rk, a), n in sorted(marked):
+        if out and out[-1][0] == did and out[-1][1] == rk and a <= out[-1][2] + out[-1][3]:
+            out[-1][3] = max(out[-1][3], a + n - out[-1][2])
+        else:
+            out.append([did, rk, a, n])
+    return out
+
+
 def _suspects(seen, bits):
     """Pieces with a suspected anchor (kind 1), each different one once a task:
     that of the smallest place; the others are marked at once (kind 0)."""
@@ -96,7 +107,7 @@ def _suspects(seen, bits):
 
         def flush():
             out = _batch([(1, h, did, rk, a, n, off, seg) for seg, ((did, rk, a), h, n, off) in held.items()] +
-                         [(0, 0, did, rk, a, n, 0, None) for (did, rk, a), _, n, _ in marked])
+                         [(0, 0, *run, 0, None) for run in _joined([(place, n) for place, _, n, _ in marked])])
             held.clear()
             marked.clear()
             return out
@@ -301,6 +312,7 @@ def dedup_substrings(docs: DataFrame, filter_bits: int = FILTER_BITS, hot: int =
         "did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "rk": F.xxhash64("doc_id", "text")})
     packed = spark.sparkContext.broadcast(bloom.twice_filter(rows, _anchors, filter_bits))
     found = c.written(rows.select("did", "rk", "text").mapInArrow(_suspects(packed, filter_bits), PIECE_DDL), "pieces")
+    packed.destroy()
     sent = found.where("kind = 1")
     busy = c.written(sent.groupBy("h").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot).select("h"), "hot-anchors")
     flags = [found.where("kind = 0").select("did", "rk", "a", "n")]
