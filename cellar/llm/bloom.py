@@ -24,23 +24,28 @@ def cells(h: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (h >> np.uint64(64 - bits)).astype(np.uint32), other.astype(np.uint32)
 
 
-def _fill(hashes_of, bits, shard_bits):
+def _rows(at: np.ndarray, count: np.ndarray, shard_bits: int) -> pa.RecordBatch:
+    """Sorted cells and whether each was met twice, by shard."""
+    shards = at >> np.uint32(shard_bits)
+    cuts = np.flatnonzero(np.diff(shards)) + 1
+    return pa.RecordBatch.from_pydict({
+        "shard": shards[np.concatenate([[0], cuts])].astype(np.int32),
+        "cells": [x.tobytes() for x in np.split(at, cuts)],
+        "twice": [np.packbits(x > 1).tobytes() for x in np.split(count, cuts)]}, schema=ROWS)
+
+
+def _fill(hash_runs, bits, shard_bits, once_will_do=False):
     def run(batches):
         held: list[np.ndarray] = []
+        n = 0
 
         def flush():
             at, count = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            shards = at >> np.uint32(shard_bits)
-            cuts = np.flatnonzero(np.diff(shards)) + 1
-            return pa.RecordBatch.from_pydict({
-                "shard": shards[np.concatenate([[0], cuts])].astype(np.int32),
-                "cells": [x.tobytes() for x in np.split(at, cuts)],
-                "twice": [np.packbits(x > 1).tobytes() for x in np.split(count, cuts)]}, schema=ROWS)
+            return _rows(at, count + 1 if once_will_do else count, shard_bits)
 
-        n = 0
-        for batch in c.chunks(batches):
-            a, b = cells(hashes_of(*c.text_bytes(batch.column("text"))), bits)
+        for h in hash_runs(batches):
+            a, b = cells(h, bits)
             held.extend([a, b[a != b]])
             n += len(a) + len(b)
             if n > FLUSH_CELLS:
@@ -72,11 +77,9 @@ def _merge(shard_bits):
     return run
 
 
-def twice_filter(texts: DataFrame, hashes_of, bits: int) -> np.ndarray:
-    """The packed filter of hashes seen twice or more; ``hashes_of(data, offsets)``
-    gives the hashes of a run of texts.  2**bits bits whatever the corpus holds."""
+def _filter(df: DataFrame, hash_runs, bits: int, once_will_do: bool = False) -> np.ndarray:
     shard_bits = min(SHARD_BITS, bits)
-    merged = (texts.select("text").mapInArrow(_fill(hashes_of, bits, shard_bits), DDL)
+    merged = (df.mapInArrow(_fill(hash_runs, bits, shard_bits, once_will_do), DDL)
               .repartition("shard").sortWithinPartitions("shard").mapInArrow(_merge(shard_bits), DDL))
     packed = np.zeros(1 << max(0, bits - 3), np.uint8)
     step = max(1, (1 << shard_bits) >> 3)
@@ -85,6 +88,42 @@ def twice_filter(texts: DataFrame, hashes_of, bits: int) -> np.ndarray:
     return packed
 
 
+def _of_texts(hashes_of):
+    def runs(batches):
+        for batch in c.chunks(batches):
+            yield hashes_of(*c.text_bytes(batch.column("text")))
+    return runs
+
+
+def _of_numbers(batches):
+    for batch in batches:
+        column = batch.column(0)
+        if pa.types.is_list(column.type):
+            column = column.flatten()
+        yield c.mix(column.to_numpy(zero_copy_only=False).view(np.uint64))
+
+
+def twice_filter(texts: DataFrame, hashes_of, bits: int) -> np.ndarray:
+    """The packed filter of hashes seen twice or more; ``hashes_of(data, offsets)``
+    gives the hashes of a run of texts.  2**bits bits whatever the corpus holds."""
+    return _filter(texts.select("text"), _of_texts(hashes_of), bits)
+
+
+def repeated_numbers(df: DataFrame, bits: int) -> np.ndarray:
+    """The filter of the numbers seen twice or more in the first column of ``df``
+    (long or array of long); test it with ``mix`` of a number."""
+    return _filter(df, _of_numbers, bits)
+
+
+def number_filter(df: DataFrame, bits: int) -> np.ndarray:
+    """The filter of all numbers in the first column of ``df``."""
+    return _filter(df, _of_numbers, bits, once_will_do=True)
+
+
+def holds(packed: np.ndarray, numbers: np.ndarray, bits: int) -> np.ndarray:
+    return seen_twice(packed, c.mix(numbers.view(np.uint64)), bits)
+
+
 def seen_twice(packed: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     """Whether each hash may have been seen twice (never false for one that was)."""
     hit = lambda x: (packed[x >> np.uint32(3)] >> (np.uint8(7) - (x & np.uint32(7)).astype(np.uint8))) & 1

@@ -30,12 +30,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cellar.llm import bloom
 from cellar.llm import common as c
 from cellar.llm.graph import components
 from cellar.llm.registry import query
 
-#: Cells of the count sketch: one byte each when it is broadcast (16 MB).
-SKETCH_BITS = 24
+#: Cells of the count sketch: one byte each when it is broadcast (8 MB).
+SKETCH_BITS = 23
+#: Cells of the filter of set numbers (4 MB) and of repeated prefix tokens (16 MB).
+ID_BITS = 25
+TOKEN_BITS = 27
 CHUNK_BITS = 16
 BANDS = 3
 LEADERS = 3
@@ -56,28 +60,30 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndar
 # ---------------------------------------------------------------------------
 # token counts
 
-SKETCH = pa.schema([("chunk", pa.int32()), ("cells", pa.binary()), ("counts", pa.binary())])
+SKETCH = pa.schema([("chunk", pa.int32()), ("counts", pa.binary())])
+SKETCH_DDL = "chunk int, counts binary"
 
 
 def _sketch(n, bits):
+    """Counts of a task's tokens, one byte a cell (sent on before one is full)."""
     def run(batches):
-        held, size = [], 0
+        total = np.zeros(1 << bits, np.int64)
+        size = 0
 
         def flush():
-            cells, counts = np.unique(np.concatenate(held), return_counts=True)
-            held.clear()
-            chunk = cells >> np.uint32(CHUNK_BITS)
-            cuts = np.flatnonzero(np.diff(chunk)) + 1
-            return pa.RecordBatch.from_pydict({
-                "chunk": chunk[np.concatenate([[0], cuts])].astype(np.int32),
-                "cells": [x.astype(np.uint16).tobytes() for x in np.split(cells, cuts)],
-                "counts": [np.minimum(x, 65535).astype(np.uint16).tobytes() for x in np.split(counts, cuts)]}, schema=SKETCH)
+            parts = total.reshape(-1, 1 << CHUNK_BITS)
+            used = np.flatnonzero(parts.any(1))
+            out = pa.RecordBatch.from_pydict({
+                "chunk": used.astype(np.int32),
+                "counts": [np.minimum(parts[k], 255).astype(np.uint8).tobytes() for k in used]}, schema=SKETCH)
+            total[:] = 0
+            return out
 
         for batch in c.chunks(batches):
             h, _ = shingle_sets(*c.text_bytes(batch.column("text")), n)
-            held.append((h >> np.uint64(64 - bits)).astype(np.uint32))
+            total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
             size += len(h)
-            if size > 1 << 22:
+            if size > 16 << bits:
                 yield flush()
                 size = 0
         if size:
@@ -88,24 +94,22 @@ def _sketch(n, bits):
 def _merge_sketch(batches):
     chunk, total = None, None
     out = lambda: pa.RecordBatch.from_pydict({
-        "chunk": [chunk], "cells": [b""],
-        "counts": [np.minimum(np.log2(total + 1.0) * 8, 255).astype(np.uint8).tobytes()]}, schema=SKETCH)
+        "chunk": [chunk], "counts": [np.minimum(np.log2(total + 1.0) * 8, 255).astype(np.uint8).tobytes()]}, schema=SKETCH)
     for batch in batches:
-        for k, cells, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+        for k, counts in zip(*(batch.column(i).to_pylist() for i in range(2))):
             if k != chunk:
                 if chunk is not None:
                     yield out()
                 chunk, total = k, np.zeros(1 << CHUNK_BITS, np.int64)
-            total[np.frombuffer(cells, np.uint16)] += np.frombuffer(counts, np.uint16)
+            total += np.frombuffer(counts, np.uint8)
     if chunk is not None:
         yield out()
 
 
 def token_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
     """About eight times the logarithm of every cell's count: 2**bits bytes."""
-    ddl = "chunk int, cells binary, counts binary"
-    parts = (docs.select("text").mapInArrow(_sketch(n, bits), ddl).repartition("chunk")
-             .sortWithinPartitions("chunk").mapInArrow(_merge_sketch, ddl))
+    parts = (docs.select("text").mapInArrow(_sketch(n, bits), SKETCH_DDL).repartition("chunk")
+             .sortWithinPartitions("chunk").mapInArrow(_merge_sketch, SKETCH_DDL))
     out = np.zeros(1 << max(bits, CHUNK_BITS), np.uint8)
     for r in parts.select("chunk", "counts").collect():
         out[r.chunk << CHUNK_BITS:(r.chunk + 1) << CHUNK_BITS] = np.frombuffer(r.counts, np.uint8)
@@ -115,7 +119,8 @@ def token_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
 # ---------------------------------------------------------------------------
 # signatures
 
-SIGNATURE = "rid long, doc_id long, n long, k1 long, k2 long, bands array<long>, prefix array<long>"
+DIGEST = "rid long, doc_id long, n long, k1 long, k2 long"
+SIGNATURE = "set_id long, n long, bands array<long>, prefix array<long>"
 
 
 def _starts(d):
@@ -126,41 +131,62 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
     return np.where(n > 0, n - -(-percent * n // 100) + 1, 0)
 
 
-def _signatures(n, percent, sketch, bits):
+def _digests(n):
+    """Size and 128-bit digest of each document's set."""
     def run(batches):
-        counts = sketch.value
         for batch in c.chunks(batches):
             h, d = shingle_sets(*c.text_bytes(batch.column("text")), n)
             rows = batch.num_rows
-            size = np.bincount(d, minlength=rows)
             first = _starts(d)
-            here = d[first]
             keys = []
             for seed in _SEEDS[BANDS:BANDS + 2]:
                 k = np.zeros(rows, np.uint64)
                 if len(h):
-                    k[here] = np.add.reduceat(c.mix(h ^ seed), first)
-                keys.append(k.view(np.int64))
+                    k[d[first]] = np.add.reduceat(c.mix(h ^ seed), first)
+                keys.append(pa.array(k.view(np.int64)))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("rid"), batch.column("doc_id"), pa.array(np.bincount(d, minlength=rows).astype(np.int64)), *keys],
+                names=["rid", "doc_id", "n", "k1", "k2"])
+    return run
+
+
+def _wanted(batches, ids, bits):
+    """Chunks of the rows whose rid the filter of ids holds."""
+    for batch in batches:
+        keep = bloom.holds(ids.value, batch.column("rid").to_numpy(), bits) if batch.num_rows else np.zeros(0, bool)
+        yield from c.chunks([batch.filter(pa.array(keep, pa.bool_()))])
+
+
+def _signatures(n, percent, sketch, bits, ids):
+    """Minimum hashes and prefix of the documents that stand for a set."""
+    def run(batches):
+        counts = sketch.value
+        for batch in _wanted(batches, ids, ID_BITS):
+            h, d = shingle_sets(*c.text_bytes(batch.column("text")), n)
+            rows = batch.num_rows
+            size = np.bincount(d, minlength=rows)
+            first = _starts(d)
             bands = np.zeros((rows, BANDS), np.uint64)
             for j in range(BANDS):
                 if len(h):
-                    bands[here, j] = np.minimum.reduceat(c.mix(h ^ _SEEDS[j]), first)
+                    bands[d[first], j] = np.minimum.reduceat(c.mix(h ^ _SEEDS[j]), first)
             order = np.lexsort((h, counts[h >> np.uint64(64 - bits)], d))
-            rank = np.arange(len(h)) - np.repeat(first, size[here]) if len(h) else np.zeros(0, np.int64)
+            rank = np.arange(len(h)) - np.repeat(first, size[d[first]]) if len(h) else np.zeros(0, np.int64)
             take = rank < prefix_length(size, percent)[d] if len(h) else np.zeros(0, bool)
             prefix = h[order][take].view(np.int64)
             ends = np.concatenate([[0], np.cumsum(np.bincount(d[take], minlength=rows))]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([
-                batch.column("rid"), batch.column("doc_id"), pa.array(size.astype(np.int64)), pa.array(keys[0]), pa.array(keys[1]),
+            out = pa.RecordBatch.from_arrays([
+                batch.column("rid"), pa.array(size.astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(np.arange(0, rows * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix)),
-            ], names=["rid", "doc_id", "n", "k1", "k2", "bands", "prefix"])
+            ], names=["set_id", "n", "bands", "prefix"])
+            yield out.filter(pa.array(size > 0))
     return run
 
 
-def _tokens(n):
+def _tokens(n, ids):
     def run(batches):
-        for batch in c.chunks(batches):
+        for batch in _wanted(batches, ids, ID_BITS):
             h, d = shingle_sets(*c.text_bytes(batch.column("text")), n)
             cuts = np.searchsorted(d, np.arange(batch.num_rows + 1))
             raw = h.tobytes()
@@ -170,6 +196,20 @@ def _tokens(n):
     return run
 
 
+def _shared_prefix(seen):
+    """One row for each prefix token that may stand in another prefix too."""
+    def run(batches):
+        for batch in batches:
+            column = batch.column("prefix")
+            token = column.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
+            keep = bloom.holds(seen.value, token, TOKEN_BITS)
+            at = pa.array(row[keep])
+            yield pa.RecordBatch.from_arrays([batch.column("set_id").take(at), batch.column("n").take(at), pa.array(token[keep])],
+                                             names=["set_id", "n", "token"])
+    return run
+
+
 def _verify(percent):
     def run(batches):
         for batch in batches:
@@ -189,9 +229,10 @@ def verify(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -
     """The pairs (a, b) of sets that link, by exact comparison of their tokens,
     which are made again from the texts of the sets concerned."""
     pairs = c.written(pairs, f"{name}-pairs")
-    need = pairs.select(F.col("a").alias("set_id")).union(pairs.select(F.col("b").alias("set_id"))).distinct()
-    opened = rows.join(need, rows["rid"] == need["set_id"], "left_semi").select("rid", "text")
-    opened = c.written(opened.mapInArrow(_tokens(n), "set_id long, tokens binary"), f"{name}-tokens")
+    need = pairs.select(F.explode(F.array("a", "b")))
+    ids = pairs.sparkSession.sparkContext.broadcast(bloom.number_filter(need, ID_BITS))
+    opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), f"{name}-tokens")
+    ids.destroy()
     left = opened.select(F.col("set_id").alias("a"), F.col("tokens").alias("a_tokens"))
     right = opened.select(F.col("set_id").alias("b"), F.col("tokens").alias("b_tokens"))
     return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "u long, v long")
@@ -213,13 +254,10 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each component, that of the smallest doc_id,
     and one row of rows that share a doc_id."""
     found = c.written(jaccard_components(docs, **options), "components")
-    gone = found.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rid").alias("_rid")).distinct()
-    again = found.groupBy("rid").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("rid").alias("_rid"))
-    rid = row_id()
-    left = docs.join(gone, rid == F.col("_rid"), "left_anti")
-    once = left.join(again, rid == F.col("_rid"), "left_anti")
-    more = left.join(again, rid == F.col("_rid"), "left_semi").withColumn("_key", rid).dropDuplicates(["_key"]).drop("_key")
-    return once.union(more)
+    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rid").alias("_cellar_row")).distinct()
+    rows = docs.withColumn("_cellar_row", row_id())
+    # one shuffle: the rows are already together by their key for the last step
+    return rows.join(stays, "_cellar_row", "left_semi").dropDuplicates(["_cellar_row"]).select(*docs.columns)
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
@@ -231,14 +269,17 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     bits = max(sketch_bits, CHUNK_BITS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", row_id())
     sketch = spark.sparkContext.broadcast(token_sketch(rows, shingle, bits))
-    signed = c.written(rows.select("rid", "doc_id", "text").mapInArrow(
-        _signatures(shingle, percent, sketch, bits), SIGNATURE), "signatures")
+    signed = c.written(rows.select("rid", "doc_id", "text").mapInArrow(_digests(shingle), DIGEST), "digests")
     # equal sets become one, named after their smallest row
     named = signed.where("n > 0").groupBy("k1", "k2", "n").agg(F.min("rid").alias("set_id"))
     member = c.written(signed.where("n > 0").select("rid", "n", "k1", "k2").distinct().join(
-        named, ["k1", "k2", "n"]), "set-members")
-    sets = c.written(signed.join(member.where("rid = set_id"), ["rid", "k1", "k2", "n"]).dropDuplicates(
-        ["set_id", "k1", "k2"]).select("set_id", "n", "bands", "prefix"), "sets")
+        named, ["k1", "k2", "n"]).select("rid", "set_id"), "set-members")
+    own = member.where("rid <> set_id").select(F.col("rid").alias("u"), F.col("set_id").alias("v"))
+    stands = spark.sparkContext.broadcast(bloom.number_filter(member.where("rid = set_id").select("set_id"), ID_BITS))
+    sets = c.written(rows.select("rid", "text").mapInArrow(
+        _signatures(shingle, percent, sketch, bits, stands), SIGNATURE), "sets")
+    sketch.destroy()
+    stands.destroy()
 
     # groups of similar sets: each set meets a few leaders of its buckets
     buckets = sets.select("set_id", "n", F.posexplode("bands").alias("band", "value"))
@@ -249,17 +290,18 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
         F.array(*[F.col(f"l{k}.set_id") for k in range(LEADERS)]))).alias("leader"))
     stars = buckets.join(leaders, ["band", "value"]).where(F.col("leader") != F.col("set_id")).select(
         F.least("leader", "set_id").alias("a"), F.greatest("leader", "set_id").alias("b")).distinct()
-    own = member.where("rid <> set_id").select(F.col("rid").alias("u"), F.col("set_id").alias("v"))
     links = c.written(verify(stars, rows, shingle, percent, "leaders"), "links")
     groups = c.written(components(links), "groups")
 
-    # token-group matrix over the groups' prefix tokens
-    grouped = sets.join(groups.withColumnsRenamed({"node": "set_id", "root": "grp"}), "set_id", "left").select(
-        "set_id", "n", F.coalesce("grp", "set_id").alias("grp"), "prefix")
-    postings = c.written(grouped.select("set_id", "n", "grp", F.explode("prefix").alias("token")), "postings")
-    shared = c.written(postings.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi"))
-                       .where("lo <> hi").select("token"), "shared-tokens")
-    cells = c.written(postings.join(shared, "token"), "shared-postings")
+    # token-group matrix over the groups' prefix tokens that may be shared
+    seen = spark.sparkContext.broadcast(bloom.repeated_numbers(sets.select("prefix"), TOKEN_BITS))
+    cells = sets.select("set_id", "n", "prefix").mapInArrow(_shared_prefix(seen), "set_id long, n long, token long").join(
+        groups.withColumnsRenamed({"node": "set_id", "root": "grp"}), "set_id", "left").withColumn(
+        "grp", F.coalesce("grp", "set_id"))
+    cells = c.written(cells, "postings")
+    seen.destroy()
+    shared = cells.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
+    cells = c.written(cells.join(shared, "token"), "shared-postings")
     matrix = cells.groupBy("token", "grp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
     qualified = cells.join(matrix.withColumnRenamed("grp", "group_b"), "token").where(
         (F.col("grp") < F.col("group_b")) & (F.col("most_n") * 100 >= F.col("n") * percent)
