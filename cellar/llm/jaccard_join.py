@@ -67,7 +67,7 @@ SKETCH_DDL = "chunk int, counts binary"
 def _sketch(n, bits):
     """Counts of a task's tokens, one byte a cell (sent on before one is full)."""
     def run(batches):
-        total = np.zeros(1 << bits, np.int64)
+        total = np.zeros(1 << bits, np.uint32)
         size = 0
 
         def flush():
@@ -81,7 +81,8 @@ def _sketch(n, bits):
 
         for batch in c.chunks(batches):
             h, _ = shingle_sets(*c.text_bytes(batch.column("text")), n)
-            total += np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+            at, times = np.unique((h >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
+            total[at] += times.astype(np.uint32)
             size += len(h)
             if size > 16 << bits:
                 yield flush()

@@ -38,7 +38,7 @@ from cellar.llm.registry import query
 CAPACITY = 4096
 END_ID = 1
 #: A worker keeps the ids of up to twice as many words and word parts.
-CACHED = 250_000
+CACHED = 150_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
