@@ -7,9 +7,11 @@ hierarchically, all addresses -> suffix -> host, and come from grouped
 aggregations over every row: a host that holds a third of all rows sends one row
 a task and language.
 
-The text model is counted over all rows with a declared language; its size is
-fixed (``BUCKETS`` numbers a language, at most ``MAX_LANGUAGES`` languages, the
-most declared ones).
+The text model is counted over all rows with a declared language, and every
+declared language enters it, however few rows declare it: the counts of rare
+languages shrink towards chance, and a trigram seen once says nothing.  A pass
+holds ``BUCKETS`` numbers for each of ``GROUP_LANGUAGES`` languages; more languages
+take more passes, whose posteriors add up.
 
 Defined cases: null or empty texts and texts without letters give no text
 evidence; they are not kept and carry the language that the other evidence
@@ -32,9 +34,8 @@ from cellar.llm.registry import query
 BUCKET_BITS = 15
 BUCKETS = 1 << BUCKET_BITS
 CHUNK = 1 << 10
-MAX_LANGUAGES = 256
-#: A language must be declared by this many rows.
-MIN_DECLARED = 20
+#: Languages of one pass.
+GROUP_LANGUAGES = 256
 #: Neighbouring trigrams overlap: so many count as one observation.
 OVERLAP = 4.0
 #: Weight, in rows, of the level above in a smoothed prior.
@@ -66,13 +67,15 @@ COUNT_SCHEMA = pa.schema([("language", pa.string()), ("chunk", pa.int32()), ("co
 
 
 def _count(names):
+    place = {n: i for i, n in enumerate(names)}
+
     def run(batches):
         held = {n: np.zeros(BUCKETS, np.int64) for n in names}
         for batch in c.chunks(batches):
             data, offsets = c.text_bytes(batch.column("text"))
             bucket, doc = trigrams(data, offsets)
             declared = batch.column("declared").to_pylist()
-            number = np.array([names.index(x) if x in held else -1 for x in declared])
+            number = np.array([place.get(x, -1) for x in declared])
             of = number[doc]
             for k, n in enumerate(names):
                 if (number == k).any():
@@ -101,25 +104,43 @@ def _add_up(batches):
         yield out()
 
 
-def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log probability of each bucket and language)."""
-    declared = (rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= MIN_DECLARED).orderBy(F.desc("n"), "declared").limit(MAX_LANGUAGES).collect())
-    names = sorted(r.declared for r in declared)
-    if not names:
-        return [], np.zeros((BUCKETS, 0))
+def languages(rows: DataFrame) -> dict[str, int]:
+    """Every declared language and how many rows declare it, by language code."""
+    found = rows.where(F.col("declared").isNotNull()).groupBy("declared").agg(F.count(F.lit(1)).alias("n")).collect()
+    return dict(sorted((r.declared, r.n) for r in found))
+
+
+def fit(rows: DataFrame, declared: dict[str, int]) -> np.ndarray:
+    """Log probability, relative to chance, of each bucket and language."""
+    names = list(declared)
+    place = {n: i for i, n in enumerate(names)}
     ddl = "language string, chunk int, counts binary"
     sums = (rows.where(F.col("declared").isin(names)).select("declared", "text").mapInArrow(_count(names), ddl)
             .repartition("language", "chunk").sortWithinPartitions("language", "chunk").mapInArrow(_add_up, ddl).collect())
     counts = np.zeros((BUCKETS, len(names)))
-    for r in sums:  # at most MAX_LANGUAGES * BUCKETS numbers
-        counts[r.chunk * CHUNK:(r.chunk + 1) * CHUNK, names.index(r.language)] = np.frombuffer(r.counts, np.int64)
-    return names, np.log((counts + 0.5) / (counts.sum(0) + 0.5 * BUCKETS))
+    for r in sums:  # at most GROUP_LANGUAGES * BUCKETS numbers
+        counts[r.chunk * CHUNK:(r.chunk + 1) * CHUNK, place[r.language]] = np.frombuffer(r.counts, np.int64)
+    n = np.array(list(declared.values()), float)
+    counts = np.maximum(counts - 1, 0) * (n / (n + PRIOR_ROWS))
+    return np.log((counts + 0.5) * BUCKETS / (counts.sum(0) + 0.5 * BUCKETS))
+
+
+def _groups(declared: dict[str, int]) -> list[dict[str, int]]:
+    names = list(declared)
+    return [{n: declared[n] for n in names[i:i + GROUP_LANGUAGES]} for i in range(0, len(names), GROUP_LANGUAGES)]
+
+
+def train(rows: DataFrame) -> tuple[list[str], np.ndarray]:
+    """(languages, log probability of each bucket and language)."""
+    declared = languages(rows)
+    if not declared:
+        return [], np.zeros((BUCKETS, 0))
+    return list(declared), np.hstack([fit(rows, g) for g in _groups(declared)]) - np.log(BUCKETS)
 
 
 def _score(model):
     def run(batches):
-        table = model.value.astype(np.float32)
+        table = model.value
         for batch in c.chunks(batches):
             data, offsets = c.text_bytes(batch.column("text"))
             bucket, doc = trigrams(data, offsets)
@@ -137,65 +158,115 @@ def _score(model):
     return run
 
 
+def _scores(rows: DataFrame, groups: list[dict[str, int]]) -> list[DataFrame]:
+    """For each group of languages: the rows with ``likelihood`` in that group and,
+    over all groups, the text's ``best`` language (number from 0) and its ``gain``."""
+    context = rows.sparkSession.sparkContext
+    kind = rows.schema["id"].dataType.simpleString()
+    rows = rows.select("id", "declared", "suffix", "host", "text")
+    several = len(groups) > 1
+    if several:
+        rows = c.written(rows.withColumn("_row", F.monotonically_increasing_id()), "language-rows")
+    ddl = f"id {kind}, declared string, suffix string, host string, {'_row long, ' * several}n_trigrams long, likelihood array<double>"
+    columns = ["id", "declared", "suffix", "host", "text", *["_row"] * several]
+    out, first = [], 0
+    for group in groups:
+        model = context.broadcast(fit(rows, group).astype(np.float32))
+        scored = rows.select(*columns).mapInArrow(_score(model), ddl)
+        most = F.array_max("likelihood")
+        place = F.array_position("likelihood", most).cast("int") - 1 + first
+        # nats a trigram above chance: a text in none of the languages has none
+        scored = scored.withColumns({"best": F.when(F.col("n_trigrams") > 0, place),
+                                     "gain": F.try_divide(most, F.col("n_trigrams"))})
+        out.append(c.written(scored, "language-scores"))
+        model.destroy()
+        first += len(group)
+    if several:
+        top = None
+        for scored in out:
+            part = scored.select("_row", F.struct((-F.col("gain")).alias("loss"), "best").alias("top"))
+            top = part if top is None else top.unionAll(part)
+        top = c.written(top.groupBy("_row").agg(F.min("top").alias("top")), "language-best")
+        out = [c.written(scored.drop("best", "gain").join(top, "_row").withColumns(
+            {"best": F.col("top.best"), "gain": -F.col("top.loss")}).drop("top"), "language-scores") for scored in out]
+    return out
+
+
 def identify(rows: DataFrame) -> DataFrame:
     """``rows`` (id, text, declared, suffix, host) -> id, language, posterior,
     text_language, declared, n_trigrams, kept."""
     spark = rows.sparkSession
-    kind = rows.schema["id"].dataType.simpleString()
-    names, model = train(rows)
+    declared = languages(rows)
+    names = list(declared)
     if not names:
         return rows.select("id", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("posterior"),
                            F.lit(None).cast("string").alias("text_language"), "declared",
                            F.lit(0).cast("long").alias("n_trigrams"), F.lit(False).alias("kept"))
     k = len(names)
-    labels = F.array(*map(F.lit, names))
-    scored = rows.select("id", "declared", "suffix", "host", "text").mapInArrow(
-        _score(spark.sparkContext.broadcast(model)),
-        f"id {kind}, declared string, suffix string, host string, n_trigrams long, likelihood array<double>")
-    best = F.array_position("likelihood", F.array_max("likelihood")).cast("int")
-    scored = c.written(scored.withColumn("best", F.when(F.col("n_trigrams") > 0, best)), "language-scores")
-    sure = scored.where(F.col("n_trigrams") >= 20)
-
-    # declared language: how often it is said of texts of each language
-    said = np.full((k, k), 0.5)
-    for r in sure.where(F.col("declared").isin(names)).groupBy("declared", "best").agg(F.count(F.lit(1)).alias("n")).collect():
-        said[names.index(r.declared), r.best - 1] += r.n
-    said = np.log(said / said.sum(0))
-    says = F.create_map(*[x for i, n in enumerate(names) for x in (F.lit(n), F.array(*map(F.lit, said[i].tolist())))])
-    none = F.array(*[F.lit(0.0)] * k)
-
-    # smoothed priors: everything -> suffix -> host
-    counts = [F.count(F.when(F.col("best") == i + 1, 1)) for i in range(k)]
-    total = sure.agg(F.array(*counts).alias("n")).first().n
-    top = [(x + 1.0) / (sum(total) + k) for x in total]
+    groups = _groups(declared)
+    scores = _scores(rows, groups)
+    sure = scores[0].where(F.col("n_trigrams") >= 20)
+    labels = spark.createDataFrame(list(enumerate(names)), "best int, text_language string")
+
+    size = dict.fromkeys(range(k), 0)
+    size.update((r.best, r.n) for r in sure.groupBy("best").agg(F.count(F.lit(1)).alias("n")).collect())
+    # the declared ones of them
+    named = dict.fromkeys(range(k), 0)
+    named.update((r.best, r.n) for r in sure.where(F.col("declared").isNotNull()).groupBy("best")
+                 .agg(F.count(F.lit(1)).alias("n")).collect())
+    n_sure = sum(size.values())
 
     def smooth(n, above):
-        size = F.aggregate(n, F.lit(0.0), lambda a, x: a + x)
-        return F.zip_with(n, above, lambda x, p: (x + PRIOR_ROWS * p) / (size + PRIOR_ROWS))
-
-    everywhere = F.array(*map(F.lit, top))
-    suffixes = sure.where(F.col("suffix").isNotNull()).groupBy("suffix").agg(F.array(*counts).alias("n")).select(
-        "suffix", smooth(F.col("n"), everywhere).alias("suffix_prior"))
-    hosts = sure.where(F.col("host").isNotNull()).groupBy("host").agg(
-        F.array(*counts).alias("n"), F.max("suffix").alias("suffix")).join(suffixes, "suffix", "left").select(
-        "host", smooth(F.col("n"), F.coalesce("suffix_prior", everywhere)).alias("host_prior"))
-    hosts = c.written(hosts, "host-priors")
-    suffixes = c.written(suffixes, "suffix-priors")
-    joined = scored.join(hosts, "host", "left").join(suffixes, "suffix", "left")
-    prior = F.coalesce("host_prior", "suffix_prior", everywhere)
-    total = F.zip_with(
-        F.zip_with("likelihood", F.transform(prior, lambda x: F.log(x)), lambda a, b: a / OVERLAP + b),
-        F.coalesce(F.element_at(says, F.col("declared")), none), lambda a, b: a + b)
+        return F.zip_with(n, above, lambda x, p: (x + PRIOR_ROWS * p) / (F.col("size") + PRIOR_ROWS))
+
+    out, first = [], 0
+    for group, scored in zip(groups, scores):
+        here = range(first, first + len(group))
+        first += len(group)
+        counts = F.array(*[F.count(F.when(F.col("best") == i, 1)) for i in here])
+        grouped = lambda key, *more: sure.where(F.col(key).isNotNull()).groupBy(key).agg(
+            counts.alias("n"), F.count(F.lit(1)).alias("size"), *more)
+
+        # declared language: how often it is said of texts of each language
+        whole = F.array(*[F.lit(named[i] + 0.5 * k) for i in here])
+        says = c.written(grouped("declared").select("declared", F.zip_with(
+            "n", whole, lambda x, a: F.log((x + 0.5) / a)).alias("says")), "declared-languages")
+        unsaid = F.transform(whole, lambda a: F.log(0.5 / a))
+        none = F.transform(whole, lambda a: F.lit(0.0))
+
+        # smoothed priors: everything -> suffix -> host
+        everywhere = F.array(*[F.lit((size[i] + 1.0) / (n_sure + k)) for i in here])
+        suffixes = grouped("suffix").select("suffix", smooth(F.col("n"), everywhere).alias("suffix_prior"))
+        hosts = grouped("host", F.max("suffix").alias("suffix")).join(suffixes, "suffix", "left").select(
+            "host", smooth(F.col("n"), F.coalesce("suffix_prior", everywhere)).alias("host_prior"))
+        hosts = c.written(hosts, "host-priors")
+        suffixes = c.written(suffixes, "suffix-priors")
+        joined = scored.join(hosts, "host", "left").join(suffixes, "suffix", "left").join(F.broadcast(says), "declared", "left")
+        prior = F.coalesce("host_prior", "suffix_prior", everywhere)
+        total = F.zip_with(
+            F.zip_with("likelihood", F.transform(prior, lambda x: F.log(x)), lambda a, b: a / OVERLAP + b),
+            F.coalesce("says", F.when(F.col("declared").isNotNull(), unsaid).otherwise(none)), lambda a, b: a + b)
+        top = F.array_max("total")
+        part = joined.withColumn("total", total).withColumns({
+            "language": F.get(F.array(*map(F.lit, group)), F.array_position("total", top).cast("int") - 1),
+            "top": top, "mass": F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - top))})
+        out.append(part.drop("likelihood", "total", "host_prior", "suffix_prior", "says"))
+    if len(out) == 1:
+        found = out[0]
+    else:
+        shares = None
+        for part in out:
+            part = part.select("_row", F.struct((-F.col("top")).alias("loss"), "language", "mass").alias("share"))
+            shares = part if shares is None else shares.unionAll(part)
+        found = shares.groupBy("_row").agg(F.min("share").alias("lead"), F.collect_list("share").alias("shares"))
+        found = scores[0].select("_row", "id", "declared", "n_trigrams", "best", "gain").join(found, "_row").withColumns({
+            "language": F.col("lead.language"),
+            "mass": F.aggregate("shares", F.lit(0.0), lambda a, x: a + x["mass"] * F.exp(F.col("lead.loss") - x["loss"]))})
     # the posterior of the best is 1 / sum(exp(total - max))
-    top_total = F.array_max("total")
-    out = joined.withColumn("total", total).withColumns({
-        "language": F.get(labels, F.array_position("total", top_total).cast("int") - 1),
-        "posterior": 1.0 / F.aggregate("total", F.lit(0.0), lambda a, x: a + F.exp(x - top_total)),
-        # nats a trigram above chance: a text in none of the languages has none
-        "gain": F.try_divide(F.array_max("likelihood"), F.col("n_trigrams")) + float(np.log(BUCKETS))})
+    found = found.withColumn("posterior", 1.0 / F.col("mass")).join(F.broadcast(labels), "best", "left")
     kept = (F.col("n_trigrams") > 0) & (F.col("posterior") >= MIN_POSTERIOR) & (F.col("gain") > 0)
-    return out.select("id", "language", "posterior", F.get(labels, F.col("best") - 1).alias("text_language"), "declared",
-                      "n_trigrams", F.coalesce(kept, F.lit(False)).alias("kept"))
+    return found.select("id", "language", "posterior", "text_language", "declared",
+                        "n_trigrams", F.coalesce(kept, F.lit(False)).alias("kept"))
 
 
 def document_rows(docs: DataFrame) -> DataFrame:

@@ -65,3 +65,38 @@ def test_pages_and_empty_tables(spark, docs_of):
     assert la.identify(la.page_rows(pages)).where("language = 'de' and kept").count() >= 30
     assert la.identify(la.document_rows(docs_of([]))).count() == 0
     assert not la.identify(la.document_rows(docs_of([(1, "a few words")]))).first().kept
+
+
+def _codes(n):
+    return ["".join(chr(97 + i // 26 ** j % 26) for j in range(3)) for i in range(n)]
+
+
+def test_rare_languages_are_known(spark):
+    """A handful of rows, or a single one, makes a language."""
+    rng = np.random.default_rng(5)
+    schema = "doc_id long, text string, lang string, source string"
+    few = [(i, _text(rng, lang, 60), lang, "s") for i, lang in enumerate(list(WORDS) * 5)]
+    got = la.identify(la.document_rows(spark.createDataFrame(few, schema))).collect()
+    assert all(r.kept and r.language == r.declared for r in got) and len(got) == 15
+    many = [(i, _text(rng, "en", 60), "en", "s") for i in range(300)]
+    rare = [(900 + i, _text(rng, "de", 60), "de", "s") for i in range(4)] + [(950, _text(rng, "fr", 200), "fr", "s")]
+    wrong = [(990, _text(rng, "en", 60), "xx", "s")]
+    df = spark.createDataFrame(many + rare + wrong, schema)
+    by = {r.doc_id: r.lang for r in la.keep_identified(df).collect()}
+    assert len(by) == 306 and all(by[d] == lang for d, _, lang, _ in many + rare) and by[990] == "en"
+
+
+def test_more_languages_than_a_pass_holds(spark, monkeypatch):
+    """Passes over groups of languages give the result of one pass."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for code in _codes(12):
+        words = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), 6)) for _ in range(12)]
+        rows += [(len(rows) + i, " ".join(rng.choice(words, 40)), code, f"s{i % 2}") for i in range(3)]
+    rows += [(900, rows[0][1], None, None), (901, None, "aaa", "s0"), (0, *rows[0][1:])]
+    df = la.document_rows(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string"))
+    key = lambda r: (r.id, r.language, round(r.posterior, 6), r.text_language, r.n_trigrams, r.kept)
+    whole = sorted(map(key, la.identify(df).collect()))
+    monkeypatch.setattr(la, "GROUP_LANGUAGES", 5)
+    assert sorted(map(key, la.identify(df).collect())) == whole
+    assert all(r[-1] and r[1] == r[3] for r in whole if r[0] != 901) and len(whole) == len(rows)
