@@ -2,25 +2,31 @@
 
 Texts are canonicalised to templates: numbers, units behind numbers, and names
 (a capitalised word inside a sentence) become typed placeholders; other words are
-lower-cased and punctuation does not count.  Every window of 8 template tokens is
-hashed, and the windows of documents and benchmark items meet in a hash join.
+lower-cased and punctuation does not count.  Every
+window of 8 template tokens is hashed, and the windows of documents and benchmark
+items meet in a hash join.
 Windows of one document and item that lie on one diagonal (document position less
 item position) belong together.  Their slots are then compared: a slot value of
 the item must always have met the same value in the document, as it does when a
 question was copied or asked again with other numbers and names.
 
-The whole path is DataFrame functions.  Windows are built by doubling hashes of
-arrays inside a row, so that only joined windows ever leave their document.
+The whole path is DataFrame functions.  Windows are hashed inside a row, so that
+only joined windows ever leave their document; slots are read again from the
+documents that have some.
 
-Defined cases: null or empty texts match nothing, nor do documents or items of
-fewer tokens than a window; a window with more than 4 slots says too little and
-is left out; items of equal text are matched each; repeated rows count once;
+Windows that say too little as templates match with all their values: an item of
+fewer tokens than a window is one window of its own length, and so is a window of
+an item with more than 4 slots.  The documents' windows are hashed so only where
+the benchmark has such items.
+
+Defined cases: null or empty texts and texts without letters and digits match
+nothing; items of equal text are matched each; repeated rows count once;
 null ids are carried; further columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellar.llm import common as c
@@ -37,77 +43,158 @@ UNITS = ("percent|km/h|kmh|mph|km|cm|mm|metres|meters|metre|meter|m|miles|mile|f
          "grams|gram|g|mg|pounds|lbs|lb|ounces|oz|tons|litres|liters|litre|liter|ml|l|hours|hour|hrs|h|minutes|"
          "minute|min|seconds|second|sec|s|days|day|weeks|week|months|month|years|year|degrees|degree|dollars|"
          "dollar|euros|euro|cents|cent|usd|eur|gbp|watts|watt|w|kw|kwh|volts|volt|v|hz|khz|mhz|ghz|kb|mb|gb|tb")
-_NAME, _NUMBER, _UNIT = "\u0002", "\u0003", "\u0004"
+_NAME, _NUMBER, _UNIT, _START = "\u0002", "\u0003", "\u0004", "\u0005"
 
 
-def template_tokens(text: Column) -> Column:
-    """Lower-case tokens; a slot's token begins with the mark of its type."""
-    text = F.regexp_replace(text, r"(?<=[\p{L}\p{N},;][ ])(?=\p{Lu}\p{Ll})", _NAME)
-    text = F.regexp_replace(text, r"(?<![\p{L}\p{N}.,])(?=\p{N})", _NUMBER)
+def _marked_tokens(text: Column) -> Column:
+    """Lower-case tokens behind the mark of their type; a capitalised word at the
+    start of a sentence has a mark of its own."""
+    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", _START)
+    text = F.regexp_replace(text, rf"{_START}(?<=[\p{{L}}\p{{N}},;][ ]{_START})", _NAME)
+    text = F.regexp_replace(text, r"(?=\p{N})(?<![\p{L}\p{N}.,])", _NUMBER)
     text = F.regexp_replace(F.lower(text), rf"({_NUMBER}[\p{{N}}.,]*\p{{N}})[ ]?(?:%|({UNITS})(?![\p{{L}}\p{{N}}]))", rf"$1 {_UNIT}unit$2")
     text = F.regexp_replace(text, rf"[$€£](?={_NUMBER})", f"{_UNIT}money ")
-    gap = rf"(?:(?![.,]\p{{N}})[^\p{{L}}\p{{N}}{_NAME}{_NUMBER}{_UNIT}])+|(?<![\p{{N}}])[.,]+"
+    gap = rf"(?:(?![.,]\p{{N}})[^\p{{L}}\p{{N}}{_NAME}{_NUMBER}{_UNIT}{_START}])+|(?=[.,])(?<![\p{{N}}])[.,]+"
     return F.array_remove(F.split(text, gap), "")
 
 
-def _even(h):
-    return h.bitwiseAND(F.lit(-2))
+def _bare(x):
+    return F.substring(x, 2, 1 << 30)
+
+
+def template_tokens(text: Column) -> Column:
+    """Lower-case tokens; a slot's token begins with the mark of its type."""
+    return F.transform(_marked_tokens(text), lambda x: F.when(F.ascii(x) == 5, _bare(x)).otherwise(x))
+
+
+#: Readings of a window: sentence-initial capitalised words are words; they are
+#: names; every token counts with its value.
+WORDS, NAMES, EXACT = 0, 1, 2
+
+
+def _token_hash(reading):
+    mark = lambda x: F.xxhash64(F.substring(x, 1, 1))
+    if reading == WORDS:
+        return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(F.ascii(x) == 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
+    if reading == NAMES:
+        return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(
+            F.ascii(x) == 5, F.xxhash64(F.lit(_NAME))).otherwise(F.xxhash64(x))
+    return lambda x: F.when(F.ascii(x) <= 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
 
 
-def _token_hash(x):
-    slot = F.ascii(x) < 5
-    return F.when(slot, _even(F.xxhash64(F.substring(x, 1, 1))) + 1).otherwise(_even(F.xxhash64(x)))
+def _slots(tokens: Column, pos: Column, reading: Column) -> Column:
+    """Values of the slots of a window: none in the exact reading."""
+    inside = F.filter(F.slice(tokens, pos + 1, WINDOW), lambda x: F.ascii(x) < F.when(reading == NAMES, 6).otherwise(5))
+    values = F.transform(inside, lambda x: F.when(F.ascii(x) == 5, F.concat(F.lit(_NAME), _bare(x))).otherwise(x))
+    return F.when(reading != EXACT, values)
 
 
-def _join_hash(a, b):
-    """Hash of two neighbours; its last bit says whether either has a slot."""
-    return _even(F.xxhash64(a, b)).bitwiseOR(a.bitwiseOR(b).bitwiseAND(F.lit(1)))
+def _doubled(df: DataFrame, x: str, step: int) -> DataFrame:
+    """Column ``x``: hashes of ``step`` tokens -> of twice as many."""
+    n = F.greatest(F.size(x) - step, F.lit(0))
+    return df.withColumn(x, F.zip_with(F.slice(x, 1, n), F.slice(x, step + 1, n), lambda a, b: F.xxhash64(a, b)))
 
 
-def _doubled(df: DataFrame, step: int) -> DataFrame:
-    """``h``: hashes of ``step`` tokens -> of twice as many."""
-    ahead = F.slice("h", step + 1, F.greatest(F.size("h") - step, F.lit(0)))
-    return df.withColumn("h", F.when(F.size("h") > step, F.zip_with(
-        F.slice("h", 1, F.greatest(F.size("h") - step, F.lit(0))), ahead, _join_hash)))
+def windows(df: DataFrame, exact: list[int], *ids: str) -> DataFrame:
+    """(ids, pos, reading, length, h) of each window of column ``tokens``: template
+    windows in both readings (in the second where it differs), and exact windows
+    of each length in ``exact``."""
+    blocks = [(WORDS, WINDOW), *((EXACT, n) for n in exact)]
+    for reading in sorted({r for r, _ in blocks}):
+        df = df.withColumn(f"_t{reading}", F.transform("tokens", _token_hash(reading)))
 
+    def runs(reading, n):
+        h = F.col(f"_t{reading}")
+        return F.when(F.size(h) >= n, F.transform(
+            F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(F.lit(n), F.slice(h, i + 1, n)))
+        ).otherwise(F.array().cast("array<bigint>"))
 
-def windows(df: DataFrame, *ids: str) -> DataFrame:
-    """(ids, pos, h, slots) of each template window of column ``text``."""
-    df = df.select(*ids, template_tokens(F.col("text")).alias("tokens"))
-    df = df.where(F.size("tokens") >= WINDOW)
-    df = df.withColumn("h", F.transform("tokens", _token_hash))
     for step in (1, 2, 4):
-        df = _doubled(df, step)
-    slots = lambda i: F.filter(F.slice("tokens", i + 1, WINDOW), lambda x: F.ascii(x) < 5)
-    df = df.select(*ids, F.explode(F.zip_with("h", F.sequence(F.lit(0), F.size("h") - 1), lambda h, i: F.struct(
-        i.alias("pos"), h.alias("h"), F.when(h.bitwiseAND(F.lit(1)) == 1, slots(i)).alias("slots")))).alias("w"))
-    return df.select(*ids, "w.pos", "w.h", "w.slots").where(F.col("slots").isNull() | (F.size("slots") <= MAX_SLOTS))
+        df = _doubled(df, f"_t{WORDS}", step)
+    df = df.select(*ids, F.size("tokens").alias("_n"),
+                   F.posexplode(F.concat(f"_t{WORDS}", *[runs(r, n) for r, n in blocks[1:]])).alias("_at", "h"))
+    pos, reading, length, first = F.col("_at"), F.lit(WORDS), F.lit(WINDOW), F.lit(0)
+    for r, n in blocks[:-1]:
+        first = first + F.greatest(F.col("_n") - (n - 1), F.lit(0))
+        here, (r, n) = F.col("_at") >= first, blocks[blocks.index((r, n)) + 1]
+        pos = F.when(here, F.col("_at") - first).otherwise(pos)
+        reading, length = F.when(here, F.lit(r)).otherwise(reading), F.when(here, F.lit(n)).otherwise(length)
+    return df.where(F.col("h").isNotNull()).select(
+        *ids, pos.alias("pos"), reading.alias("reading"), length.alias("length"), "h")
+
+
+def _benchmark_windows(items: DataFrame) -> DataFrame:
+    """(item_id, item_pos, item_reading, length, h, item_slots): an item shorter
+    than a window has one of its own length, and a window with more than
+    ``MAX_SLOTS`` slots is exact."""
+    items = items.select("item_id", "text").distinct().withColumn("tokens", _marked_tokens(F.col("text")))
+    items = items.withColumn("_item", F.xxhash64("item_id", "text")).select("item_id", "_item", "tokens")
+    found = windows(items, list(range(1, WINDOW + 1)), "item_id", "_item", "tokens")
+    found = found.withColumn("item_slots", _slots(F.col("tokens"), F.col("pos"), F.col("reading")))
+    place = Window.partitionBy("_item", "item_id", "pos")
+    found = found.withColumn("_dense", F.max(F.when(F.size("item_slots") > MAX_SLOTS, 1).otherwise(0)).over(place))
+    short = F.size("tokens") < WINDOW
+    keep = F.when(F.col("reading") != EXACT, F.size("item_slots") <= MAX_SLOTS).otherwise(
+        F.when(short, F.col("length") == F.size("tokens")).otherwise((F.col("length") == WINDOW) & (F.col("_dense") == 1)))
+    return found.where(keep).select("item_id", F.col("pos").alias("item_pos"), F.col("reading").alias("item_reading"),
+                                    "length", "h", "item_slots")
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, min_windows: int = MIN_WINDOWS) -> DataFrame:
     """(row_key, doc_id, item_id, n_windows, item_windows, n_slots, n_changed):
     the pairs of a document and a benchmark item it contains, as a copy
-    (``n_changed`` 0) or with other slot values."""
-    bench = c.written(windows(items.select("item_id", "text").distinct(), "item_id")
-                      .withColumnsRenamed({"pos": "item_pos", "slots": "item_slots"}), "benchmark-windows")
-    held = bench.groupBy("item_id").agg(F.count(F.lit(1)).alias("item_windows"))
-    right = F.broadcast(bench) if bench.count() <= BROADCAST_WINDOWS else bench
+    (``n_changed`` 0) or with other slot values.  ``n_windows`` are those that match
+    with sentence-initial words as they are or, where these are too few, in any
+    reading."""
+    bench = c.written(_benchmark_windows(items), "benchmark-windows")
+    template = F.col("item_reading") == WORDS
+    held = bench.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"),
+                                        F.countDistinct(F.when(template, F.col("item_pos"))).alias("template_windows"))
+    exact = [r.length for r in bench.where(F.col("item_reading") == EXACT).select("length").distinct().sort("length").collect()]
+    right = bench.drop("length")
+    right = F.broadcast(right) if bench.count() <= BROADCAST_WINDOWS else right
     rows = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    met = windows(rows, "row_key", "doc_id").join(right, "h")
+    tokens = _marked_tokens(F.col("text")).alias("tokens")
+    met = c.written(windows(rows.select("row_key", "doc_id", tokens), exact, "row_key", "doc_id").drop("length")
+                    .join(right, "h").drop("h").distinct(), "met-windows")
+    # the slots of the windows that met, from their documents alone
+    places = met.where(F.col("reading") != EXACT).groupBy("row_key").agg(F.collect_set(F.struct("pos", "reading")).alias("at"))
+    slots = rows.join(places, "row_key").dropDuplicates(["row_key"]).select("row_key", "at", tokens)
+    slots = slots.select("row_key", F.explode(F.transform("at", lambda w: F.struct(
+        w["pos"].alias("pos"), w["reading"].alias("reading"),
+        _slots(F.col("tokens"), w["pos"], w["reading"]).alias("slots")))).alias("w")).select("row_key", "w.*")
+    met = met.join(slots, ["row_key", "pos", "reading"], "left")
+    same = F.col("reading") == F.col("item_reading")
+    plain = same & (F.col("reading") != NAMES)
+    pairs = F.arrays_zip("item_slots", "slots")
     line = met.groupBy("row_key", "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.countDistinct("item_pos").alias("n_windows"),
-        F.array_distinct(F.flatten(F.collect_list(F.arrays_zip("item_slots", "slots")))).alias("pairs"))
-    item_values = F.array_distinct(F.transform("pairs", lambda p: p["item_slots"]))
-    line = line.where(F.size(item_values) == F.size("pairs")).withColumns({
-        "n_slots": F.size("pairs"),
-        "n_changed": F.size(F.filter("pairs", lambda p: p["item_slots"] != p["slots"]))})
+        F.countDistinct(F.when(same & (F.col("reading") == WORDS), F.col("item_pos"))).alias("n_template"),
+        F.countDistinct(F.when(plain, F.col("item_pos"))).alias("n_plain"),
+        F.countDistinct("item_pos").alias("n_any"),
+        F.array_distinct(F.flatten(F.collect_list(F.when(plain, pairs)))).alias("plain_pairs"),
+        F.array_distinct(F.flatten(F.collect_list(pairs))).alias("any_pairs"))
+    # a value of the item always met the same value; if not with names at sentence starts, then without them
+    steady = lambda x: F.size(F.array_distinct(F.transform(x, lambda p: p["item_slots"]))) == F.size(x)
+    line = line.withColumn("_any", steady("any_pairs")).withColumn("_plain", steady("plain_pairs"))
+    line = line.where(F.col("_any") | (F.col("_plain") & (F.col("n_plain") > 0)))
+    changed = lambda x: F.size(F.filter(x, lambda p: p["item_slots"] != p["slots"]))
+    line = line.select(
+        "row_key", "doc_id", "item_id",
+        *[F.when(F.col("_plain"), F.col(x)).otherwise(0).alias(x) for x in ("n_template", "n_plain")],
+        F.when(F.col("_any"), F.col("n_any")).otherwise(F.col("n_plain")).alias("n_any"),
+        *[F.when(F.col("_plain"), f("plain_pairs")).otherwise(0).alias(f"plain_{x}") for x, f in (("slots", F.size), ("changed", changed))],
+        *[F.when(F.col("_any"), f("any_pairs")).otherwise(f("plain_pairs")).alias(f"any_{x}") for x, f in (("slots", F.size), ("changed", changed))])
     # a passage with a word put in or left out goes on on the next diagonal
-    best = line.groupBy("row_key", "doc_id", "item_id").agg(
-        F.sum("n_windows").alias("n_windows"), F.sum("n_slots").cast("long").alias("n_slots"),
-        F.sum("n_changed").cast("long").alias("n_changed"))
+    sums = [x for x in line.columns if x not in ("row_key", "doc_id", "item_id")]
+    best = line.groupBy("row_key", "doc_id", "item_id").agg(*[F.sum(x).cast("long").alias(x) for x in sums])
     best = best.join(held, best["item_id"].eqNullSafe(held["item_id"])).drop(held["item_id"])
-    return best.where(F.col("n_windows") >= F.least(F.lit(min_windows), F.col("item_windows"))).withColumn(
-        "n_windows", F.least("n_windows", "item_windows"))
+    enough = lambda n, of: (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(min_windows), F.col(of)))
+    alone = enough("n_template", "template_windows") | enough("n_plain", "item_windows")
+    best = best.where(alone | enough("n_any", "item_windows"))
+    pick = lambda a, b: F.when(alone, F.col(a)).otherwise(F.col(b))
+    return best.select(
+        "row_key", "doc_id", "item_id", F.least(pick("n_plain", "n_any"), "item_windows").alias("n_windows"), "item_windows",
+        pick("plain_slots", "any_slots").alias("n_slots"), pick("plain_changed", "any_changed").alias("n_changed"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:

@@ -66,3 +66,14 @@ def test_against_brute_force(spark):
         mine = set(win(r.text))
         want |= {(r.doc_id, i) for i, w in items.items() if w and sum(x in mine for x in w) >= min(3, len(w))}
     assert set(found(docs, bench)) == want and want
+
+
+def test_short_and_dense_items(spark, docs_of):
+    """Copies of items shorter than a window, or with more slots than a template may have."""
+    short, dense = "What is the capital of France?", "Compute 12 + 34 + 56 + 78 + 90 + 11 + 25"
+    items = spark.createDataFrame([(1, short), (2, dense), (3, "Yes"), (4, "?!")], "item_id long, text string")
+    fill = "some other words stand here before the question begins. "
+    got = found(docs_of([(10, fill + short + " Paris."), (11, fill + dense), (12, short), (13, dense.replace("34", "35")),
+                         (14, "What is the capital of Spain?"), (15, fill), (16, "the capital of France"), (17, "Oh yes")]), items)
+    assert set(got) == {(10, 1), (12, 1), (11, 2), (17, 3)}
+    assert all(r.n_windows == r.item_windows == 1 and r.n_changed == 0 for r in got.values())
