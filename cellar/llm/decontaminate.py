@@ -2,9 +2,10 @@
 
 Texts are canonicalised to templates: numbers, units behind numbers, and names
 (a capitalised word inside a sentence) become typed placeholders; other words are
-lower-cased and punctuation does not count.  Every
+lower-cased, and punctuation and the kind of white space do not count.  Every
 window of 8 template tokens is hashed, and the windows of documents and benchmark
-items meet in a hash join.
+items meet in a hash join.  A capitalised word at the start of a sentence is a
+word in one reading and a name in the other; both are hashed.
 Windows of one document and item that lie on one diagonal (document position less
 item position) belong together.  Their slots are then compared: a slot value of
 the item must always have met the same value in the document, as it does when a
@@ -49,6 +50,7 @@ _NAME, _NUMBER, _UNIT, _START = "\u0002", "\u0003", "\u0004", "\u0005"
 def _marked_tokens(text: Column) -> Column:
     """Lower-case tokens behind the mark of their type; a capitalised word at the
     start of a sentence has a mark of its own."""
+    text = F.regexp_replace(text, r"[\s\xA0]{2,}|[\t-\r\xA0]", " ")
     text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", _START)
     text = F.regexp_replace(text, rf"{_START}(?<=[\p{{L}}\p{{N}},;][ ]{_START})", _NAME)
     text = F.regexp_replace(text, r"(?=\p{N})(?<![\p{L}\p{N}.,])", _NUMBER)
@@ -99,7 +101,7 @@ def windows(df: DataFrame, exact: list[int], *ids: str) -> DataFrame:
     """(ids, pos, reading, length, h) of each window of column ``tokens``: template
     windows in both readings (in the second where it differs), and exact windows
     of each length in ``exact``."""
-    blocks = [(WORDS, WINDOW), *((EXACT, n) for n in exact)]
+    blocks = [(WORDS, WINDOW), (NAMES, WINDOW), *((EXACT, n) for n in exact)]
     for reading in sorted({r for r, _ in blocks}):
         df = df.withColumn(f"_t{reading}", F.transform("tokens", _token_hash(reading)))
 
@@ -110,9 +112,11 @@ def windows(df: DataFrame, exact: list[int], *ids: str) -> DataFrame:
         ).otherwise(F.array().cast("array<bigint>"))
 
     for step in (1, 2, 4):
-        df = _doubled(df, f"_t{WORDS}", step)
+        for x in (f"_t{WORDS}", f"_t{NAMES}"):
+            df = _doubled(df, x, step)
+    other = F.zip_with(f"_t{WORDS}", f"_t{NAMES}", lambda a, b: F.nullif(b, a))
     df = df.select(*ids, F.size("tokens").alias("_n"),
-                   F.posexplode(F.concat(f"_t{WORDS}", *[runs(r, n) for r, n in blocks[1:]])).alias("_at", "h"))
+                   F.posexplode(F.concat(f"_t{WORDS}", other, *[runs(r, n) for r, n in blocks[2:]])).alias("_at", "h"))
     pos, reading, length, first = F.col("_at"), F.lit(WORDS), F.lit(WINDOW), F.lit(0)
     for r, n in blocks[:-1]:
         first = first + F.greatest(F.col("_n") - (n - 1), F.lit(0))

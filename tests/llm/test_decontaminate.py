@@ -77,3 +77,17 @@ def test_short_and_dense_items(spark, docs_of):
                          (14, "What is the capital of Spain?"), (15, fill), (16, "the capital of France"), (17, "Oh yes")]), items)
     assert set(got) == {(10, 1), (12, 1), (11, 2), (17, 3)}
     assert all(r.n_windows == r.item_windows == 1 and r.n_changed == 0 for r in got.values())
+
+
+def test_names_at_sentence_starts(spark, docs_of):
+    """Both readings of sentence-initial words join, at any line ends."""
+    people = "Anna has 12 apples. Ben has 5 pears. Carl buys 7 plums. How many fruits are there?"
+    items = spark.createDataFrame([(1, people), (2, "Anna has 12 apples. Where are they all now?"), (3, ITEM)],
+                                  "item_id long, text string")
+    other = people.replace("Anna", "Zoe").replace("Ben", "Tom").replace("Carl", "Kim").replace("12", "9")
+    got = found(docs_of([(10, "Here it is. " + other), (11, "Zoe has 3 apples. Where are they all now?"),
+                         (12, ITEM.replace(" Ben", "\nBen").replace(" Anna", "  Anna")),
+                         (13, "Zoe had no apples. Tom ate pears. Kim sold plums.")]), items)
+    assert set(got) == {(10, 1), (11, 2), (12, 3)}
+    assert got[10, 1].n_changed == 4 and got[11, 2].n_changed == 2
+    assert got[12, 3].n_windows == got[12, 3].item_windows and got[12, 3].n_changed == 0
