@@ -6,7 +6,7 @@ import os
 import subprocess
 import sys
 
-from conftest import ROOT
+from paths import ROOT
 
 SCRIPT = r"""
 import importlib.util, sys

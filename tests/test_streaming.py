@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cellar.operators import kmeans as km
 from cellar.streaming.score import score_stream
-from conftest import SF_SMALL
+from paths import SF_SMALL
 
 
 def test_score_stream_equals_batch(spark, tmp_path):
