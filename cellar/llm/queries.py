@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from cellar.llm import (  # noqa: F401
+    collocations,
     decontaminate,
     jaccard_join,
     language,
