@@ -76,15 +76,7 @@ def parse(data: np.ndarray, offsets: np.ndarray, period: int = PERIOD):
     marks = np.concatenate([[0], np.cumsum(~(solid | blank))])
     low = _LOWER[data[keep]]
     low[~solid[keep]] = 32
-    begins = solid.copy()
-    begins[1:] &= ~solid[:-1]
-    heads = offsets[:-1][np.diff(offsets) > 0]
-    begins[heads] = solid[heads]
-    starts = np.flatnonzero(begins)
-    stops = solid.copy()
-    stops[:-1] &= begins[1:] | ~solid[1:]
-    ends = np.flatnonzero(stops) + 1
-    docs = np.searchsorted(offsets, starts, "right") - 1
+    starts, ends, docs = c.runs_of(solid, offsets)
     n = len(starts)
     if not n:
         none = np.zeros(0, np.int64)
@@ -130,12 +122,6 @@ def _runs(batches: Iterator[pa.RecordBatch], limit: int = RUN_BYTES) -> Iterator
         yield pa.Table.from_batches(held).combine_chunks()
 
 
-def _numbered(keys) -> tuple[np.ndarray, int]:
-    """Keys -> (number of each, how many different ones)."""
-    coded = pc.dictionary_encode(keys if isinstance(keys, pa.Array) else pa.array(keys))
-    return coded.indices.to_numpy(), len(coded.dictionary)
-
-
 class Grams:
     """The n-grams that start in the own words of a run of chunks, length by length."""
 
@@ -144,10 +130,7 @@ class Grams:
         data, offsets = c.text_bytes(one("chunk"))
         self.raw = data.tobytes()
         self.starts, self.ends, docs = c.words_of(data, offsets)
-        size = self.ends - self.starts
-        letters = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
-        coded = pc.dictionary_encode(pa.BinaryArray.from_buffers(
-            pa.binary(), len(size), [None, pa.py_buffer(letters), pa.py_buffer(data[data != 32])]))
+        coded = c.coded(data, self.starts, self.ends)
         self.code = coded.indices.to_numpy().astype(np.int64)
         words, word_offsets = c.text_bytes(coded.dictionary.cast(pa.string()))
         self.total = len(coded.dictionary)
@@ -178,7 +161,7 @@ class Grams:
         if n > 1:
             at = at[self.passed[at] & self.passed[at + 1]]
         key = self.number[at] * self.total + self.code[at + n - 1]
-        ids, many = _numbered(key)
+        ids, many = c.numbered(key)
         self.at, self.ids = at, ids
         self.number[at] = ids
         self.first = np.zeros(many, np.int64)

@@ -144,6 +144,37 @@ def words_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def runs_of(solid: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, document number) of each maximal run of marked bytes of one document."""
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1]
+    heads = offsets[:-1][np.diff(offsets) > 0]
+    begins[heads] = solid[heads]
+    starts = np.flatnonzero(begins)
+    stops = solid.copy()
+    stops[:-1] &= begins[1:] | ~solid[1:]
+    ends = np.flatnonzero(stops) + 1
+    return starts, ends, np.searchsorted(offsets, starts, "right") - 1
+
+
+def coded(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.DictionaryArray:
+    """Runs of bytes, sorted and apart, as exact numbers and a dictionary (binary)."""
+    size = ends - starts
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[starts] += 1
+    inside[ends] -= 1
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    solid = data[np.cumsum(inside[:-1], dtype=np.int8).astype(bool)]
+    return pc.dictionary_encode(pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(solid)]))
+
+
+def numbered(keys: np.ndarray) -> tuple[np.ndarray, int]:
+    """Whole numbers -> (0, 1, ... for each different one, how many there are)."""
+    out = pc.dictionary_encode(pa.array(keys))
+    return out.indices.to_numpy(), len(out.dictionary)
+
+
 def lines_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(start, end, document number) of each ``\\n``-split line; an empty
     document has one empty line."""

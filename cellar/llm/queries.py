@@ -11,6 +11,7 @@ from cellar.llm import (  # noqa: F401
     line_dedup,
     maxent,
     packing,
+    phrase_automata,
     quality,
     resharding,
     suffix_dedup,
