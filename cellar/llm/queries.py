@@ -13,6 +13,7 @@ from cellar.llm import (  # noqa: F401
     packing,
     phrase_automata,
     quality,
+    ranked_search,
     resharding,
     suffix_dedup,
 )
