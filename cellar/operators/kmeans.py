@@ -11,15 +11,26 @@ finds the nearest center of every row, and the kernel emits *partial* sums
 ``(k, cluster, n, cost, sum-vector)`` once per partition.  Spark then merges
 the partials with a hash aggregate keyed by ``(k, cluster)``; the shuffle
 carries ``partitions x sum(k)`` small rows, never the data.  A sweep over
-k = 2..K therefore costs one scan of the cached features per iteration
-(not one per k), and all k share it.
-
-Determinism: rows are seeded by a fixed order (row key, or a seeded hash of
-it), ties go to the lowest cluster id, an empty cluster keeps its center.
+k = 2..K therefore costs one scan of the features per iteration (not one per
+k), and all k share it.
+
+Lloyd passes are pruned: every row carries, for each k, its cluster, an upper bound
+of the distance to that center and a lower bound to all others.  Centers that moved
+loosen the bounds; a row whose bounds still do not meet keeps its cluster without
+a distance being computed, and only rows that change their cluster are added to
+and taken from the sums.
+
+Determinism: rows are seeded by a fixed order (row key, or a seeded hash of it),
+ties go to the lowest cluster id, an empty cluster keeps its center.  Costs and
+member sums are exact whole numbers until they are rounded once
+(``operators.exact``), so centers, costs and the choice of k do not depend on how the
+rows are dealt to partitions.
 """
 
 from __future__ import annotations
 
+import inspect
+import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
@@ -31,6 +42,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cellar.operators import exact
+
 # Upper bound on the centers shipped to executors in one pass (a task holds
 # them plus partial sums of the same size).  A sweep whose centers exceed it
 # is split into batches of k; the centers of a single k that exceed it go out
@@ -74,17 +87,39 @@ def _matrix(batch: pa.RecordBatch, col: str, d: int) -> np.ndarray:
     return flat.reshape(len(arr), d)
 
 
-def _nearest(x: np.ndarray, x2: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Index of the nearest center per row (lowest index on ties) and the
-    exact squared distance to it."""
+def _nearest(x: np.ndarray, x2: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Index of the nearest center per row (lowest index on ties), the squared distance
+    to it, and a squared distance that no other center is nearer than.
+
+    The matrix product's rounding depends on the shape of the batch, so a row whose
+    two best centers lie within its error is decided by the differences, which
+    depend on the row alone."""
     c2 = np.einsum("ij,ij->i", c, c)
     dist = x2[:, None] - 2.0 * (x @ c.T) + c2[None, :]
+    rows = np.arange(len(x))
     idx = np.argmin(dist, axis=1)
+    error = (x.shape[1] + 4) * 4e-16 * (x2 + (c2.max() if len(c2) else 0.0))
+    if len(c) > 1:
+        best = dist[rows, idx]
+        dist[rows, idx] = np.inf
+        second = dist.min(axis=1)
+        close = np.flatnonzero(second - best <= 2 * error)
+        if len(close):
+            dist[close, idx[close]] = best[close]
+            r, j = np.nonzero(dist[close] <= (best + 2 * error)[close, None])
+            diff = x[close[r]] - c[j]
+            order = np.lexsort((j, np.einsum("ij,ij->i", diff, diff), r))
+            r, j = r[order], j[order]
+            idx[close] = j[np.concatenate([[True], r[1:] != r[:-1]])]
+            second[close] = best[close]
+        second = np.maximum(second - error, 0.0)
+    else:
+        second = np.full(len(x), np.inf)
     diff = x - c[idx]
-    return idx, np.einsum("ij,ij->i", diff, diff)
+    return idx, np.einsum("ij,ij->i", diff, diff), second
 
 
-STATS_SCHEMA = "k int, cluster int, n long, cost double, s array<double>"
+STATS_SCHEMA = "k int, cluster int, n long, cost array<double>, s array<double>"
 
 
 def _add_member_sums(sums: np.ndarray, x: np.ndarray, idx: np.ndarray,
@@ -98,29 +133,32 @@ def _add_member_sums(sums: np.ndarray, x: np.ndarray, idx: np.ndarray,
 
 
 def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
-                  bc=None) -> DataFrame:
-    """Per-partition ``(k, cluster, n, cost, s)``: members, summed squared
-    distance and summed vectors of each center's members.  ``bc`` may carry
-    the centers already broadcast (the caller then owns its lifetime)."""
+                  bc=None, grid: exact.Fixed | None = None) -> DataFrame:
+    """Per-partition ``(k, cluster, n, cost, s)``: members, summed squared distance
+    (exact, as limbs) and summed vectors of each center's members (with a ``grid`` as
+    limbs too, three a column).  ``bc`` may carry the centers already broadcast (the
+    caller then owns its lifetime)."""
     spark = features.sparkSession
     d = next(iter(centers.values())).shape[1]
+    width = d if grid is None else 3 * d
     bc = bc or _broadcast(spark, centers)
 
     def kernel(batches: Iterable[pa.RecordBatch]):
         cents = bc.value
-        acc = {k: (np.zeros((k, d)), np.zeros(k, np.int64), np.zeros(k)) for k in cents}
+        acc = {k: (np.zeros((len(c), width)), np.zeros(len(c), np.int64), np.zeros((len(c), exact.WIDTH)))
+               for k, c in cents.items()}
         for batch in batches:
             if batch.num_rows == 0:
                 continue
             x = _matrix(batch, col, d)
             x2 = np.einsum("ij,ij->i", x, x)
             for k, c in cents.items():
-                idx, d2 = _nearest(x, x2, c)
+                idx, d2, _ = _nearest(x, x2, c)
                 sums, counts, cost = acc[k]
-                member = np.bincount(idx, minlength=k)
+                member = np.bincount(idx, minlength=len(c))
                 counts += member
-                cost += np.bincount(idx, weights=d2, minlength=k)
-                _add_member_sums(sums, x, idx, member)
+                cost += exact.cell_sums(d2, idx, len(c))
+                _add_member_sums(sums, x if grid is None else grid.limbs(x), idx, member)
         # one row per non-empty (k, cluster), built from NumPy buffers
         ks, cl, ns, costs, vecs = [], [], [], [], []
         for k, (sums, counts, cost) in acc.items():
@@ -128,30 +166,91 @@ def partial_stats(features: DataFrame, centers: Centers, col: str = "features",
             ks.append(np.full(len(live), k, np.int32))
             cl.append(live.astype(np.int32))
             ns.append(counts[live])
-            costs.append(cost[live])
+            costs.append(cost[live].ravel())
             vecs.append(sums[live].ravel())
         rows = int(sum(len(c) for c in cl))
-        flat = pa.array(np.concatenate(vecs) if vecs else np.zeros(0), pa.float64())
-        offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * d, pa.int32())
+        whole = lambda parts, kind: np.concatenate(parts) if parts else np.zeros(0, kind)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.concatenate(ks) if ks else np.zeros(0, np.int32), pa.int32()),
-             pa.array(np.concatenate(cl) if cl else np.zeros(0, np.int32), pa.int32()),
-             pa.array(np.concatenate(ns) if ns else np.zeros(0, np.int64), pa.int64()),
-             pa.array(np.concatenate(costs) if costs else np.zeros(0), pa.float64()),
-             pa.ListArray.from_arrays(offsets, flat)],
+            [pa.array(whole(ks, np.int32)), pa.array(whole(cl, np.int32)), pa.array(whole(ns, np.int64)),
+             _lists(whole(costs, float), exact.WIDTH, rows), _lists(whole(vecs, float), width, rows)],
             names=["k", "cluster", "n", "cost", "s"])
 
     return features.select(col).mapInArrow(kernel, STATS_SCHEMA)
 
 
+def _lists(flat: np.ndarray, width: int, rows: int) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * np.int32(width)), pa.array(flat))
+
+
+def _rounded(limbs: str, out: str):
+    """Rows with summed limbs -> the exact sums as doubles (model-sized)."""
+    def run(batches):
+        for batch in batches:
+            column = batch.column(limbs).flatten().to_numpy().reshape(batch.num_rows, exact.WIDTH)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([exact.cell_total(x) for x in column], pa.float64()) if name == limbs else batch.column(name)
+                 for name in batch.schema.names], names=[out if name == limbs else name for name in batch.schema.names])
+    return run
+
+
 def cluster_stats(features: DataFrame, centers: Centers, col: str = "features",
-                  bc=None) -> DataFrame:
+                  bc=None, grid: exact.Fixed | None = None) -> DataFrame:
     """``(k, cluster, n, cost, s)`` merged over all partitions: one
     aggregate keyed by ``(k, cluster)``; the shuffle carries one row per
-    group and partition."""
-    parts = partial_stats(features, centers, col, bc)
-    return sum_vectors(parts, ["k", "cluster"], "s",
-                       extra=[F.sum("n").alias("n"), F.sum("cost").alias("cost")])
+    group and partition.  Costs are exact sums.  Centers beyond ``MAX_CENTER_BYTES``
+    go by in several passes."""
+    if bc is None and centers_bytes(centers) > MAX_CENTER_BYTES:
+        parts = _in_parts(features, centers, lambda some: partial_stats(features, some, col, None, grid),
+                          lambda k, c: _wide_partial(features, k, c, col, grid))
+    else:
+        parts = partial_stats(features, centers, col, bc, grid)
+    merged = _sum_arrays(parts, ["k", "cluster"], ["cost", "s"], ["n"])
+    return merged.mapInArrow(
+        _rounded("cost", "cost"), "k int, cluster int, n long, cost double, s array<double>")
+
+
+def _in_parts(features: DataFrame, centers: Centers, some, wide) -> DataFrame:
+    """Centers beyond the bound: groups of k that keep it, and each k that exceeds it
+    alone by itself."""
+    out = None
+    for group in _batches(sorted(centers), next(iter(centers.values())).shape[1]):
+        k = group[0]
+        one = wide(k, centers[k]) if centers[k].size * 8 > MAX_CENTER_BYTES else some({k: centers[k] for k in group})
+        out = one if out is None else out.unionAll(one)
+    return out
+
+
+def _sum_arrays(df: DataFrame, keys: Sequence[str], columns: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
+    """Partial rows -> one row per key with ``counts`` (long) and the array<double>
+    ``columns`` summed element by element, as plain additions (a mean-based vector
+    aggregate would round).  One shuffle of partial rows by key (int columns); a task holds
+    the sums of its keys, a share of the model."""
+    keys, columns, counts = list(keys), list(columns), list(counts)
+
+    def add(batches):
+        total: dict[tuple, list] = {}
+        for batch in batches:
+            numbers = [batch.column(c).to_pylist() for c in counts]
+            arrays = [batch.column(c).flatten().to_numpy().reshape(batch.num_rows, -1) for c in columns]
+            for i, key in enumerate(zip(*(batch.column(c).to_pylist() for c in keys))):
+                old = total.get(key)
+                if old is None:
+                    total[key] = [x[i] for x in numbers] + [x[i].copy() for x in arrays]
+                else:
+                    for j, x in enumerate(numbers):
+                        old[j] += x[i]
+                    for j, x in enumerate(arrays, len(numbers)):
+                        old[j] += x[i]
+        if total:
+            rows = list(total.values())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[j] for k in total], pa.int32()) for j in range(len(keys))]
+                + [pa.array([r[j] for r in rows], pa.int64()) for j in range(len(counts))]
+                + [_lists(np.concatenate([r[len(counts) + j] for r in rows]), len(rows[0][len(counts) + j]), len(rows))
+                   for j in range(len(columns))], names=keys + counts + columns)
+
+    out = T.StructType([df.schema[c] for c in keys + counts + columns])
+    return df.select(*keys, *counts, *columns).repartition(*keys).mapInArrow(add, out)
 
 
 def sum_vectors(df: DataFrame, keys: Sequence[str], col: str, d: int | None = None,
@@ -175,11 +274,16 @@ def assign(features: DataFrame, centers: Centers, col: str = "features",
     """Nearest center per row and k: ``(*keep, k, cluster, d2)``.  A row comes out
     once per k in ``centers``: pass the chosen model's k alone, as the flow and
     the queries do.  The broadcast centers (model-sized) live as long as the
-    returned frame."""
+    returned frame; centers beyond ``MAX_CENTER_BYTES`` go by in several passes, the
+    nearest so far riding along with the row."""
+    keep = list(keep)
+    if centers_bytes(centers) > MAX_CENTER_BYTES:
+        return _in_parts(features, centers, lambda some: assign(features, some, col, keep),
+                         lambda k, c: _wide_assign(features, k, c, col, keep)
+                         .select(*keep, F.lit(k).alias("k"), "cluster", "d2"))
     spark = features.sparkSession
     d = next(iter(centers.values())).shape[1]
     bc = _broadcast(spark, centers)
-    keep = list(keep)
     src = features.select(*keep, col)
     schema = T.StructType([f for f in src.schema.fields if f.name in keep] + ASSIGN_FIELDS)
 
@@ -191,7 +295,7 @@ def assign(features: DataFrame, centers: Centers, col: str = "features",
             x = _matrix(batch, col, d)
             x2 = np.einsum("ij,ij->i", x, x)
             for k, c in cents.items():
-                idx, d2 = _nearest(x, x2, c)
+                idx, d2, _ = _nearest(x, x2, c)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(name) for name in keep]
                     + [pa.array(np.full(len(idx), k, np.int32)), pa.array(idx.astype(np.int32)),
@@ -202,9 +306,14 @@ def assign(features: DataFrame, centers: Centers, col: str = "features",
 
 
 def wssse(features: DataFrame, centers: Centers, col: str = "features") -> DataFrame:
-    """``(k, wssse)``: sum of squared distances to the nearest center (A4)."""
-    return (cluster_stats(features, centers, col).groupBy("k")
-            .agg(F.sum("cost").alias("wssse")))
+    """``(k, wssse)``: sum of squared distances to the nearest center (A4), exact and
+    rounded once."""
+    if centers_bytes(centers) > MAX_CENTER_BYTES:
+        parts = _in_parts(features, centers, lambda some: partial_stats(features, some, col),
+                          lambda k, c: _wide_partial(features, k, c, col))
+    else:
+        parts = partial_stats(features, centers, col)
+    return _sum_arrays(parts, ["k"], ["cost"]).mapInArrow(_rounded("cost", "wssse"), "k int, wssse double")
 
 
 # --- initial centers ------------------------------------------------------------
@@ -265,18 +374,16 @@ def centers_from_frame(df: DataFrame) -> Centers:
     return {k: np.array([v[i] for i in sorted(v)], dtype=np.float64) for k, v in by_k.items()}
 
 
-def collect_stats(features: DataFrame, centers: Centers, col: str = "features") -> list[dict]:
+def collect_stats(features: DataFrame, centers: Centers, col: str = "features",
+                  grid: exact.Fixed | None = None) -> list[dict]:
     """Run one pass and return the merged stats (model-sized: one row per
     center) as dicts with ``k, cluster, n, cost, s``.  The broadcast of the
     centers is released right after."""
-    wide = {k: c for k, c in centers.items() if c.size * 8 > MAX_CENTER_BYTES}
-    rows = [r for k, c in wide.items() for r in _wide_stats(features, k, c, col)]
-    rest = {k: c for k, c in centers.items() if k not in wide}
-    if not rest:
-        return rows
-    bc = _broadcast(features.sparkSession, rest)
+    if centers_bytes(centers) > MAX_CENTER_BYTES:
+        return _dicts(cluster_stats(features, centers, col, None, grid))
+    bc = _broadcast(features.sparkSession, centers)
     try:
-        return rows + _dicts(cluster_stats(features, rest, col, bc))
+        return _dicts(cluster_stats(features, centers, col, bc, grid))
     finally:
         bc.destroy()
 
@@ -290,14 +397,13 @@ def _dicts(stats: DataFrame) -> list[dict]:
     return sorted(rows, key=lambda r: (r["k"], r["cluster"]))
 
 
-def _wide_stats(features: DataFrame, k: int, c: np.ndarray, col: str) -> list[dict]:
-    """Stats of one k whose centers exceed ``MAX_CENTER_BYTES``: the nearest
-    center so far rides along with every row while the centers go by in parts,
-    lowest cluster first, so that ties still go to the lowest id."""
+def _wide_assign(features: DataFrame, k: int, c: np.ndarray, col: str, keep: Sequence[str] = ()) -> DataFrame:
+    """``(*keep, col, cluster, d2)`` for one k whose centers exceed ``MAX_CENTER_BYTES``:
+    the nearest center so far rides along with every row while the centers go by in
+    parts, lowest cluster first, so that ties still go to the lowest id."""
     d = c.shape[1]
     per = max(1, MAX_CENTER_BYTES // (8 * d))
-    src = features.select(col, F.lit(-1).alias("cluster"), F.lit(float("inf")).alias("d2"))
-    used = []
+    src = features.select(*keep, col).withColumns({"cluster": F.lit(-1), "d2": F.lit(float("inf"))})
 
     def part(bc, first):
         def kernel(batches: Iterable[pa.RecordBatch]):
@@ -306,25 +412,36 @@ def _wide_stats(features: DataFrame, k: int, c: np.ndarray, col: str) -> list[di
                 if batch.num_rows == 0:
                     continue
                 x = _matrix(batch, col, d)
-                idx, d2 = _nearest(x, np.einsum("ij,ij->i", x, x), cc)
+                idx, d2, _ = _nearest(x, np.einsum("ij,ij->i", x, x), cc)
                 best, old = batch.column("d2").to_numpy(), batch.column("cluster").to_numpy()
                 closer = d2 < best
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(col), pa.array(np.where(closer, idx + first, old).astype(np.int32)),
-                     pa.array(np.where(closer, d2, best))], names=[col, "cluster", "d2"])
+                    [*(batch.column(name) for name in keep), batch.column(col),
+                     pa.array(np.where(closer, idx + first, old).astype(np.int32)),
+                     pa.array(np.where(closer, d2, best))], names=[*keep, col, "cluster", "d2"])
         return kernel
 
     for first in range(0, len(c), per):
         bc = _broadcast(features.sparkSession, {k: c[first:first + per]})
-        used.append(bc)
-        src = src.mapInArrow(part(bc, first), f"{col} array<double>, cluster int, d2 double")
-    try:
-        return _dicts(sum_vectors(src.withColumn("k", F.lit(k)), ["k", "cluster"], col,
-                                  extra=[F.count(F.lit(1)).alias("n"), F.sum("d2").alias("cost")])
-                      .withColumnRenamed(col, "s"))
-    finally:
-        for bc in used:
-            bc.destroy()
+        src = src.mapInArrow(part(bc, first), src.schema)
+    return src
+
+
+def _wide_partial(features: DataFrame, k: int, c: np.ndarray, col: str, grid: exact.Fixed | None = None) -> DataFrame:
+    """Rows of ``partial_stats`` for one k beyond the bound: one a feature row, merged
+    by the aggregate that follows."""
+    d = c.shape[1]
+
+    def limbs(batches):
+        for batch in batches:
+            d2 = batch.column("d2").to_numpy()
+            x = batch.column(col) if grid is None else _lists(
+                grid.limbs(_matrix(batch, col, d)).ravel(), 3 * d, len(d2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(d2), k, np.int32)), batch.column("cluster"), pa.array(np.ones(len(d2), np.int64)),
+                 _lists(exact.cell_sums(d2, np.arange(len(d2)), len(d2)).ravel(), exact.WIDTH, len(d2)),
+                 x], names=["k", "cluster", "n", "cost", "s"])
+    return _wide_assign(features, k, c, col).mapInArrow(limbs, STATS_SCHEMA)
 
 
 def _batches(ks: list[int], d: int) -> list[list[int]]:
@@ -342,13 +459,28 @@ def _batches(ks: list[int], d: int) -> list[list[int]]:
     return out
 
 
+def grid_of(features: DataFrame, col: str = "features") -> exact.Fixed:
+    """The grid of exact member sums: each column's largest absolute value (one
+    vector aggregate, one row to the driver)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.stat import Summarizer
+
+    row = features.select(Summarizer.metrics("min", "max").summary(array_to_vector(col)).alias("s")).first().s
+    return exact.Fixed.of(np.maximum(np.abs(row["min"].toArray()), np.abs(row["max"].toArray())))
+
+
 def lloyd(features: DataFrame, init: Centers, *, max_iter: int, tol: float = DEFAULT_TOL,
-          col: str = "features") -> SweepResult:
+          col: str = "features", prune: bool = True) -> SweepResult:
     """Lloyd's algorithm for every k in ``init`` together.  Each iteration is
     one pass over ``features`` for all still-moving k; a k stops when no
     center moves more than ``tol`` (Euclidean).  A final pass scores the
-    final centers.  Cache ``features`` before calling."""
-    spark = features.sparkSession
+    final centers.  ``prune`` lets rows carry distance bounds from pass to pass; the
+    result is the same without, bit for bit.  Centers of all k beyond
+    ``MAX_CENTER_BYTES`` go by in groups, without bounds.  Cache ``features`` before
+    calling."""
+    grid = grid_of(features, col)
+    if prune and centers_bytes(init) <= MAX_CENTER_BYTES:
+        return _lloyd_pruned(features, init, max_iter, tol, col, grid)
     centers = {k: c.copy() for k, c in init.items()}
     d = next(iter(centers.values())).shape[1]
     iters = {k: 0 for k in centers}
@@ -358,25 +490,262 @@ def lloyd(features: DataFrame, init: Centers, *, max_iter: int, tol: float = DEF
         if not active:
             break
         for group in _batches(active, d):
-            stats = collect_stats(features, {k: centers[k] for k in group}, col)
+            stats = collect_stats(features, {k: centers[k] for k in group}, col, grid)
             moved = {k: 0.0 for k in group}
-            for r in stats:
-                k, i = int(r["k"]), int(r["cluster"])
-                new = np.asarray(r["s"], dtype=np.float64) / r["n"]
-                moved[k] = max(moved[k], float(np.linalg.norm(new - centers[k][i])))
-                centers[k][i] = new
             for k in group:
+                mine = [r for r in stats if r["k"] == k]
+                at = [r["cluster"] for r in mine]
+                new = grid.mean(np.array([r["s"] for r in mine]), np.array([r["n"] for r in mine]))
+                moved[k] = float(np.linalg.norm(new - centers[k][at], axis=1).max())
+                centers[k][at] = new
                 iters[k] += 1
                 done[k] = moved[k] <= tol
     cost: dict[int, float] = {k: 0.0 for k in centers}
     sizes = {k: np.zeros(k, np.int64) for k in centers}
     for group in _batches(sorted(centers), d):
-        for r in collect_stats(features, {k: centers[k] for k in group}, col):
-            cost[int(r["k"])] += float(r["cost"])
+        some = {k: centers[k] for k in group}
+        for r in collect_stats(features, some, col):
             sizes[int(r["k"])][int(r["cluster"])] = int(r["n"])
+        for r in wssse(features, some, col).collect():
+            cost[r["k"]] = r["wssse"]
     return SweepResult(centers, cost, sizes, iters, done)
 
 
+# --- pruned passes -----------------------------------------------------------------
+
+#: Rows of a block: a block's features and bounds are one row of the state.
+BLOCK = 2048
+#: The state is written to the shared folder after this many passes, so that a lost
+#: executor repeats this many passes at most.
+CUT = 16
+STATE_DDL = "kind int, n int, x binary, a binary, u binary, l binary, g int, m long, s array<double>"
+_STATE = pa.schema([("kind", pa.int32()), ("n", pa.int32()), ("x", pa.binary()), ("a", pa.binary()),
+                    ("u", pa.binary()), ("l", pa.binary()), ("g", pa.int32()), ("m", pa.int64()),
+                    ("s", pa.list_(pa.float64()))])
+#: Bounds are kept as single precision; this covers their rounding.
+_SLACK = 1e-6
+
+
+@dataclass(frozen=True)
+class _Pass:
+    """What a pass ships: all k's centers one below the other (``first[i]`` is the first
+    of the i-th k), how far each moved since the rows last saw it, half the distance
+    to its nearest neighbour, and which k to look at."""
+    centers: np.ndarray
+    first: np.ndarray
+    moved: np.ndarray
+    near: np.ndarray
+    active: list[int]
+    exponent: np.ndarray    # of the grid of the member sums
+    cost: bool
+
+
+def _state_rows(rows: int, **given) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [given[f.name] if f.name in given else pa.nulls(rows, f.type) for f in _STATE], schema=_STATE)
+
+
+def _packed(col: str, d: int):
+    """Feature rows -> blocks without bounds."""
+    def run(batches):
+        for batch in batches:
+            x = _matrix(batch, col, d)
+            parts = [x[i:i + BLOCK] for i in range(0, len(x), BLOCK)]
+            if parts:
+                yield _state_rows(len(parts), kind=pa.array(np.zeros(len(parts), np.int32)),
+                                  n=pa.array([len(y) for y in parts], pa.int32()),
+                                  x=pa.array([y.tobytes() for y in parts], pa.binary()))
+    return run
+
+
+def _looked_at(x: np.ndarray, a: np.ndarray, u: np.ndarray, l: np.ndarray, p: _Pass):
+    """One block's clusters and bounds (rows, k) brought up to the pass's centers, in
+    place; yields (k's number, rows that change, their old clusters)."""
+    x2 = np.einsum("ij,ij->i", x, x)
+    for i in p.active:
+        low, high = p.first[i], p.first[i + 1]
+        c, mine = p.centers[low:high], a[:, i]
+        if mine[0] < 0:  # not seen yet
+            rows = np.arange(len(x))
+        else:
+            move = p.moved[low:high]
+            far = int(np.argmax(move))
+            others = np.delete(move, far).max() if len(move) > 1 else 0.0
+            upper = u[:, i] + move[mine]
+            lower = l[:, i] - np.where(mine == far, others, move[far])
+            meet = np.maximum(p.near[low:high][mine], lower)
+            u[:, i], l[:, i] = upper * (1 + _SLACK), lower - np.abs(lower) * _SLACK
+            rows = np.flatnonzero(~(upper * (1 + _SLACK) < meet * (1 - _SLACK)))
+            if len(rows):
+                diff = x[rows] - c[mine[rows]]
+                upper = np.sqrt(np.einsum("ij,ij->i", diff, diff))
+                u[rows, i] = upper * (1 + _SLACK)
+                rows = rows[~(upper * (1 + _SLACK) < meet[rows] * (1 - _SLACK))]
+        if not len(rows):
+            continue
+        idx, d2, second = _nearest(x[rows], x2[rows], c)
+        u[rows, i] = np.sqrt(d2) * (1 + _SLACK)
+        l[rows, i] = np.sqrt(second) * (1 - _SLACK)
+        old = mine[rows].copy()
+        a[rows, i] = idx
+        turned = old != idx
+        if turned.any():
+            yield i, rows[turned], old[turned]
+
+
+def _stepped(bc, d: int):
+    """Blocks -> blocks with new clusters and bounds (kind 0), the changes of member
+    counts and sums of each center of this task (1), and with ``cost`` the counts and
+    squared distances of each center (2)."""
+    def run(batches):
+        p = _Pass(*bc.value)  # plain arrays: a broadcast is unpickled without this package
+        grid = exact.Fixed(p.exponent)
+        many, k = len(p.first) - 1, len(p.centers)
+        count, sums = np.zeros(k, np.int64), np.zeros((k, 3 * d))
+        size, cost = np.zeros(k, np.int64), np.zeros((k if p.cost else 0, exact.WIDTH))
+
+        def change(center, limbs, sign):
+            member = np.bincount(center, minlength=k)
+            live = np.flatnonzero(member)
+            order = np.argsort(center, kind="stable")
+            starts = np.concatenate([[0], np.cumsum(member[live])[:-1]])
+            sums[live] += sign * np.add.reduceat(limbs[order], starts, axis=0)
+            count[live] += sign * member[live]
+
+        for batch in batches:
+            for n, raw, a, u, l in zip(*(batch.column(y).to_pylist() for y in ("n", "x", "a", "u", "l"))):
+                x = np.frombuffer(raw, np.float64).reshape(n, d)
+                if a is None:
+                    a, u, l = np.full((n, many), -1, np.int32), np.zeros((n, many), np.float32), np.zeros((n, many), np.float32)
+                else:
+                    a, u, l = (np.frombuffer(y, kind).reshape(n, many).copy()
+                               for y, kind in ((a, np.int32), (u, np.float32), (l, np.float32)))
+                limbs = None
+                for i, rows, old in _looked_at(x, a, u, l, p):
+                    if limbs is None:
+                        limbs = grid.limbs(x)
+                    known = old >= 0
+                    if known.any():
+                        change(p.first[i] + old[known], limbs[rows[known]], -1)
+                    change(p.first[i] + a[rows, i], limbs[rows], 1)
+                if p.cost:
+                    for i in range(many):
+                        at = p.first[i] + a[:, i]
+                        diff = x - p.centers[at]
+                        low, high = p.first[i], p.first[i + 1]
+                        cost[low:high] += exact.cell_sums(np.einsum("ij,ij->i", diff, diff), a[:, i].astype(np.int64), high - low)
+                        size[low:high] += np.bincount(a[:, i], minlength=high - low)
+                else:
+                    yield _state_rows(1, kind=pa.array([0], pa.int32()), n=pa.array([n], pa.int32()),
+                                      x=pa.array([raw], pa.binary()), **{name: pa.array([y.tobytes()], pa.binary())
+                                                                         for name, y in (("a", a), ("u", u), ("l", l))})
+        for kind, m, s in ((1, count, sums), (2, size, cost)):
+            at = np.flatnonzero((m != 0) | (s != 0).any(axis=1)) if len(s) else []
+            if len(at):
+                yield _state_rows(len(at), kind=pa.array(np.full(len(at), kind, np.int32)), g=pa.array(at.astype(np.int32)),
+                                  m=pa.array(m[at]), s=_lists(s[at].ravel(), s.shape[1], len(at)))
+    return run
+
+
+def _half_nearest(c: np.ndarray) -> np.ndarray:
+    """Half the distance of each center to its nearest neighbour, rounded down."""
+    if len(c) == 1:
+        return np.full(1, np.inf)
+    c2 = np.einsum("ij,ij->i", c, c)
+    dist = c2[:, None] - 2.0 * (c @ c.T) + c2[None, :]
+    np.fill_diagonal(dist, np.inf)
+    return 0.5 * np.sqrt(np.maximum(dist.min(axis=1) - (c.shape[1] + 4) * 1e-15 * c2.max(), 0.0))
+
+
+def _merged(state: DataFrame, kind: int, tasks: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """The rows of one kind summed by center (model-sized, as Arrow): centers, counts,
+    sums and the number of tasks that gave rows.  Partial rows of few tasks come to the
+    driver as they are; the sums are exact, so they are the same either way."""
+    rows = state.where(F.col("kind") == kind).select("g", "m", "s")
+    if tasks is None:
+        t = _sum_arrays(rows.withColumn("tasks", F.lit(1).cast("long")), ["g"], ["s"], ["m", "tasks"]).toArrow()
+        tasks = max(t["tasks"].to_pylist(), default=0)
+    else:
+        t = rows.toArrow()
+    if not t.num_rows:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 1)), tasks
+    g, m = t["g"].to_numpy(), t["m"].to_numpy()
+    s = pc.list_flatten(t["s"].combine_chunks()).to_numpy().reshape(len(g), -1)
+    order = np.argsort(g, kind="stable")
+    heads = np.flatnonzero(np.concatenate([[True], np.diff(g[order]) > 0]))
+    return g[order][heads], np.add.reduceat(m[order], heads), np.add.reduceat(s[order], heads, axis=0), tasks
+
+
+def _lloyd_pruned(features: DataFrame, init: Centers, max_iter: int, tol: float, col: str,
+                  grid: exact.Fixed) -> SweepResult:
+    """``lloyd`` with bounds.  The state (blocks of rows with clusters and bounds) is
+    cached from pass to pass, one generation at a time, and written to the shared
+    folder every ``CUT`` passes."""
+    from cellar.session import shared_path
+    spark = features.sparkSession
+    ks = sorted(init)
+    d = init[ks[0]].shape[1]
+    first = np.concatenate([[0], np.cumsum([len(init[k]) for k in ks])])
+    centers = np.concatenate([init[k] for k in ks]).astype(np.float64)
+    near = np.concatenate([_half_nearest(init[k]) for k in ks])
+    moved, count = np.zeros(len(centers)), np.zeros(len(centers), np.int64)
+    sums = np.zeros((len(centers), 3 * d))
+    iters, done = {k: 0 for k in ks}, {k: False for k in ks}
+    state = features.select(col).mapInArrow(_packed(col, d), STATE_DDL)
+    cached, sent, tasks = None, [], None
+    #: one task's partial rows of all centers, in bytes
+    partial = len(centers) * (3 * d + 2) * 8
+
+    def step(active, cost):
+        sent.append(spark.sparkContext.broadcast((centers, first, moved, near, active, grid.exponent, cost)))
+        return state.where("kind = 0").mapInArrow(_stepped(sent[-1], d), STATE_DDL)
+
+    try:
+        for turn in range(max_iter):
+            active = [i for i, k in enumerate(ks) if not done[k]]
+            if not active:
+                break
+            state = step(active, False).persist(StorageLevel.MEMORY_AND_DISK)
+            few = tasks if tasks and tasks * partial <= MAX_CENTER_BYTES else None
+            g, m, s, seen = _merged(state, 1, few)
+            tasks = tasks or seen
+            if cached is not None:
+                cached.unpersist()
+            cached = state
+            if len(g):
+                count[g] += m
+                sums[g] += s
+            for i in active:
+                span = slice(first[i], first[i + 1])
+                live = np.flatnonzero(count[span] > 0) + first[i]
+                new = grid.mean(sums[live], count[live])
+                moved[span] = 0.0
+                moved[live] = np.linalg.norm(new - centers[live], axis=1) * (1 + 1e-12)
+                largest = float(np.linalg.norm(new - centers[live], axis=1).max())
+                centers[live] = new
+                near[span] = _half_nearest(centers[span])
+                iters[ks[i]] += 1
+                done[ks[i]] = largest <= tol
+            if turn % CUT == CUT - 1:
+                path = shared_path(spark, "kmeans", f"state-{uuid.uuid4().hex}")
+                state.where("kind = 0").write.parquet(path)
+                cached.unpersist()
+                cached, state = None, spark.read.schema(STATE_DDL).parquet(path)
+                while sent:
+                    sent.pop().destroy()
+        g, m, s, _ = _merged(step(list(range(len(ks))), True), 2, None)
+    finally:
+        if cached is not None:
+            cached.unpersist()
+        for bc in sent:
+            bc.destroy()
+    size, cost = np.zeros(len(centers), np.int64), np.zeros((len(centers), exact.WIDTH))
+    size[g], cost[g] = m, s
+    parts = [(k, slice(first[i], first[i + 1])) for i, k in enumerate(ks)]
+    return SweepResult({k: centers[p].copy() for k, p in parts}, {k: exact.cell_total(cost[p].sum(axis=0)) for k, p in parts},
+                       {k: size[p].copy() for k, p in parts}, iters, done)
+
+
 # --- model choice -------------------------------------------------------------------
 
 Chooser = Callable[[tuple[int, float], tuple[int, float]], float]
@@ -429,6 +798,15 @@ def cache_for_passes(features: DataFrame, col: str = "features",
     return features.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def _with_data(chooser) -> bool:
+    """Whether a chooser compares models with the data: the name of an index, or a
+    callable of three arguments (features, best, candidate)."""
+    from cellar.operators import choice
+    if isinstance(chooser, str):
+        return chooser in choice.INDICES
+    return isinstance(chooser, choice.Index) or len(inspect.signature(chooser).parameters) == 3
+
+
 def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEFAULT_K_RANGE[1],
           *, max_iter: int = DEFAULT_SWEEP_ITERATIONS, tol: float = DEFAULT_TOL,
           init_mode: str = "hash", key: str | Sequence[str] = "row_num", seed: int = DEFAULT_SEED,
@@ -438,7 +816,9 @@ def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEF
     every scan among all k (start: ``init_mode`` seeded "hash" order or "first"
     rows by key); ``method="ml"`` runs ``pyspark.ml`` K-Means (k-means|| start)
     once per k.  Every k above the number of rows is skipped and listed in
-    ``skipped``.  No k left -> ``chosen is None``."""
+    ``skipped``.  No k left -> ``chosen is None``.  ``chooser``: a rule over (k, cost)
+    (``CHOOSERS`` or a callable of two), or a comparator that gets the cached rows and
+    both models (``choice.INDICES`` or a callable of three)."""
     ks = list(range(int(k_min), int(k_max) + 1))
     if not ks:
         return SweepResult({}, {}, {}, {}, {}, None)
@@ -455,10 +835,16 @@ def sweep(features: DataFrame, k_min: int = DEFAULT_K_RANGE[0], k_max: int = DEF
                                col=col)
         else:
             raise ValueError(f"unknown method {method!r}")
+        result.skipped = [k for k in ks if k not in result.centers]
+        if _with_data(chooser):
+            from cellar.operators import choice
+            rows = cached if col == "features" else cached.withColumnRenamed(col, "features")
+            best = choice.choose_model(rows, choice.models_of(result), chooser, threshold)
+            result.chosen = None if best is None else best.k
+        else:
+            result.chosen = choose_k(list(result.wssse.items()), chooser, threshold)
     finally:
         cached.unpersist()
-    result.skipped = [k for k in ks if k not in result.centers]
-    result.chosen = choose_k(list(result.wssse.items()), chooser, threshold)
     return result
 
 

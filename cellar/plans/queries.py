@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellar.functions import cells as fc
+from cellar.operators import choice as ch
 from cellar.operators import compare as cmp
 from cellar.operators import features as feat
 from cellar.operators import grid as g
@@ -909,6 +910,56 @@ def q_choosers(spark, d):
     return spark.createDataFrame(rows, "chooser string, k int")
 
 
+_SPREAD_SQL = f"""
+, live AS (SELECT DISTINCT k, cluster FROM final_assign),
+d AS (SELECT c.k, p.key, a.cluster AS own, c.cluster, sqrt({sg.dist_sql('p.x', 'c.c', EMB_D)}) AS d
+      FROM pts p JOIN final_assign a ON a.key = p.key JOIN final_centers c ON c.k = a.k),
+ab AS (SELECT k, key, own, min(CASE WHEN cluster = own THEN d END) AS a, min(CASE WHEN cluster <> own THEN d END) AS b
+       FROM d GROUP BY k, key, own),
+sil AS (SELECT k, avg(CASE WHEN b > 0 THEN 1 - a / b ELSE 0 END) AS silhouette FROM ab GROUP BY k),
+spread AS (SELECT k, own AS cluster, avg(a) AS s FROM ab GROUP BY k, own),
+worst AS (SELECT x.k, x.cluster, max((x.s + y.s) / sqrt({sg.dist_sql('cx.c', 'cy.c', EMB_D)})) AS r
+          FROM spread x JOIN spread y ON y.k = x.k AND y.cluster <> x.cluster
+          JOIN final_centers cx ON cx.k = x.k AND cx.cluster = x.cluster
+          JOIN final_centers cy ON cy.k = y.k AND cy.cluster = y.cluster GROUP BY x.k, x.cluster),
+db AS (SELECT k, avg(r) AS davies_bouldin FROM worst GROUP BY k),
+held AS (SELECT k, sum(d2) AS cost FROM final_assign WHERE key % 3 = 0 GROUP BY k),
+score AS (SELECT * FROM sil JOIN db USING (k) JOIN held USING (k))"""
+
+
+def _fold_sql(gain: str, value: str) -> str:
+    """The k chosen by a fold over rising k; ``gain`` over the best ``a`` and candidate ``x``."""
+    return (f"(SELECT list_reduce(list(struct_pack(k := CAST(k AS INTEGER), v := {value}) ORDER BY k), "
+            f"lambda a, x: CASE WHEN {gain} > {km.SWITCH_THRESHOLD} THEN x ELSE a END).k FROM score)")
+
+
+@query("index_choice", "U4 M6 (models and data)", _SWEEP_SQL + _SPREAD_SQL + f"""
+SELECT CAST(k AS INTEGER) AS k, round(davies_bouldin, 4) AS davies_bouldin, round(silhouette, 4) AS silhouette,
+       {_fold_sql('a.v - x.v', 'davies_bouldin')} AS by_davies_bouldin,
+       {_fold_sql('x.v - a.v', 'silhouette')} AS by_silhouette,
+       {_fold_sql('(a.v - x.v) / x.k', 'cost')} AS by_held_rows
+FROM score
+""")
+def q_index_choice(spark, d):
+    """Models compared with the data: by both indices (one pass for all k), and by a
+    comparator of the caller that costs both models on a third of the rows."""
+    f = embedding_features(spark, d).select("row_num", "features")
+    sweep = lambda chooser: km.sweep(f, _SWEEP_KS[0], _SWEEP_KS[-1], max_iter=_SWEEP_ITERS, tol=-1.0,
+                                     init_mode="first", chooser=chooser)
+
+    def held_rows(features, best, candidate):
+        part = features.where(F.col("row_num") % 3 == 0)
+        cost = {r["k"]: r["wssse"] for r in km.wssse(part, {m.k: m.centers for m in (best, candidate)}).collect()}
+        return (cost[best.k] - cost[candidate.k]) / candidate.k
+
+    first = sweep("davies_bouldin")
+    picked = [first.chosen, sweep("silhouette").chosen, sweep(held_rows).chosen]
+    values = ch.index_values(f, ch.models_of(first))
+    return spark.createDataFrame(
+        [(k, round(v["davies_bouldin"], 4), round(v["silhouette"], 4), *picked) for k, v in values.items()],
+        "k int, davies_bouldin double, silhouette double, by_davies_bouldin int, by_silhouette int, by_held_rows int")
+
+
 @query("model_roundtrip", "K4 K5 K6 S6", """
 SELECT CAST(cluster AS INTEGER) AS cluster, true AS same_center, CAST(3 AS BIGINT) AS pmml_clusters
 FROM generate_series(0, 2) t(cluster) WHERE (SELECT count(*) FROM embeddings) >= 3
