@@ -5,6 +5,7 @@
 * ``dim_violations``  rows whose size differs from the most common one (M3)
 * ``scale_fit``       per-position mean and sample std in one pass (A3/M1)
 * ``scale_transform`` divide by std, zero-variance positions -> 0.0 (M2)
+* ``write_measured``  write features once and learn sizes, means and stds in that job
 
 ``scale_fit`` is one vector aggregate (``pyspark.ml.stat.Summarizer``) with a
 map-side partial step, so the shuffle carries ``partitions x width`` numbers
@@ -13,6 +14,7 @@ whatever the row count.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -91,6 +93,50 @@ def scale_fit(features: DataFrame, width: int | None = None, col: str = "feature
                     F.when(std.isNull() | F.isnan(std), F.lit(0.0)).otherwise(std).alias("std")))
 
 
+@dataclass(frozen=True)
+class Measured:
+    """What one write of the features found."""
+    n: int
+    min_size: int | None
+    max_size: int | None
+    scaler: "Scaler | None"     # None unless all sizes are the given width
+
+    def check(self, width: int) -> None:
+        """Raise unless there are rows and all have ``width`` values."""
+        if self.n == 0:
+            raise ValueError("no feature rows")
+        if self.min_size != self.max_size:
+            raise ValueError(f"vector sizes differ: min {self.min_size}, max {self.max_size}")
+        if self.min_size != width:
+            raise ValueError(f"vector size {self.min_size} differs from width {width}")
+
+
+def write_measured(features: DataFrame, width: int, path: str, col: str = "features") -> tuple[DataFrame, Measured]:
+    """Write feature rows as Parquet to ``path`` (shared storage) and read them back;
+    count, least and largest size, means and standard deviations are observed in the
+    same job, so what made the rows runs once.  Rows of another size count as zeros in
+    the moments, which then are not reported."""
+    from pyspark.ml.stat import Summarizer
+    from pyspark.sql import Observation
+
+    size = F.size(col)
+    whole = F.when(size == width, F.col(col)).otherwise(F.array_repeat(F.lit(0.0), width))
+    seen = Observation()
+    moments = Summarizer.metrics("mean", "std").summary(array_to_vector(whole))
+    features.observe(
+        seen, F.count(F.lit(1)).alias("n"), F.min(size).alias("min_size"), F.max(size).alias("max_size"),
+        *[vector_to_array(moments[x]).alias(x) for x in ("mean", "std")]).write.mode("overwrite").parquet(path)
+    back = features.sparkSession.read.schema(features.schema).parquet(path)
+    if back.isEmpty():  # a plan that is known to be empty observes nothing
+        return back, Measured(0, None, None, None)
+    got = seen.get
+    scaler = None
+    if got["n"] and got["min_size"] == got["max_size"] == width:
+        scaler = Scaler(tuple(0.0 if math.isnan(x) else float(x) for x in got["std"]),
+                        tuple(float(x) for x in got["mean"]))
+    return back, Measured(got["n"], got["min_size"], got["max_size"], scaler)
+
+
 @dataclass(frozen=True)
 class Scaler:
     """Fitted scaler: per-position std (and mean, for reports)."""

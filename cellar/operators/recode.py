@@ -208,22 +208,25 @@ def spec_updates(spec: Spec, columns: set[str], on_unmapped: str = "error",
     raise TypeError(f"unknown spec {spec!r}")
 
 
-def at_positions(specs: Sequence[Spec], names: Sequence[str], column) -> tuple[list[Spec], dict[str, str]]:
-    """Specs over header names -> specs over the columns ``column(position)``
-    of their first positions (a name the header lacks stays absent), and the
-    names of those columns for messages."""
-    first: dict[str, str] = {}
-    for pos, name in enumerate(names):
-        first.setdefault(name, column(pos))
+_COLUMN_FIELDS = ("column", "raw", "category", "sign", "magnitude", "primary", "hidden")
+
+
+def columns_of(specs: Sequence[Spec]) -> set[str]:
+    """The names of the columns that some specs read or write."""
+    return {getattr(s, f.name) for s in specs for f in fields(s) if f.name in _COLUMN_FIELDS}
+
+
+def at_places(specs: Sequence[Spec], places: dict[str, str]) -> tuple[list[Spec], dict[str, str]]:
+    """Specs over header names -> specs over the columns ``places[name]`` (a name that
+    is not there stays absent), and the names of those columns for messages."""
     out = []
     for spec in specs:
         own = {f.name: getattr(spec, f.name) for f in fields(spec)}
-        held = [f for f in ("column", "raw", "category", "sign", "magnitude", "primary", "hidden") if f in own]
-        moved = {f: first.get(own[f], f"absent {own[f]}") for f in held}
+        moved = {f: places.get(own[f], f"absent {own[f]}") for f in _COLUMN_FIELDS if f in own}
         if "table" in own and own["table"] is None:
             moved["table"] = own.get("column") or own.get("category")
         out.append(replace(spec, **moved))
-    return out, {column: name for name, column in first.items()}
+    return out, {column: name for name, column in places.items()}
 
 
 def recode(table: DataFrame, specs: Sequence[Spec] | None = None, *, on_unmapped: str = "error",

@@ -105,7 +105,7 @@ FROM part
 """)
 def q_sheet_width(spark, d):
     cells = lineitem_sparse_cells(spark, d).unionByName(part_cells(spark, d))
-    return g.sheet_width(cells.where(F.col("row_num") != 0))
+    return g.sheet_width(cells.where(F.col("row_num") != 0)).select("sheet", "max_col")
 
 
 @query("grid_densify", "P9 P13", f"""
@@ -116,7 +116,7 @@ SELECT concat_ws(',', {P('l_tax')}, {P('l_quantity')}, {P('l_extendedprice')},
 FROM lineitem
 """.replace('"', "'"))
 def q_grid_densify(spark, d):
-    grid = g.densify(g.render(lineitem_sparse_cells(spark, d)))
+    grid = g.densify(lineitem_sparse_cells(spark, d), rendering={})
     return grid.select(fc.assemble("cells").alias("line"), F.size("cells").alias("n_cells"))
 
 
@@ -1062,7 +1062,7 @@ def q_grid_empty_rows(spark, d):
         "l_orderkey", *[F.when(~gone, F.col(c)).alias(c) for c in LINE_FEAT_COLS], F.lit(None).cast("double").alias("nothing"))
     cols = [*LINE_FEAT_COLS, "nothing"]
     cells = src.melt(li.withColumn("row", F.monotonically_increasing_id()), "row", cols, header=False)
-    grid = g.densify(g.render(cells), width=len(cols) - 1)
+    grid = g.densify(cells, width=len(cols) - 1, rendering={})
     direct = src.grid_from_table(li, None, cols, header=False)
     a = grid.groupBy("cells").agg(F.count(F.lit(1)).alias("n"))
     b = direct.groupBy("cells").agg(F.count(F.lit(1)).alias("n_direct"))
@@ -1118,6 +1118,30 @@ def q_two_workbooks(spark, d):
                               pick("price").alias("only_b"))
 
 
+@query("sheets_of_two_widths", "P1 P9 A1 (per sheet)", f"""
+SELECT 'a' AS workbook, 'wide' AS sheet, p_partkey + 1 AS row_num, concat_ws(',', p_name, p_brand, {P('p_size')}, '0', p_type) AS line
+FROM part
+UNION ALL SELECT 'a', 'narrow', c_custkey + 1, c_mktsegment FROM customer
+UNION ALL SELECT 'b', 'narrow', o_orderkey + 1, concat_ws(',', '0', o_orderstatus,
+    CASE WHEN o_orderkey % 3 = 0 THEN greatest(o_orderpriority, 'corrected') ELSE o_orderpriority END) FROM orders
+""")
+def q_sheets_of_two_widths(spark, d):
+    """Sheets of 5, 1 and 3 columns densified together, two of them of one name: each
+    keeps its own width.  Some cells of the third are given twice: the larger text stays."""
+    t = lambda n: table(spark, d, n)
+    o = t("orders")
+    wide = src.melt(t("part").withColumn("none", F.lit(None).cast("string")), "p_partkey",
+                    ["p_name", "p_brand", "p_size", "none", "p_type"], sheet="wide", workbook="a", header=False)
+    narrow = src.melt(t("customer"), "c_custkey", ["c_mktsegment"], sheet="narrow", workbook="a", header=False)
+    third = src.melt(o.withColumn("none", F.lit(None).cast("string")), "o_orderkey",
+                     ["none", "o_orderstatus", "o_orderpriority"], sheet="narrow", workbook="b", header=False)
+    twice = o.where("o_orderkey % 3 = 0").select(
+        F.lit("b").alias("workbook"), F.lit("narrow").alias("sheet"), (F.col("o_orderkey") + 1).alias("row_num"),
+        F.lit(2).alias("col_num"), F.lit("string").alias("cell_type"), F.lit("corrected").alias("value"))
+    grid = g.densify(wide.unionByName(narrow).unionByName(third).unionByName(twice), rendering={})
+    return grid.select("workbook", "sheet", "row_num", fc.assemble("cells").alias("line"))
+
+
 @query("two_codebooks", "S4 A7", """
 SELECT p_type AS name, coalesce(arg_max(p_brand, p_partkey) FILTER (WHERE p_partkey % 2 = 1),
                                 arg_max(p_name, p_partkey)) AS description
