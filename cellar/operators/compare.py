@@ -23,11 +23,14 @@ def diff_counts(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def dataset_diff(left: DataFrame, right: DataFrame) -> DataFrame:
     """``(side, *columns)``: rows of ``left`` missing from ``right`` (side
-    "left_only") and the reverse ("right_only"), duplicates counted."""
+    "left_only") and the reverse ("right_only"), duplicates counted.  One aggregate
+    over both inputs (``diff_counts``); each surplus row comes out as often as it is
+    in surplus."""
     cols = left.columns
-    right = right.select(*cols)
-    return (left.exceptAll(right).select(F.lit("left_only").alias("side"), *cols)
-            .unionAll(right.exceptAll(left).select(F.lit("right_only").alias("side"), *cols)))
+    surplus = F.col("left_n") - F.col("right_n")
+    side = F.when(surplus > 0, F.lit("left_only")).otherwise(F.lit("right_only"))
+    return diff_counts(left, right.select(*cols)).select(
+        side.alias("side"), *cols, F.explode(F.sequence(F.lit(1).cast("long"), F.abs(surplus))).alias("_time")).drop("_time")
 
 
 def same_rows(left: DataFrame, right: DataFrame) -> bool:

@@ -37,10 +37,13 @@ def to_features(grid: DataFrame, default: float = 0.0, keep=None,
 
 def numeric_features(df: DataFrame, columns, keep=(), default: float = 0.0) -> DataFrame:
     """Table columns -> ``(*keep, row_num, features)`` by direct casts; text that
-    is no number and NULL give ``default``."""
+    is no number and NULL give ``default``.  A ``row_num`` of the table is taken (see
+    ``sources.tables.number_rows``); without one, rows get unique numbers that depend on
+    how the table is split."""
     types = dict(df.dtypes)
+    number = F.col("row_num") if "row_num" in types else F.monotonically_increasing_id() + 1
     one = [(F.col(c).try_cast("double") if types[c] == "string" else F.col(c).cast("double")) for c in columns]
-    return df.select(*keep, (F.monotonically_increasing_id() + 1).alias("row_num"),
+    return df.select(*keep, number.alias("row_num"),
                      F.array(*[F.coalesce(x, F.lit(float(default))) for x in one]).alias("features"))
 
 

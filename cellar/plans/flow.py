@@ -25,7 +25,7 @@ from cellar.operators import lookup as lk
 from cellar.operators import recode as rc
 from cellar.operators import report as rp
 from cellar.session import shared_path
-from cellar.sinks.files import load_centers, save_chosen, write_vector_text
+from cellar.sinks.files import load_chosen, save_chosen, write_vector_text
 from cellar.sources.tables import select_sheet
 
 
@@ -132,7 +132,7 @@ def cluster_flow(sf: SheetFeatures, *, codebook: DataFrame | None = None, k_min:
     chosen = {} if result.chosen is None else {result.chosen: result.centers[result.chosen]}
     if chosen and save_to:
         save_chosen(km.centers_frame(spark, chosen), f"{save_to}/model")
-        chosen = km.centers_from_frame(load_centers(spark, f"{save_to}/model/centers"))
+        chosen = km.centers_from_frame(load_chosen(spark, f"{save_to}/model"))
     centers = km.centers_frame(spark, chosen) if chosen else \
         spark.createDataFrame([], "k int, cluster int, center array<double>")
     header = sf.header.select("pos", "name") if sf.header is not None else None

@@ -25,6 +25,7 @@ from cellar.operators import grid as g
 from cellar.operators import kmeans as km
 from cellar.operators import lookup as lk
 from cellar.operators import recode as rc
+from cellar.operators import recode_data as rd
 from cellar.operators import recode_tables as rt
 from cellar.operators import report as rp
 from cellar.plans import flow as fl
@@ -888,8 +889,8 @@ def q_chosen_model(spark, d):
     path = _fresh(spark, "chosen")
     sk.save_chosen(km.centers_frame(spark, {2: res.centers[2]}), path)
     sk.save_chosen(km.centers_frame(spark, {res.chosen: res.centers[res.chosen]}), path)
-    saved = sk.load_centers(spark, f"{path}/centers").select("cluster", F.posexplode("center").alias("pos", "v"))
-    pmml = sk.load_pmml_centers(spark, f"{path}/pmml").select("cluster", F.posexplode("center").alias("pos", "p"))
+    saved = sk.load_chosen(spark, path).select("cluster", F.posexplode("center").alias("pos", "v"))
+    pmml = sk.load_pmml_centers(spark, sk.chosen_path(spark, path, "pmml")).select("cluster", F.posexplode("center").alias("pos", "p"))
     return saved.join(pmml, ["cluster", "pos"], "full").select(
         "cluster", "pos", F.round("v", 4).alias("value"), F.round("p", 4).alias("pmml_value"))
 
@@ -991,6 +992,91 @@ def q_vector_roundtrip(spark, d):
     return back.select(*[F.round(F.col("features")[i], 4).alias(f"x{i}") for i in range(4)])
 
 
+@query("feature_text_numbers", "S3 S7 (row numbers)", """
+SELECT row_number() OVER () AS row_num, round(l_quantity, 4) AS x0, round(l_extendedprice, 4) AS x1, true AS same_table_row
+FROM lineitem
+""")
+def q_feature_text_numbers(spark, d):
+    """Lineitem as feature text in the order of the table, read back with line numbers;
+    the table's own row numbers agree."""
+    path = _fresh(spark, "numbered")
+    own = feat.numeric_features(src.number_rows(table(spark, d, "lineitem")), LINE_FEAT_COLS)
+    sk.write_ordered_text(own.select("row_num", fc.vector_text("features").alias("t")), path, ["row_num"], "t", parts=5)
+    back = src.read_feature_text(spark, path)
+    same = own.select(F.col("row_num").alias("n"), F.col("features").alias("f"))
+    return back.join(same, F.col("row_num") == F.col("n")).select(
+        "row_num", *[F.round(F.col("features")[i], 4).alias(f"x{i}") for i in range(2)],
+        (F.col("features") == F.col("f")).alias("same_table_row"))
+
+
+_BLANKS = "concat(repeat(' ', CAST(p_partkey % 3 AS INTEGER)), p_name, CASE WHEN p_partkey % 2 = 0 THEN '  ' ELSE '' END)"
+
+
+@query("csv_blanks", "K1 (blanks and control characters)", f"""
+SELECT p_partkey + 1 AS row_num, {_BLANKS} AS padded, CASE WHEN p_partkey % 4 = 0 THEN '' ELSE ' ' END AS blank,
+       p_brand || chr(92) || 'n,"' || chr(10) || chr(9) AS mixed FROM part
+""")
+def q_csv_blanks(spark, d):
+    """Cells with blanks at their ends, of blanks only, and with quotes, separators,
+    backslashes and line breaks come back as they were."""
+    k = F.col("p_partkey")
+    cells = F.array(F.expr(_BLANKS), F.when(k % 4 == 0, "").otherwise(" "), F.concat("p_brand", F.lit('\\n,"\n\t')))
+    grid = table(spark, d, "part").select(F.lit("part").alias("sheet"), (k + 1).alias("row_num"), cells.alias("cells"))
+    path = _fresh(spark, "csv")
+    sk.write_grid_csv(grid, path, 3)
+    return sk.read_grid_csv(spark, path, 3).select(
+        "row_num", *[F.col("cells")[i].alias(c) for i, c in enumerate(("padded", "blank", "mixed"))])
+
+
+_CODED_ORDERS = f"""
+codes AS (SELECT 'cust' AS col, CAST(c_custkey AS VARCHAR) AS code, c_acctbal AS value FROM customer WHERE c_custkey % 10 <> 3
+          UNION ALL SELECT 'prio', CAST(n_nationkey AS VARCHAR), CAST(n_regionkey AS DOUBLE) + 0.5 FROM nation WHERE n_nationkey <> 4),
+o AS (SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS cust, substr(o_orderpriority, 1, 1) AS prio FROM orders)"""
+
+
+def _coded_orders(spark, d):
+    t = lambda n: table(spark, d, n)
+    codes = t("customer").where("c_custkey % 10 <> 3").select(
+        F.lit("cust").alias("column"), F.col("c_custkey").cast("string").alias("code"), F.col("c_acctbal").alias("value"))
+    codes = codes.unionAll(t("nation").where("n_nationkey <> 4").select(
+        F.lit("prio"), F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("double") + 0.5))
+    orders = t("orders").select("o_orderkey", F.col("o_custkey").cast("string").alias("cust"),
+                                F.substring("o_orderpriority", 1, 1).alias("prio"))
+    return orders, codes
+
+
+@query("recode_from_table", "R3 R8 J5 (code table as data)", f"""
+WITH {_CODED_ORDERS}
+SELECT o_orderkey, {P('c.value')} AS cust, coalesce({P('p.value')}, o.prio) AS prio
+FROM o LEFT JOIN codes c ON c.col = 'cust' AND c.code = o.cust LEFT JOIN codes p ON p.col = 'prio' AND p.code = o.prio
+""")
+def q_recode_from_table(spark, d):
+    """Two columns of orders recoded from tables that are data: customer balances by
+    customer key (unknown ones become NULL), nation regions by priority digit (unknown
+    ones stay)."""
+    orders, codes = _coded_orders(spark, d)
+    out = rd.recode_from(orders, codes, ["cust"], on_unmapped="null", key=["o_orderkey"])
+    return rd.recode_from(out, codes, ["prio"], on_unmapped="keep", key=["o_orderkey"])
+
+
+@query("audit_from_table", "R8 (code table as data)", f"""
+WITH {_CODED_ORDERS}, cells AS (SELECT 'cust' AS col, cust AS code FROM o UNION ALL SELECT 'prio', prio FROM o)
+SELECT col AS "column", code, count(*) AS n FROM cells ANTI JOIN codes USING (col, code) GROUP BY ALL
+""")
+def q_audit_from_table(spark, d):
+    return rd.audit_from(*_coded_orders(spark, d))
+
+
+@query("registered_table", "R9", """
+SELECT o_orderkey, CASE substr(o_orderpriority, 1, 1) WHEN '1' THEN '0.25' WHEN '2' THEN '3' WHEN '3' THEN '10'
+  WHEN '4' THEN '-1' WHEN '5' THEN '100000' END AS prio FROM orders
+""")
+def q_registered_table(spark, d):
+    """A caller's own code table, whose values must be numbers."""
+    rt.register_table("order_days", {"1": 0.25, "2": 3, "3": 10.0, "4": -1, "5": 1e5})
+    return rc.recode(orders_codes(spark, d), [rc.Category("prio", "order_days")]).select("o_orderkey", "prio")
+
+
 @query("csv_roundtrip", "K1", f"""
 SELECT 'part' AS sheet, CAST(0 AS BIGINT) AS row_num, '{",".join(PART_COLS)}' AS line
 UNION ALL

@@ -2,13 +2,16 @@
 text, K-Means models (native and PMML) and centers tables.
 
 Every writer takes a target path and a save mode; ``overwrite`` replaces the
-target (the usual "clear the output folder first").  Paths should live on
+target (the usual "clear the output folder first").  A chosen model, which has several
+parts, is replaced as a whole: a new version is written beside the old one and takes
+effect with the last write (``save_chosen``).  Paths should live on
 shared storage; ``cellar.session.shared_path`` builds one under the session's
 checkpoint folder.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,29 +28,44 @@ def write_grid_csv(grid: DataFrame, path: str, width: int, *, mode: str = "overw
                    keep: Sequence[str] | None = None) -> str:
     """Grid rows -> CSV: the row's keys (workbook, sheet, row_num, as far as the
     grid has them), then one column per cell.  Cells holding the separator or
-    quotes are quoted; backslashes and line breaks are written as ``\\\\`` and
-    ``\\n`` / ``\\r``, so that every row is one line and the files can be split."""
+    quotes are quoted, blanks at their ends stay; backslashes, line breaks and NULs are
+    written as ``\\\\``, ``\\n`` / ``\\r`` and ``\\0``, so that every row is one line and the
+    files can be split."""
     keep = _grid_keys(grid) if keep is None else list(keep)
-    cells = F.transform("cells", lambda x: F.replace(F.replace(F.replace(
-        x, F.lit("\\"), F.lit("\\\\")), F.lit("\n"), F.lit("\\n")), F.lit("\r"), F.lit("\\r")))
+    marks = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\0", "\\0"))
+
+    def marked(x):
+        for plain, mark in marks:
+            x = F.replace(x, F.lit(plain), F.lit(mark))
+        return x
+    cells = F.transform("cells", marked)
     cols = [cells[i].alias(f"c{i}") for i in range(width)]
-    grid.select(*keep, *cols).write.mode(mode).option("header", False) \
-        .option("escape", '"').csv(path)
+    _exact(grid.select(*keep, *cols).write.mode(mode).option("header", False)).csv(path)
     return path
 
 
+def _exact(io):
+    """CSV options of ``write_grid_csv``: nothing is trimmed."""
+    return io.options(escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+
+
 def read_grid_csv(spark: SparkSession, path: str, width: int,
                   keep: Sequence[str] = ("sheet", "row_num")) -> DataFrame:
     """CSV written by ``write_grid_csv`` -> grid rows.  Files are split among
     tasks."""
     schema = ", ".join([f"{k} {'bigint' if k == 'row_num' else 'string'}" for k in keep]
                        + [f"c{i} string" for i in range(width)])
-    df = spark.read.schema(schema).option("escape", '"').csv(path)
+    df = _exact(spark.read.schema(schema)).csv(path)
 
     def plain(c):
-        c = F.replace(F.coalesce(F.col(c), F.lit("")), F.lit("\\\\"), F.lit("\x00"))
-        c = F.replace(F.replace(c, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
-        return F.replace(c, F.lit("\x00"), F.lit("\\"))
+        # between doubled backslashes, read from the left, a backslash begins a mark
+        parts = F.split(F.coalesce(F.col(c), F.lit("")), r"\\\\", -1)
+
+        def unmarked(x):
+            for mark, text in (("\\n", "\n"), ("\\r", "\r"), ("\\0", "\0")):
+                x = F.replace(x, F.lit(mark), F.lit(text))
+            return x
+        return F.array_join(F.transform(parts, unmarked), "\\")
     return df.select(*keep, F.array(*[plain(f"c{i}") for i in range(width)]).alias("cells"))
 
 
@@ -129,15 +147,84 @@ def pmml_lines(centers: DataFrame) -> DataFrame:
     return one.select(F.posexplode(lines).alias("line_no", "line"))
 
 
-def save_chosen(centers: DataFrame, path: str) -> str:
-    """A chosen model's centers ``(k, cluster, center)`` -> ``path/centers`` (Parquet)
-    and ``path/pmml`` (one document); both targets are replaced."""
-    save_centers(centers, f"{path}/centers")
+MANIFEST = "name string, version long"
+
+
+def save_chosen(centers: DataFrame, path: str, *, keep_versions: int = 2) -> str:
+    """A chosen model's centers ``(k, cluster, center)`` as a new version under ``path``:
+    ``centers`` (Parquet), ``pmml`` (one document) and ``native`` (a saved
+    ``pyspark.mllib`` K-Means model), each written whole.
+
+    The version counts from the moment its row is added to the manifest, which is
+    written last; a failure before leaves the earlier version in place, all parts of
+    one model.  Folders of versions older than the last ``keep_versions``, and of failed
+    writes, are removed afterwards."""
+    spark = centers.sparkSession
+    last = _last_version(spark, path)
+    version = (last["version"] if last else 0) + 1
+    name = f"v{version}-{uuid.uuid4().hex[:12]}"
+    folder = f"{path}/versions/{name}"
+    save_centers(centers, f"{folder}/centers")
     (pmml_lines(centers).coalesce(1).sortWithinPartitions("line_no").select(F.col("line").alias("value"))
-     .write.mode("overwrite").text(f"{path}/pmml"))
+     .write.mode("overwrite").text(f"{folder}/pmml"))
+    _save_native(centers, f"{folder}/native")
+    spark.createDataFrame([(name, version)], MANIFEST).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    _forget(spark, path, keep_versions)
     return path
 
 
+def _save_native(centers: DataFrame, path: str) -> None:
+    from pyspark.mllib.clustering import KMeansModel
+    rows = sorted(centers.select("cluster", "center").collect(), key=lambda r: r["cluster"])   # model-sized
+    KMeansModel([r["center"] for r in rows]).save(centers.sparkSession.sparkContext, path)
+
+
+def _file_system(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, where = _file_system(spark, path)
+    return files.exists(where)
+
+
+def _last_version(spark: SparkSession, path: str):
+    if not _exists(spark, f"{path}/manifest"):
+        return None
+    rows = spark.read.schema(MANIFEST).parquet(f"{path}/manifest").orderBy(F.desc("version"), F.desc("name")).limit(1).collect()
+    return rows[0] if rows else None
+
+
+def _forget(spark: SparkSession, path: str, keep: int) -> None:
+    kept = {r["name"] for r in spark.read.schema(MANIFEST).parquet(f"{path}/manifest")
+            .orderBy(F.desc("version"), F.desc("name")).limit(keep).collect()}
+    files, where = _file_system(spark, f"{path}/versions")
+    for found in files.listStatus(where):
+        if found.getPath().getName() not in kept:
+            files.delete(found.getPath(), True)
+
+
+def chosen_path(spark: SparkSession, path: str, part: str = "centers") -> str:
+    """Where the current version of a chosen model has its ``centers``, ``pmml`` or
+    ``native`` model."""
+    last = _last_version(spark, path)
+    if last is None:
+        raise ValueError(f"no chosen model at {path!r}")
+    return f"{path}/versions/{last['name']}/{part}"
+
+
+def load_chosen(spark: SparkSession, path: str) -> DataFrame:
+    """``(k, cluster, center)`` of the current version."""
+    return load_centers(spark, chosen_path(spark, path))
+
+
+def load_chosen_model(spark: SparkSession, path: str):
+    """The current version as a ``pyspark.mllib`` K-Means model."""
+    from pyspark.mllib.clustering import KMeansModel
+    return KMeansModel.load(spark.sparkContext, chosen_path(spark, path, "native"))
+
+
 def load_pmml_centers(spark: SparkSession, path: str) -> DataFrame:
     """``(cluster, center)`` from a PMML document of ``save_chosen``."""
     found = spark.read.text(path).select(

@@ -150,17 +150,61 @@ def select_sheet(cells: DataFrame, sheet: str, check: bool = True) -> DataFrame:
     return picked
 
 
+#: Offsets of at most this many blocks of files are sent to all tasks.
+FEW_BLOCKS = 10_000
+
+
+def _numbered(rows: DataFrame, block: Sequence[str], place: Column, first: int) -> DataFrame:
+    """Rows with ``row_num``: ``first`` + rows of the blocks before + place in the block.
+    Counts per block (one row each) reach the driver, which sums them up in the order
+    of ``block``; rows do not."""
+    spark = rows.sparkSession
+    counts = sorted(rows.groupBy(*block).agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("low")).collect(),
+                    key=lambda r: tuple(r[b] for b in block))
+    starts, total = [], first
+    for r in counts:
+        starts.append((*(r[b] for b in block), total, r["low"]))
+        total += r["n"]
+    schema = ", ".join(f"_b{i} {rows.schema[b].dataType.simpleString()}" for i, b in enumerate(block))
+    offsets = spark.createDataFrame(starts, f"{schema}, _start long, _low long")
+    on = [F.col(b) == F.col(f"_b{i}") for i, b in enumerate(block)]
+    joined = rows.join(F.broadcast(offsets) if len(starts) <= FEW_BLOCKS else offsets, on)
+    return joined.withColumn("row_num", F.col("_start") + place - F.col("_low")).drop(
+        "_start", "_low", *[f"_b{i}" for i in range(len(block))])
+
+
 def read_feature_text(spark: SparkSession, path: str, sep: str = ",",
-                      line_sep: str | None = None, default: float = 0.0) -> DataFrame:
+                      line_sep: str | None = None, default: float = 0.0, work: str | None = None) -> DataFrame:
     """Delimited text -> ``(row_num, features)``.  Lines may carry the
     ``[a,b]`` brackets the vector text sink writes.  Tokens that do not parse
     become ``default``; trailing empty tokens are dropped as a plain split
-    does.  ``row_num`` starts at 1 (0 is the header's number)."""
+    does.
+
+    ``row_num`` counts the lines from 1 (0 is the header's number), files in the order
+    of their names, however the files are split among tasks.  The text is read once:
+    features go to the shared folder (``work``, or the session's) with the block of the
+    file they stand in; the blocks' counts give each its first number."""
+    import uuid
+
+    from cellar.session import shared_path
     reader = spark.read
     if line_sep:
         reader = reader.option("lineSep", line_sep)
-    lines = reader.text(path)
+    lines = reader.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"))   # rising within a block
     body = F.regexp_replace(F.col("value"), r"^\[|\]$", "")
-    return lines.select((F.monotonically_increasing_id() + 1).alias("row_num"),
-                        parse_cells(tokenize(body, sep, drop_trailing_empty=True), default)
-                        .alias("features"))
+    parsed = lines.select("file", "block", "place", parse_cells(
+        tokenize(body, sep, drop_trailing_empty=True), default).alias("features"))
+    kept = f"{work}/features-{uuid.uuid4().hex}" if work else shared_path(spark, "text", f"features-{uuid.uuid4().hex}")
+    parsed.write.parquet(kept)
+    return _numbered(spark.read.schema(parsed.schema).parquet(kept), ["file", "block"], F.col("place"), 1).select(
+        "row_num", "features")
+
+
+def number_rows(table: DataFrame, first: int = 1) -> DataFrame:
+    """A Parquet table with ``row_num``: ``first``, ``first`` + 1, ... in the order of its
+    files' names and the rows in them, however the files are split among tasks.  Two
+    passes: rows per file, then the numbers."""
+    placed = table.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_place"))
+    return _numbered(placed, ["_file"], F.col("_place"), first).drop("_file", "_place")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellar.plans import flow as fl
+from cellar.sinks.files import load_chosen
 from cellar.sources.workbook import read_workbooks
 from xlsx import write_xlsx
 
@@ -92,6 +93,6 @@ def test_full_flow(spark, cells, tmp_path):
     assert lines[-2].startswith("Within Set Sum of Squared Errors = ")
     assert sum(x.startswith("Number for non-zero columns") for x in lines) == k
     assert spark.read.text(str(tmp_path / "out/vectors")).count() == 60
-    assert spark.read.parquet(str(tmp_path / "out/model/centers")).count() == k
+    assert load_chosen(spark, str(tmp_path / "out/model")).count() == k
     none = fl.cluster_flow(sf, k_min=5, k_max=4)
     assert [r["line"] for r in none.lines.collect()][0].startswith("No K-Means clustering model")

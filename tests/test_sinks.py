@@ -5,22 +5,24 @@ import glob
 import os
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cellar.operators import kmeans as km
 from cellar.sinks import files as sk
-from cellar.sources.tables import read_feature_text
+from cellar.sources.tables import number_rows, read_feature_text
 
 
 def test_csv_quotes_separators(spark, tmp_path):
-    grid = spark.createDataFrame([("s", 1, ["a,b", 'say "hi"', "x\ny"]), ("s", 2, ["1", "", "3"]), ("t", 1, ["\\n", "a\\\\b", "\r\n"])],
+    grid = spark.createDataFrame([("s", 1, ["a,b", 'say "hi"', "x\ny"]), ("s", 2, ["1", "", "3"]), ("t", 1, ["\\n", "a\\\\b", "\r\n"]),
+                                  ("t", 2, ["  lead", "trail  ", " "]), ("t", 3, ["a\0b", "\\0", "\\\n\\\\n"]), ("t", 4, ["", "\t", "\u3000x"])],
                                  "sheet string, row_num bigint, cells array<string>")
     path = str(tmp_path / "csv")
     sk.write_grid_csv(grid, path, 3)
     back = {(r["sheet"], r["row_num"]): r["cells"] for r in sk.read_grid_csv(spark, path, 3).collect()}
     assert back == {(r["sheet"], r["row_num"]): r["cells"] for r in grid.collect()}
     # one line a row: the files can be split
-    assert spark.read.text(path).count() == 3
+    assert spark.read.text(path).count() == 6
 
 
 def test_ordered_text(spark, tmp_path):
@@ -61,22 +63,72 @@ def test_centers_and_model_roundtrip(spark, tmp_path):
     assert "ClusteringModel" in text
 
 
+FIRST, SECOND = np.array([[0.5, 1.0], [2.0, 3.0], [9.0, 9.0]]), np.array([[0.25, -1.0], [1e-7, 3.0]])
+
+
+def current(spark, path):
+    """(centers, PMML centers, native centers) of the version that readers see."""
+    pmml = sk.load_pmml_centers(spark, sk.chosen_path(spark, path, "pmml")).orderBy("cluster").collect()
+    return (next(iter(km.centers_from_frame(sk.load_chosen(spark, path)).values())).tolist(), [r["center"] for r in pmml],
+            [list(c) for c in sk.load_chosen_model(spark, path).clusterCenters])
+
+
 def test_chosen_model_replaces_the_earlier(spark, tmp_path):
     path = str(tmp_path / "chosen")
-    for centers in (np.array([[0.5, 1.0], [2.0, 3.0], [9.0, 9.0]]), np.array([[0.25, -1.0], [1e-7, 3.0]])):
+    with pytest.raises(ValueError, match="no chosen model"):
+        sk.load_chosen(spark, path)
+    for centers in (FIRST, FIRST, SECOND):
         sk.save_chosen(km.centers_frame(spark, {len(centers): centers}), path)
-    assert km.centers_from_frame(sk.load_centers(spark, path + "/centers"))[2].tolist() == [[0.25, -1.0], [1e-7, 3.0]]
-    pmml = {r["cluster"]: r["center"] for r in sk.load_pmml_centers(spark, path + "/pmml").collect()}
-    assert pmml == {0: [0.25, -1.0], 1: [1e-7, 3.0]}
+    assert current(spark, path) == (SECOND.tolist(),) * 3
+    assert len(os.listdir(tmp_path / "chosen/versions")) == 2   # older ones are gone
     import xml.etree.ElementTree as ET
-    doc = ET.fromstring("\n".join(r["value"] for r in spark.read.text(path + "/pmml").collect()))
+    doc = ET.fromstring("\n".join(r["value"] for r in spark.read.text(sk.chosen_path(spark, path, "pmml")).collect()))
     assert doc.tag.endswith("PMML")
 
 
+@pytest.mark.parametrize("part", ["save_centers", "pmml_lines", "_save_native"])
+def test_a_failed_save_leaves_the_earlier_model(spark, tmp_path, monkeypatch, part):
+    """Whatever write fails, readers see all parts of the old model; the next save works."""
+    path = str(tmp_path / "chosen")
+    sk.save_chosen(km.centers_frame(spark, {3: FIRST}), path)
+    whole = getattr(sk, part)
+
+    def fail(*args):
+        whole(*args)
+        raise OSError("lost")
+    monkeypatch.setattr(sk, part, fail)
+    with pytest.raises(OSError):
+        sk.save_chosen(km.centers_frame(spark, {2: SECOND}), path)
+    assert current(spark, path) == (FIRST.tolist(),) * 3
+    monkeypatch.setattr(sk, part, whole)
+    sk.save_chosen(km.centers_frame(spark, {2: SECOND}), path)
+    assert current(spark, path) == (SECOND.tolist(),) * 3
+
+
+def test_row_numbers_do_not_depend_on_the_split(spark, tmp_path):
+    lines = spark.range(5000).select(F.format_string("[%d.0,%d.5]", F.col("id"), F.col("id") % 7).alias("value"))
+    lines.coalesce(1).write.text(str(tmp_path / "text"))
+    spark.range(5000).select((F.col("id") * 3).alias("v")).coalesce(1).write.parquet(str(tmp_path / "table"))
+    seen, chosen = [], []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("134217728", "4096"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            back = read_feature_text(spark, str(tmp_path / "text"))
+            seen.append(sorted((r["row_num"], r["features"][0]) for r in back.collect()))
+            res = km.sweep(back, 2, 4, max_iter=4)
+            chosen.append((res.chosen, res.wssse, [c.tolist() for c in res.centers.values()]))
+            numbered = number_rows(spark.read.parquet(str(tmp_path / "table")))
+            assert sorted((r["row_num"], r["v"]) for r in numbered.collect()) == [(i + 1, 3 * i) for i in range(5000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0] == seen[1] == [(i + 1, float(i)) for i in range(5000)]
+    assert chosen[0] == chosen[1]
+
+
 def test_shared_folder_must_be_named():
     """On a cluster a session without a shared folder is refused."""
     from types import SimpleNamespace
-    import pytest
     from cellar.session import checkpoint_dir
     sc = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
     session = SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: d), sparkContext=sc)
