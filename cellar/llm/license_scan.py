@@ -20,7 +20,7 @@ columns of the input are not read.
 from __future__ import annotations
 
 import re
-from functools import lru_cache
+import sys
 
 import numpy as np
 import pyarrow as pa
@@ -87,8 +87,17 @@ def differences(template: list[str], words: list[str]) -> tuple[int, int, int]:
     return int(cost[end]), int(start[end]), end
 
 
-@lru_cache(maxsize=4)
 def _coders(names: tuple[tuple[str, str], ...]):
+    """Made once per worker process and kept between tasks."""
+    kept = vars(sys).setdefault("_cellar_coders", {})
+    if names not in kept:
+        if len(kept) > 3:
+            kept.clear()
+        kept[names] = _new_coders(names)
+    return kept[names]
+
+
+def _new_coders(names: tuple[tuple[str, str], ...]):
     make = lambda d: zstandard.ZstdCompressor(
         level=19, write_content_size=False, write_checksum=False, write_dict_id=False, **d)
     alone = make({})

@@ -39,6 +39,8 @@ CAPACITY = 4096
 END_ID = 1
 #: A worker keeps the ids of up to twice as many words and word parts.
 CACHED = 150_000
+#: Longer words are not cached.
+LONG = 64
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -51,6 +53,8 @@ class Recent(dict):
         self.make, self.old = make, {}
 
     def __missing__(self, key):
+        if len(key) > LONG:  # not kept, so that the cache is bounded in bytes too
+            return self.make(key)
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
@@ -64,14 +68,17 @@ class Recent(dict):
 class WordIds:
     """Word (no ASCII white space in it) -> its token ids, as the bytes of
     unsigned 32-bit numbers.  The tokenizer drops white space and never joins
-    across it, so a text's ids are those of its words, one after the other."""
+    across it, so a text's ids are those of its words, one after the other.  A text
+    in which an added token (such as a literal end-of-text mark) may stand goes
+    through the tokenizer whole."""
 
     def __init__(self, path: str):
         import regex
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = regex.compile("|".join(map(regex.escape, added)).encode() or b"(?!)", regex.I).search
         # fixed values: how the tokenizer file splits, and its letters for bytes
         self.split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
@@ -91,6 +98,12 @@ class WordIds:
             return b"".join(map(self.parts.__getitem__, self.split(text.lower())))
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def text(self, text: str) -> bytes:
+        raw = text.encode()
+        if self.added(raw):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.words.__getitem__, raw.split()))
+
     def part(self, text: str) -> bytes:
         spelled = text if text.isascii() else text.encode().decode("latin-1").translate(self.letters)
         return array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
@@ -106,12 +119,12 @@ def word_ids(path: str) -> WordIds:
 
 def _pieces(tokenizer: str, capacity: int, with_ids: bool):
     def run(batches):
-        ids_of = word_ids(tokenizer).words.__getitem__
+        ids_of = word_ids(tokenizer).text
         end = np.array([END_ID], np.uint32).tobytes()
         for batch in c.chunks(batches):
             out: list[list] = [[], [], [], [], [], []]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
-                ids = b"".join(map(ids_of, (text or "").encode().split())) + end
+                ids = ids_of(text or "") + end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     for column, x in zip(out, (doc, piece, at // 4, len(part) // 4, zlib.crc32(part),

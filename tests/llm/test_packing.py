@@ -44,14 +44,24 @@ def test_runs_are_best_fit_decreasing(sizes):
         assert at <= capacity
 
 
+@pytest.mark.skipif(TOKENIZER is None, reason="no tokenizer files here")
+def test_ids_of_added_tokens():
+    """As the tokenizer file gives them, not spelled out."""
+    from tokenizers import Tokenizer
+    ids = pk.word_ids(TOKENIZER).text
+    t = Tokenizer.from_file(TOKENIZER)
+    for text in ("end <|endoftext|> of", "<|startoftext|>a", "A <|EndOfText|> b"):
+        assert np.frombuffer(ids(text), np.uint32).tolist() == t.encode(text, add_special_tokens=False).ids
+
+
 @pytest.mark.skipif(TOKENIZER is None, reason="no tokenizer files here")
 def test_round_trip(spark, docs_of):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(TOKENIZER)
-    t.encode_special_tokens = True
     odd = "Ünḯ CAFÉ's İstanbul ΣΑΣ x²½ \x1c\x1d a b 日本 <|endoftext|> don't 12,5€ ﬁ ǅͅ \x7f" + " é  x"
     data = [(1, None), (2, ""), (3, odd), (None, "a b c"), (4, "same text"), (4, "same text"), (5, "word " * 20_000),
-            (6, "x" * 3_000), *[(10 + i, "copy of a text") for i in range(50)]]
+            (6, "x" * 3_000), (7, "end <|endoftext|> of"), (8, "é x<|endoftext|>y<|startoftext|> <|ENDOFTEXT|> z"),
+            (9, "<|endoftext|>"), (91, "<| endoftext |>"), (92, " ".join(f"long{'y' * 70}{i}" for i in range(300))), *[(10 + i, "copy of a text") for i in range(50)]]
     out = pk.pack(pk.cut_pieces(docs_of(data), TOKENIZER, 512, with_ids=True), 512).collect()
     want = {}
     for doc, text in data:
