@@ -1,7 +1,7 @@
 """cellar — turn sparse, loosely typed tables into numeric features and explain
 the groups K-Means finds in them, on Spark DataFrames.
 
-Data flows through a small number of frame shapes (see ``cellar.schemas``):
+Data flows through a small number of frame shapes:
 
     cells  (workbook, sheet, row_num, col_num, cell_type, value)   long form
     grid   (sheet, row_num, cells array<string>)                   dense rows
