@@ -51,6 +51,14 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``name_``, ``name__``, ... that ``df`` has no column of."""
+    taken = {x.lower() for x in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(UTF-8 bytes, offsets) of a string column; a null counts as empty."""
     column = pc.fill_null(column, "")

@@ -8,21 +8,26 @@ items meet in a hash join.  A capitalised word at the start of a sentence is a
 word in one reading and a name in the other; both are hashed.
 Windows of one document and item that lie on one diagonal (document position less
 item position) belong together.  Their slots are then compared: a slot value of
-the item must always have met the same value in the document, as it does when a
-question was copied or asked again with other numbers and names.
+the item must always have met the same value in the document, and a name of the
+document the same name of the item, as they do when a question was copied or asked
+again with other numbers and names (two numbers may become one).  An item's
+window counts once, on however many diagonals it is found.
 
-The whole path is DataFrame functions.  Windows are hashed inside a row, so that
-only joined windows ever leave their document; slots are read again from the
-documents that have some.
+The whole path is DataFrame functions.  Every fourth token of a document is a place.
+Each window holds, whole, the 5 tokens behind the first place that it meets, so only
+places whose 5 tokens stand in some item's window are looked at further: their
+windows are made and joined.  No text leaves its row, and no other window is hashed.
 
 Windows that say too little as templates match with all their values: an item of
-fewer tokens than a window is one window of its own length, and so is a window of
-an item with more than 4 slots.  The documents' windows are hashed so only where
-the benchmark has such items.
-
-Defined cases: null or empty texts and texts without letters and digits match
-nothing; items of equal text are matched each; repeated rows count once;
-null ids are carried; further columns are not read.
+fewer tokens than a window is one window of its own length (below 4 tokens: a whole
+line of the document), and so is a window of an item with more than 4 slots.  The
+documents' windows are hashed so only where the benchmark has such items.
+
+Defined cases: null or empty texts, texts without letters and digits and empty tables
+match nothing; items of equal text are matched each; repeated rows count once; a
+document that holds several items has a row for each (there are no ties to break);
+null ids are carried; further columns are not read, whatever their names; a long text
+is one row, whose windows are made in blocks of 4096 places.
 """
 
 from __future__ import annotations
@@ -37,6 +42,12 @@ WINDOW = 8
 MAX_SLOTS = 4
 #: Windows that must match on one diagonal (all of them for an item with fewer).
 MIN_WINDOWS = 3
+#: Items of fewer tokens match as whole lines alone; a word or two say nothing inside one.
+MIN_INSIDE = 4
+#: Every fourth token is a place; the tokens about it hold the windows that start there or up to 3 tokens before.
+STRIDE, AROUND = 4, 11
+#: Places of a long text that are in memory at a time.
+BLOCK = 4096
 #: Benchmark windows up to this many are broadcast (about 100 bytes each).
 BROADCAST_WINDOWS = 400_000
 # Units of measure that may stand behind a number.
@@ -71,7 +82,8 @@ def template_tokens(text: Column) -> Column:
 
 #: Readings of a window: sentence-initial capitalised words are words; they are
 #: names; every token counts with its value.
-WORDS, NAMES, EXACT = 0, 1, 2
+#: With both: a place whose core is the same in the first two.
+WORDS, NAMES, EXACT, BOTH = 0, 1, 2, 3
 
 
 def _token_hash(reading):
@@ -91,122 +103,196 @@ def _slots(tokens: Column, pos: Column, reading: Column) -> Column:
     return F.when(reading != EXACT, values)
 
 
-def _doubled(df: DataFrame, x: str, step: int) -> DataFrame:
-    """Column ``x``: hashes of ``step`` tokens -> of twice as many."""
-    n = F.greatest(F.size(x) - step, F.lit(0))
-    return df.withColumn(x, F.zip_with(F.slice(x, 1, n), F.slice(x, step + 1, n), lambda a, b: F.xxhash64(a, b)))
+def _places(df: DataFrame, *ids: str) -> DataFrame:
+    """(ids, place, around) for every fourth place of column ``tokens``: ``around``
+    holds the 3 tokens before it (empty before the text), itself and the 7 behind."""
+    width = STRIDE * BLOCK
+    df = df.select(*ids, F.concat(F.array(*[F.lit("")] * (STRIDE - 1)), "tokens").alias("tokens"), F.size("tokens").alias("_n"))
+    starts = F.sequence(F.lit(0), F.greatest(F.col("_n") - 1, F.lit(0)), F.lit(width))
+    df = df.select(*ids, F.posexplode(F.transform(starts, lambda i: F.slice("tokens", i + 1, width + 7))).alias("_block", "tokens"))
+    last = F.least(F.size("tokens") - STRIDE, F.lit(width - 1))
+    df = df.where(last >= 0).select(*ids, "_block", F.posexplode(F.transform(
+        F.sequence(F.lit(0), last, F.lit(STRIDE)), lambda i: F.slice("tokens", i + 1, AROUND))).alias("place", "around"))
+    return df.select(*ids, (F.col("_block") * width + F.col("place") * STRIDE).alias("place"), "around")
+
+
+def _hash(hashes: Column | list, start: int, n: int, seed: int) -> Column:
+    at = (lambda i: hashes[i]) if isinstance(hashes, list) else (lambda i: F.get(hashes, F.lit(i)))
+    return F.xxhash64(F.lit(seed), *[at(start + i) for i in range(n)])
+
+
+def _screened(df: DataFrame, runs: DataFrame, exact: list[int]) -> DataFrame:
+    """The places whose window cores are among ``runs``, once per reading (``both``
+    where the two template readings have one core).  A window that starts at a
+    place or up to 3 tokens before holds the core: all its length but 3 tokens."""
+    token = [F.get("around", F.lit(i)) for i in range(AROUND)]
+
+    def core(reading, n):
+        one = _token_hash(reading)
+        h = [F.lit(None) if i < STRIDE - 1 else one(x) for i, x in enumerate(token)]
+        full = F.size("around") >= STRIDE - 1 + n - 3
+        return F.when(full, _hash(h, STRIDE - 1, n - 3, n if reading == EXACT else 0))
+
+    df = df.withColumn("_w", core(WORDS, WINDOW)).withColumn("_s", core(NAMES, WINDOW))
+    probes = [F.struct(F.col("_w").alias("core"), F.when(F.col("_w") == F.col("_s"), BOTH).otherwise(WORDS).alias("reading"),
+                       F.lit(WINDOW).alias("length")),
+              F.struct(F.nullif("_s", "_w").alias("core"), F.lit(NAMES).alias("reading"), F.lit(WINDOW).alias("length")),
+              *[F.struct(core(EXACT, n).alias("core"), F.lit(EXACT).alias("reading"), F.lit(n).alias("length")) for n in exact]]
+    rest = [x for x in df.columns if x not in ("_w", "_s")]
+    df = df.select(*rest, F.explode(F.array(*probes)).alias("_p")).select(*rest, "_p.*").where(F.col("core").isNotNull())
+    return df.join(runs, "core", "left_semi").drop("core")
+
+
+def _windows(df: DataFrame, exact: list[int], *ids: str) -> DataFrame:
+    """(ids, pos, reading, length, h, around, first) of the windows that start at a
+    place or up to 3 tokens before: in both template readings (in the second where
+    it differs), and exact ones of each length in ``exact``.  Column ``reading``,
+    where there is one, names those to make."""
+    token = [F.get("around", F.lit(i)) for i in range(AROUND)]
+    for reading in (WORDS, NAMES, *([EXACT] if exact else [])):
+        df = df.withColumn(f"_t{reading}", F.array(*[_token_hash(reading)(x) for x in token]))
+    screened = "reading" in df.columns
+    blocks = [(WORDS, WINDOW), (NAMES, WINDOW), *((EXACT, n) for n in exact)]
+    found = []
+    for reading, n in blocks:
+        asked = F.lit(True)
+        if screened:
+            asked = F.col("reading").isin(reading, BOTH) if reading != EXACT else (F.col("reading") == EXACT) & (F.col("length") == n)
+        for k in range(STRIDE):
+            inside = (F.size("around") >= k + n) & (F.col("place") + k >= STRIDE - 1)
+            h = _hash(F.col(f"_t{reading}"), k, n, n if reading == EXACT else 0)
+            if reading == NAMES:
+                h = F.nullif(h, _hash(F.col(f"_t{WORDS}"), k, n, 0))
+            found.append(F.struct((F.col("place") + (k - STRIDE + 1)).alias("pos"), F.lit(reading).alias("reading"),
+                                  F.lit(n).alias("length"), F.when(asked & inside, h).alias("h"), F.lit(k).alias("first")))
+    df = df.select(*ids, "around", F.explode(F.array(*found)).alias("_w")).select(*ids, "around", "_w.*")
+    return df.where(F.col("h").isNotNull())
 
 
-def windows(df: DataFrame, exact: list[int], *ids: str) -> DataFrame:
-    """(ids, pos, reading, length, h) of each window of column ``tokens``: template
-    windows in both readings (in the second where it differs), and exact windows
-    of each length in ``exact``."""
-    blocks = [(WORDS, WINDOW), (NAMES, WINDOW), *((EXACT, n) for n in exact)]
-    for reading in sorted({r for r, _ in blocks}):
-        df = df.withColumn(f"_t{reading}", F.transform("tokens", _token_hash(reading)))
-
-    def runs(reading, n):
-        h = F.col(f"_t{reading}")
-        return F.when(F.size(h) >= n, F.transform(
-            F.sequence(F.lit(0), F.size(h) - n), lambda i: F.xxhash64(F.lit(n), F.slice(h, i + 1, n)))
-        ).otherwise(F.array().cast("array<bigint>"))
-
-    for step in (1, 2, 4):
-        for x in (f"_t{WORDS}", f"_t{NAMES}"):
-            df = _doubled(df, x, step)
-    other = F.zip_with(f"_t{WORDS}", f"_t{NAMES}", lambda a, b: F.nullif(b, a))
-    df = df.select(*ids, F.size("tokens").alias("_n"),
-                   F.posexplode(F.concat(f"_t{WORDS}", other, *[runs(r, n) for r, n in blocks[2:]])).alias("_at", "h"))
-    pos, reading, length, first = F.col("_at"), F.lit(WORDS), F.lit(WINDOW), F.lit(0)
-    for r, n in blocks[:-1]:
-        first = first + F.greatest(F.col("_n") - (n - 1), F.lit(0))
-        here, (r, n) = F.col("_at") >= first, blocks[blocks.index((r, n)) + 1]
-        pos = F.when(here, F.col("_at") - first).otherwise(pos)
-        reading, length = F.when(here, F.lit(r)).otherwise(reading), F.when(here, F.lit(n)).otherwise(length)
-    return df.where(F.col("h").isNotNull()).select(
-        *ids, pos.alias("pos"), reading.alias("reading"), length.alias("length"), "h")
+def _line_hash(tokens: Column) -> Column:
+    return F.xxhash64(F.lit(-1), F.transform(tokens, _token_hash(EXACT)))
+
+
+def _whole_lines(rows: DataFrame) -> DataFrame:
+    """(row_key, doc_id, pos, h) of the lines of fewer than ``MIN_INSIDE`` tokens."""
+    lines = rows.select("row_key", "doc_id", F.posexplode(F.split("text", "\n")).alias("pos", "line"))
+    lines = lines.select("row_key", "doc_id", "pos", _marked_tokens(F.col("line")).alias("tokens"))
+    return lines.where(F.size("tokens").between(1, MIN_INSIDE - 1)).select("row_key", "doc_id", "pos", _line_hash(F.col("tokens")).alias("h"))
 
 
 def _benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, item_pos, item_reading, length, h, item_slots): an item shorter
-    than a window has one of its own length, and a window with more than
-    ``MAX_SLOTS`` slots is exact."""
+    """(item_id, item_pos, item_reading, length, h, item_slots, cores): an item
+    shorter than a window has one of its own length (length 0: a whole line), and a
+    window with more than ``MAX_SLOTS`` slots is exact."""
     items = items.select("item_id", "text").distinct().withColumn("tokens", _marked_tokens(F.col("text")))
-    items = items.withColumn("_item", F.xxhash64("item_id", "text")).select("item_id", "_item", "tokens")
-    found = windows(items, list(range(1, WINDOW + 1)), "item_id", "_item", "tokens")
-    found = found.withColumn("item_slots", _slots(F.col("tokens"), F.col("pos"), F.col("reading")))
+    items = items.withColumn("_item", F.xxhash64("item_id", "text")).withColumn("_size", F.size("tokens"))
+    ids = ("item_id", "_item", "_size")
+    exact = list(range(MIN_INSIDE, WINDOW + 1))
+    found = _windows(_places(items, *ids), exact, *ids)
+    found = found.withColumn("item_slots", _slots(F.col("around"), F.col("first"), F.col("reading")))
     place = Window.partitionBy("_item", "item_id", "pos")
     found = found.withColumn("_dense", F.max(F.when(F.size("item_slots") > MAX_SLOTS, 1).otherwise(0)).over(place))
-    short = F.size("tokens") < WINDOW
     keep = F.when(F.col("reading") != EXACT, F.size("item_slots") <= MAX_SLOTS).otherwise(
-        F.when(short, F.col("length") == F.size("tokens")).otherwise((F.col("length") == WINDOW) & (F.col("_dense") == 1)))
-    return found.where(keep).select("item_id", F.col("pos").alias("item_pos"), F.col("reading").alias("item_reading"),
-                                    "length", "h", "item_slots")
+        F.when(F.col("_size") < WINDOW, F.col("length") == F.col("_size")).otherwise(
+            (F.col("length") == WINDOW) & (F.col("_dense") == 1)))
+    # the cores of a window that the places of a document can meet
+    token = F.when(F.col("reading") == WORDS, F.transform("around", _token_hash(WORDS))).when(
+        F.col("reading") == NAMES, F.transform("around", _token_hash(NAMES))).otherwise(F.transform("around", _token_hash(EXACT)))
+    found = found.where(keep).withColumn("_t", token)
+
+    def core(i):
+        start = F.col("first") + i
+        of = lambda n, seed: F.xxhash64(F.lit(seed), *[F.get("_t", start + j) for j in range(n - 3)])
+        h = of(WINDOW, 0)
+        for n in exact:
+            h = F.when((F.col("reading") == EXACT) & (F.col("length") == n), of(n, n)).otherwise(h)
+        return h
+
+    found = found.select("item_id", F.col("pos").alias("item_pos"), F.col("reading").alias("item_reading"),
+                         "length", "h", "item_slots", F.array(*[core(i) for i in range(STRIDE)]).alias("cores"))
+    whole = items.where(F.col("_size").between(1, MIN_INSIDE - 1)).select(
+        "item_id", F.lit(0).alias("item_pos"), F.lit(EXACT).alias("item_reading"), F.lit(0).alias("length"),
+        _line_hash(F.col("tokens")).alias("h"), F.lit(None).cast("array<string>").alias("item_slots"),
+        F.lit(None).cast("array<bigint>").alias("cores"))
+    return found.unionByName(whole)
 
 
 def find_leaks(docs: DataFrame, items: DataFrame, min_windows: int = MIN_WINDOWS) -> DataFrame:
     """(row_key, doc_id, item_id, n_windows, item_windows, n_slots, n_changed):
     the pairs of a document and a benchmark item it contains, as a copy
-    (``n_changed`` 0) or with other slot values.  ``n_windows`` are those that match
-    with sentence-initial words as they are or, where these are too few, in any
-    reading."""
+    (``n_changed`` 0) or with other slot values.  ``n_windows`` are the item's windows
+    that match with sentence-initial words as they are or, where these are too few, in
+    any reading; slots are those of the diagonal with the most windows."""
     bench = c.written(_benchmark_windows(items), "benchmark-windows")
     template = F.col("item_reading") == WORDS
     held = bench.groupBy("item_id").agg(F.countDistinct("item_pos").alias("item_windows"),
                                         F.countDistinct(F.when(template, F.col("item_pos"))).alias("template_windows"))
     exact = [r.length for r in bench.where(F.col("item_reading") == EXACT).select("length").distinct().sort("length").collect()]
-    right = bench.drop("length")
-    right = F.broadcast(right) if bench.count() <= BROADCAST_WINDOWS else right
+    small = bench.count() <= BROADCAST_WINDOWS
+    known = F.broadcast if small else (lambda x: x)
+    runs = known(bench.select(F.explode("cores").alias("core")).distinct())
+    right = bench.drop("length", "cores")
     rows = docs.select("doc_id", "text").withColumn("row_key", F.xxhash64("doc_id", "text"))
-    tokens = _marked_tokens(F.col("text")).alias("tokens")
-    met = c.written(windows(rows.select("row_key", "doc_id", tokens), exact, "row_key", "doc_id").drop("length")
-                    .join(right, "h").drop("h").distinct(), "met-windows")
-    # the slots of the windows that met, from their documents alone
-    places = met.where(F.col("reading") != EXACT).groupBy("row_key").agg(F.collect_set(F.struct("pos", "reading")).alias("at"))
-    slots = rows.join(places, "row_key").dropDuplicates(["row_key"]).select("row_key", "at", tokens)
-    slots = slots.select("row_key", F.explode(F.transform("at", lambda w: F.struct(
-        w["pos"].alias("pos"), w["reading"].alias("reading"),
-        _slots(F.col("tokens"), w["pos"], w["reading"]).alias("slots")))).alias("w")).select("row_key", "w.*")
-    met = met.join(slots, ["row_key", "pos", "reading"], "left")
+    ids, lengths = ("row_key", "doc_id"), [n for n in exact if n]
+    places = _places(rows.select(*ids, _marked_tokens(F.col("text")).alias("tokens")), *ids)
+    inside = _windows(_screened(places, runs, lengths), lengths, *ids).drop("length").join(known(right), "h")
+    inside = inside.withColumn("slots", _slots(F.col("around"), F.col("first"), F.col("reading"))).drop("around", "first")
+    if 0 in exact:
+        inside = inside.unionByName(_whole_lines(rows).withColumn("reading", F.lit(EXACT)).join(
+            known(right.where(F.col("item_reading") == EXACT)), "h").withColumn("slots", F.lit(None).cast("array<string>")))
+    met = c.written(inside.drop("h").distinct(), "met-windows")
     same = F.col("reading") == F.col("item_reading")
     plain = same & (F.col("reading") != NAMES)
     pairs = F.arrays_zip("item_slots", "slots")
-    line = met.groupBy("row_key", "doc_id", "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.countDistinct(F.when(same & (F.col("reading") == WORDS), F.col("item_pos"))).alias("n_template"),
-        F.countDistinct(F.when(plain, F.col("item_pos"))).alias("n_plain"),
-        F.countDistinct("item_pos").alias("n_any"),
-        F.array_distinct(F.flatten(F.collect_list(F.when(plain, pairs)))).alias("plain_pairs"),
-        F.array_distinct(F.flatten(F.collect_list(pairs))).alias("any_pairs"))
-    # a value of the item always met the same value; if not with names at sentence starts, then without them
-    steady = lambda x: F.size(F.array_distinct(F.transform(x, lambda p: p["item_slots"]))) == F.size(x)
+    positions = lambda when: F.collect_set(F.when(when, F.col("item_pos")))
+    line = met.groupBy(*ids, "item_id", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+        positions(same & (F.col("reading") == WORDS)).alias("in_template"), positions(plain).alias("in_plain"),
+        F.collect_set("item_pos").alias("in_any"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(plain, pairs)))).alias("plain_pairs"),
+        F.array_distinct(F.flatten(F.collect_set(pairs))).alias("any_pairs"))
+
+    def steady(x):
+        """A value of the item always met the same value, and a name of the document the same name."""
+        names = F.filter(x, lambda p: F.ascii(p["slots"]) == 2)
+        once = lambda of, side: F.size(F.array_distinct(F.transform(of, lambda p: p[side]))) == F.size(of)
+        return once(x, "item_slots") & once(names, "slots")
+
+    # if not with names at sentence starts, then without them
     line = line.withColumn("_any", steady("any_pairs")).withColumn("_plain", steady("plain_pairs"))
-    line = line.where(F.col("_any") | (F.col("_plain") & (F.col("n_plain") > 0)))
-    changed = lambda x: F.size(F.filter(x, lambda p: p["item_slots"] != p["slots"]))
-    line = line.select(
-        "row_key", "doc_id", "item_id",
-        *[F.when(F.col("_plain"), F.col(x)).otherwise(0).alias(x) for x in ("n_template", "n_plain")],
-        F.when(F.col("_any"), F.col("n_any")).otherwise(F.col("n_plain")).alias("n_any"),
-        *[F.when(F.col("_plain"), f("plain_pairs")).otherwise(0).alias(f"plain_{x}") for x, f in (("slots", F.size), ("changed", changed))],
-        *[F.when(F.col("_any"), f("any_pairs")).otherwise(f("plain_pairs")).alias(f"any_{x}") for x, f in (("slots", F.size), ("changed", changed))])
-    # a passage with a word put in or left out goes on on the next diagonal
-    sums = [x for x in line.columns if x not in ("row_key", "doc_id", "item_id")]
-    best = line.groupBy("row_key", "doc_id", "item_id").agg(*[F.sum(x).cast("long").alias(x) for x in sums])
+    line = line.where(F.col("_any") | (F.col("_plain") & (F.size("in_plain") > 0)))
+    line = line.withColumn("in_any", F.when(F.col("_any"), F.col("in_any")).otherwise(F.col("in_plain")))
+    line = line.withColumn("any_pairs", F.when(F.col("_any"), F.col("any_pairs")).otherwise(F.col("plain_pairs")))
+    for x in ("in_template", "in_plain", "plain_pairs"):
+        line = line.withColumn(x, F.when(F.col("_plain"), F.col(x)).otherwise(F.slice(x, 1, 0)))
+    said = lambda n, x: F.struct(F.size(n), F.size(x).cast("long").alias("slots"), F.size(
+        F.filter(x, lambda p: p["item_slots"] != p["slots"])).cast("long").alias("changed"))
+    line = line.withColumn("plain", said("in_plain", "plain_pairs")).withColumn("any", said("in_any", "any_pairs"))
+    # a passage with a word put in or left out goes on on the next diagonal; a position counts once
+    at = lambda x: F.array_contains(x, F.col("item_pos")).cast("int")
+    each = line.select(*ids, "item_id", "plain", "any", "in_template", "in_plain",
+                       F.explode(F.array_union("in_any", "in_plain")).alias("item_pos"), "in_any")
+    each = each.groupBy(*ids, "item_id", "item_pos").agg(
+        F.max(at("in_template")).alias("t"), F.max(at("in_plain")).alias("p"), F.max(at("in_any")).alias("a"),
+        F.max("plain").alias("plain"), F.max("any").alias("any"))
+    best = each.groupBy(*ids, "item_id").agg(
+        *[F.sum(x).alias(n) for x, n in (("t", "n_template"), ("p", "n_plain"), ("a", "n_any"))],
+        F.max("plain").alias("plain"), F.max("any").alias("any"))
     best = best.join(held, best["item_id"].eqNullSafe(held["item_id"])).drop(held["item_id"])
     enough = lambda n, of: (F.col(of) > 0) & (F.col(n) >= F.least(F.lit(min_windows), F.col(of)))
     alone = enough("n_template", "template_windows") | enough("n_plain", "item_windows")
     best = best.where(alone | enough("n_any", "item_windows"))
     pick = lambda a, b: F.when(alone, F.col(a)).otherwise(F.col(b))
     return best.select(
-        "row_key", "doc_id", "item_id", F.least(pick("n_plain", "n_any"), "item_windows").alias("n_windows"), "item_windows",
-        pick("plain_slots", "any_slots").alias("n_slots"), pick("plain_changed", "any_changed").alias("n_changed"))
+        *ids, "item_id", pick("n_plain", "n_any").alias("n_windows"), "item_windows",
+        pick("plain.slots", "any.slots").alias("n_slots"), pick("plain.changed", "any.changed").alias("n_changed"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item."""
-    bad = find_leaks(docs, items, **options).select(
-        F.col("row_key").alias("_bad"), F.col("doc_id").alias("_doc")).distinct()
-    key = F.xxhash64(docs["doc_id"], docs["text"])
-    return docs.join(bad, (key == F.col("_bad")) & docs["doc_id"].eqNullSafe(F.col("_doc")), "left_anti")
+    key, doc = c.unused(docs, "row_key"), c.unused(docs, "bad_doc")
+    bad = find_leaks(docs, items, **options).select(F.col("row_key").alias(key), F.col("doc_id").alias(doc)).distinct()
+    same = (F.xxhash64(docs["doc_id"], docs["text"]) == F.col(key)) & docs["doc_id"].eqNullSafe(F.col(doc))
+    return docs.join(bad, same, "left_anti")
 
 
 def benchmark(spark, sf_dir):

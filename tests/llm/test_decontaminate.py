@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -74,8 +75,9 @@ def test_short_and_dense_items(spark, docs_of):
     items = spark.createDataFrame([(1, short), (2, dense), (3, "Yes"), (4, "?!")], "item_id long, text string")
     fill = "some other words stand here before the question begins. "
     got = found(docs_of([(10, fill + short + " Paris."), (11, fill + dense), (12, short), (13, dense.replace("34", "35")),
-                         (14, "What is the capital of Spain?"), (15, fill), (16, "the capital of France"), (17, "Oh yes")]), items)
-    assert set(got) == {(10, 1), (12, 1), (11, 2), (17, 3)}
+                         (14, "What is the capital of Spain?"), (15, fill), (16, "the capital of France"),
+                         (17, "Oh yes it is"), (18, "Is it?\n yes! \nIt is.")]), items)
+    assert set(got) == {(10, 1), (12, 1), (11, 2), (18, 3)}
     assert all(r.n_windows == r.item_windows == 1 and r.n_changed == 0 for r in got.values())
 
 
@@ -91,3 +93,122 @@ def test_names_at_sentence_starts(spark, docs_of):
     assert set(got) == {(10, 1), (11, 2), (12, 3)}
     assert got[10, 1].n_changed == 4 and got[11, 2].n_changed == 2
     assert got[12, 3].n_windows == got[12, 3].item_windows and got[12, 3].n_changed == 0
+
+
+def test_positions_count_once_and_names_stay_apart(spark, docs_of):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu"
+    people = ("We saw Anna, Ben, Carl and Dora at the fair, where Anna paid 3 coins for Ben "
+              "and Carl paid 4 coins for Dora, so who paid more?")
+    items = spark.createDataFrame([(1, item), (2, people)], "item_id long, text string")
+    one_window = " and then ".join(["beta gamma delta epsilon zeta eta theta iota"] * 3)
+    everyone = people
+    for name in ("Anna", "Ben", "Carl", "Dora"):
+        everyone = everyone.replace(name, "Zoe")
+    swapped = people.replace("Anna", "Eva").replace("Carl", "Finn").replace("3 coins", "4 coins")
+    got = found(docs_of([(10, one_window), (11, item + ". " + item), (12, everyone), (13, swapped)]), items)
+    assert set(got) == {(11, 1), (13, 2)}
+    assert got[11, 1].n_windows == got[11, 1].item_windows == 5
+    assert got[13, 2].n_windows == got[13, 2].item_windows and got[13, 2].n_changed == 3
+
+
+def test_columns_with_clashing_names(spark, items):
+    docs = spark.createDataFrame([(1, ITEM, 5, "a", 7), (2, "clean", 6, None, 8)],
+                                 "doc_id long, text string, _bad long, row_key string, bad_doc long")
+    assert [tuple(r) for r in dc.decontaminate(docs, items).collect()] == [(2, "clean", 6, None, 8)]
+
+
+def _brute_force(tokens, items):
+    """The same rules over token lists, with every window of every document looked at."""
+    def window(marked, p, n, reading):
+        key, slots = [], []
+        for t in marked[p:p + n]:
+            kind, bare = t[0], t[1:]
+            if reading == dc.EXACT:
+                key.append(bare if kind <= "\u0005" else t)
+            elif kind < "\u0005" or (kind == "\u0005" and reading == dc.NAMES):
+                kind = "\u0002" if kind == "\u0005" else kind
+                key.append(kind)
+                slots.append(kind + bare)
+            else:
+                key.append(bare if kind == "\u0005" else t)
+        return (tuple(key), reading == dc.EXACT), (None if reading == dc.EXACT else tuple(slots))
+
+    def readings(marked, p):
+        a, b = window(marked, p, 8, dc.WORDS), window(marked, p, 8, dc.NAMES)
+        return [(dc.WORDS, *a)] + ([(dc.NAMES, *b)] if a[0] != b[0] else [])
+
+    def of_item(marked):
+        if len(marked) < 8:
+            return [(0, dc.EXACT, *window(marked, 0, len(marked), dc.EXACT))] if len(marked) >= dc.MIN_INSIDE else []
+        out = []
+        for p in range(len(marked) - 7):
+            here = readings(marked, p)
+            out += [(p, *w) for w in here if len(w[2]) <= dc.MAX_SLOTS]
+            if any(len(w[2]) > dc.MAX_SLOTS for w in here):
+                out.append((p, dc.EXACT, *window(marked, p, 8, dc.EXACT)))
+        return out
+
+    def steady(pairs):
+        names = [d for _, d in pairs if d[0] == "\u0002"]
+        return len({i for i, _ in pairs}) == len(pairs) and len(set(names)) == len(names)
+
+    want = set()
+    for item, marked in items:
+        mine = of_item(marked)
+        every, template = {w[0] for w in mine}, {w[0] for w in mine if w[1] == dc.WORDS}
+        for doc, text in tokens:
+            lines = {}
+            for p in range(len(text)):
+                here = readings(text, p) if p + 8 <= len(text) else []
+                here += [(dc.EXACT, *window(text, p, n, dc.EXACT)) for n in range(4, 9) if p + n <= len(text)]
+                for reading, key, slots in here:
+                    for q, item_reading, item_key, item_slots in mine:
+                        if key == item_key:
+                            pairs = set(zip(item_slots, slots)) if slots is not None else set()
+                            lines.setdefault(p - q, []).append((q, reading, item_reading, pairs))
+            t, n, a = set(), set(), set()
+            for line in lines.values():
+                plain = [w for w in line if w[1] == w[2] != dc.NAMES]
+                plain_ok = steady(set().union(*[w[3] for w in plain])) if plain else True
+                any_ok = steady(set().union(*[w[3] for w in line]))
+                if plain_ok:
+                    t |= {w[0] for w in plain if w[1] == dc.WORDS}
+                    n |= {w[0] for w in plain}
+                if any_ok or plain_ok:
+                    a |= {w[0] for w in (line if any_ok else plain)}
+            enough = lambda x, of: of and len(x) >= min(dc.MIN_WINDOWS, len(of))
+            alone = enough(t, template) or enough(n, every)
+            if alone or enough(a, every):
+                want.add((doc, item, len(n) if alone else len(a), len(every)))
+    return want
+
+
+def test_slots_against_brute_force(spark, docs_of):
+    rng = random.Random(5)
+    words = "the a sees gives buys near old red apples coins so how many in all at of".split()
+    name = lambda: rng.choice(["Anna", "Ben", "Carl", "Dora", "Zoe"])
+    def text(n):
+        out = [rng.choice([rng.choice(words), rng.choice(words), rng.choice(words), name(), str(rng.randint(1, 9)),
+                           f"{rng.randint(1, 9)} km", "The", "old."]) for _ in range(n)]
+        return " ".join(out)
+    items = [(i, text(rng.choice([4, 6, 9, 14, 25]))) for i in range(12)]
+    def again(t):
+        swap = dict(zip(["Anna", "Ben", "Carl", "Dora", "Zoe"], rng.choices(["Kim", "Lea", "Max", "Ned", "Pia", "Anna"], k=5)))
+        t = " ".join(swap.get(w, w) for w in t.split(" "))
+        return t if rng.random() < .5 else re.sub(r"\d", lambda m: str(rng.randint(1, 9)), t)
+    docs = []
+    for i in range(120):
+        parts = [text(rng.randint(0, 9))]
+        for _ in range(rng.randint(0, 2)):
+            t = again(rng.choice(items)[1]).split(" ")
+            if rng.random() < .3:
+                t.insert(rng.randrange(len(t)), "very")
+            lo = rng.choice([0, 0, rng.randrange(len(t))])
+            parts += [" ".join(t[lo:]), text(rng.randint(0, 9))]
+        docs.append((i, " ".join(parts)))
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    marked = lambda df, key: [tuple(r) for r in df.select(key, dc._marked_tokens(F.col("text"))).collect()]
+    want = _brute_force(marked(docs_of(docs), "doc_id"), marked(frame, "item_id"))
+    got = dc.find_leaks(docs_of(docs), frame).collect()
+    assert {(r.doc_id, r.item_id, r.n_windows, r.item_windows) for r in got} == want and len(want) > 30
+    assert len({(d, i) for d, i, n, of in want if n < of}) > 5
