@@ -61,14 +61,17 @@ _NAME, _NUMBER, _UNIT, _START = "\u0002", "\u0003", "\u0004", "\u0005"
 def _marked_tokens(text: Column) -> Column:
     """Lower-case tokens behind the mark of their type; a capitalised word at the
     start of a sentence has a mark of its own."""
-    text = F.regexp_replace(text, r"[\s\xA0]{2,}|[\t-\r\xA0]", " ")
-    text = F.regexp_replace(text, r"(?=\p{Lu}\p{Ll})(?<![\p{L}\p{N}])", _START)
+    # each pattern begins with one class or mark, so that most characters are passed over at once
+    text = F.regexp_replace(text, r"[\s\xA0](?:[\s\xA0]+|(?<! ))", " ")
+    text = F.regexp_replace(text, r"\p{Lu}(?<![\p{L}\p{N}]\p{Lu})(?=\p{Ll})", f"{_START}$0")
     text = F.regexp_replace(text, rf"{_START}(?<=[\p{{L}}\p{{N}},;][ ]{_START})", _NAME)
-    text = F.regexp_replace(text, r"(?=\p{N})(?<![\p{L}\p{N}.,])", _NUMBER)
-    text = F.regexp_replace(F.lower(text), rf"({_NUMBER}[\p{{N}}.,]*\p{{N}})[ ]?(?:%|({UNITS})(?![\p{{L}}\p{{N}}]))", rf"$1 {_UNIT}unit$2")
+    text = F.regexp_replace(text, r"\p{N}(?<![\p{L}\p{N}.,]\p{N})", f"{_NUMBER}$0")
+    text = F.regexp_replace(F.lower(text), rf"{_NUMBER}([\p{{N}}.,]*\p{{N}})[ ]?(?:%|({UNITS})(?![\p{{L}}\p{{N}}]))",
+                            rf"{_NUMBER}$1 {_UNIT}unit$2")
     text = F.regexp_replace(text, rf"[$€£](?={_NUMBER})", f"{_UNIT}money ")
-    gap = rf"(?:(?![.,]\p{{N}})[^\p{{L}}\p{{N}}{_NAME}{_NUMBER}{_UNIT}{_START}])+|(?=[.,])(?<![\p{{N}}])[.,]+"
-    return F.array_remove(F.split(text, gap), "")
+    # a point or comma between digits belongs to their token
+    run = rf"[a-z\p{{L}}\p{{N}}{_NAME}-{_START}]+"
+    return F.regexp_extract_all(text, F.lit(rf"{run}(?:(?<=\p{{N}})[.,](?=\p{{N}}){run})*"), F.lit(0))
 
 
 def _bare(x):
@@ -87,12 +90,12 @@ WORDS, NAMES, EXACT, BOTH = 0, 1, 2, 3
 
 
 def _token_hash(reading):
-    mark = lambda x: F.xxhash64(F.substring(x, 1, 1))
+    mark = lambda x: F.xxhash64(F.ascii(x))
     if reading == WORDS:
         return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(F.ascii(x) == 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
     if reading == NAMES:
         return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(
-            F.ascii(x) == 5, F.xxhash64(F.lit(_NAME))).otherwise(F.xxhash64(x))
+            F.ascii(x) == 5, F.xxhash64(F.lit(ord(_NAME)))).otherwise(F.xxhash64(x))
     return lambda x: F.when(F.ascii(x) <= 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
 
 
@@ -133,13 +136,17 @@ def _screened(df: DataFrame, runs: DataFrame, exact: list[int]) -> DataFrame:
         full = F.size("around") >= STRIDE - 1 + n - 3
         return F.when(full, _hash(h, STRIDE - 1, n - 3, n if reading == EXACT else 0))
 
-    df = df.withColumn("_w", core(WORDS, WINDOW)).withColumn("_s", core(NAMES, WINDOW))
-    probes = [F.struct(F.col("_w").alias("core"), F.when(F.col("_w") == F.col("_s"), BOTH).otherwise(WORDS).alias("reading"),
-                       F.lit(WINDOW).alias("length")),
-              F.struct(F.nullif("_s", "_w").alias("core"), F.lit(NAMES).alias("reading"), F.lit(WINDOW).alias("length")),
-              *[F.struct(core(EXACT, n).alias("core"), F.lit(EXACT).alias("reading"), F.lit(n).alias("length")) for n in exact]]
+    starts = F.lit(False)
+    for x in token[STRIDE - 1:WINDOW]:
+        starts = starts | (F.ascii(x) == 5)
+    df = df.withColumn("_w", core(WORDS, WINDOW)).withColumn("_s", F.when(starts, core(NAMES, WINDOW)))
+    probe = lambda h, reading, n: F.struct(h.alias("core"), F.lit(reading).alias("reading"), F.lit(n).alias("length"))
+    probes = F.when(F.col("_s").isNull(), F.array(probe(F.col("_w"), BOTH, WINDOW))).otherwise(
+        F.array(probe(F.col("_w"), WORDS, WINDOW), probe(F.col("_s"), NAMES, WINDOW)))
+    if exact:
+        probes = F.concat(probes, F.array(*[probe(core(EXACT, n), EXACT, n) for n in exact]))
     rest = [x for x in df.columns if x not in ("_w", "_s")]
-    df = df.select(*rest, F.explode(F.array(*probes)).alias("_p")).select(*rest, "_p.*").where(F.col("core").isNotNull())
+    df = df.select(*rest, F.explode(probes).alias("_p")).select(*rest, "_p.*").where(F.col("core").isNotNull())
     return df.join(runs, "core", "left_semi").drop("core")
 
 
