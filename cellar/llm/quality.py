@@ -3,11 +3,15 @@
 Each document's text gives a vector of statistics (word length, symbols, capital
 letters, digits, other punctuation, repeated words, repeated lines).  For each
 (lang, source) group the minimum-covariance-determinant estimate is found by
-concentration steps: from the current centre and covariance every document gets
+concentration steps from three starts (the group's usual rates with the smallest
+deviations, the same with the group's mean deviations, and the mean and covariance
+of all its rows): from the current centre and covariance every document gets
 its Mahalanobis distance, the nearest 75 % form the next subset, and the
-subset's sums give the next centre and covariance.  Sums are whole numbers
-(statistics are rounded to 1/1024), so the result does not depend on the order
-of rows.  Documents far outside the final estimate are rejected.
+subset's sums give the next centre and covariance.  The start that ends with the
+smallest determinant is kept.  The subset's covariance is scaled up to that of all
+rows, as it is for normal ones.  Sums are whole numbers (statistics are rounded to
+1/1024), so the result does not depend on the order of rows.  Documents far outside
+the final estimate are rejected.
 
 Every step is one grouped aggregation with map-side sums: a group that holds a
 third of all rows sends one row a task.  The cut of a step is found on a
@@ -15,9 +19,11 @@ histogram of distances with a fixed number of bins, never by sorting a group.
 
 Defined cases: null or empty texts have zero words and fail the base rules; null
 lang or source are groups of their own; a group of fewer than ``min_group``
-documents that pass the base rules uses the estimate of all of them; equal
-documents get equal verdicts; repeated rows give one row each; a null doc_id is
-passed on; other columns are not read.
+documents that pass the base rules is judged by the estimate over all documents of
+its language, and where these are too few by the one over the whole table, so that
+every document is judged; equal documents get equal verdicts (ties between starts go
+to the first); repeated rows give one row each; a null doc_id is passed on; other
+columns are not read; a very long text is measured whole; an empty table has no rows.
 """
 
 from __future__ import annotations
@@ -120,10 +126,14 @@ FLOORS = np.array([x[2] * UNIT for x in RATES.values()])
 #: 99.99 % point of chi-square with 7 degrees of freedom.
 CUTOFF = 29.88
 SUBSET = 0.75
+#: The covariance of the nearest 75 % of normal rows in 7 dimensions is this much smaller
+#: than that of all: 0.75 / P(chi-square(9) <= the 75 % point of chi-square(7)).
+CONSISTENCY = 1.3247
 STEPS = 5
 #: Distances are binned by 1/16 of a doubling.
 BINS = 16
-STATE = "grp string, centre array<double>, inverse array<double>"
+STATE = "grp string, start int, centre array<double>, inverse array<double>, log_det double"
+EVERYTHING = "*"
 
 
 def _group():
@@ -142,26 +152,55 @@ def _distance(v="v"):
     return total
 
 
-def _estimate(batches):
-    """Group sums -> centre and inverse covariance."""
-    for batch in batches:
-        rows = batch.to_pylist()
-        out = []
-        for r in rows:
-            n = r["n"]
-            centre = np.array([float(x) for x in r["s"]]) / n
-            cov = np.zeros((P, P))
-            k = 0
-            for i in range(P):
-                for j in range(i, P):
-                    cov[i, j] = cov[j, i] = r["q"][k] / n - centre[i] * centre[j]
-                    k += 1
-            inverse = np.linalg.inv(cov + np.diag(FLOORS ** 2))
-            out.append((r["grp"], centre.tolist(), inverse.ravel().tolist()))
-        cols = list(zip(*out)) if out else [()] * 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.list_(pa.float64())),
-             pa.array(cols[2], pa.list_(pa.float64()))], names=["grp", "centre", "inverse"])
+def _estimate(factor):
+    """Group sums -> centre, inverse and determinant of the covariance times ``factor``."""
+    def run(batches):
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                n = r["n"]
+                centre = np.array([float(x) for x in r["s"]]) / n
+                cov = np.zeros((P, P))
+                k = 0
+                for i in range(P):
+                    for j in range(i, P):
+                        cov[i, j] = cov[j, i] = r["q"][k] / n - centre[i] * centre[j]
+                        k += 1
+                cov = cov * factor + np.diag(FLOORS ** 2)
+                out.append((r["grp"], r["start"], centre.tolist(), np.linalg.inv(cov).ravel().tolist(),
+                            float(np.linalg.slogdet(cov)[1])))
+            cols = list(zip(*out)) if out else [()] * 5
+            kinds = [pa.string(), pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64()), pa.float64()]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, kinds)],
+                                             names=["grp", "start", "centre", "inverse", "log_det"])
+    return run
+
+
+def _sums(rows: DataFrame, *more) -> DataFrame:
+    v = [F.col("v")[i] for i in range(P)]
+    pairs = [(i, j) for i in range(P) for j in range(i, P)]
+    sums = rows.groupBy("grp", "start").agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(v[i]).alias(f"s{i}") for i in range(P)],
+        *[F.sum(v[i] * v[j]).alias(f"q{i}_{j}") for i, j in pairs], *more)
+    return sums.withColumn("s", F.array(*[f"s{i}" for i in range(P)])).withColumn("q", F.array(*[f"q{i}_{j}" for i, j in pairs]))
+
+
+def _starts(inside: DataFrame, usual: DataFrame) -> DataFrame:
+    """(grp, start, centre, inverse): the three starts of each group."""
+    centre = usual.select("grp", F.transform("usual", lambda r: F.sqrt(r) * UNIT).alias("centre"))
+    away = [F.sum(F.abs(F.col("v")[i] - F.round(F.col("centre")[i]).cast("long"))).alias(f"d{i}") for i in range(P)]
+    sums = c.written(_sums(inside.join(centre, "grp").withColumn("start", F.lit(2)), F.first("centre").alias("centre"), *away)
+                     .select("grp", "start", "n", "s", "q", "centre", *[f"d{i}" for i in range(P)]), "sums")
+
+    def diagonal(deviation):
+        return F.array(*[1 / F.pow(deviation(i), 2) if i == j else F.lit(0.0) for i in range(P) for j in range(P)])
+
+    # 1.2533 mean deviations are a standard deviation
+    narrow = diagonal(lambda i: F.lit(float(FLOORS[i])))
+    wide = diagonal(lambda i: F.greatest(F.lit(float(FLOORS[i])), 1.2533 * F.col(f"d{i}") / F.col("n")))
+    made = [sums.select("grp", F.lit(k).alias("start"), "centre", x.alias("inverse")) for k, x in enumerate((narrow, wide))]
+    whole = sums.select("grp", "start", "n", "s", "q").mapInArrow(_estimate(1.0), STATE)
+    return made[0].unionAll(made[1]).unionAll(whole.select("grp", "start", "centre", "inverse"))
 
 
 def _up_to(hist: DataFrame, keys: list[str], value: str, share: float, name: str) -> DataFrame:
@@ -179,11 +218,22 @@ def judge(stats: DataFrame, min_group: int = 50, cutoff: float = CUTOFF, min_wor
     group, pool = _group()
     base = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat * F.col("n_words"))
     stats = stats.withColumn("base_failed", base).withColumn("own", group).withColumn("pool", pool)
-    sizes = c.written(stats.where(~F.col("base_failed")).groupBy("own").agg(F.count(F.lit(1)).alias("n_own")), "sizes")
-    stats = stats.join(sizes, "own", "left").withColumn(
-        "grp", F.when(F.col("base_failed"), None).when(F.col("n_own") >= min_group, F.col("own")).otherwise(F.col("pool")))
-    ratio = [F.least(F.round(F.lit(UNIT) * F.col(x) / F.col(n)), F.lit(1 << 14)).cast("int")
-             for x, n, _ in RATES.values()]
+    # the group that judges a document, and the estimates it goes into
+    sizes = stats.where(~F.col("base_failed")).groupBy("own", "pool").agg(F.count(F.lit(1)).alias("n_own"))
+    pools = sizes.groupBy("pool").agg(F.sum("n_own").alias("n_pool"), F.min("n_own").alias("least_own"))
+    sizes = c.written(sizes.join(pools, "pool"), "sizes")
+    few = not sizes.where((F.col("n_own") < min_group) & (F.col("n_pool") < min_group)).isEmpty()
+    own, in_pool = F.col("n_own") >= min_group, F.col("n_pool") >= min_group
+    sizes = sizes.select("own", F.when(own, F.col("own")).when(in_pool, F.col("pool")).otherwise(EVERYTHING).alias("judge"), F.array_compact(
+        F.array(F.when(own, F.col("own")), F.when(in_pool & (F.col("least_own") < min_group), F.col("pool")),
+                F.lit(EVERYTHING if few else None).cast("string"))).alias("members"))
+    stats = stats.join(sizes, "own", "left").drop("own", "pool").withColumn(
+        "judge", F.when(~F.col("base_failed"), F.col("judge")))
+    stats = stats.withColumn("grp", F.explode_outer(F.when(~F.col("base_failed"), F.col("members")))).drop("members")
+    # a rate beyond 16 is rounded to 14 digits of its binary number, so that a histogram has few values
+    rate = [F.round(F.lit(UNIT) * F.col(x) / F.col(n)) for x, n, _ in RATES.values()]
+    step = [F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(F.greatest(x, F.lit(1.0)))) - 13, F.lit(0))) for x in rate]
+    ratio = [(F.floor(x / y) * y).cast("long") for x, y in zip(rate, step)]
     hist = (stats.where(F.col("grp").isNotNull()).select("grp", F.posexplode(F.array(*ratio)).alias("pos", "val"))
             .groupBy("grp", "pos", "val").agg(F.count(F.lit(1)).alias("n")))
     usual = c.written(_up_to(hist, ["grp", "pos"], "val", 0.5, "usual").groupBy("grp").agg(
@@ -192,28 +242,19 @@ def judge(stats: DataFrame, min_group: int = 50, cutoff: float = CUTOFF, min_wor
     vector = F.array(*[F.round(F.lit(UNIT) * F.sqrt((F.col(x) + PRIOR * F.col("usual")[i]) / (F.col(n) + PRIOR))).cast("long")
                        for i, (x, n, _) in enumerate(RATES.values())])
     rows = c.written(stats.join(usual, "grp", "left").withColumn("v", F.when(F.col("grp").isNotNull(), vector))
-                     .drop("own", "pool", "n_own", "usual"), "vectors")
-    inside = rows.where(F.col("grp").isNotNull())
-    counted = inside.groupBy("grp").agg(F.count(F.lit(1)).alias("n_grp")).where(F.col("n_grp") >= min_group)
-    start = np.diag(1 / FLOORS ** 2).ravel().tolist()
-    state = c.written(usual.join(counted, "grp", "left_semi").select(
-        "grp", F.transform("usual", lambda r: F.sqrt(r) * UNIT).alias("centre"),
-        F.array(*map(F.lit, start)).alias("inverse")), "state")
+                     .drop("usual"), "vectors")
+    inside = rows.where(F.col("grp").isNotNull()).select("grp", "v")
+    state = c.written(_starts(inside, usual), "state")
     for _ in range(STEPS):
         near = inside.join(state, "grp").select(
-            "grp", "v", F.floor(F.log2(_distance() + F.lit(1e-6)) * BINS).cast("int").alias("bin"))
-        hist = near.groupBy("grp", "bin").agg(F.count(F.lit(1)).alias("n"))
-        cut = c.written(_up_to(hist, ["grp"], "bin", SUBSET, "cut"), "cut")
-        chosen = near.join(cut, "grp").where(F.col("bin") <= F.col("cut"))
-        v = [F.col("v")[i] for i in range(P)]
-        sums = chosen.groupBy("grp").agg(
-            F.count(F.lit(1)).alias("n"), *[F.sum(v[i]).alias(f"s{i}") for i in range(P)],
-            *[F.sum(v[i] * v[j]).alias(f"q{i}_{j}") for i in range(P) for j in range(i, P)])
-        sums = sums.select("grp", "n", F.array(*[f"s{i}" for i in range(P)]).alias("s"),
-                           F.array(*[f"q{i}_{j}" for i in range(P) for j in range(i, P)]).alias("q"))
-        state = c.written(sums.mapInArrow(_estimate, STATE), "state")
-    out = rows.join(state, "grp", "left").withColumn("distance", _distance())
-    return out.withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("distance") > cutoff, F.lit(False)))
+            "grp", "start", "v", F.floor(F.log2(_distance() + F.lit(1e-6)) * BINS).cast("int").alias("bin"))
+        hist = near.groupBy("grp", "start", "bin").agg(F.count(F.lit(1)).alias("n"))
+        cut = c.written(_up_to(hist, ["grp", "start"], "bin", SUBSET, "cut"), "cut")
+        chosen = near.join(cut, ["grp", "start"]).where(F.col("bin") <= F.col("cut"))
+        state = c.written(_sums(chosen).select("grp", "start", "n", "s", "q").mapInArrow(_estimate(CONSISTENCY), STATE), "state")
+    best = state.groupBy("grp").agg(F.min_by(F.struct("centre", "inverse"), F.struct("log_det", "start")).alias("best")).select("grp", "best.*")
+    out = rows.where(F.col("grp").eqNullSafe(F.col("judge"))).join(best, "grp", "left").withColumn("distance", _distance())
+    return out.drop("judge").withColumn("kept", ~F.col("base_failed") & ~F.coalesce(F.col("distance") > cutoff, F.lit(False)))
 
 
 def quality(docs: DataFrame, **options) -> DataFrame:
