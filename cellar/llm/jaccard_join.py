@@ -29,6 +29,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellar.llm import bloom
 from cellar.llm import common as c
@@ -252,18 +253,24 @@ def row_id():
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document of each component, that of the smallest doc_id,
-    and one row of rows that share a doc_id."""
+    """``docs`` with one document of each component: the one of the smallest doc_id or,
+    in a component of null ones, of the smallest text hash.  Rows that share a
+    doc_id belong to one component, whatever their texts; of these the smallest row
+    by its text and other columns stays."""
     found = c.written(jaccard_components(docs, **options), "components")
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("rid").alias("_cellar_row")).distinct()
-    rows = docs.withColumn("_cellar_row", row_id())
-    # one shuffle: the rows are already together by their key for the last step
-    return rows.join(stays, "_cellar_row", "left_semi").dropDuplicates(["_cellar_row"]).select(*docs.columns)
+    # null ids have negative numbers, which come after all others
+    last = F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("rid"))
+    stays = found.groupBy("root").agg(F.min_by("rid", last).alias("rid"))
+    key = c.unused(docs, "row_id")
+    rows = docs.withColumn(key, row_id()).join(stays.select(F.col("rid").alias(key)).distinct(), key, "left_semi")
+    rest = [x.name for x in docs.schema if x.name != "text" and not isinstance(x.dataType, T.MapType)]
+    order = F.struct(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256), F.xxhash64("text", *rest))
+    return rows.groupBy(key).agg(F.min_by(F.struct(*docs.columns), order).alias("kept")).select("kept.*")
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
                        sketch_bits: int = SKETCH_BITS) -> DataFrame:
-    """One row for each document: doc_id, rid, n_shingles, component_id.  Two
+    """One row for each document: doc_id, rid, root, n_shingles, component_id.  Two
     documents link when their sets' Jaccard similarity is ``percent``/100 or
     more."""
     spark = docs.sparkSession
@@ -319,7 +326,7 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
         everything.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))
     least = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return rooted.join(least, "root").select(
-        "doc_id", "rid", F.col("n").alias("n_shingles"), "component_id")
+        "doc_id", "rid", "root", F.col("n").alias("n_shingles"), "component_id")
 
 
 @query("op8_jaccard_token_groups")

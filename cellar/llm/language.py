@@ -278,12 +278,14 @@ def document_rows(docs: DataFrame) -> DataFrame:
 
 def keep_identified(docs: DataFrame) -> DataFrame:
     """``docs`` whose language is identified, with that language in ``lang``; the
-    rejected ones go."""
-    key = F.xxhash64("doc_id", "text")
+    rejected ones go.  Rows that differ in text, declared language or source have
+    verdicts of their own; equal rows share one, and stay as many as they are."""
+    key = F.xxhash64(*[y for x in ("doc_id", "text", "lang", "source") if x in docs.columns for y in (F.col(x).isNull(), F.col(x))])
+    name, verdict = c.unused(docs, "row_key"), c.unused(docs, "identified")
     rows = document_rows(docs.withColumn("doc_id", key))
-    found = identify(rows).where("kept").select(F.col("id").alias("_key"), F.col("language").alias("_language")).distinct()
-    out = docs.join(found, key == F.col("_key"))
-    return out.withColumn("lang", F.col("_language")).select(*docs.columns)
+    found = identify(rows).where("kept").groupBy(F.col("id").alias(name)).agg(F.min("language").alias(verdict))
+    out = docs.join(found, key == F.col(name))
+    return out.withColumn("lang", F.col(verdict)).select(*docs.columns)
 
 
 def page_rows(pages: DataFrame) -> DataFrame:

@@ -87,3 +87,17 @@ def test_components(spark):
         root[max(x, y)] = min(x, y)
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert all(got.get(x, x) == find(x) for x in root)
+
+
+def test_null_and_shared_ids(spark):
+    """One row of near copies stays though their ids are null; of rows that share an id always the same one."""
+    base = [f"w{i}" for i in range(60)]
+    near = [" ".join(base[:59 - k] + [f"x{k}"] + base[60 - k:]) for k in range(1, 4)]
+    rows = [(None, " ".join(base), 1)] + [(None, t, 1) for t in near] + [(7, "one two three four five six", 1),
+            (7, "quite other words stand in this row", 2), (None, None, 3)]
+    kept = []
+    for order in (rows, rows[::-1]):
+        df = spark.createDataFrame(order, "doc_id long, text string, root long").repartition(3)
+        kept.append(sorted(map(str, jj.keep_one_of_each(df, shingle=2, percent=80).collect())))
+    assert kept[0] == kept[1] and len(kept[0]) == 3
+    assert sum("Row(doc_id=None, text='w" in x for x in kept[0]) == 1

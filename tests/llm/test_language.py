@@ -100,3 +100,16 @@ def test_more_languages_than_a_pass_holds(spark, monkeypatch):
     monkeypatch.setattr(la, "GROUP_LANGUAGES", 5)
     assert sorted(map(key, la.identify(df).collect())) == whole
     assert all(r[-1] and r[1] == r[3] for r in whole if r[0] != 901) and len(whole) == len(rows)
+
+
+def test_rows_do_not_multiply(spark):
+    """One doc_id and text with several declared languages and sources, nulls in their turn, and clashing names."""
+    rng = np.random.default_rng(6)
+    rows = [(i, _text(rng, "en", 60), "en", "s", "x") for i in range(120)]
+    same = _text(rng, "de", 60)
+    rows += [(500, same, "de", "s", "x"), (500, same, "en", "t", "y"), (500, same, None, "en", "z"), (500, same, "en", None, "z"),
+             (500, same, "en", None, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, _key string")
+    df = df.withColumnsRenamed({"_key": "row_key"})
+    got = la.keep_identified(df).collect()
+    assert len(got) == len(rows) and sum(r.doc_id == 500 for r in got) == 5
