@@ -6,6 +6,13 @@ in ten documents or more go from all of them) -> n-gram Jaccard join (one docume
 of each group of near duplicates stays) -> benchmark decontamination (documents
 that hold a benchmark item go) -> best-fit packing (all that is left, in
 sequences of 4096 tokens).
+
+Defined cases: null and empty texts go in the first stage, as no language is found in
+them; rows with one doc_id and text but other languages or sources are judged one by
+one; of rows that share a doc_id the first by text hash stays in the third stage, and of near
+copies the one with the smallest doc_id (with null ids alone: the smallest text hash);
+texts are processed whole, whatever their length; further columns pass all stages but
+the last, whatever their names; an empty table has no rows at the end.
 """
 
 from __future__ import annotations
