@@ -36,4 +36,6 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"components not settled after {max_rounds} rounds")
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

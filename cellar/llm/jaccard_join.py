@@ -1,16 +1,20 @@
 """N-gram Jaccard join with a token-group matrix.
 
-Documents become sets of hashed word shingles, and equal sets become one.  Similar
-sets are put into groups (sets that share a minimum hash meet a few leaders of
-their bucket and are linked by exact comparison), so that thousands of near
-copies are one group.  The token-group matrix holds, for every group, the union
-of its members' prefix tokens: tokens in one global order, rarest first, as many
-as the threshold leaves room to miss.  Two sets at or above the threshold share a
-prefix token, so a query set and a group without one cannot link and stay closed;
-only groups that qualify and hold sets of a fitting size are opened, and their
-sets compared exactly.  Pairs inside a group need no further look, as they are
-connected already: the links between different texts that are left decide the
-components.
+Documents become sets of hashed word shingles, and equal sets become one.  Two sets
+at or above the threshold share a token of their prefixes (tokens in one global
+order, rarest first, as many as the threshold leaves room to miss) and fit in size.
+
+Sets that share a prefix token form a group about a leader, the member that holds
+the token earliest, and so has the fewest tokens of its own.  Each member is compared
+with the leader exactly.  A group's token union is kept as the leader's tokens and
+its members' differences from it (tokens added, then tokens removed).  Members that
+link with the leader are connected and need no further look at each other.  For any
+other pair x, y with differences of sizes a and b, a link means that the differences
+have (a + b - allowed) / 2 tokens in common, which for y is over nearly half of b:
+only members that share a token of these shortened differences can link, and form the
+groups of the next round.  So a group of thousands of near copies costs a comparison
+a member, not one a pair.  A group loses its leader each round; pairs that are left
+after ``ROUNDS`` rounds are compared one by one, so that no link is lost.
 
 The global order comes from a sketch of token counts of fixed size
 (``SKETCH_BITS``); any order gives the same result, a good one keeps passages
@@ -25,6 +29,8 @@ doc_id of its component, null if there is none; further columns are not read.
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -42,9 +48,9 @@ SKETCH_BITS = 23
 ID_BITS = 25
 TOKEN_BITS = 27
 CHUNK_BITS = 16
-BANDS = 3
-LEADERS = 3
-_SEEDS = c.powers(BANDS + 3, 0xA0761D6478BD642F)[1:]
+#: Rounds of groups before the pairs that are left are compared one by one.
+ROUNDS = 6
+_SEEDS = c.powers(3, 0xA0761D6478BD642F)[1:]
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,7 +128,7 @@ def token_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
 # signatures
 
 DIGEST = "rid long, doc_id long, n long, k1 long, k2 long"
-SIGNATURE = "set_id long, n long, bands array<long>, prefix array<long>"
+SIGNATURE = "set_id long, n long, prefix array<long>"
 
 
 def _starts(d):
@@ -141,7 +147,7 @@ def _digests(n):
             rows = batch.num_rows
             first = _starts(d)
             keys = []
-            for seed in _SEEDS[BANDS:BANDS + 2]:
+            for seed in _SEEDS[:2]:
                 k = np.zeros(rows, np.uint64)
                 if len(h):
                     k[d[first]] = np.add.reduceat(c.mix(h ^ seed), first)
@@ -160,7 +166,7 @@ def _wanted(batches, ids, bits):
 
 
 def _signatures(n, percent, sketch, bits, ids):
-    """Minimum hashes and prefix of the documents that stand for a set."""
+    """Prefix of the documents that stand for a set."""
     def run(batches):
         counts = sketch.value
         for batch in _wanted(batches, ids, ID_BITS):
@@ -168,10 +174,6 @@ def _signatures(n, percent, sketch, bits, ids):
             rows = batch.num_rows
             size = np.bincount(d, minlength=rows)
             first = _starts(d)
-            bands = np.zeros((rows, BANDS), np.uint64)
-            for j in range(BANDS):
-                if len(h):
-                    bands[d[first], j] = np.minimum.reduceat(c.mix(h ^ _SEEDS[j]), first)
             order = np.lexsort((h, counts[h >> np.uint64(64 - bits)], d))
             rank = np.arange(len(h)) - np.repeat(first, size[d[first]]) if len(h) else np.zeros(0, np.int64)
             take = rank < prefix_length(size, percent)[d] if len(h) else np.zeros(0, bool)
@@ -179,9 +181,8 @@ def _signatures(n, percent, sketch, bits, ids):
             ends = np.concatenate([[0], np.cumsum(np.bincount(d[take], minlength=rows))]).astype(np.int32)
             out = pa.RecordBatch.from_arrays([
                 batch.column("rid"), pa.array(size.astype(np.int64)),
-                pa.ListArray.from_arrays(pa.array(np.arange(0, rows * BANDS + 1, BANDS, dtype=np.int32)), pa.array(bands.ravel().view(np.int64))),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix)),
-            ], names=["set_id", "n", "bands", "prefix"])
+            ], names=["set_id", "n", "prefix"])
             yield out.filter(pa.array(size > 0))
     return run
 
@@ -198,55 +199,161 @@ def _tokens(n, ids):
     return run
 
 
-def _shared_prefix(seen):
-    """One row for each prefix token that may stand in another prefix too."""
+# ---------------------------------------------------------------------------
+# rounds of groups
+
+#: A set in a round: its difference from ``leader`` has ``diff`` tokens, of which those
+#: in ``keys`` (hashed with the leader) may be shared with a set it links with; the first
+#: ``n_probe`` count where the set is not linked with the leader, the first ``n_index`` where
+#: the other one is not.
+ROUND = "set_id long, n long, diff long, n_index long, n_probe long, linked boolean, leader long, keys array<long>"
+CELL = "set_id long, n long, diff long, pos long, index boolean, probe boolean, key long"
+
+
+def _first_round(percent):
+    """Prefix tokens in two size classes each: sets that fit in size have one in common."""
+    width = max(np.log(100 / percent), 1e-3) * (1 + 1e-9)
+
     def run(batches):
         for batch in batches:
+            rows = batch.num_rows
+            n = batch.column("n").to_numpy()
             column = batch.column("prefix")
-            token = column.flatten().to_numpy(zero_copy_only=False)
-            row = np.repeat(np.arange(batch.num_rows), np.diff(column.offsets.to_numpy()))
-            keep = bloom.holds(seen.value, token, TOKEN_BITS)
-            at = pa.array(row[keep])
-            yield pa.RecordBatch.from_arrays([batch.column("set_id").take(at), batch.column("n").take(at), pa.array(token[keep])],
-                                             names=["set_id", "n", "token"])
+            token = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
+            size = np.diff(column.offsets.to_numpy())
+            of = np.repeat(np.arange(rows), size)
+            band = np.floor(np.log(n) / width).astype(np.uint64)[of]
+            keys = np.stack([c.mix(token + (band + np.uint64(k)) * _SEEDS[0]) for k in (0, 1)], 1).ravel().view(np.int64)
+            ends = pa.array(np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int32))
+            twice = pa.array(2 * size.astype(np.int64))
+            yield pa.RecordBatch.from_arrays([
+                batch.column("set_id"), batch.column("n"), pa.array(n), twice, twice, pa.array(np.zeros(rows, bool)),
+                batch.column("set_id"), pa.ListArray.from_arrays(ends, pa.array(keys))],
+                names=["set_id", "n", "diff", "n_index", "n_probe", "linked", "leader", "keys"])
     return run
 
 
-def _verify(percent):
+def _shared_cells(seen):
+    """One row for each key of a set that another set may have too."""
     def run(batches):
         for batch in batches:
-            a, b = batch.column("a_tokens").to_pylist(), batch.column("b_tokens").to_pylist()
-            keep = []
-            for x, y in zip(a, b):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                keep.append(100 * common >= percent * (len(both) - common) and common > 0)
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["u", "v"]).filter(pa.array(keep, pa.bool_()))
+            column = batch.column("keys")
+            key = column.flatten().to_numpy(zero_copy_only=False)
+            offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
+            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+            pos = np.arange(len(key)) - offsets[row]
+            keep = bloom.holds(seen.value, key, TOKEN_BITS)
+            row, pos = row[keep], pos[keep]
+            at = pa.array(row)
+            taken = [batch.column(x).take(at) for x in ("set_id", "n", "diff")]
+            upto = [batch.column(x).to_numpy()[row] for x in ("n_index", "n_probe")]
+            yield pa.RecordBatch.from_arrays(
+                [*taken, pa.array(pos), *[pa.array(pos < x) for x in upto], pa.array(key[keep])],
+                names=["set_id", "n", "diff", "pos", "index", "probe", "key"])
     return run
 
 
-def verify(pairs: DataFrame, rows: DataFrame, n: int, percent: int, name: str) -> DataFrame:
-    """The pairs (a, b) of sets that link, by exact comparison of their tokens,
-    which are made again from the texts of the sets concerned."""
-    pairs = c.written(pairs, f"{name}-pairs")
-    need = pairs.select(F.explode(F.array("a", "b")))
-    ids = pairs.sparkSession.sparkContext.broadcast(bloom.number_filter(need, ID_BITS))
-    opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), f"{name}-tokens")
-    ids.destroy()
-    left = opened.select(F.col("set_id").alias("a"), F.col("tokens").alias("a_tokens"))
-    right = opened.select(F.col("set_id").alias("b"), F.col("tokens").alias("b_tokens"))
-    return pairs.join(left, "a").join(right, "b").mapInArrow(_verify(percent), "u long, v long")
+def _compare(percent, sketch, bits):
+    """Sets with their leaders -> whether they link, and the shortened difference."""
+    def difference(x, r, leader, counts):
+        at = np.searchsorted(r, x)
+        same = np.zeros(len(x), bool)
+        inside = at < len(r)
+        same[inside] = r[at[inside]] == x[inside]
+        added = x[~same]
+        gone = np.ones(len(r), bool)
+        gone[at[same]] = False
+        removed = r[gone]
+        common, diff = len(x) - len(added), len(added) + len(removed)
+        linked = 100 * common >= percent * (len(x) + len(r) - common) and common > 0
+        # the least a link with this set leaves in common, whoever the other is
+        least = diff - (100 - percent) * len(x) // percent
+        n_index = diff - max(percent * diff // (100 + percent) + 1, least) + 1
+        n_probe = 0 if linked else diff - max(1, least) + 1
+        take = max(n_index, n_probe)
+        rank = lambda t: t[np.lexsort((t, counts[t >> np.uint64(64 - bits)]))]
+        found = rank(added)[:take]
+        if len(found) < take:
+            found = np.concatenate([found, rank(removed)[:take - len(found)]])
+        key = c.mix(found ^ c.mix(np.array([leader]).view(np.uint64)))
+        return diff, n_index, n_probe, linked, key.view(np.int64)
 
+    def run(batches):
+        counts = sketch.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            out = [difference(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(r.as_buffer(), np.uint64), leader, counts)
+                   for x, r, leader in zip(batch.column("x_tokens"), batch.column("r_tokens"), batch.column("leader").to_pylist())]
+            diff, n_index, n_probe, linked, keys = zip(*out)
+            ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("set_id"), pa.array([len(x.as_buffer()) // 8 for x in batch.column("x_tokens")], pa.int64()),
+                 *[pa.array(x, pa.int64()) for x in (diff, n_index, n_probe)], pa.array(linked, pa.bool_()), batch.column("leader"),
+                 pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))],
+                names=["set_id", "n", "diff", "n_index", "n_probe", "linked", "leader", "keys"])
+    return run
 
-# ---------------------------------------------------------------------------
-# the join
 
-def _fits(a, b, percent):
-    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+def _beside(pairs, opened):
+    """Pairs (set_id, leader) with the tokens of both."""
+    return pairs.join(opened.withColumnRenamed("tokens", "x_tokens"), "set_id").join(
+        opened.select(F.col("set_id").alias("leader"), F.col("tokens").alias("r_tokens")), "leader").select(
+        "set_id", "leader", "x_tokens", "r_tokens")
 
 
+def _groups(state: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """(cells, groups): the keys of sets that are shared where a link is open, and each
+    key's leader."""
+    sc = state.sparkSession.sparkContext
+    seen = sc.broadcast(bloom.repeated_numbers(state.select("keys"), TOKEN_BITS))
+    cells = c.written(state.mapInArrow(_shared_cells(seen), CELL), f"{name}-cells")
+    seen.destroy()
+    groups = cells.groupBy("key").agg(
+        F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("probe").alias("probe"), F.max("index").alias("index"),
+        F.min_by("set_id", F.struct("pos", F.xxhash64("set_id"))).alias("leader"))
+    return cells, groups.where("low <> high and probe and index").select("key", "leader")
+
+
+def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
+    """Links (u, v) between sets that give the components of all links."""
+    spark = sets.sparkSession
+    state = sets.mapInArrow(_first_round(percent), ROUND)
+    opened, links = None, []
+    for k in range(rounds):
+        cells, groups = _groups(state, f"round-{k}")
+        pairs = c.written(cells.join(groups, "key").where("set_id <> leader").select("set_id", "leader").distinct(), f"round-{k}-pairs")
+        if pairs.isEmpty():
+            break
+        if opened is None:  # later rounds meet no other sets
+            ids = spark.sparkContext.broadcast(bloom.number_filter(pairs.select(F.explode(F.array("set_id", "leader"))), ID_BITS))
+            opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), "tokens")
+            ids.destroy()
+        state = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}")
+        links.append(state.where("linked").select(F.col("set_id").alias("u"), F.col("leader").alias("v")))
+    else:
+        cells, groups = _groups(state, "last")
+        cells = cells.join(groups.select("key"), "key")
+        x = cells.where("probe").select("key", "set_id", "n", "diff", "pos")
+        y = cells.where("index").select("key", *[F.col(name).alias(f"{name}_b") for name in ("set_id", "n", "diff", "pos")])
+        room = (F.col("diff") + F.col("diff_b")) * (100 + percent) - (F.col("n") + F.col("n_b")) * (100 - percent)
+        fits = (F.col("n") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n") * percent)
+        if rounds:  # the tokens behind a shared one must suffice
+            fits &= F.least(F.col("diff") - F.col("pos"), F.col("diff_b") - F.col("pos_b")) * 2 * (100 + percent) >= room
+        pairs = c.written(x.join(y, "key").where((F.col("set_id") != F.col("set_id_b")) & fits).select(
+            F.least("set_id", "set_id_b").alias("set_id"), F.greatest("set_id", "set_id_b").alias("leader")).distinct(), "last-pairs")
+        if opened is None:
+            ids = spark.sparkContext.broadcast(bloom.number_filter(pairs.select(F.explode(F.array("set_id", "leader"))), ID_BITS))
+            opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), "tokens")
+            ids.destroy()
+        links.append(c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), "last").where("linked").select(
+            F.col("set_id").alias("u"), F.col("leader").alias("v")))
+    return reduce(DataFrame.union, links, spark.createDataFrame([], "u long, v long"))
+
+
+# ---------------------------------------------------------------------------
+# the join
+
 def row_id():
     """A document's node: its doc_id, or for a null one a number of its text's."""
     return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text").bitwiseOR(F.lit(-(1 << 63))))
@@ -269,7 +376,7 @@ def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
-                       sketch_bits: int = SKETCH_BITS) -> DataFrame:
+                       sketch_bits: int = SKETCH_BITS, rounds: int = ROUNDS) -> DataFrame:
     """One row for each document: doc_id, rid, root, n_shingles, component_id.  Two
     documents link when their sets' Jaccard similarity is ``percent``/100 or
     more."""
@@ -286,41 +393,10 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     stands = spark.sparkContext.broadcast(bloom.number_filter(member.where("rid = set_id").select("set_id"), ID_BITS))
     sets = c.written(rows.select("rid", "text").mapInArrow(
         _signatures(shingle, percent, sketch, bits, stands), SIGNATURE), "sets")
-    sketch.destroy()
     stands.destroy()
-
-    # groups of similar sets: each set meets a few leaders of its buckets
-    buckets = sets.select("set_id", "n", F.posexplode("bands").alias("band", "value"))
-    leaders = buckets.groupBy("band", "value").agg(
-        F.count(F.lit(1)).alias("size"),
-        *[F.min(F.struct(F.xxhash64("set_id", F.lit(k)), F.col("set_id"))).alias(f"l{k}") for k in range(LEADERS)])
-    leaders = leaders.where("size > 1").select("band", "value", F.explode(F.array_distinct(
-        F.array(*[F.col(f"l{k}.set_id") for k in range(LEADERS)]))).alias("leader"))
-    stars = buckets.join(leaders, ["band", "value"]).where(F.col("leader") != F.col("set_id")).select(
-        F.least("leader", "set_id").alias("a"), F.greatest("leader", "set_id").alias("b")).distinct()
-    links = c.written(verify(stars, rows, shingle, percent, "leaders"), "links")
-    groups = c.written(components(links), "groups")
-
-    # token-group matrix over the groups' prefix tokens that may be shared
-    seen = spark.sparkContext.broadcast(bloom.repeated_numbers(sets.select("prefix"), TOKEN_BITS))
-    cells = sets.select("set_id", "n", "prefix").mapInArrow(_shared_prefix(seen), "set_id long, n long, token long").join(
-        groups.withColumnsRenamed({"node": "set_id", "root": "grp"}), "set_id", "left").withColumn(
-        "grp", F.coalesce("grp", "set_id"))
-    cells = c.written(cells, "postings")
-    seen.destroy()
-    shared = cells.groupBy("token").agg(F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo <> hi").select("token")
-    cells = c.written(cells.join(shared, "token"), "shared-postings")
-    matrix = cells.groupBy("token", "grp").agg(F.min("n").alias("least_n"), F.max("n").alias("most_n"))
-    qualified = cells.join(matrix.withColumnRenamed("grp", "group_b"), "token").where(
-        (F.col("grp") < F.col("group_b")) & (F.col("most_n") * 100 >= F.col("n") * percent)
-        & (F.col("n") * 100 >= F.col("least_n") * percent))
-    opened = c.written(qualified.select("set_id", "n", "group_b", "token").distinct(), "qualified")
-    inside = cells.select(F.col("set_id").alias("b"), F.col("n").alias("n_b"), F.col("grp").alias("group_b"), "token")
-    pairs = opened.join(inside, ["group_b", "token"]).where(_fits("n", "n_b", percent)).select(
-        F.least("set_id", "b").alias("a"), F.greatest("set_id", "b").alias("b")).distinct()
-    more = verify(pairs, rows, shingle, percent, "groups")
-
-    everything = components(links.union(groups.select("node", "root")).union(more).union(own))
+    links = links_of(sets, rows, sketch, bits, shingle, percent, rounds)
+    everything = components(links.union(own))
+    sketch.destroy()
     # the smallest doc_id of each component
     rooted = signed.select("rid", "doc_id", "n").join(
         everything.withColumnRenamed("node", "rid"), "rid", "left").withColumn("root", F.coalesce("root", "rid"))

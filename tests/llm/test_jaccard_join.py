@@ -55,13 +55,31 @@ def make(rng):
     return rows
 
 
-@pytest.mark.parametrize("n,percent,bits", [(4, 85, 24), (5, 80, 16), (3, 60, 24)])
-def test_against_brute_force(spark, docs_of, n, percent, bits):
+@pytest.mark.parametrize("n,percent,bits,rounds", [(4, 85, 24, jj.ROUNDS), (5, 80, 16, 1), (3, 60, 24, 2), (4, 85, 23, 0)])
+def test_against_brute_force(spark, docs_of, n, percent, bits, rounds):
     rows = make(np.random.default_rng(n))
-    got = jj.jaccard_components(docs_of(rows), n, percent, bits)
+    got = jj.jaccard_components(docs_of(rows), n, percent, bits, rounds)
     assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute(rows, n, percent)
 
 
+def test_near_misses_about_one_text(spark, docs_of):
+    """Edits of one text, with the same edits in some, on both sides of the threshold: few comparisons, all links."""
+    rng = np.random.default_rng(11)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 5))
+    base = [word() for _ in range(90)]
+    edits = [(int(k), word()) for k in rng.integers(0, 90, 30)]
+    rows = []
+    for i in range(250):
+        w = list(base)
+        for _ in range(rng.integers(1, 8)):
+            k, new = edits[rng.integers(0, 30)] if rng.random() < 0.5 else (rng.integers(0, 90), word())
+            w[k] = new
+        rows.append((i, " ".join(w)))
+    for rounds in (1, jj.ROUNDS):
+        got = jj.jaccard_components(docs_of(rows), 4, 85, rounds=rounds)
+        assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute(rows, 4, 85)
+
+
 def test_one_of_each_stays(spark, docs_of):
     rows = make(np.random.default_rng(8))
     kept = jj.keep_one_of_each(docs_of(rows))
