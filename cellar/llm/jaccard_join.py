@@ -48,6 +48,8 @@ SKETCH_BITS = 23
 ID_BITS = 25
 TOKEN_BITS = 27
 CHUNK_BITS = 16
+#: Text bytes at a time: a text's words take many times its size.
+SMALL = 1 << 19
 #: Rounds of groups before the pairs that are left are compared one by one.
 ROUNDS = 6
 _SEEDS = c.powers(3, 0xA0761D6478BD642F)[1:]
@@ -86,7 +88,7 @@ def _sketch(n, bits):
             total[:] = 0
             return out
 
-        for batch in c.chunks(batches):
+        for batch in c.chunks(batches, SMALL):
             h, _ = shingle_sets(*c.text_bytes(batch.column("text")), n)
             at, times = np.unique((h >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
             total[at] += times.astype(np.uint32)
@@ -142,7 +144,7 @@ def prefix_length(n: np.ndarray, percent: int) -> np.ndarray:
 def _digests(n):
     """Size and 128-bit digest of each document's set."""
     def run(batches):
-        for batch in c.chunks(batches):
+        for batch in c.chunks(batches, SMALL):
             h, d = shingle_sets(*c.text_bytes(batch.column("text")), n)
             rows = batch.num_rows
             first = _starts(d)
@@ -160,9 +162,10 @@ def _digests(n):
 
 def _wanted(batches, ids, bits):
     """Chunks of the rows whose rid the filter of ids holds."""
-    for batch in batches:
-        keep = bloom.holds(ids.value, batch.column("rid").to_numpy(), bits) if batch.num_rows else np.zeros(0, bool)
-        yield from c.chunks([batch.filter(pa.array(keep, pa.bool_()))])
+    for batch in c.chunks(batches, SMALL):
+        keep = bloom.holds(ids.value, batch.column("rid").to_numpy(), bits)
+        if keep.any():
+            yield batch.filter(pa.array(keep, pa.bool_()))
 
 
 def _signatures(n, percent, sketch, bits, ids):
