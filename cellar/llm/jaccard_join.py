@@ -13,8 +13,9 @@ other pair x, y with differences of sizes a and b, a link means that the differe
 have (a + b - allowed) / 2 tokens in common, which for y is over nearly half of b:
 only members that share a token of these shortened differences can link, and form the
 groups of the next round.  So a group of thousands of near copies costs a comparison
-a member, not one a pair.  A group loses its leader each round; pairs that are left
-after ``ROUNDS`` rounds are compared one by one, so that no link is lost.
+a member, not one a pair.  A group loses its leader each round.  Groups of up to ``FEW``
+sets, and what is left after ``ROUNDS`` rounds, are compared pair by pair where sizes and
+the positions of the shared token allow a link, so that no link is lost.
 
 The global order comes from a sketch of token counts of fixed size
 (``SKETCH_BITS``); any order gives the same result, a good one keeps passages
@@ -52,6 +53,8 @@ CHUNK_BITS = 16
 SMALL = 1 << 19
 #: Rounds of groups before the pairs that are left are compared one by one.
 ROUNDS = 6
+#: Groups of at most this many sets are compared pair by pair where positions allow a link.
+FEW = 8
 _SEEDS = c.powers(3, 0xA0761D6478BD642F)[1:]
 
 
@@ -228,23 +231,23 @@ def _first_round(percent):
             band = np.floor(np.log(n) / width).astype(np.uint64)[of]
             keys = np.stack([c.mix(token + (band + np.uint64(k)) * _SEEDS[0]) for k in (0, 1)], 1).ravel().view(np.int64)
             ends = pa.array(np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int32))
-            twice = pa.array(2 * size.astype(np.int64))
+            upto = pa.array(size.astype(np.int64))
             yield pa.RecordBatch.from_arrays([
-                batch.column("set_id"), batch.column("n"), pa.array(n), twice, twice, pa.array(np.zeros(rows, bool)),
+                batch.column("set_id"), batch.column("n"), pa.array(n), upto, upto, pa.array(np.zeros(rows, bool)),
                 batch.column("set_id"), pa.ListArray.from_arrays(ends, pa.array(keys))],
                 names=["set_id", "n", "diff", "n_index", "n_probe", "linked", "leader", "keys"])
     return run
 
 
-def _shared_cells(seen):
-    """One row for each key of a set that another set may have too."""
+def _shared_cells(seen, copies):
+    """One row for each key of a set that another set may have too; ``copies`` keys a token."""
     def run(batches):
         for batch in batches:
             column = batch.column("keys")
             key = column.flatten().to_numpy(zero_copy_only=False)
             offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
             row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pos = np.arange(len(key)) - offsets[row]
+            pos = (np.arange(len(key)) - offsets[row]) // copies
             keep = bloom.holds(seen.value, key, TOKEN_BITS)
             row, pos = row[keep], pos[keep]
             at = pa.array(row)
@@ -258,7 +261,7 @@ def _shared_cells(seen):
 
 def _compare(percent, sketch, bits):
     """Sets with their leaders -> whether they link, and the shortened difference."""
-    def difference(x, r, leader, counts):
+    def difference(x, r, leader, goes_on, counts):
         at = np.searchsorted(r, x)
         same = np.zeros(len(x), bool)
         inside = at < len(r)
@@ -273,7 +276,7 @@ def _compare(percent, sketch, bits):
         least = diff - (100 - percent) * len(x) // percent
         n_index = diff - max(percent * diff // (100 + percent) + 1, least) + 1
         n_probe = 0 if linked else diff - max(1, least) + 1
-        take = max(n_index, n_probe)
+        take = max(n_index, n_probe) if goes_on else 0
         rank = lambda t: t[np.lexsort((t, counts[t >> np.uint64(64 - bits)]))]
         found = rank(added)[:take]
         if len(found) < take:
@@ -286,8 +289,9 @@ def _compare(percent, sketch, bits):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            out = [difference(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(r.as_buffer(), np.uint64), leader, counts)
-                   for x, r, leader in zip(batch.column("x_tokens"), batch.column("r_tokens"), batch.column("leader").to_pylist())]
+            out = [difference(np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(r.as_buffer(), np.uint64), leader, goes_on, counts)
+                   for x, r, leader, goes_on in zip(batch.column("x_tokens"), batch.column("r_tokens"),
+                                                    *(batch.column(name).to_pylist() for name in ("leader", "goes_on")))]
             diff, n_index, n_probe, linked, keys = zip(*out)
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
@@ -302,20 +306,43 @@ def _beside(pairs, opened):
     """Pairs (set_id, leader) with the tokens of both."""
     return pairs.join(opened.withColumnRenamed("tokens", "x_tokens"), "set_id").join(
         opened.select(F.col("set_id").alias("leader"), F.col("tokens").alias("r_tokens")), "leader").select(
-        "set_id", "leader", "x_tokens", "r_tokens")
+        "set_id", "leader", "goes_on", "x_tokens", "r_tokens")
 
 
-def _groups(state: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """(cells, groups): the keys of sets that are shared where a link is open, and each
-    key's leader."""
+def _cells(state: DataFrame, copies: int, percent: int, name: str) -> DataFrame:
+    """Keys of sets that some other set of the key may link with, with the sets ``size`` of
+    the key and its ``leader``.
+
+    Sets x and y whose first common token stands at positions i and j have at most
+    min(a - i, b - j) tokens in common, and need (a + b - allowed) / 2.  So b - 2 j + its
+    part of the allowance (``reach``) is at least a - its part (``need``), and the reverse; the
+    extremes of a key say which sets have any such partner."""
     sc = state.sparkSession.sparkContext
     seen = sc.broadcast(bloom.repeated_numbers(state.select("keys"), TOKEN_BITS))
-    cells = c.written(state.mapInArrow(_shared_cells(seen), CELL), f"{name}-cells")
+    part = F.col("n") * (100 - percent)
+    cells = c.written(state.mapInArrow(_shared_cells(seen, copies), CELL).where("index or probe").withColumn(
+        "need", F.col("diff") * (100 + percent) - part).withColumn(
+        "reach", (F.col("diff") - 2 * F.col("pos")) * (100 + percent) + part), f"{name}-cells")
     seen.destroy()
+    best = cells.groupBy("key").agg(*[
+        f(F.when(F.col(role), F.col(x))).alias(f"{role}_{x}") for role in ("index", "probe") for f, x in ((F.min, "need"), (F.max, "reach"))])
+    cells = cells.join(best, "key").where(
+        "(probe and need <= index_reach and reach >= index_need) or (index and need <= probe_reach and reach >= probe_need)")
+    cells = c.written(cells.select("key", "set_id", "n", "diff", "pos", "index", "probe", "need", "reach"), f"{name}-fitting")
     groups = cells.groupBy("key").agg(
-        F.min("set_id").alias("low"), F.max("set_id").alias("high"), F.max("probe").alias("probe"), F.max("index").alias("index"),
-        F.min_by("set_id", F.struct("pos", F.xxhash64("set_id"))).alias("leader"))
-    return cells, groups.where("low <> high and probe and index").select("key", "leader")
+        F.count(F.lit(1)).alias("size"), F.max("probe").alias("any_probe"), F.max("index").alias("any_index"),
+        F.min_by("set_id", F.struct("pos" if copies > 1 else "diff", F.xxhash64("set_id"))).alias("leader"))
+    return cells.join(groups.where("size > 1 and any_probe and any_index").select("key", "size", "leader"), "key")
+
+
+def _pairs(cells: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of one key that positions and sizes let link."""
+    x = cells.where("probe").select("key", "set_id", "n", "need", "reach")
+    y = cells.where("index").select("key", *[F.col(name).alias(f"{name}_b") for name in ("set_id", "n", "need", "reach")])
+    return x.join(y, "key").where(
+        (F.col("set_id") != F.col("set_id_b")) & (F.col("need") <= F.col("reach_b")) & (F.col("need_b") <= F.col("reach"))
+        & (F.col("n") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n") * percent)).select(
+        F.least("set_id", "set_id_b").alias("set_id"), F.greatest("set_id", "set_id_b").alias("leader"), F.lit(False).alias("goes_on"))
 
 
 def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
@@ -323,9 +350,14 @@ def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percen
     spark = sets.sparkSession
     state = sets.mapInArrow(_first_round(percent), ROUND)
     opened, links = None, []
-    for k in range(rounds):
-        cells, groups = _groups(state, f"round-{k}")
-        pairs = c.written(cells.join(groups, "key").where("set_id <> leader").select("set_id", "leader").distinct(), f"round-{k}-pairs")
+    for k in range(rounds + 1):
+        cells = c.written(_cells(state, 1 if k else 2, percent, f"round-{k}"), f"round-{k}-groups")
+        if k < rounds:
+            pairs = cells.where(F.col("size") > FEW).where("set_id <> leader").select("set_id", "leader", F.lit(True).alias("goes_on")).union(
+                _pairs(cells.where(F.col("size") <= FEW), percent))
+        else:
+            pairs = _pairs(cells, percent)
+        pairs = c.written(pairs.groupBy("set_id", "leader").agg(F.max("goes_on").alias("goes_on")), f"round-{k}-pairs")
         if pairs.isEmpty():
             break
         if opened is None:  # later rounds meet no other sets
@@ -334,23 +366,6 @@ def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percen
             ids.destroy()
         state = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}")
         links.append(state.where("linked").select(F.col("set_id").alias("u"), F.col("leader").alias("v")))
-    else:
-        cells, groups = _groups(state, "last")
-        cells = cells.join(groups.select("key"), "key")
-        x = cells.where("probe").select("key", "set_id", "n", "diff", "pos")
-        y = cells.where("index").select("key", *[F.col(name).alias(f"{name}_b") for name in ("set_id", "n", "diff", "pos")])
-        room = (F.col("diff") + F.col("diff_b")) * (100 + percent) - (F.col("n") + F.col("n_b")) * (100 - percent)
-        fits = (F.col("n") * 100 >= F.col("n_b") * percent) & (F.col("n_b") * 100 >= F.col("n") * percent)
-        if rounds:  # the tokens behind a shared one must suffice
-            fits &= F.least(F.col("diff") - F.col("pos"), F.col("diff_b") - F.col("pos_b")) * 2 * (100 + percent) >= room
-        pairs = c.written(x.join(y, "key").where((F.col("set_id") != F.col("set_id_b")) & fits).select(
-            F.least("set_id", "set_id_b").alias("set_id"), F.greatest("set_id", "set_id_b").alias("leader")).distinct(), "last-pairs")
-        if opened is None:
-            ids = spark.sparkContext.broadcast(bloom.number_filter(pairs.select(F.explode(F.array("set_id", "leader"))), ID_BITS))
-            opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), "tokens")
-            ids.destroy()
-        links.append(c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), "last").where("linked").select(
-            F.col("set_id").alias("u"), F.col("leader").alias("v")))
     return reduce(DataFrame.union, links, spark.createDataFrame([], "u long, v long"))
 
 
