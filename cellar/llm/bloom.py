@@ -63,13 +63,13 @@ def _merge(shard_bits):
         out = lambda: pa.RecordBatch.from_pydict(
             {"shard": [shard], "cells": [np.packbits(twice).tobytes()], "twice": [b""]}, schema=ROWS)
         for batch in batches:
-            for s, some, more in zip(*(batch.column(i).to_pylist() for i in range(3))):
+            for s, some, more in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 if s != shard:
                     if shard is not None:
                         yield out()
                     shard, once, twice = s, np.zeros(1 << shard_bits, bool), np.zeros(1 << shard_bits, bool)
-                at = np.frombuffer(some, np.uint32) & np.uint32((1 << shard_bits) - 1)
-                again = np.unpackbits(np.frombuffer(more, np.uint8), count=len(at)).astype(bool)
+                at = np.frombuffer(some.as_buffer(), np.uint32) & np.uint32((1 << shard_bits) - 1)
+                again = np.unpackbits(np.frombuffer(more.as_buffer(), np.uint8), count=len(at)).astype(bool)
                 twice[at[again | once[at]]] = True
                 once[at] = True
         if shard is not None:
@@ -109,10 +109,10 @@ def twice_filter(texts: DataFrame, hashes_of, bits: int) -> np.ndarray:
     return _filter(texts.select("text"), _of_texts(hashes_of), bits)
 
 
-def repeated_numbers(df: DataFrame, bits: int) -> np.ndarray:
-    """The filter of the numbers seen twice or more in the first column of ``df``
-    (long or array of long); test it with ``mix`` of a number."""
-    return _filter(df, _of_numbers, bits)
+def repeated(df: DataFrame, hash_runs, bits: int) -> np.ndarray:
+    """The filter of the hashes seen twice or more among those that ``hash_runs(batches)``
+    gives; test it with ``seen_twice``."""
+    return _filter(df, hash_runs, bits)
 
 
 def number_filter(df: DataFrame, bits: int) -> np.ndarray:

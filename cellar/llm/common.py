@@ -12,6 +12,7 @@ import sys
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +52,20 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Jobs that run inside hand their kernels Arrow batches of at most ``rows`` rows; the
+    session's own setting comes back behind them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    if not 0 < int(before) <= rows:
+        spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def unused(df: DataFrame, name: str) -> str:
     """``name``, or the first of ``name_``, ``name__``, ... that ``df`` has no column of."""
     taken = {x.lower() for x in df.columns}

@@ -51,6 +51,9 @@ TOKEN_BITS = 27
 CHUNK_BITS = 16
 #: Text bytes at a time: a text's words take many times its size.
 SMALL = 1 << 19
+#: Rows of an Arrow batch: texts, token sets and pieces of filters are long rows, which
+#: Spark, Arrow and the kernel each hold a batch of.
+BATCH_ROWS = 256
 #: Rounds of groups before the pairs that are left are compared one by one.
 ROUNDS = 6
 #: Groups of at most this many sets are compared pair by pair where positions allow a link.
@@ -79,7 +82,7 @@ SKETCH_DDL = "chunk int, counts binary"
 def _sketch(n, bits):
     """Counts of a task's tokens, one byte a cell (sent on before one is full)."""
     def run(batches):
-        total = np.zeros(1 << bits, np.uint32)
+        total = np.zeros(1 << bits, np.uint8)
         size = 0
 
         def flush():
@@ -87,14 +90,14 @@ def _sketch(n, bits):
             used = np.flatnonzero(parts.any(1))
             out = pa.RecordBatch.from_pydict({
                 "chunk": used.astype(np.int32),
-                "counts": [np.minimum(parts[k], 255).astype(np.uint8).tobytes() for k in used]}, schema=SKETCH)
+                "counts": [parts[k].tobytes() for k in used]}, schema=SKETCH)
             total[:] = 0
             return out
 
         for batch in c.chunks(batches, SMALL):
             h, _ = shingle_sets(*c.text_bytes(batch.column("text")), n)
             at, times = np.unique((h >> np.uint64(64 - bits)).astype(np.uint32), return_counts=True)
-            total[at] += times.astype(np.uint32)
+            total[at] = np.minimum(total[at] + times, 255)
             size += len(h)
             if size > 16 << bits:
                 yield flush()
@@ -109,12 +112,12 @@ def _merge_sketch(batches):
     out = lambda: pa.RecordBatch.from_pydict({
         "chunk": [chunk], "counts": [np.minimum(np.log2(total + 1.0) * 8, 255).astype(np.uint8).tobytes()]}, schema=SKETCH)
     for batch in batches:
-        for k, counts in zip(*(batch.column(i).to_pylist() for i in range(2))):
+        for k, counts in zip(batch.column(0).to_pylist(), batch.column(1)):
             if k != chunk:
                 if chunk is not None:
                     yield out()
                 chunk, total = k, np.zeros(1 << CHUNK_BITS, np.int64)
-            total += np.frombuffer(counts, np.uint8)
+            total += np.frombuffer(counts.as_buffer(), np.uint8)
     if chunk is not None:
         yield out()
 
@@ -217,7 +220,9 @@ CELL = "set_id long, n long, diff long, pos long, index boolean, probe boolean,
 
 
 def _first_round(percent):
-    """Prefix tokens in two size classes each: sets that fit in size have one in common."""
+    """Prefix tokens in two size classes each: sets that fit in size have one in common.
+    The kernels that read the first round make its rows themselves (``ahead``): a second
+    mapInArrow in one job would be a second Python process for each core."""
     width = max(np.log(100 / percent), 1e-3) * (1 + 1e-9)
 
     def run(batches):
@@ -239,10 +244,17 @@ def _first_round(percent):
     return run
 
 
-def _shared_cells(seen, copies):
+def _keys(ahead):
+    def run(batches):
+        for batch in ahead(batches):
+            yield c.mix(batch.column("keys").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
+    return run
+
+
+def _shared_cells(seen, copies, ahead):
     """One row for each key of a set that another set may have too; ``copies`` keys a token."""
     def run(batches):
-        for batch in batches:
+        for batch in ahead(batches):
             column = batch.column("keys")
             key = column.flatten().to_numpy(zero_copy_only=False)
             offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
@@ -309,18 +321,18 @@ def _beside(pairs, opened):
         "set_id", "leader", "goes_on", "x_tokens", "r_tokens")
 
 
-def _cells(state: DataFrame, copies: int, percent: int, name: str) -> DataFrame:
+def _cells(state: DataFrame, ahead, copies: int, percent: int, name: str) -> DataFrame:
     """Keys of sets that some other set of the key may link with, with the sets ``size`` of
-    the key and its ``leader``.
+    the key and its ``leader``; ``ahead`` makes the rows of a round of those of ``state``.
 
     Sets x and y whose first common token stands at positions i and j have at most
     min(a - i, b - j) tokens in common, and need (a + b - allowed) / 2.  So b - 2 j + its
     part of the allowance (``reach``) is at least a - its part (``need``), and the reverse; the
     extremes of a key say which sets have any such partner."""
     sc = state.sparkSession.sparkContext
-    seen = sc.broadcast(bloom.repeated_numbers(state.select("keys"), TOKEN_BITS))
+    seen = sc.broadcast(bloom.repeated(state, _keys(ahead), TOKEN_BITS))
     part = F.col("n") * (100 - percent)
-    cells = c.written(state.mapInArrow(_shared_cells(seen, copies), CELL).where("index or probe").withColumn(
+    cells = c.written(state.mapInArrow(_shared_cells(seen, copies, ahead), CELL).where("index or probe").withColumn(
         "need", F.col("diff") * (100 + percent) - part).withColumn(
         "reach", (F.col("diff") - 2 * F.col("pos")) * (100 + percent) + part), f"{name}-cells")
     seen.destroy()
@@ -348,10 +360,10 @@ def _pairs(cells: DataFrame, percent: int) -> DataFrame:
 def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
     """Links (u, v) between sets that give the components of all links."""
     spark = sets.sparkSession
-    state = sets.mapInArrow(_first_round(percent), ROUND)
+    state, ahead = sets, _first_round(percent)
     opened, links = None, []
     for k in range(rounds + 1):
-        cells = c.written(_cells(state, 1 if k else 2, percent, f"round-{k}"), f"round-{k}-groups")
+        cells = c.written(_cells(state, ahead, 1 if k else 2, percent, f"round-{k}"), f"round-{k}-groups")
         if k < rounds:
             pairs = cells.where(F.col("size") > FEW).where("set_id <> leader").select("set_id", "leader", F.lit(True).alias("goes_on")).union(
                 _pairs(cells.where(F.col("size") <= FEW), percent))
@@ -364,7 +376,7 @@ def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percen
             ids = spark.sparkContext.broadcast(bloom.number_filter(pairs.select(F.explode(F.array("set_id", "leader"))), ID_BITS))
             opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), "tokens")
             ids.destroy()
-        state = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}")
+        state, ahead = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}"), iter
         links.append(state.where("linked").select(F.col("set_id").alias("u"), F.col("leader").alias("v")))
     return reduce(DataFrame.union, links, spark.createDataFrame([], "u long, v long"))
 
@@ -398,6 +410,11 @@ def jaccard_components(docs: DataFrame, shingle: int = 5, percent: int = 80,
     """One row for each document: doc_id, rid, root, n_shingles, component_id.  Two
     documents link when their sets' Jaccard similarity is ``percent``/100 or
     more."""
+    with c.batch_rows(docs.sparkSession, BATCH_ROWS):
+        return _components(docs, shingle, percent, sketch_bits, rounds)
+
+
+def _components(docs: DataFrame, shingle: int, percent: int, sketch_bits: int, rounds: int) -> DataFrame:
     spark = docs.sparkSession
     bits = max(sketch_bits, CHUNK_BITS)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("rid", row_id())

@@ -119,3 +119,30 @@ def test_null_and_shared_ids(spark):
         kept.append(sorted(map(str, jj.keep_one_of_each(df, shingle=2, percent=80).collect())))
     assert kept[0] == kept[1] and len(kept[0]) == 3
     assert sum("Row(doc_id=None, text='w" in x for x in kept[0]) == 1
+
+
+def test_kernels_hold_few_long_rows_and_one_process_a_core(spark, docs_of, monkeypatch):
+    """A batch is a bounded number of texts or token sets, and no job of the join has two
+    mapInArrow one behind the other (each has a Python process of its own)."""
+    seen, plans = [], []
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    written, filtered = jj.c.written, jj.bloom._filter
+
+    def note(df, name):
+        seen.append(int(df.sparkSession.conf.get(key)))
+        plans.append((name, df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")))
+        return written(df, name)
+
+    def note_filter(df, *args, **options):
+        plans.append(("filter", 1 + df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow")))
+        return filtered(df, *args, **options)
+
+    monkeypatch.setattr(jj.c, "written", note)
+    monkeypatch.setattr(jj.bloom, "_filter", note_filter)
+    text = " ".join(f"w{i}" for i in range(60))
+    got = jj.jaccard_components(docs_of([(i, f"{text} end{i}") for i in range(30)]), 5, 80, sketch_bits=16)
+    assert {r.component_id for r in got.collect()} == {0}
+    inside = [x for x, (name, _) in zip(seen, [p for p in plans if p[0] != "filter"]) if name != "components"]
+    assert inside and max(inside) <= jj.BATCH_ROWS and spark.conf.get(key) == before
+    assert [p for p in plans if p[1] > 1] == []
