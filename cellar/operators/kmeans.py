@@ -220,11 +220,12 @@ def _in_parts(features: DataFrame, centers: Centers, some, wide) -> DataFrame:
     return out
 
 
-def _sum_arrays(df: DataFrame, keys: Sequence[str], columns: Sequence[str], counts: Sequence[str] = ()) -> DataFrame:
+def _sum_arrays(df: DataFrame, keys: Sequence[str], columns: Sequence[str], counts: Sequence[str] = (),
+                tasks: int | None = None) -> DataFrame:
     """Partial rows -> one row per key with ``counts`` (long) and the array<double>
     ``columns`` summed element by element, as plain additions (a mean-based vector
-    aggregate would round).  One shuffle of partial rows by key (int columns); a task holds
-    the sums of its keys, a share of the model."""
+    aggregate would round).  One shuffle of partial rows by key (int columns) to ``tasks``, or
+    as many as the session says; a task holds the sums of its keys, a share of the model."""
     keys, columns, counts = list(keys), list(columns), list(counts)
 
     def add(batches):
@@ -250,7 +251,7 @@ def _sum_arrays(df: DataFrame, keys: Sequence[str], columns: Sequence[str], coun
                    for j in range(len(columns))], names=keys + counts + columns)
 
     out = T.StructType([df.schema[c] for c in keys + counts + columns])
-    return df.select(*keys, *counts, *columns).repartition(*keys).mapInArrow(add, out)
+    return df.select(*keys, *counts, *columns).repartition(*[tasks] * (tasks is not None), *keys).mapInArrow(add, out)
 
 
 def sum_vectors(df: DataFrame, keys: Sequence[str], col: str, d: int | None = None,
@@ -518,6 +519,8 @@ BLOCK = 2048
 #: The state is written to the shared folder after this many passes, so that a lost
 #: executor repeats this many passes at most.
 CUT = 16
+#: Member sums that one task merges.
+SUM_BYTES = 1 << 20
 STATE_DDL = "kind int, n int, x binary, a binary, u binary, l binary, g int, m long, s array<double>"
 _STATE = pa.schema([("kind", pa.int32()), ("n", pa.int32()), ("x", pa.binary()), ("a", pa.binary()),
                     ("u", pa.binary()), ("l", pa.binary()), ("g", pa.int32()), ("m", pa.int64()),
@@ -657,30 +660,38 @@ def _half_nearest(c: np.ndarray) -> np.ndarray:
     return 0.5 * np.sqrt(np.maximum(dist.min(axis=1) - (c.shape[1] + 4) * 1e-15 * c2.max(), 0.0))
 
 
-def _merged(state: DataFrame, kind: int, tasks: int | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """The rows of one kind summed by center (model-sized, as Arrow): centers, counts,
-    sums and the number of tasks that gave rows.  Partial rows of few tasks come to the
-    driver as they are; the sums are exact, so they are the same either way."""
-    rows = state.where(F.col("kind") == kind).select("g", "m", "s")
-    if tasks is None:
-        t = _sum_arrays(rows.withColumn("tasks", F.lit(1).cast("long")), ["g"], ["s"], ["m", "tasks"]).toArrow()
-        tasks = max(t["tasks"].to_pylist(), default=0)
-    else:
-        t = rows.toArrow()
-    if not t.num_rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros((0, 1)), tasks
-    g, m = t["g"].to_numpy(), t["m"].to_numpy()
-    s = pc.list_flatten(t["s"].combine_chunks()).to_numpy().reshape(len(g), -1)
-    order = np.argsort(g, kind="stable")
-    heads = np.flatnonzero(np.concatenate([[True], np.diff(g[order]) > 0]))
-    return g[order][heads], np.add.reduceat(m[order], heads), np.add.reduceat(s[order], heads, axis=0), tasks
+def _means(grid: exact.Fixed, wanted: np.ndarray):
+    """Summed limbs of centers -> the means of those that have members and are ``wanted``."""
+    exponent = grid.exponent
+
+    def run(batches):
+        for batch in batches:
+            g, m = batch.column("g").to_numpy(), batch.column("m").to_numpy()
+            take = np.flatnonzero(wanted[g] & (m > 0))
+            if len(take):
+                s = batch.column("s").flatten().to_numpy().reshape(len(g), -1)[take]
+                mean = exact.Fixed(exponent).mean(s, m[take])
+                yield pa.RecordBatch.from_arrays([pa.array(g[take]), _lists(mean.ravel(), mean.shape[1], len(take))],
+                                                 names=["g", "mean"])
+    return run
+
+
+def _table_of(df: DataFrame, column: str) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """(centers, their vectors, the table) of model-sized rows, in the order of the centers."""
+    t = df.toArrow().sort_by("g")
+    g = t["g"].to_numpy()
+    if not len(g):
+        return g, np.zeros((0, 1)), t
+    return g, pc.list_flatten(t[column].combine_chunks()).to_numpy().reshape(len(g), -1), t
 
 
 def _lloyd_pruned(features: DataFrame, init: Centers, max_iter: int, tol: float, col: str,
                   grid: exact.Fixed) -> SweepResult:
     """``lloyd`` with bounds.  The state (blocks of rows with clusters and bounds) is
     cached from pass to pass, one generation at a time, and written to the shared
-    folder every ``CUT`` passes."""
+    folder every ``CUT`` passes.  The exact member sums of all centers, one row each, are
+    written there in every pass: what a pass sends to the driver are the means of the centers that still move,
+    however many tasks and rows there are."""
     from cellar.session import shared_path
     spark = features.sparkSession
     ks = sorted(init)
@@ -688,13 +699,11 @@ def _lloyd_pruned(features: DataFrame, init: Centers, max_iter: int, tol: float,
     first = np.concatenate([[0], np.cumsum([len(init[k]) for k in ks])])
     centers = np.concatenate([init[k] for k in ks]).astype(np.float64)
     near = np.concatenate([_half_nearest(init[k]) for k in ks])
-    moved, count = np.zeros(len(centers)), np.zeros(len(centers), np.int64)
-    sums = np.zeros((len(centers), 3 * d))
+    moved = np.zeros(len(centers))
     iters, done = {k: 0 for k in ks}, {k: False for k in ks}
     state = features.select(col).mapInArrow(_packed(col, d), STATE_DDL)
-    cached, sent, tasks = None, [], None
-    #: one task's partial rows of all centers, in bytes
-    partial = len(centers) * (3 * d + 2) * 8
+    cached, totals, sent = None, None, []
+    tasks = 1 + len(centers) * 3 * d * 8 // SUM_BYTES
 
     def step(active, cost):
         sent.append(spark.sparkContext.broadcast((centers, first, moved, near, active, grid.exponent, cost)))
@@ -706,19 +715,22 @@ def _lloyd_pruned(features: DataFrame, init: Centers, max_iter: int, tol: float,
             if not active:
                 break
             state = step(active, False).persist(StorageLevel.MEMORY_AND_DISK)
-            few = tasks if tasks and tasks * partial <= MAX_CENTER_BYTES else None
-            g, m, s, seen = _merged(state, 1, few)
-            tasks = tasks or seen
+            changes = state.where("kind = 1").select("g", "m", "s")
+            merged = _sum_arrays(changes if totals is None else totals.unionAll(changes), ["g"], ["s"], ["m"], tasks)
+            path = shared_path(spark, "kmeans", f"sums-{uuid.uuid4().hex}")
+            merged.write.parquet(path)
+            totals = spark.read.schema(merged.schema).parquet(path)
+            wanted = np.zeros(len(centers), bool)
+            for i in active:
+                wanted[first[i]:first[i + 1]] = True
+            at, means, _ = _table_of(totals.mapInArrow(_means(grid, wanted), "g int, mean array<double>"), "mean")
             if cached is not None:
                 cached.unpersist()
             cached = state
-            if len(g):
-                count[g] += m
-                sums[g] += s
             for i in active:
                 span = slice(first[i], first[i + 1])
-                live = np.flatnonzero(count[span] > 0) + first[i]
-                new = grid.mean(sums[live], count[live])
+                mine = slice(*np.searchsorted(at, first[i:i + 2]))
+                live, new = at[mine], means[mine]
                 moved[span] = 0.0
                 moved[live] = np.linalg.norm(new - centers[live], axis=1) * (1 + 1e-12)
                 largest = float(np.linalg.norm(new - centers[live], axis=1).max())
@@ -733,14 +745,15 @@ def _lloyd_pruned(features: DataFrame, init: Centers, max_iter: int, tol: float,
                 cached, state = None, spark.read.schema(STATE_DDL).parquet(path)
                 while sent:
                     sent.pop().destroy()
-        g, m, s, _ = _merged(step(list(range(len(ks))), True), 2, None)
+        ends = step(list(range(len(ks))), True).where("kind = 2").select("g", "m", "s")
+        g, s, t = _table_of(_sum_arrays(ends, ["g"], ["s"], ["m"]), "s")
     finally:
         if cached is not None:
             cached.unpersist()
         for bc in sent:
             bc.destroy()
     size, cost = np.zeros(len(centers), np.int64), np.zeros((len(centers), exact.WIDTH))
-    size[g], cost[g] = m, s
+    size[g], cost[g] = t["m"].to_numpy(), s
     parts = [(k, slice(first[i], first[i + 1])) for i, k in enumerate(ks)]
     return SweepResult({k: centers[p].copy() for k, p in parts}, {k: exact.cell_total(cost[p].sum(axis=0)) for k, p in parts},
                        {k: size[p].copy() for k, p in parts}, iters, done)

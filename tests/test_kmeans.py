@@ -136,3 +136,28 @@ def test_durable_sweep_equals_cached(emb):
     b = km.sweep(emb, 2, 3, max_iter=3, init_mode="first", durable=True)
     assert a.chosen == b.chosen
     assert a.wssse == pytest.approx(b.wssse)
+
+
+def test_a_pass_sends_the_driver_means_alone(emb, monkeypatch):
+    """Member sums stay with the tasks: a pass sends one mean a center that still moves,
+    however many tasks there are, and the result is that of passes without bounds, also
+    across states that are written."""
+    sent = []
+    table_of = km._table_of
+
+    def note(df, column):
+        out = table_of(df, column)
+        sent.append((column, out[1].shape))
+        return out
+
+    monkeypatch.setattr(km, "_table_of", note)
+    monkeypatch.setattr(km, "CUT", 2)
+    rows = emb.repartition(6)
+    init = km.init_centers(rows, [2, 5])
+    pruned = km.lloyd(rows, init, max_iter=5, tol=-1.0)
+    d = init[2].shape[1]
+    assert [s for c, s in sent if c == "mean"] == [(7, d)] * 5 and len(sent) == 6
+    plain = km.lloyd(rows, init, max_iter=5, tol=-1.0, prune=False)
+    for k in init:
+        assert np.array_equal(pruned.centers[k], plain.centers[k]) and np.array_equal(pruned.sizes[k], plain.sizes[k])
+    assert pruned.wssse == plain.wssse
