@@ -109,12 +109,6 @@ def twice_filter(texts: DataFrame, hashes_of, bits: int) -> np.ndarray:
     return _filter(texts.select("text"), _of_texts(hashes_of), bits)
 
 
-def repeated(df: DataFrame, hash_runs, bits: int) -> np.ndarray:
-    """The filter of the hashes seen twice or more among those that ``hash_runs(batches)``
-    gives; test it with ``seen_twice``."""
-    return _filter(df, hash_runs, bits)
-
-
 def number_filter(df: DataFrame, bits: int) -> np.ndarray:
     """The filter of all numbers in the first column of ``df``."""
     return _filter(df, _of_numbers, bits, once_will_do=True)

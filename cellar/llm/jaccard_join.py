@@ -15,7 +15,10 @@ only members that share a token of these shortened differences can link, and for
 groups of the next round.  So a group of thousands of near copies costs a comparison
 a member, not one a pair.  A group loses its leader each round.  Groups of up to ``FEW``
 sets, and what is left after ``ROUNDS`` rounds, are compared pair by pair where sizes and
-the positions of the shared token allow a link, so that no link is lost.
+the positions of the shared token allow a link, so that no link is lost.  Groups are
+windows over the tokens, dealt once: no filter whose size is fixed, no join on tokens.  Before
+the sets of a pair meet, counts of their tokens by ``BUCKETS`` parts of the hash space do:
+the counts differ by no more than the sets, so pairs that differ too much go at once.
 
 The global order comes from a sketch of token counts of fixed size
 (``SKETCH_BITS``); any order gives the same result, a good one keeps passages
@@ -34,7 +37,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -45,9 +48,8 @@ from cellar.llm.registry import query
 
 #: Cells of the count sketch: one byte each when it is broadcast (8 MB).
 SKETCH_BITS = 23
-#: Cells of the filter of set numbers (4 MB) and of repeated prefix tokens (16 MB).
+#: Cells of the filter of set numbers (4 MB).
 ID_BITS = 25
-TOKEN_BITS = 27
 CHUNK_BITS = 16
 #: Text bytes at a time: a text's words take many times its size.
 SMALL = 1 << 19
@@ -58,6 +60,8 @@ BATCH_ROWS = 256
 ROUNDS = 6
 #: Groups of at most this many sets are compared pair by pair where positions allow a link.
 FEW = 8
+#: Counts of a set's tokens by parts of the hash space, one byte each.
+BUCKETS = 128
 _SEEDS = c.powers(3, 0xA0761D6478BD642F)[1:]
 
 
@@ -136,7 +140,7 @@ def token_sketch(docs: DataFrame, n: int, bits: int) -> np.ndarray:
 # signatures
 
 DIGEST = "rid long, doc_id long, n long, k1 long, k2 long"
-SIGNATURE = "set_id long, n long, prefix array<long>"
+SIGNATURE = "set_id long, n long, prefix array<long>, counts binary"
 
 
 def _starts(d):
@@ -174,8 +178,14 @@ def _wanted(batches, ids, bits):
             yield batch.filter(pa.array(keep, pa.bool_()))
 
 
+def _bucket_counts(h, d, rows):
+    """The tokens of each document by buckets, up to 255."""
+    at = d * np.int64(BUCKETS) + (h & np.uint64(BUCKETS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=rows * BUCKETS), 255).astype(np.uint8).reshape(rows, BUCKETS)
+
+
 def _signatures(n, percent, sketch, bits, ids):
-    """Prefix of the documents that stand for a set."""
+    """Prefix and bucket counts of the documents that stand for a set."""
     def run(batches):
         counts = sketch.value
         for batch in _wanted(batches, ids, ID_BITS):
@@ -191,7 +201,8 @@ def _signatures(n, percent, sketch, bits, ids):
             out = pa.RecordBatch.from_arrays([
                 batch.column("rid"), pa.array(size.astype(np.int64)),
                 pa.ListArray.from_arrays(pa.array(ends), pa.array(prefix)),
-            ], names=["set_id", "n", "prefix"])
+                pa.array([x.tobytes() for x in _bucket_counts(h, d, rows)], pa.binary()),
+            ], names=["set_id", "n", "prefix", "counts"])
             yield out.filter(pa.array(size > 0))
     return run
 
@@ -216,58 +227,22 @@ def _tokens(n, ids):
 #: ``n_probe`` count where the set is not linked with the leader, the first ``n_index`` where
 #: the other one is not.
 ROUND = "set_id long, n long, diff long, n_index long, n_probe long, linked boolean, leader long, keys array<long>"
-CELL = "set_id long, n long, diff long, pos long, index boolean, probe boolean, key long"
-
+PAIR = "set_id long, leader long, goes_on boolean"
 
-def _first_round(percent):
-    """Prefix tokens in two size classes each: sets that fit in size have one in common.
-    The kernels that read the first round make its rows themselves (``ahead``): a second
-    mapInArrow in one job would be a second Python process for each core."""
-    width = max(np.log(100 / percent), 1e-3) * (1 + 1e-9)
 
+def _may_link(percent):
+    """Pairs to compare: those whose bucket counts differ by no more than linked sets may,
+    and those with a leader, whose differences make the next round."""
     def run(batches):
         for batch in batches:
-            rows = batch.num_rows
-            n = batch.column("n").to_numpy()
-            column = batch.column("prefix")
-            token = column.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-            size = np.diff(column.offsets.to_numpy())
-            of = np.repeat(np.arange(rows), size)
-            band = np.floor(np.log(n) / width).astype(np.uint64)[of]
-            keys = np.stack([c.mix(token + (band + np.uint64(k)) * _SEEDS[0]) for k in (0, 1)], 1).ravel().view(np.int64)
-            ends = pa.array(np.concatenate([[0], np.cumsum(2 * size)]).astype(np.int32))
-            upto = pa.array(size.astype(np.int64))
-            yield pa.RecordBatch.from_arrays([
-                batch.column("set_id"), batch.column("n"), pa.array(n), upto, upto, pa.array(np.zeros(rows, bool)),
-                batch.column("set_id"), pa.ListArray.from_arrays(ends, pa.array(keys))],
-                names=["set_id", "n", "diff", "n_index", "n_probe", "linked", "leader", "keys"])
-    return run
-
-
-def _keys(ahead):
-    def run(batches):
-        for batch in ahead(batches):
-            yield c.mix(batch.column("keys").flatten().to_numpy(zero_copy_only=False).view(np.uint64))
-    return run
-
-
-def _shared_cells(seen, copies, ahead):
-    """One row for each key of a set that another set may have too; ``copies`` keys a token."""
-    def run(batches):
-        for batch in ahead(batches):
-            column = batch.column("keys")
-            key = column.flatten().to_numpy(zero_copy_only=False)
-            offsets = column.offsets.to_numpy() - column.offsets[0].as_py()
-            row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
-            pos = (np.arange(len(key)) - offsets[row]) // copies
-            keep = bloom.holds(seen.value, key, TOKEN_BITS)
-            row, pos = row[keep], pos[keep]
-            at = pa.array(row)
-            taken = [batch.column(x).take(at) for x in ("set_id", "n", "diff")]
-            upto = [batch.column(x).to_numpy()[row] for x in ("n_index", "n_probe")]
-            yield pa.RecordBatch.from_arrays(
-                [*taken, pa.array(pos), *[pa.array(pos < x) for x in upto], pa.array(key[keep])],
-                names=["set_id", "n", "diff", "pos", "index", "probe", "key"])
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint8).reshape(-1, BUCKETS).astype(np.int64)
+                    for name in ("x_counts", "r_counts"))
+            apart = np.abs(x - y).sum(1)
+            both = batch.column("x_n").to_numpy() + batch.column("r_n").to_numpy()
+            keep = batch.column("goes_on").to_numpy(zero_copy_only=False) | (apart * (100 + percent) <= both * (100 - percent))
+            yield batch.select(["set_id", "leader", "goes_on"]).filter(pa.array(keep, pa.bool_()))
     return run
 
 
@@ -314,6 +289,13 @@ def _compare(percent, sketch, bits):
     return run
 
 
+def _counted(pairs, sets):
+    """Pairs (set_id, leader) with the sizes and bucket counts of both."""
+    return pairs.join(sets.select("set_id", F.col("n").alias("x_n"), F.col("counts").alias("x_counts")), "set_id").join(
+        sets.select(F.col("set_id").alias("leader"), F.col("n").alias("r_n"), F.col("counts").alias("r_counts")), "leader").select(
+        "set_id", "leader", "goes_on", "x_n", "r_n", "x_counts", "r_counts")
+
+
 def _beside(pairs, opened):
     """Pairs (set_id, leader) with the tokens of both."""
     return pairs.join(opened.withColumnRenamed("tokens", "x_tokens"), "set_id").join(
@@ -321,30 +303,41 @@ def _beside(pairs, opened):
         "set_id", "leader", "goes_on", "x_tokens", "r_tokens")
 
 
-def _cells(state: DataFrame, ahead, copies: int, percent: int, name: str) -> DataFrame:
+def _cells(state: DataFrame, percent: int) -> DataFrame:
     """Keys of sets that some other set of the key may link with, with the sets ``size`` of
-    the key and its ``leader``; ``ahead`` makes the rows of a round of those of ``state``.
+    the key and its ``leader``.  ``state`` has the sets themselves (column ``prefix``), whose
+    tokens count in two size classes each, as sets that fit in size have one in common, or
+    those of a round.
 
     Sets x and y whose first common token stands at positions i and j have at most
     min(a - i, b - j) tokens in common, and need (a + b - allowed) / 2.  So b - 2 j + its
     part of the allowance (``reach``) is at least a - its part (``need``), and the reverse; the
     extremes of a key say which sets have any such partner."""
-    sc = state.sparkSession.sparkContext
-    seen = sc.broadcast(bloom.repeated(state, _keys(ahead), TOKEN_BITS))
+    count = F.count(F.lit(1))
+    alone = lambda rows: rows.withColumn("size", count.over(Window.partitionBy("token"))).where("size > 1")
+    if "prefix" in state.columns:
+        width = max(np.log(100 / percent), 1e-3) * (1 + 1e-9)
+        band = F.floor(F.log("n") / float(width))
+        cells = alone(state.select("set_id", "n", F.posexplode("prefix").alias("pos", "token"))).withColumns(
+            {"diff": F.col("n"), "index": F.lit(True), "probe": F.lit(True), "band": F.explode(F.array(band, band + 1))})
+        first = "pos"
+    else:
+        cells = state.select("set_id", "n", "diff", "n_index", "n_probe", F.posexplode("keys").alias("pos", "token"))
+        cells = alone(cells.withColumns({"index": F.col("pos") < F.col("n_index"), "probe": F.col("pos") < F.col("n_probe")})
+                      .where("index or probe")).withColumn("band", F.lit(0).cast("long"))
+        first = "diff"
     part = F.col("n") * (100 - percent)
-    cells = c.written(state.mapInArrow(_shared_cells(seen, copies, ahead), CELL).where("index or probe").withColumn(
-        "need", F.col("diff") * (100 + percent) - part).withColumn(
-        "reach", (F.col("diff") - 2 * F.col("pos")) * (100 + percent) + part), f"{name}-cells")
-    seen.destroy()
-    best = cells.groupBy("key").agg(*[
-        f(F.when(F.col(role), F.col(x))).alias(f"{role}_{x}") for role in ("index", "probe") for f, x in ((F.min, "need"), (F.max, "reach"))])
-    cells = cells.join(best, "key").where(
+    cells = cells.withColumn("need", F.col("diff") * (100 + percent) - part).withColumn(
+        "reach", (F.col("diff") - 2 * F.col("pos")) * (100 + percent) + part)
+    group = Window.partitionBy("token", "band")
+    cells = cells.withColumns({f"{role}_{x}": f(F.when(F.col(role), F.col(x))).over(group)
+                               for role in ("index", "probe") for f, x in ((F.min, "need"), (F.max, "reach"))}).where(
         "(probe and need <= index_reach and reach >= index_need) or (index and need <= probe_reach and reach >= probe_need)")
-    cells = c.written(cells.select("key", "set_id", "n", "diff", "pos", "index", "probe", "need", "reach"), f"{name}-fitting")
-    groups = cells.groupBy("key").agg(
-        F.count(F.lit(1)).alias("size"), F.max("probe").alias("any_probe"), F.max("index").alias("any_index"),
-        F.min_by("set_id", F.struct("pos" if copies > 1 else "diff", F.xxhash64("set_id"))).alias("leader"))
-    return cells.join(groups.where("size > 1 and any_probe and any_index").select("key", "size", "leader"), "key")
+    cells = cells.withColumns({
+        "size": count.over(group), "any_probe": F.max("probe").over(group), "any_index": F.max("index").over(group),
+        "leader": F.min_by("set_id", F.struct(first, F.xxhash64("set_id"))).over(group)})
+    return cells.where("size > 1 and any_probe and any_index").select(
+        F.xxhash64("token", "band").alias("key"), "set_id", "n", "diff", "pos", "index", "probe", "need", "reach", "size", "leader")
 
 
 def _pairs(cells: DataFrame, percent: int) -> DataFrame:
@@ -360,23 +353,23 @@ def _pairs(cells: DataFrame, percent: int) -> DataFrame:
 def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
     """Links (u, v) between sets that give the components of all links."""
     spark = sets.sparkSession
-    state, ahead = sets, _first_round(percent)
-    opened, links = None, []
+    state, opened, links = sets, None, []
     for k in range(rounds + 1):
-        cells = c.written(_cells(state, ahead, 1 if k else 2, percent, f"round-{k}"), f"round-{k}-groups")
+        cells = c.written(_cells(state, percent), f"round-{k}-groups")
         if k < rounds:
             pairs = cells.where(F.col("size") > FEW).where("set_id <> leader").select("set_id", "leader", F.lit(True).alias("goes_on")).union(
                 _pairs(cells.where(F.col("size") <= FEW), percent))
         else:
             pairs = _pairs(cells, percent)
-        pairs = c.written(pairs.groupBy("set_id", "leader").agg(F.max("goes_on").alias("goes_on")), f"round-{k}-pairs")
+        pairs = c.written(pairs.groupBy("set_id", "leader").agg(F.max("goes_on").alias("goes_on")), f"round-{k}-met")
+        pairs = c.written(_counted(pairs, sets).mapInArrow(_may_link(percent), PAIR), f"round-{k}-pairs")
         if pairs.isEmpty():
             break
         if opened is None:  # later rounds meet no other sets
             ids = spark.sparkContext.broadcast(bloom.number_filter(pairs.select(F.explode(F.array("set_id", "leader"))), ID_BITS))
             opened = c.written(rows.select("rid", "text").mapInArrow(_tokens(n, ids), "set_id long, tokens binary"), "tokens")
             ids.destroy()
-        state, ahead = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}"), iter
+        state = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}")
         links.append(state.where("linked").select(F.col("set_id").alias("u"), F.col("leader").alias("v")))
     return reduce(DataFrame.union, links, spark.createDataFrame([], "u long, v long"))
 

@@ -146,3 +146,48 @@ def test_kernels_hold_few_long_rows_and_one_process_a_core(spark, docs_of, monke
     inside = [x for x, (name, _) in zip(seen, [p for p in plans if p[0] != "filter"]) if name != "components"]
     assert inside and max(inside) <= jj.BATCH_ROWS and spark.conf.get(key) == before
     assert [p for p in plans if p[1] > 1] == []
+
+
+def test_groups_take_no_filter_and_no_join_on_tokens(spark, docs_of, monkeypatch):
+    """Keys of one set alone leave in the windows, whatever their number; all links are found."""
+    rng = np.random.default_rng(5)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    shared = [" ".join(word() for _ in range(4)) for _ in range(8)]
+    rows = []
+    for i in range(60):  # alike in one shingle alone
+        w = [word() for _ in range(90)] if i % 3 else rows[-1][1].split() if i else [word() for _ in range(90)]
+        rows.append((i, " ".join([*w[:90 - i % 3], shared[i % 8]])))
+    rows_of, plans, written = {}, {}, jj.c.written
+
+    def note(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        out = written(df, name)
+        rows_of[name] = out.count()
+        return out
+
+    monkeypatch.setattr(jj.c, "written", note)
+    got = jj.jaccard_components(docs_of(rows), 4, 85)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute(rows, 4, 85)
+    assert "Join" not in plans["round-0-groups"]
+    assert 0 < rows_of["round-0-pairs"] <= rows_of["round-0-met"]
+
+
+def test_bucket_counts_lose_no_link():
+    """Pairs at the threshold pass, also where a bucket is full; sets without a common token do not."""
+    import pyarrow as pa
+    rng = np.random.default_rng(6)
+    for n in (3, 20, 100, 2_000, 60_000):
+        base = rng.integers(0, 1 << 62, n).astype(np.uint64)
+        for percent in (60, 80, 85):
+            miss = n * (100 - percent) // (100 + percent)  # so many others on each side
+            other = np.concatenate([base[miss:], rng.integers(0, 1 << 62, miss).astype(np.uint64)])
+            counts = [jj._bucket_counts(x, np.zeros(n, np.int64), 1)[0].tobytes() for x in (base, other)]
+            batch = pa.RecordBatch.from_pydict({"set_id": [1], "leader": [2], "goes_on": [False], "x_n": [n], "r_n": [n],
+                                                "x_counts": counts[:1], "r_counts": counts[1:]})
+            common = n - miss
+            assert 100 * common >= percent * (2 * n - common)
+            assert sum(b.num_rows for b in jj._may_link(percent)([batch])) == 1
+            if n in (20, 100):
+                apart = jj._bucket_counts(rng.integers(0, 1 << 62, n).astype(np.uint64), np.zeros(n, np.int64), 1)[0].tobytes()
+                batch = batch.set_column(6, "r_counts", pa.array([apart], pa.binary()))
+                assert sum(b.num_rows for b in jj._may_link(percent)([batch])) == 0
