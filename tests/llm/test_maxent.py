@@ -63,3 +63,31 @@ def test_updates_follow_the_gradient(spark, docs_of):
 def test_empty_table(spark, docs_of):
     assert mx.score_documents(docs_of([]), mx.fifth_fold()).count() == 0
     assert mx.score_documents(docs_of([(1, "a b")]), F.lit(True)).first().n_known == 0
+
+
+def test_rows_are_copied_whole():
+    """Sums and softmaxes are those of indexed rows, in less time than indexing takes (before: the same)."""
+    import time
+    rng = np.random.default_rng(7)
+    rows = [rng.integers(0, 1 << 14, 80_000).astype(np.uint16) for _ in range(3)]
+    p, bias = rng.random((80_000, 16), np.float32), np.zeros(16, np.float32)
+    weights = rng.normal(size=(1 << 14, 16)).astype(np.float32)
+
+    def indexed(total, r, values):
+        order = np.argsort(r, kind="stable")
+        s = r[order]
+        first = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
+        total[s[first]] += np.add.reduceat(values[order], first, axis=0)
+
+    def seconds(add):
+        total, spent = np.zeros((1 << 14, 16)), []
+        for _ in range(9):
+            began = time.process_time()
+            add(total, rows[0], p)
+            spent.append(time.process_time() - began)
+        return min(spent), total
+
+    (old, want), (new, got) = seconds(indexed), seconds(mx._add)
+    assert (got == want).all() and new < 0.85 * old
+    z = np.exp(weights[rows[0]] + weights[rows[1]] + weights[rows[2]] + bias)
+    assert np.allclose(mx.softmax(bias, weights, rows), z / z.sum(1, keepdims=True), rtol=1e-4)
