@@ -26,10 +26,16 @@ def _col(c) -> Column:
 def pretty_number(x) -> Column:
     """Print a double with ``%f`` (6 decimals, half-up, no exponent) and strip
     trailing zeros and a trailing dot: 100.0 -> "100", 5.35 -> "5.35",
-    1e-7 -> "0", -0.0 -> "-0".  NaN / Infinity print as Java names them."""
+    1e-7 -> "0", -0.0 -> "-0".  NaN / Infinity print as Java names them.
+
+    A double whose own text has no exponent and up to 6 decimals is that text already;
+    only the others are formatted."""
     x = _col(x).cast("double")
     printed = F.format_string("%f", x)
+    own = x.cast("string")
+    plain = (F.abs(x).between(0.001, 9_999_999.0) | (x == 0)) & (F.length(own) - F.instr(own, ".") <= 6)
     return (F.when(x.isNull(), F.lit(None).cast("string"))
+            .when(plain, F.when(own.endswith(".0"), F.substring(own, F.lit(1), F.length(own) - 2)).otherwise(own))
             .when(F.isnan(x) | (F.abs(x) == float("inf")), printed)
             .otherwise(F.regexp_replace(printed, r"[.]?0+$", "")))
 
