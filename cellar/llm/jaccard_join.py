@@ -12,13 +12,15 @@ link with the leader are connected and need no further look at each other.  For
 other pair x, y with differences of sizes a and b, a link means that the differences
 have (a + b - allowed) / 2 tokens in common, which for y is over nearly half of b:
 only members that share a token of these shortened differences can link, and form the
-groups of the next round.  So a group of thousands of near copies costs a comparison
-a member, not one a pair.  A group loses its leader each round.  Groups of up to ``FEW``
-sets, and what is left after ``ROUNDS`` rounds, are compared pair by pair where sizes and
-the positions of the shared token allow a link, so that no link is lost.  Groups are
-windows over the tokens, dealt once: no filter whose size is fixed, no join on tokens.  Before
-the sets of a pair meet, counts of their tokens by ``BUCKETS`` parts of the hash space do:
-the counts differ by no more than the sets, so pairs that differ too much go at once.
+groups of the next round, which reads the sets that go on alone.  So a group of
+thousands of near copies costs a comparison a member, not one a pair.  A group loses its
+leader each round.  Groups of up to ``FEW`` sets (``FEW_LATER`` behind the first round, as
+dozens of sets that are alike but not linked would take a round each), and what is left
+after ``ROUNDS`` rounds, are compared pair by pair where sizes and the positions of the
+shared token allow a link, so that no link is lost.  Groups are windows over the tokens,
+dealt once: no filter whose size is fixed, no join on tokens.  Before the sets of a pair
+meet, counts of their tokens by ``BUCKETS`` parts of the hash space do: the counts differ
+by no more than the sets, so pairs that differ too much go at once.
 
 The global order comes from a sketch of token counts of fixed size
 (``SKETCH_BITS``); any order gives the same result, a good one keeps passages
@@ -60,6 +62,10 @@ BATCH_ROWS = 256
 ROUNDS = 6
 #: Groups of at most this many sets are compared pair by pair where positions allow a link.
 FEW = 8
+#: The same in the rounds that follow.
+FEW_LATER = 64
+#: Numbers of sets that go on, up to which they are broadcast (8 bytes each).
+BROADCAST_IDS = 400_000
 #: Counts of a set's tokens by parts of the hash space, one byte each.
 BUCKETS = 128
 _SEEDS = c.powers(3, 0xA0761D6478BD642F)[1:]
@@ -350,6 +356,11 @@ def _pairs(cells: DataFrame, percent: int) -> DataFrame:
         F.least("set_id", "set_id_b").alias("set_id"), F.greatest("set_id", "set_id_b").alias("leader"), F.lit(False).alias("goes_on"))
 
 
+def _of_sets(table, ids):
+    """The rows of ``table`` of the sets ``ids``; a short list of them goes to the table."""
+    return table.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "set_id", "left_semi")
+
+
 def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percent: int, rounds: int = ROUNDS) -> DataFrame:
     """Links (u, v) between sets that give the components of all links."""
     spark = sets.sparkSession
@@ -357,8 +368,9 @@ def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percen
     for k in range(rounds + 1):
         cells = c.written(_cells(state, percent), f"round-{k}-groups")
         if k < rounds:
-            pairs = cells.where(F.col("size") > FEW).where("set_id <> leader").select("set_id", "leader", F.lit(True).alias("goes_on")).union(
-                _pairs(cells.where(F.col("size") <= FEW), percent))
+            big = F.col("size") > (FEW_LATER if k else FEW)
+            pairs = cells.where(big).where("set_id <> leader").select("set_id", "leader", F.lit(True).alias("goes_on")).union(
+                _pairs(cells.where(~big), percent))
         else:
             pairs = _pairs(cells, percent)
         pairs = c.written(pairs.groupBy("set_id", "leader").agg(F.max("goes_on").alias("goes_on")), f"round-{k}-met")
@@ -371,6 +383,11 @@ def links_of(sets: DataFrame, rows: DataFrame, sketch, bits: int, n: int, percen
             ids.destroy()
         state = c.written(_beside(pairs, opened).mapInArrow(_compare(percent, sketch, bits), ROUND), f"round-{k}")
         links.append(state.where("linked").select(F.col("set_id").alias("u"), F.col("leader").alias("v")))
+        going = c.written(state.where(F.size("keys") > 0).select("set_id").distinct(), f"round-{k}-going")
+        if k == rounds or going.isEmpty():
+            break
+        # the next round joins only what goes on
+        sets, opened = (c.written(_of_sets(table, going), f"round-{k}-{name}") for table, name in ((sets, "sets"), (opened, "tokens")))
     return reduce(DataFrame.union, links, spark.createDataFrame([], "u long, v long"))
 
 

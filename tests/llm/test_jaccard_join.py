@@ -191,3 +191,33 @@ def test_bucket_counts_lose_no_link():
                 apart = jj._bucket_counts(rng.integers(0, 1 << 62, n).astype(np.uint64), np.zeros(n, np.int64), 1)[0].tobytes()
                 batch = batch.set_column(6, "r_counts", pa.array([apart], pa.binary()))
                 assert sum(b.num_rows for b in jj._may_link(percent)([batch])) == 0
+
+
+def test_sets_alike_but_not_linked_settle_soon(spark, docs_of, monkeypatch):
+    """Dozens of edits of one text below the threshold take no round each, and later
+    rounds read no set that does not go on."""
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(rng.choice(list("abcdefgh"), 6))
+    rows, base, edits = [], [word() for _ in range(200)], [word() for _ in range(40)]
+    for i in range(45):
+        w = list(base)
+        for k in rng.choice(40, 14, replace=False):
+            w[5 * k] = edits[k]
+        rows.append((i, " ".join(w)))
+    for i in range(100, 160):  # linked pairs, settled in the first round
+        w = rows[-1][1].split() if i % 2 else [word() for _ in range(100)]
+        rows.append((i, " ".join([*w[:99], word()])))
+    keys, tables, written = [], {}, jj.c.written
+
+    def note(df, name):
+        out = written(df, name)
+        tables[name] = out.count()
+        if "keys" in out.columns:
+            keys.append(sum(len(r["keys"]) for r in out.collect()))
+        return out
+
+    monkeypatch.setattr(jj.c, "written", note)
+    got = jj.jaccard_components(docs_of(rows), 4, 85)
+    assert sorted(map(tuple, got.select("doc_id", "n_shingles", "component_id").collect()), key=str) == brute(rows, 4, 85)
+    assert keys[0] > 0 and sum(keys[1:]) == 0
+    assert 0 < tables["round-0-tokens"] == tables["round-0-sets"] <= 45 < tables["tokens"]
