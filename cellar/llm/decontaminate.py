@@ -78,9 +78,19 @@ def _bare(x):
     return F.substring(x, 2, 1 << 30)
 
 
+def _below(x: Column, code: int) -> Column:
+    """Whether the first character of a token comes before ``code`` (or there is none):
+    a comparison of bytes, which unlike ``ascii`` makes no new string for each token."""
+    return x < F.lit(chr(code))
+
+
+def _is_start(x: Column) -> Column:
+    return ~_below(x, ord(_START)) & _below(x, ord(_START) + 1)
+
+
 def template_tokens(text: Column) -> Column:
     """Lower-case tokens; a slot's token begins with the mark of its type."""
-    return F.transform(_marked_tokens(text), lambda x: F.when(F.ascii(x) == 5, _bare(x)).otherwise(x))
+    return F.transform(_marked_tokens(text), lambda x: F.when(_is_start(x), _bare(x)).otherwise(x))
 
 
 #: Readings of a window: sentence-initial capitalised words are words; they are
@@ -92,11 +102,11 @@ WORDS, NAMES, EXACT, BOTH = 0, 1, 2, 3
 def _token_hash(reading):
     mark = lambda x: F.xxhash64(F.ascii(x))
     if reading == WORDS:
-        return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(F.ascii(x) == 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
+        return lambda x: F.when(_below(x, 6), F.when(_below(x, 5), mark(x)).otherwise(F.xxhash64(_bare(x)))).otherwise(F.xxhash64(x))
     if reading == NAMES:
-        return lambda x: F.when(F.ascii(x) < 5, mark(x)).when(
-            F.ascii(x) == 5, F.xxhash64(F.lit(ord(_NAME)))).otherwise(F.xxhash64(x))
-    return lambda x: F.when(F.ascii(x) <= 5, F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
+        return lambda x: F.when(_below(x, 6), F.when(_below(x, 5), mark(x)).otherwise(
+            F.xxhash64(F.lit(ord(_NAME))))).otherwise(F.xxhash64(x))
+    return lambda x: F.when(_below(x, 6), F.xxhash64(_bare(x))).otherwise(F.xxhash64(x))
 
 
 def _slots(tokens: Column, pos: Column, reading: Column) -> Column:
@@ -138,7 +148,7 @@ def _screened(df: DataFrame, runs: DataFrame, exact: list[int]) -> DataFrame:
 
     starts = F.lit(False)
     for x in token[STRIDE - 1:WINDOW]:
-        starts = starts | (F.ascii(x) == 5)
+        starts = starts | _is_start(x)
     df = df.withColumn("_w", core(WORDS, WINDOW)).withColumn("_s", F.when(starts, core(NAMES, WINDOW)))
     probe = lambda h, reading, n: F.struct(h.alias("core"), F.lit(reading).alias("reading"), F.lit(n).alias("length"))
     probes = F.when(F.col("_s").isNull(), F.array(probe(F.col("_w"), BOTH, WINDOW))).otherwise(

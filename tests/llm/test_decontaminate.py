@@ -212,3 +212,14 @@ def test_slots_against_brute_force(spark, docs_of):
     got = dc.find_leaks(docs_of(docs), frame).collect()
     assert {(r.doc_id, r.item_id, r.n_windows, r.item_windows) for r in got} == want and len(want) > 30
     assert len({(d, i) for d, i, n, of in want if n < of}) > 5
+
+
+def test_marks_are_told_by_bytes(spark):
+    """The marks of tokens, told as ``ascii`` tells them, without a new string for each token."""
+    odd = ["", "a", "\u0002ann", "\u0003", "\u00034", "\u0004unit", "\u0005one", "\u0005", "\u0006", "é", "é", "😀", "漢", "0", None]
+    df = spark.createDataFrame([(x,) for x in odd], "x string")
+    x, n = F.col("x"), F.ascii("x")
+    assert df.where(~dc._below(x, 5).eqNullSafe(n < 5) | ~dc._below(x, 6).eqNullSafe(n <= 5) | ~dc._is_start(x).eqNullSafe(n == 5)).count() == 0
+    hashed = df.where(n > 5).select(*[dc._token_hash(r)(x).alias(f"h{r}") for r in (dc.WORDS, dc.NAMES, dc.EXACT)])
+    assert hashed._jdf.queryExecution().optimizedPlan().toString().count("ascii(x") <= 1 + 2  # slots alone, and the filter here
+    assert hashed.where((F.col("h0") != F.col("h1")) | (F.col("h0") != F.col("h2"))).count() == 0
