@@ -50,6 +50,8 @@ STRIDE, AROUND = 4, 11
 BLOCK = 4096
 #: Benchmark windows up to this many are broadcast (about 100 bytes each).
 BROADCAST_WINDOWS = 400_000
+#: Keys of documents that go, up to which they are broadcast (16 bytes each).
+BROADCAST_ROWS = 400_000
 # Units of measure that may stand behind a number.
 UNITS = ("percent|km/h|kmh|mph|km|cm|mm|metres|meters|metre|meter|m|miles|mile|feet|foot|ft|inches|inch|yards|kg|"
          "grams|gram|g|mg|pounds|lbs|lb|ounces|oz|tons|litres|liters|litre|liter|ml|l|hours|hour|hrs|h|minutes|"
@@ -307,7 +309,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, min_windows: int = MIN_WINDOWS
 def decontaminate(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the documents that contain a benchmark item."""
     key, doc = c.unused(docs, "row_key"), c.unused(docs, "bad_doc")
-    bad = find_leaks(docs, items, **options).select(F.col("row_key").alias(key), F.col("doc_id").alias(doc)).distinct()
+    bad = c.written(find_leaks(docs, items, **options).select(
+        F.col("row_key").alias(key), F.col("doc_id").alias(doc)).distinct(), "leaky-rows")
+    if bad.count() <= BROADCAST_ROWS:  # no text leaves its row here either
+        bad = F.broadcast(bad)
     same = (F.xxhash64(docs["doc_id"], docs["text"]) == F.col(key)) & docs["doc_id"].eqNullSafe(F.col(doc))
     return docs.join(bad, same, "left_anti")
 

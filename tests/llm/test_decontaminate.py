@@ -223,3 +223,11 @@ def test_marks_are_told_by_bytes(spark):
     hashed = df.where(n > 5).select(*[dc._token_hash(r)(x).alias(f"h{r}") for r in (dc.WORDS, dc.NAMES, dc.EXACT)])
     assert hashed._jdf.queryExecution().optimizedPlan().toString().count("ascii(x") <= 1 + 2  # slots alone, and the filter here
     assert hashed.where((F.col("h0") != F.col("h1")) | (F.col("h0") != F.col("h2"))).count() == 0
+
+
+def test_documents_are_not_shuffled(spark, docs_of, items):
+    """The keys of the documents that go are sent to the documents, not the texts to the keys."""
+    kept = dc.decontaminate(docs_of([(10, ITEM), (13, "none of it"), (14, None)]), items)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+    assert {r.doc_id for r in kept.collect()} == {13, 14}
